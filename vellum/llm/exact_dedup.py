@@ -15,16 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm import bloom
 from vellum.llm.common import WS, code_points, stage, text_bytes, tune
 
-#: Counters a row, probes a row, and the most counters of a filter (two bits
-#: each while it is built, one bit each when it is broadcast: 16 MB). A fuller
-#: filter lets more rows through to the shuffle; results stay the same.
-COUNTERS_A_ROW, PROBES, MOST_COUNTERS = 16, 4, 1 << 27
-#: Counters of one piece of the filter, merged by one task at a time.
-PIECE = 1 << 20
-
-
 def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_points, sha): code points of the text, SHA-256 of it without white space."""
 
@@ -39,61 +32,8 @@ def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def probes(sha: list[bytes], counters: int) -> np.ndarray:
-    """The places of each hash in the filter, one row a hash; ``counters`` is a power of two."""
-    h = np.frombuffer(b"".join(x[:16] for x in sha), np.uint64).reshape(-1, 2)
-    step = np.arange(PROBES, dtype=np.uint64)
-    return ((h[:, :1] + step * (h[:, 1:] | np.uint64(1))) & np.uint64(counters - 1)).astype(np.int64)
-
-
-def bloom_counts(hashes: DataFrame, counters: int) -> np.ndarray:
-    """A bit for each counter that stands at two or more, packed.
-
-    A task folds its rows into a filter of its own and emits its pieces that are
-    not empty; pieces are merged where they meet, and only the merged filter, of
-    at most ``MOST_COUNTERS`` bits, reaches the driver.
-    """
-    piece = min(PIECE, counters)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(0, np.uint8)
-        for b in batches:
-            if b.num_rows:
-                n = n if len(n) else np.zeros(counters, np.uint8)
-                at, times = np.unique(probes(b.column(0).to_pylist(), counters), return_counts=True)
-                n[at] = np.minimum(2, n[at] + np.minimum(times, 2))
-        for k in range(0, len(n), piece):
-            x = n[k : k + piece]
-            if x.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // piece], pa.int32()), pa.array([np.packbits(x >= 1).tobytes()]), pa.array([np.packbits(x >= 2).tobytes()])],
-                    ["k", "one", "two"],
-                )
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for b in batches:
-            for k, one, two in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                one, two = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
-                if k in kept:
-                    a, c = kept[k]
-                    one, two = a | one, c | two | (a & one)
-                kept[k] = one, two
-        for k, (_, two) in kept.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([two.tobytes()])], ["k", "two"])
-
-    spark = hashes.sparkSession
-    # One filter a task: no more tasks than cores, so that filters stay few.
-    few = hashes.select("sha").coalesce(max(2, spark.sparkContext.defaultParallelism))
-    parts = few.mapInArrow(count, "k int, one binary, two binary").repartition(max(1, counters // piece), "k")
-    out = np.zeros(counters // 8, np.uint8)
-    for k, two in parts.mapInArrow(merge, "k int, two binary").toLocalIterator():
-        out[k * piece // 8 : (k + 1) * piece // 8] = np.frombuffer(bytes(two), np.uint8)
-    return out
-
-
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_counters: int = MOST_COUNTERS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = bloom.MOST_BITS
 ) -> DataFrame:
     """One row a document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -107,19 +47,16 @@ def exact_dedup(
     spark = docs.sparkSession
     tune(spark)
     rows = stage(hashed(docs, id_col, text_col), "exact-hashes")
-    n = rows.count()
-    counters = 1 << max(16, min((most_counters).bit_length() - 1, int(COUNTERS_A_ROW * max(n, 1)).bit_length()))
-    bits = spark.sparkContext.broadcast(bloom_counts(rows, counters))
+    hashes = rows.select(F.xxhash64("sha").alias("h"))
+    packed = spark.sparkContext.broadcast(bloom.build(hashes, bloom.bits_for(rows.count(), most_bits), times=2))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        two = bits.value
         for b in batches:
             if b.num_rows:
-                at = probes(b.column(2).to_pylist(), counters)
-                hit = ((two[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hit)], ["doc_id", "n_points", "sha", "again"])
+                hit = bloom.ask(packed.value, b.column(3).to_numpy(zero_copy_only=False).view(np.uint64))
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hit)], ["doc_id", "n_points", "sha", "again"])
 
-    asked = rows.mapInArrow(ask, "doc_id long, n_points long, sha binary, again boolean")
+    asked = rows.withColumn("h", F.xxhash64("sha")).mapInArrow(ask, "doc_id long, n_points long, sha binary, again boolean")
     again = asked.where("again")
     # A group is one row before the shuffle meets it, however many copies it has.
     best = F.max(F.struct(F.col("n_points"), (-F.col("doc_id")).alias("low")))
