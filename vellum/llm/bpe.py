@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,7 @@ class PairIndex:
         n = len(sym)
         nxt = np.where(last, -1, np.arange(1, n + 1))
         prv = np.arange(-1, n - 1)
-        prv[np.flatnonzero(last)[:-1] + 1] = -1
+        prv[np.flatnonzero(last[:-1]) + 1] = -1
         live = np.ones(n, bool)
         lists: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
@@ -120,41 +121,39 @@ class PairIndex:
                 note(self.rank(sym[place], sym[nxt[place]]), place)
         return sym, live
 
-    def words(self, text: str) -> list[bytes | int]:
-        """Pre-tokens as bytes; special tokens as ids."""
-        out: list[bytes | int] = []
+    def words(self, text: str) -> list[str | int]:
+        """Pre-tokens; special tokens as ids."""
+        if not (self.split and self.split.search(text)):
+            return self.pattern.findall(text)
+        out: list[str | int] = []
         at = 0
-        for m in self.split.finditer(text) if self.split and any(s in text for s in self.special) else ():
-            out += [w.encode() for w in self.pattern.findall(text[at : m.start()])]
+        for m in self.split.finditer(text):
+            out += self.pattern.findall(text[at : m.start()])
             out.append(self.special[m[0]])
             at = m.end()
-        return out + [w.encode() for w in self.pattern.findall(text[at:] if at else text)]
+        return out + self.pattern.findall(text[at:])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text: one index over the distinct words of all of them."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and how many each has: one index over the distinct words of all."""
         words = [self.words(t) for t in texts]
-        distinct: dict[bytes | int, int] = {}
-        which = [np.array([distinct.setdefault(w, len(distinct)) for w in ws], np.int64) for ws in words]
-        spelled = [w for w in distinct if isinstance(w, bytes)]
+        flat = list(chain.from_iterable(words))
+        distinct = dict(zip(dict.fromkeys(flat), count()))
+        which = np.fromiter(map(distinct.__getitem__, flat), np.int64, len(flat))
+        spelled = [w.encode() if isinstance(w, str) else b"" for w in distinct]
         size = np.fromiter(map(len, spelled), np.int64, len(spelled))
-        ids = np.zeros(0, np.int64)
-        count = np.zeros(0, np.int64)
-        if len(spelled):
-            last = np.zeros(int(size.sum()), bool)
-            last[np.cumsum(size) - 1] = True
-            sym = self.of_byte[np.frombuffer(b"".join(spelled), np.uint8)]
-            sym, live = self.merge(sym, last)
-            count = np.add.reduceat(live, np.cumsum(size) - size)
-            ids = sym[live]
-        n = np.ones(len(distinct), np.int64)
-        start = np.zeros(len(distinct), np.int64)
-        plain = np.fromiter((isinstance(w, bytes) for w in distinct), bool, len(distinct))
-        n[plain] = count
-        start[plain] = np.cumsum(count) - count
-        own = [w for w in distinct if isinstance(w, int)]
-        start[~plain] = len(ids) + np.arange(len(own))
-        ids = np.r_[ids, np.array(own, np.int64)].astype(np.uint32)
-        return [ids[ragged(start[w], n[w])] if len(w) else ids[:0] for w in which]
+        sym = self.of_byte[np.frombuffer(b"".join(spelled), np.uint8)]
+        last = np.zeros(len(sym), bool)
+        last[np.cumsum(size)[size > 0] - 1] = True
+        sym, live = self.merge(sym, last)
+        before = np.r_[0, np.cumsum(live)]
+        ends = np.cumsum(size)
+        start, n = before[ends - size], before[ends] - before[ends - size]
+        ids = sym[live]
+        own = np.flatnonzero(size == 0)
+        start[own], n[own] = len(ids) + np.arange(len(own)), 1
+        ids = np.r_[ids, np.array([w for w in distinct if isinstance(w, int)], np.int64)].astype(np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        return ids[ragged(start[which], n[which])], np.diff(np.r_[0, np.r_[0, np.cumsum(n[which])][ends]])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each of several id sequences laid end to end."""
