@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import exact_dedup, quality_rules, simhash
+from vellum.llm import bpe, exact_dedup, packing, quality_rules, simhash, substring_dedup, token_files
 from vellum.llm.common import read_documents
 
 
@@ -20,15 +20,36 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(read_documents(spark, sf_dir))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_table(read_documents(spark, sf_dir))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read_documents(spark, sf_dir), digest=True)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(read_documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_documents(spark, sf_dir))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(read_documents(spark, sf_dir), digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash": op2_simhash,
         "op3_quality_rules": op3_quality_rules,
+        "op4_token_files": op4_token_files,
+        "op5_substring_dedup": op5_substring_dedup,
+        "op8_packing": op8_packing,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_bpe": op10_bpe,
     }
 
 
