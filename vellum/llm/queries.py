@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import bpe, exact_dedup, packing, quality_rules, simhash, substring_dedup, token_files
-from vellum.llm.common import read_documents
+from vellum.llm import bpe, cotraining, exact_dedup, langid, packing, quality_rules, simhash, substring_dedup, token_files, warc
+from vellum.llm.common import read_documents, tune
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_documents(spark, sf_dir))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,15 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return warc.page_derivatives(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_scores(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_documents(spark, sf_dir))
 
@@ -43,10 +56,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_simhash": op2_simhash,
         "op3_quality_rules": op3_quality_rules,
         "op4_token_files": op4_token_files,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_warc_derivatives": op6_warc_derivatives,
+        "op7_cotraining": op7_cotraining,
         "op8_packing": op8_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_bpe": op10_bpe,
