@@ -53,7 +53,6 @@ def candidates(items: DataFrame, works: DataFrame) -> DataFrame:
     open_i = texts_i.withColumn("bucket", length_bucket(F.length("it"), UNDATED))
     open_w = texts_w.withColumn("wb", _near(length_bucket(F.length("wt"), UNDATED)))
     missing = F.col("item_year").isNull() | F.col("work_year").isNull()
-    # A score of 96 leaves few letters to differ, so the sorted letters' ends differ little: most pairs go by the bound on common letters.
     undated = open_i.join(open_w, (F.col("bucket") == F.col("wb")) & missing).select("it", "wt", "item_year", "work_year")
     bound = 200.0 * F.least(F.length("it"), F.length("wt")) / (F.length("it") + F.length("wt"))
     pairs = dated.where(bound >= SAME_YEAR).union(undated.where(bound >= UNDATED)).distinct()
