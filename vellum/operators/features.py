@@ -74,9 +74,9 @@ def cluster_table(rows: DataFrame) -> DataFrame:
 
 def spread(rows: DataFrame, columns: list[str], by: str | None = None) -> DataFrame:
     """Columns scaled to 0 .. 1 over all rows or within groups."""
-    keys = [] if by is None else [F.col(by).alias("_g")]
+    keys = [] if by is None else [F.col(by).alias("_within")]
     ends = rows.groupBy(*keys).agg(*(f(c).alias(f"_{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))))
-    out = rows.join(ends, F.lit(True) if by is None else F.col(by).eqNullSafe(F.col("_g")))
+    out = rows.join(ends, F.lit(True) if by is None else F.col(by).eqNullSafe(F.col("_within")))
     scaled = {c: (F.col(c) - F.col(f"_lo{i}")) / (F.col(f"_hi{i}") - F.col(f"_lo{i}") + 1e-9) for i, c in enumerate(columns)}
     return out.withColumns(scaled).select(*rows.columns)
 

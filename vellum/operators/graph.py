@@ -36,18 +36,18 @@ def hash_edges(rows: DataFrame, node: str, digest: str, radius: int = 5, residua
     """
     held = rows.where(F.col(digest).isNotNull())
     if residual is None:
-        groups = held.groupBy(F.col(digest).alias("h")).agg(F.min(node).alias("n"))
-        same = held.join(groups, F.col(digest) == F.col("h")).where(F.col(node) != F.col("n")).select(F.col("n").alias("u"), F.col(node).alias("v"))
+        groups = held.groupBy(F.col(digest).alias("_h")).agg(F.min(node).alias("_n"))
+        same = held.join(groups, F.col(digest) == F.col("_h")).where(F.col(node) != F.col("_n")).select(F.col("_n").alias("u"), F.col(node).alias("v"))
         sides = groups
     else:
-        sides = held.withColumnsRenamed({node: "n", digest: "h"})
+        sides = held.withColumnsRenamed({node: "_n", digest: "_h"})
         same = None
-    banded = sides.withColumn("_b", F.explode(bands(F.col("h"), radius)))
+    banded = sides.withColumn("_b", F.explode(bands(F.col("_h"), radius)))
     a, b = banded.alias("a"), banded.alias("b")
-    near = (F.col("a._b") == F.col("b._b")) & (F.col("a.n") < F.col("b.n")) & (hamming(F.col("a.h"), F.col("b.h")) <= radius)
+    near = (F.col("a._b") == F.col("b._b")) & (F.col("a._n") < F.col("b._n")) & (hamming(F.col("a._h"), F.col("b._h")) <= radius)
     if residual is not None:
         near = near & residual
-    pairs = a.join(b, near).select(F.col("a.n").alias("u"), F.col("b.n").alias("v")).distinct()
+    pairs = a.join(b, near).select(F.col("a._n").alias("u"), F.col("b._n").alias("v")).distinct()
     return pairs if same is None else pairs.union(same)
 
 
@@ -80,8 +80,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 def duplicate_groups(rows: DataFrame, node: str, digest: str, hashed: str, radius: int = 5, residual: Column | None = None) -> DataFrame:
     """``rows`` with component: the least node that equal digests and near hashes lead to."""
     edges = digest_edges(rows, node, digest).union(hash_edges(rows, node, hashed, radius, residual))
-    found = components(edges, "duplicates")
-    return rows.join(found, F.col(node) == F.col("node"), "left").withColumn("component", F.coalesce("root", node)).drop("node", "root")
+    found = components(edges, "duplicates").withColumnsRenamed({"node": "_node", "root": "_root"})
+    return rows.join(found, F.col(node) == F.col("_node"), "left").withColumn("component", F.coalesce("_root", node)).drop("_node", "_root")
 
 
 def reachable(edges: DataFrame, roots: DataFrame, limit: int = 100) -> DataFrame:

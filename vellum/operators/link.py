@@ -60,8 +60,9 @@ def candidates(items: DataFrame, works: DataFrame) -> DataFrame:
     gap = F.abs(F.col("item_year") - F.col("work_year"))
     limit = F.when(gap.isNull(), UNDATED).when(gap == 0, SAME_YEAR).otherwise(NEXT_YEAR)
     good = pairs.join(scored.where(F.col("score") >= SAME_YEAR), ["it", "wt"]).where(F.col("score") >= limit)
-    back = i.join(good, [i.it == good.it, i.item_year.eqNullSafe(good.item_year)]).select("item_id", i.it, i.item_year, "wt", "work_year", "score")
-    linked = back.join(w, [back.wt == w.wt, back.work_year.eqNullSafe(w.work_year)]).select("item_id", "work_id", "work_ord", w.work_year, "item_year", "score")
+    good = good.withColumnsRenamed({"it": "_it", "wt": "_wt", "item_year": "_iy", "work_year": "_wy"})
+    back = i.join(good, (F.col("it") == F.col("_it")) & F.col("item_year").eqNullSafe(F.col("_iy"))).select("item_id", "item_year", "_wt", "_wy", "score")
+    linked = back.join(w, (F.col("_wt") == F.col("wt")) & F.col("_wy").eqNullSafe(F.col("work_year"))).select("item_id", "work_id", "work_ord", "work_year", "item_year", "score")
     return linked.unionByName(exact.select("item_id", "work_id", "work_ord", "work_year", "item_year", "score"))
 
 

@@ -157,8 +157,8 @@ def source_rank(source: Column, order: list[str] | None = None, unknown: int = 5
 
 
 def family_of(url: Column, families: list[tuple[str, str]], other: str = "other") -> Column:
-    """The first family whose mark occurs in a URL."""
-    return first_rule([Rule(name, F.lower(url).contains(mark)) for mark, name in families], F.lit(other))
+    """The first family (name, mark) whose mark occurs in a URL."""
+    return first_rule([Rule(name, F.lower(url).contains(mark)) for name, mark in families], F.lit(other))
 
 
 def openly_licensed(license: Column) -> Column:
