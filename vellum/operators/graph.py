@@ -22,7 +22,8 @@ def bands(h: Column, radius: int, bits: int = 64) -> Column:
     out, at = [], 0
     for k in range(n):
         width = bits // n + (k < bits % n)
-        out.append(F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << width) - 1)).alias("value")))
+        value = F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << width) - 1)) if width < 63 else h
+        out.append(F.struct(F.lit(k).alias("band"), value.alias("value")))
         at += width
     return F.array(*out)
 
