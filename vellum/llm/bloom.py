@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vellum.llm.common import mix
+from vellum.llm.common import in_workers, mix
 
 #: Bits a row, probes a row, the most bits of a filter (16 MB), bits of one piece.
 BITS_A_ROW, PROBES, MOST_BITS, PIECE = 16, 4, 1 << 27, 1 << 20
@@ -65,9 +65,9 @@ def build(hashes: DataFrame, bits: int, times: int = 1) -> np.ndarray:
     spark = hashes.sparkSession
     # One filter a task: no more tasks than cores, so that filters stay few.
     few = hashes.select("h").coalesce(max(2, spark.sparkContext.defaultParallelism))
-    parts = few.mapInArrow(count, "k int, one binary, two binary").repartition(max(1, bits // piece), "k")
+    parts = in_workers(few, count, "k int, one binary, two binary").repartition(max(1, bits // piece), "k")
     out = np.zeros(bits // 8, np.uint8)
-    for k, got in parts.mapInArrow(merge, "k int, bits binary").toLocalIterator():
+    for k, got in in_workers(parts, merge, "k int, bits binary").toLocalIterator():
         out[k * piece // 8 : (k + 1) * piece // 8] = np.frombuffer(bytes(got), np.uint8)
     return out
 

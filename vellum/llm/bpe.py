@@ -14,19 +14,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import ragged, runs, tune
-from vellum.llm.tokens import BYTE_LEVEL, encoder, model_path
+from vellum.llm.common import in_workers, ragged, runs, tune
+from vellum.llm.tokens import BYTE_LEVEL, byte_characters, encoder, model_path
 
 MODEL = "byte_bpe_50k.json"
 
 
-def byte_characters() -> list[str]:
-    """The character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
-
-
 class PairIndex:
     """A byte-level model as arrays: pair to rank, rank to merged id, id to bytes."""
 
@@ -189,7 +182,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         enc, own = encoder(path, "pairs"), model(path)
         for b in batches:
             texts = b.column(1).to_pylist()
-            for i, j in runs(texts):
+            for i, j in runs(texts, 4 << 20):
                 ids, counts = enc.encode(texts[i:j])
                 decoded = [x.decode("utf-8", "replace") for x in own.decode(ids, counts)]
                 ends = np.r_[0, np.cumsum(counts)].tolist()
@@ -205,4 +198,4 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     names = ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"])]
     kinds = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return d.mapInArrow(run, f"doc_id long, n_tokens long, {kinds}")
+    return in_workers(d, run, f"doc_id long, n_tokens long, {kinds}", tokens=True)

@@ -1,23 +1,27 @@
-"""What the operators of this subpackage share: scratch tables, components, word arrays."""
+"""What the operators of this subpackage share: Python workers, runs of texts, hashes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+import ctypes
+import gc
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vellum.operators.graph import components
+from vellum.scratch import scratch_dir, stage
 
 #: ASCII white space of the word pattern ``[^\x20\x09-\x0D]+``.
 WS = b" \t\n\x0b\x0c\r"
 #: Rows handed to a Python worker at once; texts may be long, so batches are short.
 BATCH_ROWS = 1000
 #: Python code takes a batch apart in runs of about so many bytes of text.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 
 
 def tune(spark: SparkSession) -> None:
@@ -25,25 +29,31 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="vellum-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+def trim() -> None:
+    """Give memory that is free back to the system: a worker may sit idle beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def in_workers(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType, tokens: bool = False) -> DataFrame:
+    """``df`` through ``run`` in Python workers, by Arrow batches.
 
-    The table cuts lineage and survives the loss of executors, and what is read
-    from it has known sizes, so that joins on it can be planned and split.
+    A worker lives on after its task. One that goes over to other work drops the
+    words that an encoder remembers (``tokens``: it goes on with them), and after
+    each task free memory goes back to the system.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokens and (held := sys.modules.get("vellum.llm.tokens")):
+            held.forget_all()
+        yield from run(batches)
+        trim()
+
+    return df.mapInArrow(task, schema)
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,31 +116,6 @@ def local_roots(nodes: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return nodes[root]
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of ``edges`` (u, v): rows (node, root), root the least node.
-
-    Alternating large-star and small-star rounds (Kiveris et al., 2014). Each
-    round is two grouped minima, combined before they are shuffled, and joins
-    whose large partitions Spark can split, so that a hub is no single task. A
-    round's edges are a table in the shared folder; two numbers a round come to
-    the driver. No edges: no rows. Loops and repeated edges do nothing.
-    """
-    e = stage(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name
-    )
-    seen = None
-    while True:
-        both = e.union(e.select(F.col("v"), F.col("u")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), name)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = stage(small.union(low.select("u", F.col("m").alias("v"))).distinct(), name)
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        e.select("v", "v").distinct()
-    )
+__all__ = [
+    "BATCH_ROWS", "RUN_BYTES", "WS", "code_points", "components", "in_workers", "local_roots", "mix", "ragged", "read_documents", "runs", "scratch_dir", "stage", "text_bytes", "tune",
+]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import bloom
-from vellum.llm.common import WS, code_points, stage, text_bytes, tune
+from vellum.llm.common import WS, code_points, in_workers, stage, text_bytes, tune
 
 def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_points, sha): code points of the text, SHA-256 of it without white space."""
@@ -27,9 +27,8 @@ def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             points = code_points(b.column(1)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), points, pa.array(sha, pa.binary())], ["doc_id", "n_points", "sha"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_points long, sha binary"
-    )
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return in_workers(d, run, "doc_id long, n_points long, sha binary")
 
 
 def exact_dedup(
@@ -56,7 +55,7 @@ def exact_dedup(
                 hit = bloom.ask(packed.value, b.column(3).to_numpy(zero_copy_only=False).view(np.uint64))
                 yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hit)], ["doc_id", "n_points", "sha", "again"])
 
-    asked = rows.withColumn("h", F.xxhash64("sha")).mapInArrow(ask, "doc_id long, n_points long, sha binary, again boolean")
+    asked = in_workers(rows.withColumn("h", F.xxhash64("sha")), ask, "doc_id long, n_points long, sha binary, again boolean")
     again = asked.where("again")
     # A group is one row before the shuffle meets it, however many copies it has.
     best = F.max(F.struct(F.col("n_points"), (-F.col("doc_id")).alias("low")))

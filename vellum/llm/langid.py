@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import ragged, runs, text_bytes, tune
+from vellum.llm.common import in_workers, ragged, runs, text_bytes, tune
 
 #: Languages by family (ISO 639 codes); a language not listed is a family of its own.
 FAMILIES = {
@@ -160,7 +160,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str,
                 x = frequencies(*trigrams(texts[i:j]))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([v.tobytes() for v in x], pa.binary())], ["lang", "x"])
 
-    got = [(r.lang, bytes(r.x)) for r in chosen.select("lang", "text").mapInArrow(run, "lang string, x binary").toLocalIterator()]
+    got = [(r.lang, bytes(r.x)) for r in in_workers(chosen.select("lang", "text"), run, "lang string, x binary").toLocalIterator()]
     return sorted(got)
 
 
@@ -199,6 +199,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "lang_pred", "score", "family"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
-    return d.select("doc_id", held.alias("held_out"), "text").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, family string"
-    )
+    return in_workers(d.select("doc_id", held.alias("held_out"), "text"), run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, family string")

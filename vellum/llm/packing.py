@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import runs, stage, tune
+from vellum.llm.common import in_workers, runs, stage, tune
 from vellum.llm.tokens import encoder, model_path
 
 MODEL, END, CAPACITY = "word_bpe_49k.json", 1, 4096
@@ -57,7 +57,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])])
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return d.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids)
+    return in_workers(d, run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids, tokens=True)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -157,7 +157,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: tuple[str, ...] = ("d
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sequence), pa.array(offset)], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return in_workers(ranked, place, f"{fields}, sequence_id long, offset long")
 
 
 def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import bloom
-from vellum.llm.common import mix, runs, stage, text_bytes, tune
+from vellum.llm.common import in_workers, mix, runs, stage, text_bytes, tune
 
 #: Words of a window; words of a gram.
 SIZE, GRAM = 35, 8
@@ -89,7 +89,7 @@ class Words:
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     for b in batches:
         texts = text_bytes(b.column("text"))
-        for i, j in runs(texts):
+        for i, j in runs(texts, 1 << 20):
             yield b.slice(i, j - i), texts[i:j]
 
 
@@ -105,7 +105,7 @@ def may_be_in(rows: DataFrame, ids: DataFrame, column: str = "rid") -> tuple[Dat
                     h = b.column(column).to_numpy(zero_copy_only=False).view(np.uint64)
                     yield b.filter(pa.array(bloom.ask(packed.value, h) == wanted))
 
-        return rows.mapInArrow(run, rows.schema)
+        return in_workers(rows, run, rows.schema)
 
     return part(True), part(False)
 
@@ -134,7 +134,7 @@ def duplicate_windows(docs: DataFrame, id_col: str, text_col: str, size: int = S
                 [pa.array(x) for x in (h.view(np.int64), g.view(np.int64), ids[doc], at.astype(np.int32), n.astype(np.int32))], ["h", "g", "rid", "at", "n"]
             )
 
-    blocks = stage(rows.mapInArrow(index, "h long, g long, rid long, at int, n int"), "substring-blocks")
+    blocks = stage(in_workers(rows, index, "h long, g long, rid long, at int, n int"), "substring-blocks")
     # An anchor is one row a task before the shuffle, however often it occurs.
     anchors = blocks.groupBy("h").agg(F.count("*").alias("times"), F.min("g").alias("low"), F.max("g").alias("high"))
     shared = stage(anchors.where("times > 1").select(F.col("h").alias("shared_h"), (F.col("low") != F.col("high")).alias("varied")), "substring-anchors")
@@ -170,7 +170,7 @@ def duplicate_windows(docs: DataFrame, id_col: str, text_col: str, size: int = S
 
     # A row that repeats in the table would count its windows twice, so rows are made one.
     asked = maybe.join(ask, "rid").dropDuplicates(["rid"])
-    windows = stage(asked.mapInArrow(check, "a long, c int, h long, g long, k int, weight int"), "substring-windows")
+    windows = stage(in_workers(asked, check, "a long, c int, h long, g long, k int, weight int"), "substring-windows")
     twice = windows.groupBy("a", "c").agg(F.sum("weight").alias("times")).where("times > 1")
     twice = stage(twice.select(F.col("a").alias("a2"), F.col("c").alias("c2")), "substring-repeated")
     part = windows.join(twice, (F.col("a") == F.col("a2")) & (F.col("c") == F.col("c2"))).select(
@@ -257,4 +257,4 @@ def remove_repeats(
             )
 
     both = clean.select(*kept, "_text", none.alias("_marks")).union(joined.select(*kept, "_text", F.coalesce("_marks", none).alias("_marks")))
-    return both.mapInArrow(cut, schema)
+    return in_workers(both, cut, schema)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import runs, scratch_dir, tune
+from vellum.llm.common import in_workers, runs, scratch_dir, tune
 from vellum.llm.tokens import encoder, model_path
 
 MODEL, END = "byte_bpe_50k.json", 0
@@ -165,7 +165,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = d.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ordered.mapInArrow(run, "part long, seq long, base long, n_ids long, data binary").write.parquet(path)
+    in_workers(ordered, run, "part long, seq long, base long, n_ids long, data binary", tokens=True).write.parquet(path)
 
 
 def read_tokens(spark, path: str, ids: bool = True) -> DataFrame:
@@ -198,7 +198,7 @@ def read_tokens(spark, path: str, ids: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "n_tokens", "ids_crc32", *more])
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids
-    return table.select("part", "base", "data").mapInArrow(run, schema)
+    return in_workers(table.select("part", "base", "data"), run, schema)
 
 
 def token_table(docs: DataFrame, name: str = MODEL) -> DataFrame:

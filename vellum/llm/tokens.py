@@ -13,10 +13,12 @@ import numpy as np
 from vellum.llm.common import ragged
 
 #: Units a worker remembers; beyond that it starts anew, so its memory is bounded.
-CACHE = 500_000
+CACHE = 600_000
 #: The ByteLevel pre-tokenizer's pattern; a fixed value of the public format.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ODD_SPACE = re.compile(r"[^\S \n]")
+#: A full stop or comma that ends a word: models cut before it.
+STOP = re.compile(r"[.,](?<=[^\W_].)(?=[ \n]|\Z)")
 
 
 def model_path(name: str) -> str:
@@ -28,13 +30,20 @@ def model_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
+
+
 class Encoder:
     """Ids of many texts at once.
 
     ``byte`` models (ByteLevel with its own pattern, no normalizer) always cut
-    before a space or line end that follows something else, so texts are taken
-    apart there; ``word`` models drop white space, so texts are taken apart at
-    ASCII white space. Texts for which that is not certain (runs of white space,
+    before a space or line end that follows something else and between a word and
+    its full stop or comma, so texts are taken apart there; ``word`` models drop
+    white space, so texts are taken apart at ASCII white space too. Texts for which that is not certain (runs of white space,
     special tokens) and all texts of other models are encoded whole. The result
     is what the model gives for the whole text.
     """
@@ -58,10 +67,29 @@ class Encoder:
             model.no_truncation()
             model.no_padding()
 
+            one, space, chars = model.model.tokenize, "\u0120", dict(enumerate(byte_characters()))
+
+            def spelled(t: str) -> str:
+                return t if t.isascii() else t.encode().decode("latin-1").translate(chars)
+
+            byte, word = self.kind == "byte", self.kind == "word"
+
             def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-                parts = []
-                for k in range(0, len(texts), 10_000):
-                    parts += [e.ids for e in model.encode_batch_fast(texts[k : k + 10_000], add_special_tokens=False)]
+                parts: list[list[int] | None] = [None] * len(texts)
+                other = []
+                for i, t in enumerate(texts):
+                    # A word of letters is one pre-token: the library's model takes it as it is. Letters up
+                    # to U+00FF are composed, and have one lower case.
+                    if byte and t[:1] == " " and t[1:].isalpha():
+                        parts[i] = [x.id for x in one(space + spelled(t[1:]))]
+                    elif word and t.isalpha() and (t.isascii() or max(t) <= "\xff"):
+                        parts[i] = [x.id for x in one(spelled(t.lower()))]
+                    else:
+                        other.append(i)
+                for k in range(0, len(other), 10_000):
+                    some = other[k : k + 10_000]
+                    for i, e in zip(some, model.encode_batch_fast([texts[i] for i in some], add_special_tokens=False), strict=True):
+                        parts[i] = e.ids
                 n = np.fromiter(map(len, parts), np.int64, len(parts))
                 return np.fromiter(chain.from_iterable(parts), np.uint32, int(n.sum())), n
 
@@ -70,7 +98,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.index: dict[Hashable, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
         self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
     def units(self, text: str) -> list[Hashable]:
@@ -78,16 +106,18 @@ class Encoder:
         if not text:
             return []
         if self.kind == "word":
-            return text.encode().split()  # type: ignore[return-value]
+            return STOP.sub(r" \g<0>", text).encode().split()  # type: ignore[return-value]
         if self.kind == "byte" and not (
             "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1] in " \n"
             or ODD_SPACE.search(text) or any(s in text for s in self.special)
         ):
-            parts: list[Hashable] = text.replace("\n", " \n").split(" ")  # type: ignore[assignment]
-            if parts[0]:
-                parts[0] = (parts[0],)  # has no space before it
-                return parts
-            return parts[1:]
+            spaced = text.replace("\n", " \n")
+            if " ." in text or " ," in text:
+                first, *rest = spaced.split(" ")
+                parts: list[Hashable] = [(" " + p,) if p in (".", ",") else p for p in rest]
+            else:
+                first, *parts = STOP.sub(r" \g<0>", spaced).split(" ")
+            return [(first,), *parts] if first else parts  # the first has no space before it
         return [(text,)]
 
     @staticmethod
@@ -96,7 +126,7 @@ class Encoder:
             return key[0]
         if isinstance(key, bytes):
             return key.decode()
-        return key if key[0] == "\n" else " " + key  # type: ignore[index,operator,return-value]
+        return key if key[0] == "\n" or key in (".", ",") else " " + key  # type: ignore[index,operator,return-value]
 
     def learn(self, keys: list[Hashable]) -> None:
         ids, n = self.encode_whole([self.spelled(x) for x in keys])
@@ -141,3 +171,9 @@ def encoder(path: str, engine: str = "library") -> Encoder:
             encode = PairIndex(path).encode
         _ENCODERS[path, engine] = Encoder(path, encode)
     return _ENCODERS[path, engine]
+
+
+def forget_all() -> None:
+    """Drop the words that this worker's encoders remember."""
+    for e in _ENCODERS.values():
+        e.forget()

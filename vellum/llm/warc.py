@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import tune
+from vellum.llm.common import in_workers, tune
 
 VERSION = b"WARC/1.1\r\n"
 #: Names of record ids: a version-5 UUID over this space, so that a rerun makes the same ids.
@@ -138,7 +138,7 @@ def pages_to_responses(pages: DataFrame, id_col: str = "page_id", url_col: str =
             )
 
     d = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string"), F.col(html_col).cast("string"))
-    return d.mapInArrow(run, "page_id long, headers map<string,string>, block binary")
+    return in_workers(d, run, "page_id long, headers map<string,string>, block binary")
 
 
 def derive(responses: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def derive(responses: DataFrame) -> DataFrame:
 
     fields = ", ".join(f"`{c}` {responses.schema[c].dataType.simpleString()}" for c in kept)
     kind = "struct<headers: map<string,string>, block: binary, record: binary>"
-    return responses.select(*kept).mapInArrow(run, f"{fields}, metadata {kind}, conversion {kind}")
+    return in_workers(responses.select(*kept), run, f"{fields}, metadata {kind}, conversion {kind}")
 
 
 def read_warc(files: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def read_warc(files: DataFrame) -> DataFrame:
                     ["path", "headers", "block"],
                 )
 
-    return files.select("path", "content").mapInArrow(run, "path string, headers map<string,string>, block binary")
+    return in_workers(files.select("path", "content"), run, "path string, headers map<string,string>, block binary")
 
 
 def page_derivatives(pages: DataFrame) -> DataFrame:
