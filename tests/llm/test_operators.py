@@ -1,0 +1,391 @@
+"""Operators of vellum.llm against brute force on small tables with edge rows."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vellum.llm import bpe, cotraining, exact_dedup, langid, packing, quality_rules, simhash, substring_dedup, token_files, warc
+from vellum.llm.common import local_roots
+from vellum.llm.tokens import model_path
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def make_texts():
+    rng = np.random.default_rng(7)
+    phrase = lambda n: " ".join(rng.choice(WORDS, n))
+    base, passage = phrase(120), phrase(60)
+    texts = [None, "", " \n\t", "word", "a b c", base, base, base + "  ", base.replace(" ", "\n"), base.upper()]
+    near = base.split()
+    for k in range(12):
+        edited = list(near)
+        edited[10 * (k % 3)] = f"new{k}"
+        texts.append(" ".join(edited))
+    for _ in range(6):
+        texts.append(f"{phrase(50)} {passage} {phrase(30)}")
+    texts += [phrase(80) + " " + phrase(40)[:5] * 3, "x " * 300, "Ünï cödé 文字 … é", "line one\nline two\nline one\n\n line one", phrase(5000), "<|endoftext|> a  <|endoftext|>", "#$% &|<> *" * 20]
+    return texts + [phrase(int(n)) for n in rng.integers(30, 200, 20)]
+
+
+TEXTS = make_texts()
+SCHEMA = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()), ("n_chars", T.LongType()), ("n_words", T.StringType()), ("marks", T.StringType()))])
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Ids out of order, extra columns with clashing names, nulls in every other column."""
+    rows = [(3 * i % 101, t, None if i % 5 == 0 else "en", None if i % 3 == 0 else f"s{i % 4}", None if i % 7 == 0 else len(t or ""), "clash", "clash") for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def exact_expected(rows):
+    groups = collections.defaultdict(list)
+    for d, t in rows.items():
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), d))
+    out = {}
+    for text, members in groups.items():
+        keep = min(members)[1]
+        for _, d in members:
+            out[d] = (keep, len(members), d == keep, hashlib.sha256(text.encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("most_bits", [1 << 16, 1 << 27])
+def test_exact_dedup(docs, rows, most_bits):
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.exact_dedup(docs, most_bits=most_bits).collect()}
+    assert got == exact_expected(rows)
+
+
+def test_exact_dedup_with_null_and_repeated_ids(spark):
+    d = spark.createDataFrame([(None, "a"), (None, "a"), (5, "a "), (5, "a "), (7, "b")], "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(d).collect())
+    assert got == [(-1, 5, 4, False), (-1, 5, 4, False), (5, 5, 4, True), (5, 5, 4, True), (7, 7, 1, True)]
+
+
+def test_quality_counts(docs, rows):
+    got = {r.doc_id: r for r in quality_rules.quality(docs).collect()}
+    assert len(got) == len(rows)
+    for d, text in rows.items():
+        w = split(text)
+        windows = collections.Counter(zip(w, w[1:], w[2:]))
+        covered = {k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(i, i + 3)}
+        lines = [x for x in (text or "").split("\n") if split(x)]
+        r = got[d]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+        )
+        assert r.base_failed == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
+        assert not (r.base_failed and r.kept)
+        if got[d].lang is None:
+            assert r.kept == (not r.base_failed) and r.word_distance is None
+
+
+def test_quality_rejects_what_strays_from_its_language(spark):
+    rng = np.random.default_rng(3)
+    common = ["the", "of", "and", "to", "in"]
+    clean = [(i, " ".join(rng.choice(common + WORDS, 120)), "en") for i in range(60)]
+    junk = [(100, " ".join(w + "%%%&&&" for w in rng.choice(WORDS, 120)), "en")]
+    got = {r.doc_id: r for r in quality_rules.quality(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")).collect()}
+    assert not got[100].kept and all(got[i].kept for i in range(60))
+    assert 0 <= got[5].char_distance < got[100].char_distance <= 1
+
+
+def brute_components(fp, radius=4):
+    u = np.unique(np.array(list(fp.values()), np.uint64))
+    x, y = np.nonzero(np.bitwise_count(u[:, None] ^ u[None]) <= radius)
+    root = dict(zip(u.tolist(), local_roots(u, u[x], u[y]).tolist(), strict=True))
+    least = {}
+    for d, f in fp.items():
+        least[root[f]] = min(least.get(root[f], d), d)
+    return {d: least[root[f]] for d, f in fp.items()}
+
+
+def test_golay_keys_meet_within_the_radius():
+    rng = np.random.default_rng(1)
+    f = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    g = f.copy()
+    for i in range(len(g)):
+        for bit in rng.choice(64, i % 5, replace=False):
+            g[i] ^= np.uint64(1) << np.uint64(bit)
+    sets = []
+    for x in (f, g):
+        s = collections.defaultdict(set)
+        for w, k in zip(*simhash.keys(x), strict=True):
+            s[w].add(int(k))
+        sets.append(s)
+    assert all(sets[0][i] & sets[1][i] for i in range(len(f)))
+
+
+def test_simhash_components(docs, rows):
+    got = {r.doc_id: (r.fp, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    fp = {d: simhash.fingerprint(None if t is None else t.encode()) for d, t in rows.items()}
+    assert {d: f & (1 << 64) - 1 for d, (f, _) in got.items()} == fp
+    assert {d: c for d, (_, c) in got.items()} == brute_components(fp)
+
+
+def test_fingerprint_by_definition():
+    import xxhash
+
+    text = "A b C d e b c d"
+    w = text.lower().split()
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(5)]
+    assert simhash.fingerprint(text.encode()) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > 5)
+    assert simhash.fingerprint(b"Two words") == xxhash.xxh64_intdigest(b"two words", 42)
+    assert simhash.fingerprint(None) == simhash.fingerprint(b" \n") == 0
+
+
+@pytest.mark.parametrize("block", [16, 200, 4096])
+def test_crowded_buckets_lose_no_link(spark, block):
+    rng = np.random.default_rng(5)
+    centre = np.uint64(0x0123456789ABCDEF)
+    fp = {int(centre)}
+    for _ in range(600):
+        x = centre
+        for bit in rng.choice(64, rng.integers(1, 9), replace=False):
+            x ^= np.uint64(1) << np.uint64(bit)
+        fp.add(int(x))
+    fp = {i: f for i, f in enumerate(sorted(fp))}
+    d = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fp.values()], "fp long")
+    roots = {r.node: r.root for r in simhash.similar_fingerprints(d, 4, block).collect()}
+    own = brute_components(fp)
+    groups = collections.defaultdict(set)
+    for i, c in own.items():
+        groups[c].add(int(np.uint64(fp[i]).astype(np.int64)))
+    for members in groups.values():
+        assert len({roots.get(m, m) for m in members}) == 1
+        if len(members) > 1:
+            assert {roots[m] for m in members} == {min(members)}
+
+
+def repeats_expected(rows, size=35):
+    words = {d: (t or "").encode().split() for d, t in rows.items()}
+    seen = collections.Counter(tuple(w[i : i + size]) for w in words.values() for i in range(len(w) - size + 1))
+    out = {}
+    for d, w in words.items():
+        gone = {k for i in range(len(w) - size + 1) if seen[tuple(w[i : i + size])] > 1 for k in range(i, i + size)}
+        out[d] = (len(w), len(gone), [x for i, x in enumerate(w) if i not in gone])
+    return out
+
+
+def test_substring_dedup_digests(docs, rows):
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(docs, digest=True).collect()}
+    assert got == {d: (n, k, hashlib.sha256(b" ".join(left)).hexdigest()) for d, (n, k, left) in repeats_expected(rows).items()}
+    assert sum(k for _, k, _ in got.values()) > 1000
+
+
+@pytest.mark.parametrize("size,gram", [(35, 8), (12, 4)])
+def test_substring_dedup_texts_and_spans(docs, rows, size, gram):
+    out = substring_dedup.remove_repeats(docs, size=size, gram=gram)
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "marks", "text", "n_words", "n_removed", "spans"]
+    for r in out.collect():
+        n, gone, left = EXPECTED.setdefault(size, repeats_expected(rows, size))[r.doc_id]
+        assert (r.n_words, r.n_removed) == (n, gone)
+        assert sum(s.end - s.start for s in r.spans) == gone
+        assert r.text == (rows[r.doc_id] if not gone else b" ".join(left).decode())
+
+
+EXPECTED = {}
+
+
+def test_repeated_rows_lose_their_words(spark):
+    text = " ".join(WORDS[:40])
+    d = spark.createDataFrame([(1, text), (1, text), (None, " ".join(WORDS[50:90])), (3, None)], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_removed) for r in substring_dedup.remove_repeats(d).collect())
+    assert got == [(0, 0), (1, 40), (1, 40), (3, 0)]
+
+
+def library():
+    from tokenizers import Tokenizer
+
+    return {n: Tokenizer.from_file(model_path(n)) for n in (bpe.MODEL, packing.MODEL)}
+
+
+def test_token_files(docs, rows):
+    model = library()[token_files.MODEL]
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_table(docs).collect()}
+    at = 0
+    for d in sorted(rows):
+        ids = np.array([*model.encode(rows[d] or "", add_special_tokens=False).ids, 0], "<u4")
+        assert got[d] == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 511, 512, 513, 3000])
+@pytest.mark.parametrize("top", [1, 7, 10**4, 2**45])
+def test_elias_fano_round_trip(n, top):
+    values = np.sort(np.random.default_rng(n).integers(0, top, n)).astype(np.uint64)
+    code, size = token_files.EliasFano.frombytes(memoryview(data := token_files.EliasFano.of(values).tobytes()))
+    assert size == len(data) and code.all().tolist() == values.tolist()
+    assert [code.select(i) for i in range(0, n, max(1, n // 40))] == values[:: max(1, n // 40)].tolist()
+    if n > 500:
+        assert 8 * len(data) < n * (2.5 + max(0, np.log2(top / n))) + 600
+    with pytest.raises(IndexError):
+        code.select(n)
+
+
+def test_segments_read_single_documents():
+    ids, counts = np.arange(70_000, dtype=np.uint32), np.array([0, 3, 69_997])
+    s = token_files.Segment(token_files.Segment.pack([None, -4, 9], counts, ids))
+    assert s.document(1).tolist() == [0, 1, 2] and len(s.document(0)) == 0 and s.doc_ids.tolist() == [-4, 9] and s.nulls == 1
+
+
+def test_bpe_round_trip(docs, rows):
+    model = library()[bpe.MODEL]
+    got = {r.doc_id: r for r in bpe.encode_decode(docs).collect()}
+    digests = {r.doc_id: r for r in bpe.encode_decode(docs, digest=True).collect()}
+    for d, t in rows.items():
+        ids = model.encode(t or "", add_special_tokens=False).ids
+        assert list(got[d].ids) == ids and got[d].n_tokens == len(ids)
+        assert got[d].decoded == model.decode(ids, skip_special_tokens=False) == (t or "")
+        assert digests[d].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert digests[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_encoders_match_the_library_on_odd_texts():
+    import random
+
+    from vellum.llm.tokens import encoder
+
+    random.seed(1)
+    parts = [" ", "\n", "a", "B", "é", "1", ".", ",", ", ", "'s", "\t", "  ", "😀", "<|endoftext|>", "tion", "ß", "ǅ", "①", "é", " ", "don't", "Σ"]
+    texts = ["", " ", "\n", "a", "\na\n", "a, b. c.", "a .b ,c"] + ["".join(random.choice(parts) for _ in range(random.randint(0, 25))) for _ in range(1500)]
+    for name, model in library().items():
+        for engine in ("library", "pairs") if name == bpe.MODEL else ("library",):
+            ids, counts = encoder(model_path(name), engine).encode(texts)
+            for t, x in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                assert x.tolist() == model.encode(t, add_special_tokens=False).ids, (name, engine, t)
+
+
+def test_packing(docs, rows):
+    model, capacity = library()[packing.MODEL], 256
+    got = packing.packed_documents(docs, capacity=capacity).collect()
+    expected = set()
+    for d, t in rows.items():
+        ids = np.array([*model.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        for k in range(0, len(ids), capacity):
+            x = ids[k : k + capacity]
+            expected.add((d, k // capacity, k, len(x), zlib.crc32(x.tobytes())))
+    assert {tuple(r)[:5] for r in got} == expected and len(got) == len(expected)
+    held = collections.defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.length))
+    for places in held.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert len(held) <= 1.1 * sum(r.length for r in got) / capacity + 1
+
+
+def test_packing_plans_are_fullest():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        counts = {int(x): int(rng.integers(1, 4)) for x in rng.integers(1, 40, 6)}
+        room = int(rng.integers(1, 80))
+        sums = {0}
+        for x, n in counts.items():
+            sums |= {s + x * k for s in sums for k in range(1, n + 1)}
+        used = packing.fullest(counts, room)
+        assert sum(x * n for x, n in used.items()) == max(s for s in sums if s <= room)
+        assert all(n <= counts[x] for x, n in used.items())
+        done = collections.Counter()
+        for combination, times in packing.plan(counts, 64):
+            assert sum(x * n for x, n in combination.items()) <= 64
+            for x, n in combination.items():
+                done[x] += n * times
+        assert dict(done) == counts
+
+
+def test_pack_gives_repeated_rows_places(spark):
+    d = spark.createDataFrame([(1, 0, 5), (1, 0, 5), (None, 0, 10), (2, 1, 3)], "doc_id long, piece int, length long")
+    got = packing.pack(d, 10).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == 4
+    with pytest.raises(ValueError):
+        packing.pack(spark.createDataFrame([(1, 0, 11)], "doc_id long, piece int, length long"), 10)
+
+
+def test_language_id(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = spark.createDataFrame([(-1, None, "en", None, None), (-2, "12 %% 3", "de", None, None), (-3, "the thing and the other", None, None, None)], d.schema)
+    got = {r.doc_id: r for r in langid.identify(d.unionByName(odd)).collect()}
+    assert (got[-1].lang_pred, got[-1].score) == (got[-2].lang_pred, got[-2].score) == ("und", 0.0) and got[-3].lang_pred == "en"
+    held = [(got[r.doc_id], r.lang) for r in d.select("doc_id", "lang").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert all(g.held_out and 0 <= g.score <= 1 for g, _ in held)
+    assert np.mean([g.lang_pred == lang for g, lang in held]) > 0.98
+
+
+def test_language_id_without_labels(spark, docs, empty):
+    d = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {(r.lang_pred, r.score) for r in langid.identify(d).collect()} == {("und", 0.0)}
+
+
+def test_warc_derivatives(spark):
+    page = '<html lang="fr"><head><title> A &amp; B </title><style>x{}</style></head><body><p>Un<br>deux <b>trois</b></p><script>no()</script><a href="/x?a=1&amp;b">lien</a></body></html>'
+    pages = spark.createDataFrame([(1, "http://e.org/1", page), (2, None, None), (1, "http://e.org/1", page)], "page_id long, url string, html string")
+    got = warc.derive(warc.pages_to_responses(pages)).collect()
+    for r in got:
+        source = dict(r.headers)
+        for kind in ("metadata", "conversion"):
+            h, block = dict(r[kind].headers), bytes(r[kind].block)
+            assert h["WARC-Type"] == kind and h["WARC-Refers-To"] == source["WARC-Record-ID"] and h["WARC-Target-URI"] == source["WARC-Target-URI"]
+            assert h["WARC-Refers-To-Date"] == source["WARC-Date"] and h["WARC-Block-Digest"] == warc.digest(block)
+            ((back, body),) = warc.parse(bytes(r[kind].record))
+            assert body == block and back["Content-Length"] == str(len(block)) and back["WARC-Record-ID"] == h["WARC-Record-ID"]
+    first = next(r for r in got if r.page_id == 1)
+    assert bytes(first.conversion.block).decode() == "Un\ndeux trois\nlien"
+    said = bytes(first.metadata.block).decode()
+    assert "title: A & B\r\n" in said and "lang: fr\r\n" in said and "outlink: /x?a=1&b\r\n" in said and "source-content-type: text/html; charset=utf-8\r\n" in said
+    assert dict(first.headers)["WARC-Payload-Digest"] in said
+    assert len({r.conversion_id for r in warc.page_derivatives(pages).collect()}) == 2
+
+
+def test_warc_files_are_read_record_by_record(spark):
+    import gzip
+
+    made = [warc.response(f"http://e/{i}", "<p>é</p>" * i) for i in range(3)]
+    plain, packed = b"".join(warc.serialize(*m) for m in made), b"".join(gzip.compress(warc.serialize(*m)) for m in made)
+    files = spark.createDataFrame([("a", bytearray(plain)), ("b", bytearray(packed)), ("c", None)], "path string, content binary")
+    got = warc.read_warc(files).collect()
+    assert len(got) == 6 and all(bytes(r.block) in {b for _, b in made} for r in got)
+
+
+def test_cotraining(spark, empty):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    odd = spark.createDataFrame([(-1, None, None, None, None)], d.schema)
+    got = {r.doc_id: r for r in cotraining.quality_scores(d.unionByName(odd), labels.where("doc_id % 3 <> 0"), count=50).collect()}
+    assert len(got) == d.count() + 1 and all(0 <= r.score <= 1 and r.kept == (r.score >= 0.5) for r in got.values())
+    held = labels.where("doc_id % 3 = 0").collect()
+    assert np.mean([(got[r.doc_id].score >= 0.5) == (r.quality == 1) for r in held]) > 0.95
+    assert {r.score for r in cotraining.quality_scores(d, labels.limit(0)).collect()} == {1.0}
+
+
+def test_empty_tables(spark, empty):
+    pieces = spark.createDataFrame([], "doc_id long, piece int, length long")
+    for out in (
+        exact_dedup.exact_dedup(empty), quality_rules.quality(empty), simhash.near_duplicates(empty), substring_dedup.remove_repeats(empty), token_files.token_table(empty),
+        bpe.encode_decode(empty), packing.packed_documents(empty), packing.pack(pieces), langid.identify(empty), cotraining.quality_scores(empty, empty.selectExpr("doc_id", "1 as quality")),
+        warc.page_derivatives(spark.createDataFrame([], "page_id long, url string, html string")),
+    ):
+        assert out.count() == 0

@@ -142,10 +142,10 @@ def quality(
     features = stage(histograms(with_base(d)), "quality-features")
     ref = stage(references(features), "quality-references")
     judged = features.join(ref, features.lang == ref.ref_lang, "left").withColumns({
-        "char_distance": jensen_shannon(F.col("chars"), F.col("ref_chars")),
-        "word_distance": jensen_shannon(F.col("common"), F.col("ref_common")),
+        "char_distance": F.when(F.col("ref_docs").isNotNull(), jensen_shannon(F.col("chars"), F.col("ref_chars"))),
+        "word_distance": F.when(F.col("ref_docs").isNotNull(), jensen_shannon(F.col("common"), F.col("ref_common"))),
     })
-    allowed = noise / F.sqrt(F.col("n_words"))
+    allowed = noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     strays = (F.col("char_distance") > char_limit + allowed / 2) | (F.col("word_distance") > word_limit + allowed)
     return judged.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
