@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import stage, tune
+from vellum.llm.common import in_workers, stage, tune
 
 #: Labelled rows read at most (by hash order); the part kept for calibration; rounds;
 #: pseudo-labels a view gives a round at most; what counts as confident.
@@ -91,7 +91,7 @@ def features(docs: DataFrame) -> DataFrame:
             out = [np.array([text_view(t) for t in cols[1]], np.float32), np.array([meta_view(*m) for m in zip(*cols[2:], strict=True)], np.float32)]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(x), pa.list_(pa.float32())) for x in out)], ["doc_id", "text_x", "meta_x"])
 
-    return docs.select("doc_id", "text", "source", "lang", "n_chars").mapInArrow(run, "doc_id long, text_x array<float>, meta_x array<float>")
+    return in_workers(docs.select("doc_id", "text", "source", "lang", "n_chars"), run, "doc_id long, text_x array<float>, meta_x array<float>")
 
 
 def arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,7 +109,7 @@ def scored(rows: DataFrame, score, names: list[str]) -> DataFrame:
                 x = [b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(float) for i in (1, 2)]
                 yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(v) for v in score(*x))], [*b.schema.names, *names])
 
-    return rows.mapInArrow(run, "doc_id long, text_x array<float>, meta_x array<float>, " + ", ".join(f"{n} double" for n in names))
+    return in_workers(rows, run, "doc_id long, text_x array<float>, meta_x array<float>, " + ", ".join(f"{n} double" for n in names))
 
 
 def exchange(unlabelled: DataFrame, text: Logistic, meta: Logistic, positive: float, count: int = EXCHANGE) -> list[list]:
@@ -119,8 +119,9 @@ def exchange(unlabelled: DataFrame, text: Logistic, meta: Logistic, positive: fl
     for view in ("text_p", "meta_p"):
         taken = []
         for y, p, k in ((1.0, F.col(view), max(1, round(count * positive))), (0.0, 1 - F.col(view), max(1, round(count * (1 - positive))))):
-            best = both.where(p >= CONFIDENT).orderBy(p.desc(), F.xxhash64("doc_id"), "doc_id").limit(k)
-            taken += best.select("text_x", "meta_x", F.lit(y).alias("y")).collect()
+            # Narrow rows compete; the views of those chosen, at most k ids, are fetched after.
+            best = stage(both.where(p >= CONFIDENT).select("doc_id", p.alias("p")).orderBy(F.desc("p"), F.xxhash64("doc_id"), "doc_id").limit(k).select("doc_id"), "quality-best")
+            taken += unlabelled.join(F.broadcast(best), "doc_id", "left_semi").orderBy("doc_id").select("text_x", "meta_x", F.lit(y).alias("y")).collect()
         out.append(taken)
     return out
 
@@ -140,8 +141,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST
     rows = stage(features(d), "quality-views")
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("double").alias("y"))
     joined = stage(rows.join(known, "doc_id", "left"), "quality-labelled")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = joined.where("y is not null").orderBy(*order).limit(most_labelled).select("text_x", "meta_x", "y", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(1000)).alias("part"))
+    labelled = joined.where("y is not null")
+    # A sample by hash, of a size that is bounded whatever the number of labels.
+    share = most_labelled / max(labelled.count(), 1)
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("doc_id").select("text_x", "meta_x", "y", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(1000)).alias("part"))
     learn, hold = [], []
     for r in chosen.collect():
         (hold if r.part < 1000 * CALIBRATE else learn).append(r)
