@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import components, local_roots, stage, text_bytes, tune
+from vellum.llm.common import components, in_workers, local_roots, mix, stage, text_bytes, tune
 
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the Golay code.
 GENERATOR = 0b101011100011
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
             fp = np.fromiter((fingerprint(t, words, seed) for t in text_bytes(b.column(1))), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return in_workers(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
 @cache
@@ -124,44 +124,58 @@ def keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(whose), np.concatenate(key)
 
 
-def bucket_links(f: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A forest over unsigned fingerprints ``f`` of one bucket that joins what links within ``radius`` join."""
-    u, v = [], []
+def bucket_links(f: np.ndarray, radius: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links within ``radius`` among the fingerprints ``f`` of one bucket, as places (earlier, later).
+
+    As a ``forest`` they join what all links join. Otherwise each member gets its
+    links to the first and to the nearest of those before it.
+    """
+    u, v, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     for i in range(0, len(f), 512):
-        near = np.bitwise_count(f[i : i + 512, None] ^ f[None, :]) <= radius
-        x, y = np.nonzero(near)
-        keep = x + i < y
-        x, y = x[keep] + i, y[keep]
+        apart = np.bitwise_count(f[i : i + 512, None] ^ f[None, : i + 512])
+        apart[np.arange(len(apart))[:, None] + i <= np.arange(apart.shape[1])] = 255
+        if forest:
+            y, x = np.nonzero(apart <= radius)
+        else:
+            y = np.flatnonzero((apart <= radius).any(1))
+            x = np.r_[(apart[y] <= radius).argmax(1), apart[y].argmin(1)]
+            y = np.r_[y, y]
         u.append(x)
-        v.append(y)
-        if sum(map(len, u)) > 1 << 20:  # pairs never pile up: a forest says the same
-            u, v = ([z] for z in forest(len(f), np.concatenate(u), np.concatenate(v)))
-    return forest(len(f), np.concatenate(u), np.concatenate(v))
+        v.append(y + i)
+        held += len(x)
+        if forest and held > 1 << 20:  # pairs never pile up: a forest says the same
+            u, v = ([z] for z in as_forest(len(f), np.concatenate(u), np.concatenate(v)))
+            held = len(u[0])
+    return np.concatenate(u), np.concatenate(v)
 
 
-def forest(n: int, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def as_forest(n: int, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     nodes = np.arange(n)
     root = local_roots(nodes, u, v)
     on = root != nodes
-    return nodes[on], root[on]
+    return root[on], nodes[on]
+
+
+LINKS = "over boolean, a long, b long, fp long"
 
 
-def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, spill: bool = True) -> Iterator[pa.RecordBatch]:
-    """Over rows (key, fp) sorted by key: rows (over, a, b), links (a, b) of fingerprints of a bucket.
+def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, forest: bool = True, spill: bool = True) -> Iterator[pa.RecordBatch]:
+    """Over rows (key, node, fp) sorted by key: rows (over, a, b, fp), links of nodes (a, b) of a bucket.
 
-    A bucket of more than ``most`` members is passed on as rows (True, key, fp),
-    if ``spill``; so no more than ``most`` members and a batch are ever held.
+    A bucket of more than ``most`` members is passed on as rows (True, key, node,
+    fp), if ``spill``; so no more than ``most`` members and a batch are ever held.
+    Buckets of up to 64 give all their links, or, as a ``forest``, what joins the
+    same; larger ones see ``bucket_links``.
     """
 
-    def out(over: bool, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), over)), pa.array(a), pa.array(b)], ["over", "a", "b"])
+    def out(over: bool, a: np.ndarray, b: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), over)), pa.array(a), pa.array(b), pa.array(fp)], ["over", "a", "b", "fp"])
 
-    def solve(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def solve(key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[starts, len(key)])
         f = fp.view(np.uint64)
-        small = np.repeat((sizes > 1) & (sizes <= 64), sizes)
-        i = np.flatnonzero(small)
+        i = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= 64), sizes))
         u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lag in range(1, 64):
             i = i[i + lag < len(key)]
@@ -172,74 +186,91 @@ def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, spill: bool
             u.append(near)
             v.append(near + lag)
         for s, n in zip(starts[sizes > 64], sizes[sizes > 64], strict=True):
-            x, y = bucket_links(f[s : s + n], radius)
+            x, y = bucket_links(f[s : s + n], radius, forest)
             u.append(x + s)
             v.append(y + s)
-        u, v = fp[np.concatenate(u)], fp[np.concatenate(v)]
-        if len(u):  # a forest of what this run of buckets joins, not its pairs
-            nodes = np.unique(np.r_[u, v])
-            root = local_roots(nodes, u, v)
-            on = root != nodes
-            yield out(False, nodes[on], root[on])
-
-    held_key, held_fp, over = np.zeros(0, np.int64), np.zeros(0, np.int64), None
-    for b in batches:
-        key, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        a, b = node[np.concatenate(u)], node[np.concatenate(v)]
+        a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+        if not len(a):
+            return
+        if forest:
+            nodes = np.unique(np.r_[a, b])
+            root = local_roots(nodes, a, b)
+            a, b = root[root != nodes], nodes[root != nodes]
+        else:
+            a, b = np.unique(np.stack([a, b]), axis=1)
+        yield out(False, a, b, np.zeros(len(a), np.int64))
+
+    held, over = [np.zeros(0, np.int64)] * 3, None
+    for batch in batches:
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         if over is not None:
-            n = np.searchsorted(key, over, side="right")
+            n = np.searchsorted(new[0], over, side="right")
             if n:
-                yield out(True, key[:n], fp[:n])
-            key, fp = key[n:], fp[n:]
-            if not len(key):
+                yield out(True, *(x[:n] for x in new))
+            new = [x[n:] for x in new]
+            if not len(new[0]):
                 continue
             over = None
-        key, fp = np.r_[held_key, key], np.r_[held_fp, fp]
+        rows = [np.r_[x, y] for x, y in zip(held, new, strict=True)]
+        key = rows[0]
         if not len(key):
             continue
         last = np.searchsorted(key, key[-1])  # the last bucket may go on
         starts = np.flatnonzero(np.r_[True, key[1:last] != key[: max(0, last - 1)]]) if last else np.zeros(0, np.int64)
         sizes = np.diff(np.r_[starts, last])
         large = np.repeat(sizes > most, sizes) & spill
+        done = [x[:last] for x in rows]
         if large.any():
-            yield out(True, key[:last][large], fp[:last][large])
-        yield from solve(key[:last][~large], fp[:last][~large])
-        held_key, held_fp = key[last:], fp[last:]
-        if spill and len(held_key) > most:
-            yield out(True, held_key, held_fp)
-            over = held_key[0]
-            held_key, held_fp = held_key[:0], held_fp[:0]
-    if len(held_key):
-        yield from solve(held_key, held_fp)
+            yield out(True, *(x[large] for x in done))
+        yield from solve(*(x[~large] for x in done))
+        held = [x[last:] for x in rows]
+        if spill and len(held[0]) > most:
+            yield out(True, *held)
+            over, held = held[0][0], [x[:0] for x in held]
+    if len(held[0]):
+        yield from solve(*held)
 
 
-def similar_fingerprints(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Components of distinct fingerprints (fp) under links of ``radius`` (at most 4): rows (node, root)."""
+def linked(nodes: DataFrame, fps: list[str], radius: int = RADIUS, block: int = BLOCK, forest: bool = True) -> DataFrame:
+    """Links (a, b) of ``nodes`` (node, and a fingerprint a column of ``fps``) that differ by ``radius`` (4 at most) in any of them.
+
+    Each column has keys of its own. A forest joins what all links join.
+    """
     if not 0 <= radius <= RADIUS:
         raise ValueError(f"the keys find links of {RADIUS} bits at most")
-    spark = distinct.sparkSession
+    spark = nodes.sparkSession
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False)
-            whose, key = keys(fp.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[whose])], ["key", "fp"])
-
-    n = distinct.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_KEYS * n // 4_000_000)
-    keyed = distinct.select("fp").mapInArrow(spread, "key long, fp long").repartition(parts, "key").sortWithinPartitions("key")
-    met = stage(keyed.mapInArrow(lambda it: link(it, radius, block), "over boolean, a long, b long"), "simhash-links")
-    edges = met.where("not over").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("fp"))
+            node = b.column(0).to_numpy(zero_copy_only=False)
+            for k in range(len(fps)):
+                fp = b.column(k + 1).to_numpy(zero_copy_only=False)
+                whose, key = keys(fp.view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(key | k << 44), pa.array(node[whose]), pa.array(fp[whose])], ["key", "node", "fp"])
+
+    wide = MOST_KEYS * len(fps) * nodes.count() // 4_000_000
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wide)
+    gathered = lambda d: d.repartition(parts, "key").sortWithinPartitions("key")
+    keyed = gathered(in_workers(nodes.select("node", *fps), spread, "key long, node long, fp long"))
+    met = stage(in_workers(keyed, lambda it: link(it, radius, block, forest), LINKS), "simhash-links")
+    edges = met.where("not over").select("a", "b")
+    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "fp")
     if not over.isEmpty():
         # Each pair of a bucket's blocks is a bucket of its own: all pairs are compared, by many tasks.
         sizes = stage(over.groupBy("key").agg(F.ceil(F.count("*") / (block // 2)).cast("int").alias("blocks")), "simhash-sizes")
-        dealt = over.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        dealt = over.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key")
-        again = dealt.select(pair, "fp").repartition(parts, "key").sortWithinPartitions("key")
-        again = again.mapInArrow(lambda it: link(it, radius, block, spill=False), "over boolean, a long, b long")
-        edges = edges.union(again.select(F.col("a"), F.col("b")))
-    return components(edges, "simhash-components")
+        again = gathered(dealt.select(pair, "node", "fp"))
+        edges = edges.union(in_workers(again, lambda it: link(it, radius, block, forest, spill=False), LINKS).select("a", "b"))
+    return edges
+
+
+def similar_fingerprints(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Components of distinct fingerprints (fp) under links of ``radius`` (at most 4): rows (node, root)."""
+    edges = linked(distinct.select(F.col("fp").alias("node"), "fp"), ["fp"], radius, block)
+    return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), "simhash-components")
 
 
 def near_duplicates(
@@ -265,3 +296,65 @@ def near_duplicates(
         classes.join(joined, "fp", "left").select(F.col("fp").alias("class_fp"), F.coalesce("component_id", "low").alias("component_id")), "simhash-ids"
     )
     return rows.join(ids, F.col("fp") == F.col("class_fp")).select("doc_id", "fp", "component_id")
+
+
+def word_views(text: bytes | None, views: int) -> list[int]:
+    """``views`` independent SimHashes of the set of lower-cased words of a text; 0 where there are none."""
+    w = {*(text or b"").translate(LOWER).split()}
+    if not w:
+        return [0] * views
+    h = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
+    out = []
+    for k in range(views):
+        bits = np.unpackbits(mix(h + np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(int(np.packbits(2 * bits > len(h), bitorder="little").view(np.int64)[0]))
+    return out
+
+
+def shingle_set(text: str | None, words: int) -> set[bytes]:
+    w = (text or "").encode().translate(LOWER).split()
+    return {b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+
+def similarity(a: str | None, b: str | None, words: int = 5) -> float:
+    """Jaccard similarity of the sets of ``words``-word shingles; two texts without words are alike."""
+    x, y = shingle_set(a, words), shingle_set(b, words)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views: int = 6, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, component_id) of documents that near duplicates join, component_id the least id of each group.
+
+    Near duplicates share ``least`` of their ``words``-word shingles (Jaccard).
+    Few changed words change many shingles but few words, so candidates come from
+    SimHashes of the words: links of ``radius`` bits in any of several views, each
+    found through Golay keys. Every candidate pair is verified on whole texts, so
+    what is returned meets the limit; views are independent, so a pair is missed
+    only where all of them differ in more bits. Rows that share an id stand
+    together; rows with a null id are left out; other columns are not read.
+    """
+    tune(docs.sparkSession)
+    fps = [f"f{k}" for k in range(views)]
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([word_views(t, views) for t in text_bytes(b.column(1))], np.int64).reshape(b.num_rows, views)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[:, k]) for k in range(views))], ["doc_id", *fps])
+
+    rows = stage(in_workers(d, run, "doc_id long, " + ", ".join(f"{f} long" for f in fps)), "similar-views")
+    # Documents alike in all views are one node; each is also a candidate of the node's least id.
+    nodes = stage(rows.groupBy(*fps).agg(F.min("doc_id").alias("node")), "similar-nodes")
+    same = rows.join(nodes, fps).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    pairs = stage(linked(nodes, fps, radius, forest=False).union(same).distinct(), "similar-pairs")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = stage(d.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "similar-texts")
+    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [similarity(x, y, words) >= least for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    found = components(in_workers(both.select("a", "b", "x", "y"), verify, "u long, v long"), "similar-components")
+    return found.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
