@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def common(a: str, b: str) -> int:
@@ -99,7 +100,7 @@ def title_score(a: str, b: str) -> float:
 
 
 def _scorer(score):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def apply(a: pd.Series, b: pd.Series) -> pd.Series:
         known = lru_cache(maxsize=1 << 16)(score)
         return pd.Series([None if x is None or y is None else known(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

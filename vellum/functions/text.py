@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vellum.functions.profile import Profile
 
@@ -71,7 +72,7 @@ def norm(s: Column, profile: Profile | None = None) -> Column:
     drop = "|".join((*(profile or Profile()).words, *STOP_WORDS))
     quote, other, names, gaps = "'", re.compile(r"[^a-z0-9]+"), re.compile(rf"\b({drop})\b"), re.compile(r"\s+")
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def apply(v: pd.Series) -> pd.Series:
         def one(t: str | None) -> str:
             t = unicodedata.normalize("NFKD", t or "").lower().replace(quote, "")
@@ -186,7 +187,7 @@ class _Text(HTMLParser):
             self.parts.append(data.strip())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_html(s: pd.Series) -> pd.Series:
     """The text of mark-up, parts joined by one space; empty for null."""
 
@@ -201,7 +202,7 @@ def strip_html(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def clean_text(s: pd.Series) -> pd.Series:
     """Text of a search result: entities decoded, tags and private-use marks dropped, white space squeezed."""
     return s.map(lambda t: " ".join(re.sub("[-]", "", re.sub(r"<[^>]+>", " ", html_module.unescape(t or ""))).split()))

@@ -162,7 +162,7 @@ def image_size(content: bytes | None) -> tuple[int, int] | None:
     return None
 
 
-@F.pandas_udf("width int, height int")
+@F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
 def image_size_udf(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([image_size(c) or (None, None) for c in content], columns=["width", "height"]).astype("Int32")
 
@@ -187,7 +187,7 @@ def first_image_url(value: object) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nested_image(text: pd.Series) -> pd.Series:
     def one(t: str | None) -> str | None:
         try:
