@@ -750,3 +750,254 @@ SELECT coalesce(o._ord, n._ord) AS id, coalesce(nullif(o.title, ''), nullif(n.ti
 def _(t):
     r = events_as_records(t).withColumnRenamed("_ord", "id").select("id", "title", "medium")
     return records.upsert(r.where("id % 2 = 0"), r.where("id % 2 = 1").withColumn("id", F.col("id") - 1), "id", "fill")
+
+
+# More of each family
+
+
+@query("s3_local_keys", r"SELECT l_orderkey, l_linenumber, l_partkey, regexp_replace(regexp_replace('./data/' || l_partkey || '/a.jpg', '^[./]+', ''), '^data/', '') AS key FROM lineitem")
+def _(t):
+    path = F.concat(F.lit("./data/"), F.col("l_partkey").cast("string"), F.lit("/a.jpg"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", readers.local_key(path).alias("key"))
+
+
+@query("s13_coalesced_fields", """SELECT event_id, coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END, ''), nullif(CASE WHEN event_id % 2 = 0 THEN 'even' END, ''), props) AS title FROM events""")
+def _(t):
+    d = t("events").withColumns({"a": F.when(F.col("event_id") % 3 == 0, "").otherwise(F.col("event_type")), "b": F.when(F.col("event_id") % 2 == 0, "even")})
+    return readers.coalesced(d, title=["a", "b", "missing", "props"]).select("event_id", "title")
+
+
+@query("s26_labelled_fields", """SELECT c_custkey, c_mktsegment AS segment, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name FROM customer""")
+def _(t):
+    label = F.concat(F.lit("Segment\n\n "), F.col("c_mktsegment"), F.lit("\nOther\nx\n"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Name\n"), F.col("c_name"))).otherwise(""))
+    return t("customer").select("c_custkey", X.labelled_field(label, "Segment").alias("segment"), X.labelled_field(label, "Name").alias("name"))
+
+
+@query("s28_open_licences", """SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true ELSE false END AS open FROM supplier""")
+def _(t):
+    names = F.array(*map(F.lit, ("CC BY 4.0", "CC BY-NC 4.0", "Public Domain", "All rights reserved")))
+    return t("supplier").select("s_suppkey", rules.openly_licensed(F.get(names, (F.col("s_suppkey") % 4).cast("int"))).alias("open"))
+
+
+@query("s31_file_links", """SELECT page_id, pos::INT AS pos, href FROM (SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) - 1 AS pos FROM (
+  SELECT page_id, list_transform(list_filter(list_zip(m, range(1, len(m) + 1)), lambda z: list_position(m, z[1]) = z[2]), lambda z: z[1]) AS l FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS m FROM pages)))""")
+def _(t):
+    return readers.html_values(t("pages").select("page_id", "html"), "href", r'<a href="([^"]+)"').select("page_id", "pos", "href")
+
+
+@query("s32_entity_labels", "SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN 'en-' || n_name WHEN n_nationkey % 3 = 1 THEN 'fr-' || n_name ELSE 'pl-' || n_name END AS label FROM nation")
+def _(t):
+    k, v = F.col("n_nationkey") % 3, lambda p: F.concat(F.lit(p), F.col("n_name"))
+    labels = F.when(k == 0, F.create_map(F.lit("fr"), v("fr-"), F.lit("en"), v("en-"))).when(k == 1, F.create_map(F.lit("de"), v("de-"), F.lit("fr"), v("fr-"))).otherwise(F.create_map(F.lit("pl"), v("pl-")))
+    return t("nation").select("n_nationkey", readers.labelled_entity(labels).alias("label"))
+
+
+@query("p5_image_types", "SELECT p_partkey, p_partkey % 3 <> 2 AS ok FROM part")
+def _(t):
+    mime = F.get(F.array(F.lit("image/PNG"), F.lit("image/jpeg"), F.lit("text/html")), (F.col("p_partkey") % 3).cast("int"))
+    return t("part").select("p_partkey", rules.is_image_type(mime).alias("ok"))
+
+
+@query("p6_size_floors", "SELECT p_partkey FROM part WHERE p_retailprice * 10 >= 9500 AND p_size >= 20 AND p_partkey % 100 >= 20")
+def _(t):
+    ok = rules.large_enough(F.col("p_retailprice") * 10, F.col("p_size"), F.col("p_partkey") % 100, 9500, 20)
+    return t("part").where(ok).select("p_partkey")
+
+
+@query("p13_reject_reasons", """SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'merchandise' WHEN p_partkey % 4 = 1 THEN 'furniture' END AS reason FROM part""")
+def _(t):
+    k = F.col("p_partkey") % 4
+    text, url = F.when(k == 0, F.concat("p_name", F.lit(" T-shirt"))).otherwise(F.col("p_name")), F.when(k == 1, "http://x/Logo.png").otherwise("http://x/a.png")
+    return t("part").select("p_partkey", rules.reject_reason(text, url).alias("reason"))
+
+
+@query("p15_museum_objects", """SELECT p_partkey, p_partkey % 5 <> 0 AS keep, CASE WHEN p_size < 10 THEN 'low' ELSE 'high' END AS confidence, CASE WHEN p_size < 10 THEN 'unusual medium: old photograph' END AS note FROM part""")
+def _(t):
+    role = F.when(F.col("p_partkey") % 5 == 0, "Photographer").otherwise("Artist")
+    medium = F.when(F.col("p_size") < 10, "old photograph").otherwise("oil")
+    return t("part").select("p_partkey", rules.museum_object(role, medium).alias("m")).select("p_partkey", "m.*")
+
+
+@query("p26_refresh", "SELECT event_id FROM events WHERE event_id % 4 < 2 OR event_id % 5 = 0")
+def _(t):
+    d = F.when(F.col("event_id") % 5 == 0, "").otherwise("text")
+    return t("events").where(rules.needs_refresh(F.col("event_id") % 4, d)).select("event_id")
+
+
+@query("p20_modes", f"WITH {IMAGES} SELECT count(*) AS n FROM (SELECT DISTINCT coalesce(work_id, 'sha:' || sha) FROM images)")
+def _(t):
+    return browse.in_mode(catalogue.with_primary(events_as_images(t)), "works").agg(F.count("*").alias("n"))
+
+
+@query("p21_facet", "SELECT p_partkey FROM part WHERE p_partkey IN (SELECT vec_id FROM embeddings WHERE label = 3)")
+def _(t):
+    return browse.facet(t("part").select(F.col("p_partkey").alias("id")), t("embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("cluster")), 3).select(F.col("id").alias("p_partkey"))
+
+
+@query("j15_semi_and_anti", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def _(t):
+    o = lambda s: t("orders").where(F.col("o_orderstatus") == s).select(F.col("o_custkey").alias("c_custkey"))
+    return t("customer").join(o("F"), "c_custkey", "left_semi").join(o("P"), "c_custkey", "left_anti").select("c_custkey")
+
+
+@query("j16_enriched_rows", """SELECT c_custkey AS key, coalesce(s_name, c_name) AS name, c_mktsegment AS segment FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
+def _(t):
+    base = t("customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    more = t("supplier").join(t("customer").select(F.col("c_custkey").alias("s_suppkey")), "s_suppkey", "left_semi").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.lit(None).cast("string").alias("segment"))
+    return records.upsert(base, more, "key", "prefer_new")
+
+
+@query("j17_prototype_cosines", """SELECT a.vec_id, b.vec_id AS proto, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine FROM embeddings a, embeddings b WHERE b.vec_id < 3""")
+def _(t):
+    e = t("embeddings").select("vec_id", vision.unit(F.col("embedding")).alias("u"))
+    few = e.where("vec_id < 3").select(F.col("vec_id").alias("proto"), F.col("u").alias("w"))
+    return e.join(F.broadcast(few), F.lit(True)).select("vec_id", "proto", F.round(vision.dot(F.col("u"), F.col("w")), 5).alias("cosine"))  # three rows
+
+
+@query("j21_work_detail", f"""WITH {IMAGES} SELECT item_id FROM images WHERE work_id = 'w7'""")
+def _(t):
+    works = t("part").select(F.format_string("w%d", "p_partkey").alias("id"), F.col("p_name").alias("title"), F.array("p_brand").alias("sources"))
+    return browse.detail(works, events_as_images(t), "w7").select("item_id")
+
+
+@query("a13_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def _(t):
+    return t("events").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("a22_ordered_distinct", "SELECT p_name, min(p_partkey) AS first FROM part GROUP BY p_name")
+def _(t):
+    return t("part").groupBy("p_name").agg(F.min("p_partkey").alias("first"))
+
+
+@query("a23_years_among_near_ties", """SELECT o_custkey, count(DISTINCT year(o_orderdate)) AS years FROM (SELECT *, max(o_totalprice) OVER (PARTITION BY o_custkey) AS top FROM orders) WHERE o_totalprice >= top - 100000 GROUP BY o_custkey""")
+def _(t):
+    top = t("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("top"))
+    near = t("orders").join(top, F.col("o_custkey") == F.col("k")).where(F.col("o_totalprice") >= F.col("top") - 100000)
+    return near.groupBy("o_custkey").agg(F.countDistinct(F.year("o_orderdate")).alias("years"))
+
+
+@query("a24_provenance_lists", "SELECT l_partkey, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS via FROM lineitem GROUP BY l_partkey")
+def _(t):
+    return t("lineitem").groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("via"))
+
+
+@query("a27_bounding_box", "SELECT p_brand, min(p_size) AS lo, max(p_size) AS hi, count(*) AS n FROM part GROUP BY p_brand")
+def _(t):
+    return t("part").groupBy("p_brand").agg(F.min("p_size").alias("lo"), F.max("p_size").alias("hi"), F.count("*").alias("n"))
+
+
+@query("w4_numbered_names", "SELECT n_nationkey, r || CASE WHEN k > 1 THEN ' ' || k ELSE '' END AS name FROM (SELECT n_nationkey, r_name AS r, row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) AS k FROM nation JOIN region ON n_regionkey = r_regionkey)")
+def _(t):
+    d = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("name"))
+    return records.suffixed(d, "name", ["n_nationkey"], " ", "unique").select("n_nationkey", F.col("unique").alias("name"))
+
+
+@query("w7_running_offsets", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, coalesce(sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_suppkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x FROM lineitem")
+def _(t):
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_suppkey", "l_extendedprice").rowsBetween(Window.unboundedPreceding, -1)
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.coalesce(F.sum("l_quantity").over(w), F.lit(0.0)).alias("x"))
+
+
+@query("o1_null_defaults", "SELECT p_partkey, row_number() OVER (ORDER BY coalesce(nullif(p_size % 4, 0), 9999), coalesce(CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name END, '~'), p_partkey) AS place FROM part")
+def _(t):
+    title = F.when(F.col("p_partkey") % 3 == 0, F.lit(None)).otherwise(F.col("p_name"))
+    d = records.numbered(t("part"), [F.coalesce(F.nullif(F.col("p_size") % 4, F.lit(0)), F.lit(9999)), F.coalesce(title, F.lit("~")), F.col("p_partkey")], "", name="place")
+    return d.select("p_partkey", F.col("place").cast("long").alias("place"))
+
+
+@query("u5_first_under_key", "SELECT lower(p_brand) AS k, arg_min(p_partkey, p_partkey) AS first FROM part GROUP BY lower(p_brand)")
+def _(t):
+    return t("part").groupBy(F.lower("p_brand").alias("k")).agg(F.min_by("p_partkey", "p_partkey").alias("first"))
+
+
+@query("u6_cache_merge", "SELECT user_id, 'new' AS side FROM (SELECT DISTINCT user_id FROM events WHERE event_id % 3 = 0) UNION ALL SELECT user_id, 'old' FROM (SELECT DISTINCT user_id FROM events WHERE event_id % 5 = 0 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 3 = 0))")
+def _(t):
+    side = lambda n, name: t("events").where(F.col("event_id") % n == 0).select("user_id").distinct().withColumn("side", F.lit(name))
+    return records.upsert(side(5, "old"), side(3, "new"), "user_id")
+
+
+@query("f11_hex_colours", f"""WITH rgb AS ({_RGB}) SELECT vec_id, '#' || lpad(lower(to_hex(round_even(r * 255, 0)::INT)), 2, '0') || lpad(lower(to_hex(round_even(g * 255, 0)::INT)), 2, '0') || lpad(lower(to_hex(round_even(b * 255, 0)::INT)), 2, '0') AS color FROM rgb""")
+def _(t):
+    return colours(t).select("vec_id", vision.hex_colour(F.col("r"), F.col("g"), F.col("bl")).alias("color"))
+
+
+@query("f18_scripts", "SELECT doc_id, regexp_matches(text, '[\u0400-\u04ff]') AS cyrillic FROM documents")
+def _(t):
+    return t("documents").select("doc_id", X.has_cyrillic(F.col("text")).alias("cyrillic"))
+
+
+@query("f19_sold_for", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE floor(o_totalprice)::BIGINT END AS price FROM orders")
+def _(t):
+    amount = F.concat(F.lit("Sold for: $"), F.format_number(F.floor("o_totalprice"), 0), F.lit(" incl. premium"))
+    return t("orders").select("o_orderkey", X.sold_for(F.when(F.col("o_orderkey") % 3 == 0, "passed").otherwise(amount)).alias("price"))
+
+
+@query("f21_dimensions", "SELECT p_partkey, p_size || ' x ' || (p_size + 5) || ' cm' AS dimensions, CASE WHEN p_partkey % 2 = 0 THEN 'oil on canvas' END AS medium FROM part")
+def _(t):
+    size = F.concat_ws(" x ", F.col("p_size").cast("string"), (F.col("p_size") + 5).cast("string"))
+    text = F.concat(F.lit("Lot: "), F.when(F.col("p_partkey") % 2 == 0, "Oil on Canvas, ").otherwise(""), size, F.lit(" cm, signed"))
+    return t("part").select("p_partkey", X.dimensions_in(text).alias("dimensions"), X.medium_in(text).alias("medium"))
+
+
+@query("f22_larger_images", "SELECT p_partkey, 'http://u/a/' || p_partkey || '.jpg' AS url FROM part")
+def _(t):
+    n = F.col("p_partkey").cast("string")
+    return t("part").select("p_partkey", X.larger_image(F.concat(F.lit("http://u/thumb/a/"), n, F.lit(".jpg/300px-"), n, F.lit(".jpg"))).alias("url"))
+
+
+@query("d3_years_in_text", "SELECT k, y AS year, CASE WHEN y2 <> y THEN y2 END AS year_end FROM (SELECT p_partkey AS k, (1904 + p_partkey % 60)::INT AS y, (1904 + p_partkey % 60 + p_partkey % 3)::INT AS y2 FROM part)")
+def _(t):
+    y = 1904 + F.col("p_partkey") % 60
+    text = F.concat(F.lit("from "), y.cast("string"), F.lit(" until "), (y + F.col("p_partkey") % 3).cast("string"), F.lit(", not 1890"))
+    return t("part").select(F.col("p_partkey").alias("k"), Y.years_in(text).alias("y")).select("k", "y.*")
+
+
+@query("m3_palette_vectors", f"""WITH {_LAB} SELECT label, round(avg(L) / 100, 6) AS v0, round(avg(A) / 40, 6) AS v1, round(avg(B) / 40, 6) AS v2, round(avg(sqrt(A * A + B * B)) / 40, 6) AS v4 FROM lab GROUP BY label""")
+def _(t):
+    f = vision.pixel_features(F.col("L"), F.col("a"), F.col("b"), F.lit(0), F.lit(3))
+    return colours(t).groupBy("label").agg(*(F.round(f[k], 6).alias(k) for k in ("v0", "v1", "v2", "v4")))
+
+
+@query("m6_aspect_agreement", "SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey AND abs(a.p_size / 50.0 - b.p_size / 50.0) / greatest(a.p_size / 50.0, b.p_size / 50.0) <= 0.08 AND b.p_partkey < 1000")
+def _(t):
+    p = t("part").where("p_partkey < 1000").select("p_partkey", "p_brand", F.col("p_size").cast("double").alias("w"), F.lit(50.0).alias("h"))
+    a, b = p.alias("a"), p.alias("b")
+    close = vision.aspect_close(F.col("a.w"), F.col("a.h"), F.col("b.w"), F.col("b.h"))
+    return a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_partkey") < F.col("b.p_partkey")) & close).select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"))
+
+
+@query("m9_style_priors", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 4.0 ELSE 0.0 END::DOUBLE AS drawing, CASE WHEN p_partkey % 2 = 0 THEN 4.0 ELSE 0.0 END::DOUBLE AS abstract FROM part")
+def _(t):
+    title = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("Abstract "), F.col("p_name"))).otherwise(F.col("p_name"))
+    medium = F.when(F.col("p_partkey") % 3 == 0, "graphite on paper").otherwise("oil on canvas")
+    d = t("part").select("p_partkey", vision.style_priors(title, medium).alias("p"))
+    return d.select("p_partkey", F.get("p", F.lit(0)).alias("drawing"), F.get("p", F.lit(1)).alias("abstract"))
+
+
+@query("m16_region_anchors", """WITH c AS (SELECT vec_id, (label % 3)::INT AS k FROM embeddings), n AS (SELECT count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS b, count(*) FILTER (k = 2) AS s FROM c),
+p AS (SELECT vec_id, k, s / (a + b + s) AS scene, a / (a + b) AS line FROM c, n)
+SELECT vec_id, round(16 + (CASE k WHEN 2 THEN 0.5 WHEN 0 THEN line / 2 ELSE (line + 1) / 2 END) * 968, 5) AS cx, round(16 + (CASE k WHEN 2 THEN scene / 2 ELSE (scene + 1) / 2 END) * 468, 5) AS cy FROM p""")
+def _(t):
+    c = t("embeddings").select("vec_id", (F.col("label") % 3).cast("int").alias("k"))
+    counts = c.agg(F.array(*(F.count_if(F.col("k") == i) for i in range(3))).alias("n"))
+    at = layout.region_anchor(F.col("k"), F.lit(None).cast("double"), F.lit(0.5), F.col("n"), 1000, 500)
+    return c.join(F.broadcast(counts), F.lit(True)).select("vec_id", at.alias("p")).select("vec_id", F.round("p.cx", 5).alias("cx"), F.round("p.cy", 5).alias("cy"))  # one row
+
+
+@query("m18_tile_sizes", "SELECT p_partkey, round(sqrt(9801.0 / (p_size / 10.0)) * (p_size / 10.0), 5) AS w, round(sqrt(9801.0 / (p_size / 10.0)), 5) AS h FROM part")
+def _(t):
+    s = layout.tile_size(F.col("p_size") / 10.0)
+    return t("part").select("p_partkey", F.round(s["w"], 5).alias("w"), F.round(s["h"], 5).alias("h"))
+
+
+@query("m17_packed_bubbles")
+def _(t):
+    s = layout.tile_size(F.col("p_size") / 25.0, 60.0)
+    d = t("part").where("p_partkey < 100").select(F.lit("map").alias("group"), F.col("p_partkey").alias("id"), (F.col("p_partkey") * 37 % 400).cast("double").alias("cx"), (F.col("p_partkey") * 91 % 300).cast("double").alias("cy"), s.alias("s"))
+    return layout.bubbles(d.select("group", "id", "cx", "cy", "s.*"), rounds=20)
+
+
+@query("t2_seen_set", "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events)")
+def _(t):
+    return streaming.first_seen(t("events"), ["user_id", "event_type"]).agg(F.count("*").alias("n"))

@@ -163,3 +163,95 @@ def family_of(url: Column, families: list[tuple[str, str]], other: str = "other"
 
 def openly_licensed(license: Column) -> Column:
     return F.lower(license).rlike(r"(?iU)public domain|cc0|cc[ -]by(?!.*n[cd])|\bpd\b")
+
+
+# Further predicates and classifiers
+
+#: Words of pictures of people, of sites' furniture, of merchandise, of roles and media that are no works.
+PERSON_PHOTO = r"(?iU)\b(at (his|her|their) studio|hanging committee|o\.s\.a)\b"
+FURNITURE = r"(?i)sprite|icon|logo|avatar|pixel|placeholder|thumbnail_default"
+MERCHANDISE = r"(?iU)\b(poster|print on demand|mug|t-?shirt|calendar|puzzle|phone case|greeting card|wall art|canvas print)\b"
+NO_ARTIST = r"(?i)\b(sitter|subject|photographer|publisher|collector)\b"
+UNUSUAL_MEDIUM = r"(?i)\b(letter|archive|photograph|poster|book|lithograph after|reproduction)\b"
+IMAGE_TYPES = ("image/jpeg", "image/png", "image/webp", "image/tiff")
+
+
+def is_image_type(mime: Column, allowed: tuple[str, ...] = IMAGE_TYPES) -> Column:
+    return F.lower(mime).isin(*allowed)
+
+
+def large_enough(size: Column, width: Column, height: Column, least_bytes: int = 8000, least_side: int = 80) -> Column:
+    """Floors of bytes and of the shorter side; unknown sizes fail."""
+    return F.coalesce((size >= least_bytes) & (F.least(width, height) >= least_side), F.lit(False))
+
+
+def is_person_photo(text: Column, profile: Profile | None = None) -> Column:
+    """Whether a title or file name speaks of a photograph of the maker rather than of a work."""
+    p = profile or Profile()
+    return F.coalesce(text, F.lit("")).rlike(PERSON_PHOTO) | F.coalesce(text, F.lit("")).rlike(
+        rf"(?iU)\bportrait of {p.full}\b|\b({p.any_given}) ([a-z]\.? )?{p.family or '(?!)'} (in|at|with|portrait|photograph)\b"
+    )
+
+
+def file_level(title: Column, mime: Column, width: Column, categories: Column, profile: Profile | None = None) -> Column:
+    """(level, reason) of a media file: rejected, low, medium or high."""
+    p = profile or Profile()
+    t = F.coalesce(title, F.lit(""))
+    rules = [
+        Rule("reject:type", ~F.coalesce(is_image_type(mime), F.lit(False))),
+        Rule("reject:other person", t.rlike(f"(?iU){'|'.join(p.others) or '(?!)'}")),
+        Rule("reject:photograph", is_person_photo(t, p)),
+        Rule("reject:small", F.coalesce(width, F.lit(0)) < 80),
+        Rule("high:name and category", t.rlike(f"(?iU){p.full}") & F.coalesce(categories, F.lit("")).rlike(r"(?i)paintings")),
+        Rule("medium:category", F.coalesce(categories, F.lit("")).rlike(r"(?i)paintings")),
+        Rule("low:name only", t.rlike(f"(?iU){p.full}")),
+    ]
+    parts = F.split(first_rule(rules, F.lit("reject:no sign")), ":")
+    return F.struct(F.get(parts, F.lit(0)).alias("level"), F.get(parts, F.lit(1)).alias("reason"))
+
+
+def attributed_lot(text: Column, profile: Profile) -> Column:
+    """Whether an auction text is of the maker: named, of no one else; dates of the maker's life override a doubt."""
+    t = F.coalesce(text, F.lit(""))
+    life = t.rlike(rf"\b{profile.birth_year}\s*[-–]\s*{profile.last_year}\b")
+    other = t.rlike(f"(?iU){'|'.join(profile.others) or '(?!)'}")
+    return t.rlike(f"(?iU){profile.full}") & (life | ~other)
+
+
+def reject_reason(text: Column, url: Column, profile: Profile | None = None) -> Column:
+    """Why a web result is no image of a work, or null."""
+    p = profile or Profile()
+    t = F.coalesce(text, F.lit(""))
+    return first_rule([
+        Rule("other person", t.rlike(f"(?iU){'|'.join(p.others) or '(?!)'}")),
+        Rule("merchandise", t.rlike(MERCHANDISE)),
+        Rule("furniture", F.coalesce(url, F.lit("")).rlike(FURNITURE)),
+        Rule("photograph", is_person_photo(t, p)),
+    ])
+
+
+def museum_object(role: Column, medium: Column) -> Column:
+    """(keep, confidence, note) of a museum object: artists only; unusual media are kept with low confidence and a note."""
+    no = F.coalesce(role, F.lit("")).rlike(NO_ARTIST)
+    odd = F.coalesce(medium, F.lit("")).rlike(UNUSUAL_MEDIUM)
+    return F.struct((~no).alias("keep"), F.when(odd, "low").otherwise("high").alias("confidence"), F.when(odd, F.concat(F.lit("unusual medium: "), medium)).alias("note"))
+
+
+def mismatch_note(artist: Column, profile: Profile, notes: Column) -> Column:
+    """The notes, and that another artist is named where one is."""
+    other = truthy_name(artist) & ~artist.rlike(f"(?iU)^{profile.full}$")
+    return F.nullif(F.concat_ws("; ", F.nullif(notes, F.lit("")), F.when(other, F.concat(F.lit("listed artist: "), artist))), F.lit(""))
+
+
+def truthy_name(c: Column) -> Column:
+    return X.truthy(F.trim(c))
+
+
+def needs_refresh(version: Column, description: Column, current: int = 2) -> Column:
+    """Whether details have to be read again: an older version, or no description."""
+    return (F.coalesce(version, F.lit(0)) < current) | ~X.truthy(description)
+
+
+def preferred(value: Column, order: list[str], unknown: int = 99) -> Column:
+    """The place of a value in a list of preferences."""
+    return source_rank(value, order, unknown)
