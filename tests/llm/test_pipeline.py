@@ -1,0 +1,155 @@
+"""Every stage of the pipeline against a brute-force version, on a table with planted cases and edge rows."""
+
+import collections
+import itertools
+import math
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from vellum.llm import quality_rules
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = np.random.default_rng(11)
+    common = quality_rules.COMMON["en"][:12]
+    vocabulary = common * 8 + [f"word{i}" for i in range(600)]
+    phrase = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    passage = phrase(70)
+    texts = [" ".join(phrase(int(n))) for n in rng.integers(80, 260, 50)]
+    base = phrase(200)
+    texts.append(" ".join(base))
+    for k in range(6):  # near copies: a word changed
+        texts.append(" ".join([*base[: 20 * k + 5], f"edit{k}", *base[20 * k + 6 :]]))
+    far = list(base)
+    for k in range(0, 200, 12):  # too many changes
+        far[k] = f"far{k}"
+    texts.append(" ".join(far))
+    texts += [texts[3], texts[3] + "\n", texts[4].replace(" ", "  ")]  # exact copies but for white space
+    texts += [" ".join(phrase(60) + passage + phrase(40)) for _ in range(4)]  # a shared passage
+    texts += [" ".join(w + "%%%&&&" for w in phrase(120)), "short one", "", None, "again and again " * 60, " ".join(phrase(4000))]
+    rows = [(7 * i % 997, t, None if i % 9 == 4 else "en", f"s{i % 3}", None if t is None else len(t)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+def rows_of(d):
+    return {r.doc_id: r for r in d.collect()}
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def shares(text):
+    w, low = words(text), [x.lower() for x in words(text)]
+    classes = [len(re.findall(p, text or "")) for _, p in quality_rules.CLASSES]
+    vocabulary = sorted({x for ws in quality_rules.COMMON.values() for x in ws})
+    counts = [low.count(x) for x in vocabulary]
+    full = lambda c, n: [x / n for x in c] + [(n - sum(c)) / n] if n else [0.0] * (len(c) + 1)
+    return full(classes, len(text or "")), full(counts, len(w))
+
+
+def distance(p, q):
+    term = lambda x, m: x * math.log2(x / m) if x else 0.0
+    return math.sqrt(max(0.0, sum(term(x, (x + y) / 2) + term(y, (x + y) / 2) for x, y in zip(p, q, strict=True)) / 2))
+
+
+def quality_expected(rows):
+    failed, features = {}, {}
+    for d, r in rows.items():
+        w = words(r.text)
+        seen = collections.Counter(zip(w, w[1:], w[2:]))
+        covered = {k for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for k in range(i, i + 3)}
+        failed[d], features[d] = len(w) < 50 or 100 * len(covered) > 50 * len(w), (len(w), *shares(r.text))
+    by = collections.defaultdict(list)
+    for d, r in rows.items():
+        if r.lang is not None and not failed[d]:
+            by[r.lang].append(d)
+    refs = {lang: [np.mean([features[d][k] for d in ds], axis=0) for k in (1, 2)] for lang, ds in by.items() if len(ds) >= quality_rules.MIN_REFERENCE}
+    out = set()
+    for d, r in rows.items():
+        n, chars, common = features[d]
+        if failed[d]:
+            continue
+        if r.lang in refs and n >= quality_rules.MIN_WORDS:
+            room = 1 / math.sqrt(n)
+            if distance(chars, refs[r.lang][0]) > quality_rules.CHAR_LIMIT + room / 2 or distance(common, refs[r.lang][1]) > quality_rules.WORD_LIMIT + room:
+                continue
+        out.add(d)
+    return out
+
+
+def exact_expected(rows):
+    groups = collections.defaultdict(list)
+    for d, r in rows.items():
+        groups["".join(words(r.text))].append((-len(r.text or ""), d))
+    return {min(m)[1] for m in groups.values()}
+
+
+def near_expected(rows):
+    sets = {}
+    for d, r in rows.items():
+        w = (r.text or "").lower().split()
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    root = {d: d for d in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(rows), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {d for d in rows if find(d) == d}
+
+
+def repeats_expected(rows, size=35):
+    split = {d: (r.text or "").encode().split() for d, r in rows.items()}
+    seen = collections.Counter(tuple(w[i : i + size]) for w in split.values() for i in range(len(w) - size + 1))
+    out = {}
+    for d, w in split.items():
+        gone = {k for i in range(len(w) - size + 1) if seen[tuple(w[i : i + size])] > 1 for k in range(i, i + size)}
+        out[d] = b" ".join(x for i, x in enumerate(w) if i not in gone).decode() if gone else rows[d].text
+    return out
+
+
+def test_stages(spark, table):
+    steps = dict(corpus_pipeline.STAGES)
+    assert list(steps) == ["quality_rules", "exact_dedup", "simhash", "substring_dedup", "packing"]
+    docs, before = table, rows_of(table)
+    for name, expected in (("quality_rules", quality_expected), ("exact_dedup", exact_expected), ("simhash", near_expected)):
+        docs = steps[name](spark, docs, "").cache()
+        assert docs.columns == table.columns
+        after = rows_of(docs)
+        assert set(after) == expected(before), name
+        assert after == {d: before[d] for d in after}
+        assert len(after) < len(before)
+        before = after
+    docs = steps["substring_dedup"](spark, docs, "").cache()
+    after = rows_of(docs)
+    texts = repeats_expected(before)
+    assert {d: r.text for d, r in after.items()} == texts and docs.columns == table.columns
+    assert sum(texts[d] != before[d].text for d in texts) == 4
+    assert all(r.n_chars == len(r.text) for d, r in after.items() if r.text != before[d].text)
+    pieces = steps["packing"](spark, docs, "").collect()
+    assert {p.doc_id for p in pieces} == set(after)
+    held = collections.Counter()
+    for p in pieces:
+        held[p.sequence_id] += p.length
+    assert max(held.values()) <= 4096 and len(held) <= -(-sum(held.values()) // 4096) + 1
+
+
+def test_run_and_empty_tables(spark, table, tmp_path):
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    none = table.limit(0)
+    for name, step in corpus_pipeline.STAGES:
+        none = step(spark, none, "")
+        assert none.count() == 0, name
