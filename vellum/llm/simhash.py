@@ -105,8 +105,8 @@ def golay_keys(segment: np.ndarray) -> np.ndarray:
     return np.where(e < 0, -1, (segment[:, None] ^ e) >> 11)
 
 
-def keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All keys of unsigned fingerprints: the place of the fingerprint in ``fp``, and the key."""
+def keys(fp: np.ndarray, joint: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of unsigned fingerprints, or only those that join two Golay keys: the place of the fingerprint in ``fp``, and the key."""
     f = fp.astype(np.uint64)
     a = (f & np.uint64(0x7FFFFF)).astype(np.int64)
     b = (f >> np.uint64(23) & np.uint64(0x7FFFFF)).astype(np.int64)
@@ -114,7 +114,7 @@ def keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ga, gb, gc = golay_keys(a), golay_keys(b), golay_keys(c)
     n = np.arange(len(f))
     whose, key = [], []
-    for kind, (exact, g) in enumerate([(c, ga), (c, gb), (a, gb), (a, gc), (b, ga), (b, gc)]):
+    for kind, (exact, g) in enumerate([] if joint else [(c, ga), (c, gb), (a, gb), (a, gc), (b, ga), (b, gc)]):
         i, j = np.nonzero(g >= 0)
         whose.append(n[i])
         key.append(kind << 40 | exact[i] << 12 | g[i, j])
@@ -164,8 +164,8 @@ def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, forest: bool
 
     A bucket of more than ``most`` members is passed on as rows (True, key, node,
     fp), if ``spill``; so no more than ``most`` members and a batch are ever held.
-    Buckets of up to 64 give all their links, or, as a ``forest``, what joins the
-    same; larger ones see ``bucket_links``.
+    Links are as in ``bucket_links``: a forest that joins what all links join, or
+    each member's links to the first and to the nearest of those before it.
     """
 
     def out(over: bool, a: np.ndarray, b: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
@@ -176,15 +176,24 @@ def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, forest: bool
         sizes = np.diff(np.r_[starts, len(key)])
         f = fp.view(np.uint64)
         i = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= 64), sizes))
-        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        u, v, gaps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
         for lag in range(1, 64):
             i = i[i + lag < len(key)]
             i = i[key[i] == key[i + lag]]
             if not len(i):
                 break
-            near = i[np.bitwise_count(f[i] ^ f[i + lag]) <= radius]
+            apart = np.bitwise_count(f[i] ^ f[i + lag])
+            near = i[apart <= radius]
             u.append(near)
             v.append(near + lag)
+            gaps.append(apart[apart <= radius])
+        if not forest:
+            x, y, gap = np.concatenate(u), np.concatenate(v), np.concatenate(gaps)
+            chosen = []
+            for order in (np.lexsort((x, y)), np.lexsort((x, gap, y))):
+                chosen.append(order[np.r_[True, np.diff(y[order]) > 0]] if len(order) else order)
+            pick = np.unique(np.concatenate(chosen))
+            u, v = [x[pick]], [y[pick]]
         for s, n in zip(starts[sizes > 64], sizes[sizes > 64], strict=True):
             x, y = bucket_links(f[s : s + n], radius, forest)
             u.append(x + s)
@@ -232,12 +241,15 @@ def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, forest: bool
         yield from solve(*held)
 
 
-def linked(nodes: DataFrame, fps: list[str], radius: int = RADIUS, block: int = BLOCK, forest: bool = True) -> DataFrame:
-    """Links (a, b) of ``nodes`` (node, and a fingerprint a column of ``fps``) that differ by ``radius`` (4 at most) in any of them.
+def linked(nodes: DataFrame, fps: list[str], radius: int = RADIUS, block: int = BLOCK, forest: bool = True, joint: bool = False) -> DataFrame:
+    """Links (a, b) of ``nodes`` (node, and a fingerprint a column of ``fps``) that differ by ``radius`` in any of them.
 
-    Each column has keys of its own. A forest joins what all links join.
+    Each column has keys of its own. With all keys ``radius`` is 4 at most and no
+    pair is missed; ``joint`` keys alone are half as many and find those that
+    differ in 2 bits or fewer of the first segment and of the second, whatever
+    the radius. A forest joins what all links join.
     """
-    if not 0 <= radius <= RADIUS:
+    if not joint and not 0 <= radius <= RADIUS:
         raise ValueError(f"the keys find links of {RADIUS} bits at most")
     spark = nodes.sparkSession
 
@@ -246,12 +258,12 @@ def linked(nodes: DataFrame, fps: list[str], radius: int = RADIUS, block: int =
             node = b.column(0).to_numpy(zero_copy_only=False)
             for k in range(len(fps)):
                 fp = b.column(k + 1).to_numpy(zero_copy_only=False)
-                whose, key = keys(fp.view(np.uint64))
+                whose, key = keys(fp.view(np.uint64), joint)
                 yield pa.RecordBatch.from_arrays([pa.array(key | k << 44), pa.array(node[whose]), pa.array(fp[whose])], ["key", "node", "fp"])
 
     wide = MOST_KEYS * len(fps) * nodes.count() // 4_000_000
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wide)
-    gathered = lambda d: d.repartition(parts, "key").sortWithinPartitions("key")
+    gathered = lambda d: d.repartition(parts, "key").sortWithinPartitions("key", "node")
     keyed = gathered(in_workers(nodes.select("node", *fps), spread, "key long, node long, fp long"))
     met = stage(in_workers(keyed, lambda it: link(it, radius, block, forest), LINKS), "simhash-links")
     edges = met.where("not over").select("a", "b")
@@ -322,15 +334,17 @@ def similarity(a: str | None, b: str | None, words: int = 5) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views: int = 6, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views: int = 4, radius: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, component_id) of documents that near duplicates join, component_id the least id of each group.
 
     Near duplicates share ``least`` of their ``words``-word shingles (Jaccard).
     Few changed words change many shingles but few words, so candidates come from
-    SimHashes of the words: links of ``radius`` bits in any of several views, each
-    found through Golay keys. Every candidate pair is verified on whole texts, so
-    what is returned meets the limit; views are independent, so a pair is missed
-    only where all of them differ in more bits. Rows that share an id stand
+    SimHashes of the words: links of ``radius`` bits in any of several independent
+    views, found through joint Golay keys. A document is a candidate of the least
+    id and of the nearest fingerprint before it in each of its buckets, so a group
+    of many copies gives a few pairs a member. Every candidate pair is verified on
+    whole texts, so what is returned meets the limit; a pair is missed only where
+    no view brings it, or a chain of others, together. Rows that share an id stand
     together; rows with a null id are left out; other columns are not read.
     """
     tune(docs.sparkSession)
@@ -346,7 +360,7 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views
     # Documents alike in all views are one node; each is also a candidate of the node's least id.
     nodes = stage(rows.groupBy(*fps).agg(F.min("doc_id").alias("node")), "similar-nodes")
     same = rows.join(nodes, fps).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    pairs = stage(linked(nodes, fps, radius, forest=False).union(same).distinct(), "similar-pairs")
+    pairs = stage(linked(nodes, fps, radius, forest=False, joint=True).union(same).distinct(), "similar-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = stage(d.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "similar-texts")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
