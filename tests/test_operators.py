@@ -296,6 +296,28 @@ def test_html_and_json_readers(spark):
     assert readers.image_size(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + (640).to_bytes(4) + (480).to_bytes(4)) == (640, 480) and readers.image_size(b"no") is None
 
 
+def test_images_are_read_by_header(spark, tmp_path):
+    png = lambda w, h, n: b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + w.to_bytes(4) + h.to_bytes(4) + bytes(n)
+    (tmp_path / "a").mkdir()
+    for name, data in {"a/ok.png": png(640, 480, 9000), "small.png": png(640, 480, 10), "thin.png": png(640, 79, 9000), "broken.jpg": bytes(9000), "note.txt": bytes(9000)}.items():
+        (tmp_path / name).write_bytes(data)
+    got = readers.read_images(spark, str(tmp_path)).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.width, r.height) for r in got] == [("ok.png", 640, 480)]
+
+
+def test_rules_for_media_and_lots(spark):
+    p = Profile(given=("Ada",), family="Stone", others=(r"ada p\.? stone",), birth_year=1885, last_year=1970)
+    rows = [("Ada Stone Lake", "image/png", 500, "Paintings of lakes"), ("Lake", "image/jpeg", 500, "Paintings"), ("Ada P. Stone Lake", "image/png", 500, "Paintings"), ("x", "text/html", 500, None), ("Ada Stone at her studio", "image/png", 500, None), ("Lake", "image/png", 20, None), ("Lake", "image/png", 200, None)]
+    d = spark.createDataFrame(rows, "t string, m string, w int, c string").coalesce(1)
+    got = [tuple(r.l) for r in d.select(rules.file_level(F.col("t"), F.col("m"), F.col("w"), F.col("c"), p).alias("l")).collect()]
+    assert got == [("high", "name and category"), ("medium", "category"), ("reject", "other person"), ("reject", "type"), ("reject", "photograph"), ("reject", "small"), ("reject", "no sign")]
+    d = spark.createDataFrame([("Ada Stone, Lake",), ("Ada P Stone",), ("by Ada Stone or Ada P. Stone 1885-1970",), (None,)], "t string").coalesce(1)
+    assert [r[0] for r in d.select(rules.attributed_lot(F.col("t"), p)).collect()] == [True, False, True, False]
+    assert [tuple(r[0]) for r in d.select(rules.attribution(F.col("t"), p)).collect()] == [(True, "named"), (False, "other person"), (False, "other person"), (False, "no name")]
+    d = spark.createDataFrame([("Ada Stone", "n"), ("Other", "n"), (None, None)], "a string, n string").coalesce(1)
+    assert [r[0] for r in d.select(rules.mismatch_note(F.col("a"), p, F.col("n"))).collect()] == ["n", "n; listed artist: Other", None]
+
+
 def test_stream_upsert_runs_again(spark, tmp_path):
     source, table, log = (str(tmp_path / n) for n in ("in", "table", "log"))
     for batch in ([(1, 1, "a"), (1, 2, "b"), (2, 3, "c")], [(2, 9, "d"), (3, 4, "e")]):

@@ -85,6 +85,7 @@ def norm(s: Column, profile: Profile | None = None) -> Column:
 
 def clean_title(t: Column, profile: Profile | None = None) -> Column:
     """A display title without attribution, medium, date and site decoration."""
+    # The patterns and the characters trimmed between them; each reads what the last one left.
     p = profile or Profile()
     c = squeeze(F.coalesce(t, F.lit("")))
     c = strip(F.regexp_replace(c, "[\"“”'`]+", ""), " ~")
@@ -104,6 +105,7 @@ def clean_title(t: Column, profile: Profile | None = None) -> Column:
 
 def norm_title(t: Column, profile: Profile | None = None) -> Column:
     """An index title: plain dashes and quotes, no attribution, inventory number or medium."""
+    # The patterns and the characters trimmed.
     p = profile or Profile()
     c = squeeze(strip(F.coalesce(t, F.lit(""))))
     c = F.translate(c, "–—−‘’“” ", "---''\"\" ")
