@@ -13,7 +13,7 @@ import numpy as np
 from vellum.llm.common import ragged
 
 #: Units a worker remembers; beyond that it starts anew, so its memory is bounded.
-CACHE = 600_000
+CACHE = 690_000
 #: The ByteLevel pre-tokenizer's pattern; a fixed value of the public format.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ODD_SPACE = re.compile(r"[^\S \n]")
@@ -70,9 +70,10 @@ class Encoder:
             one, space, chars = model.model.tokenize, "\u0120", dict(enumerate(byte_characters()))
 
             def spelled(t: str) -> str:
-                return t if t.isascii() else t.encode().decode("latin-1").translate(chars)
+                return t.encode().decode("latin-1").translate(chars)
 
-            byte, word = self.kind == "byte", self.kind == "word"
+            line = model.token_to_id(chars[10])
+            byte, word = self.kind == "byte" and line is not None, self.kind == "word"
 
             def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 parts: list[list[int] | None] = [None] * len(texts)
@@ -80,12 +81,19 @@ class Encoder:
                 for i, t in enumerate(texts):
                     # A word of letters is one pre-token: the library's model takes it as it is. Letters up
                     # to U+00FF are composed, and have one lower case.
-                    if byte and t[:1] == " " and t[1:].isalpha():
-                        parts[i] = [x.id for x in one(space + spelled(t[1:]))]
+                    if byte:
+                        first, w = t[:1], t[1:]
+                        if w.isalpha() and first == " ":
+                            parts[i] = [x.id for x in one(space + (w if w.isascii() else spelled(w)))]
+                            continue
+                        if w.isalpha() and first == "\n":
+                            parts[i] = [line, *[x.id for x in one(w if w.isascii() else spelled(w))]]
+                            continue
                     elif word and t.isalpha() and (t.isascii() or max(t) <= "\xff"):
-                        parts[i] = [x.id for x in one(spelled(t.lower()))]
-                    else:
-                        other.append(i)
+                        w = t.lower()
+                        parts[i] = [x.id for x in one(w if w.isascii() else spelled(w))]
+                        continue
+                    other.append(i)
                 for k in range(0, len(other), 10_000):
                     some = other[k : k + 10_000]
                     for i, e in zip(some, model.encode_batch_fast([texts[i] for i in some], add_special_tokens=False), strict=True):
