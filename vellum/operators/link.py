@@ -27,6 +27,11 @@ def length_bucket(n: Column, least: float) -> Column:
     return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / step).cast("int")
 
 
+def letters(text: Column) -> Column:
+    """The letters of a text as a set of 64 bits. A bit that only one of two texts has is a letter to insert or delete."""
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
+
+
 def _near(bucket: Column) -> Column:
     return F.explode(F.array(bucket - 1, bucket, bucket + 1))
 
@@ -42,20 +47,23 @@ def candidates(items: DataFrame, works: DataFrame) -> DataFrame:
     w = works.select("work_id", F.col("norm").alias("wt"), F.nullif("year", F.lit(0)).alias("work_year"), F.col("ord").alias("work_ord")).where("wt is not null")
     exact = i.join(w, (F.col("it") == F.col("wt")) & (F.col("item_year") == F.col("work_year"))).where(is_generic(F.col("it")))
     exact = exact.withColumn("score", F.lit(100.0))
-    texts_i = i.where(~is_generic(F.col("it")) & (F.col("it") != "")).select("it", "item_year").distinct()
-    texts_w = w.where(~is_generic(F.col("wt")) & (F.col("wt") != "")).select("wt", "work_year").distinct()
+    texts_i = i.where(~is_generic(F.col("it")) & (F.col("it") != "")).select("it", "item_year").distinct().withColumn("il", letters(F.col("it")))
+    texts_w = w.where(~is_generic(F.col("wt")) & (F.col("wt") != "")).select("wt", "work_year").distinct().withColumn("wl", letters(F.col("wt")))
 
     dated_i = texts_i.where("item_year is not null").withColumn("bucket", length_bucket(F.length("it"), SAME_YEAR))
     dated_w = texts_w.where("work_year is not null").withColumn("at", F.explode(F.array(*(F.col("work_year") + d for d in (-1, 0, 1)))))
     dated_w = dated_w.withColumn("wb", _near(length_bucket(F.length("wt"), SAME_YEAR)))
-    dated = dated_i.join(dated_w, (F.col("item_year") == F.col("at")) & (F.col("bucket") == F.col("wb"))).select("it", "wt", "item_year", "work_year")
+    dated = dated_i.join(dated_w, (F.col("item_year") == F.col("at")) & (F.col("bucket") == F.col("wb"))).select("it", "wt", "item_year", "work_year", "il", "wl")
 
     open_i = texts_i.withColumn("bucket", length_bucket(F.length("it"), UNDATED))
     open_w = texts_w.withColumn("wb", _near(length_bucket(F.length("wt"), UNDATED)))
     missing = F.col("item_year").isNull() | F.col("work_year").isNull()
-    undated = open_i.join(open_w, (F.col("bucket") == F.col("wb")) & missing).select("it", "wt", "item_year", "work_year")
-    bound = 200.0 * F.least(F.length("it"), F.length("wt")) / (F.length("it") + F.length("wt"))
-    pairs = dated.where(bound >= SAME_YEAR).union(undated.where(bound >= UNDATED)).distinct()
+    undated = open_i.join(open_w, (F.col("bucket") == F.col("wb")) & missing).select("it", "wt", "item_year", "work_year", "il", "wl")
+    # A score leaves so many letters to insert or delete, which lengths and letters bound from below.
+    total = F.length("it") + F.length("wt")
+    apart = F.greatest(F.abs(F.length("it") - F.length("wt")), F.bit_count(F.col("il").bitwiseXOR(F.col("wl"))))
+    within = lambda d, least: d.where(100 * apart <= (100 - least) * total + 1e-6)
+    pairs = within(dated, SAME_YEAR).union(within(undated, UNDATED)).drop("il", "wl").distinct()
     scored = pairs.select("it", "wt").distinct().withColumn("score", fuzzy.title_score_udf("it", "wt"))
     gap = F.abs(F.col("item_year") - F.col("work_year"))
     limit = F.when(gap.isNull(), UNDATED).when(gap == 0, SAME_YEAR).otherwise(NEXT_YEAR)
