@@ -153,3 +153,20 @@ def test_run_and_empty_tables(spark, table, tmp_path):
     for name, step in corpus_pipeline.STAGES:
         none = step(spark, none, "")
         assert none.count() == 0, name
+
+
+def kept_near(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    return set(rows_of(corpus_pipeline.near(spark, docs, ""))), near_expected(rows_of(docs))
+
+
+def test_near_stage_joins_appended_and_truncated_copies(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for n in rng.integers(120, 400, 60):
+        w = [f"word{x}" for x in rng.zipf(1.3, n) % 5000]
+        extra = [f"more{x}" for x in rng.integers(0, 5000, n)]
+        texts += [" ".join(w), " ".join(w + extra[: n * 23 // 100])]  # similarity just over 0.8
+        texts += [" ".join(extra), " ".join(extra[: n * 82 // 100])]
+    got, expected = kept_near(spark, texts)
+    assert got == expected and len(expected) < 130

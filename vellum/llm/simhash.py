@@ -17,6 +17,7 @@ So keys of seven kinds lose no pair, and every meeting is verified on all bits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import components, in_workers, local_roots, mix, stage, text_bytes, tune
+from vellum.llm.common import components, in_workers, local_roots, mix, runs, stage, text_bytes, tune
 
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the Golay code.
 GENERATOR = 0b101011100011
@@ -37,6 +38,8 @@ RADIUS = 4
 BLOCK = 4096
 #: Keys a fingerprint has at most: six kinds of 6 and one of 36.
 MOST_KEYS = 72
+#: Documents that show which shingles are common, and shingles that are told to every worker (12 MB).
+SAMPLE, MOST_COMMON = 20_000, 1 << 20
 
 
 def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
@@ -334,6 +337,188 @@ def similarity(a: str | None, b: str | None, words: int = 5) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
+def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
+    """The distinct 64-bit hashes of the ``words``-word shingles of ``shingle_set``, ascending; one fixed hash for a text without words."""
+    w = (text or b"").translate(LOWER).split()
+    h = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w)) if w else np.zeros(1, np.uint64)
+    n = min(words, len(h))
+    out = np.full(len(h) - n + 1, n if w else 0, np.uint64)
+    for k in range(n):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + k + 1])
+    return np.unique(out)
+
+
+def rare_first(h: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``h`` in the order that all documents share: by the count of those in ``common`` (ascending), the others before them, then by hash."""
+    if not len(common):
+        return h
+    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+    return h[np.argsort(np.where(common[at] == h, counts[at], 0), kind="stable")]
+
+
+def common_shingles(d: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (ascending) that a sample of about ``SAMPLE`` documents repeats, and in how many; ``MOST_COMMON`` at most.
+
+    They only set the order of shingles, so a sample costs time and no pair.
+    """
+    n = -(-d.count() // SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j in runs(texts := text_bytes(b.column(0))):
+                h = np.concatenate([shingle_hashes(t, words) for t in texts[i:j]])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    some = d.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n))) == 0).select("text")
+    counted = in_workers(some, run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    found = counted.orderBy(F.desc("n"), "h").limit(MOST_COMMON).toArrow()
+    h, counts = found.column("h").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.int32)
+    order = np.argsort(h)
+    return h[order], counts[order]
+
+
+def meet(size: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """Whether documents i and j, which share a shingle at their places ``at``, can be similar if it is the first they share."""
+    rest = np.minimum(size[i] - at[i], size[j] - at[j])
+    return rest >= least / (1 + least) * (size[i] + size[j]) - 1e-6
+
+
+def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill: bool = True) -> Iterator[pa.RecordBatch]:
+    """Over rows (key, node, root, place) sorted by key and root: rows (over, a, b, root, place), pairs (a, b) of a bucket with two roots that can be similar.
+
+    A bucket of more than ``most`` members is passed on as rows (True, key, node,
+    root, place), if ``spill``. All pairs of the others are looked at, but for those
+    of one root.
+    """
+
+    def out(over: bool, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), over)), *map(pa.array, columns)], ["over", "a", "b", "root", "place"])
+
+    def pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+        if len(a):
+            a, b = np.unique(np.stack([a, b]), axis=1)
+            yield out(False, a, b, np.zeros(len(a), np.int64), np.zeros(len(a), np.int64))
+
+    def solve(key: np.ndarray, node: np.ndarray, root: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        size, at = place >> 32, place & 0xFFFFFFFF
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        mixed = root[starts] != root[starts + sizes - 1]  # sorted: one root where the ends agree
+        i = np.flatnonzero(np.repeat(mixed & (sizes <= 64), sizes))
+        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lag in range(1, 64):
+            i = i[i + lag < len(key)]
+            i = i[key[i] == key[i + lag]]
+            if not len(i):
+                break
+            near = i[root[i] != root[i + lag]]
+            near = near[meet(size, at, near, near + lag, least)]
+            u.append(near)
+            v.append(near + lag)
+        yield from pairs(node[np.concatenate(u)], node[np.concatenate(v)])
+        for s, n in zip(starts[mixed & (sizes > 64)], sizes[mixed & (sizes > 64)], strict=True):
+            ends = s + np.searchsorted(root[s : s + n], root[s : s + n], side="right")
+            for k in range(s, s + n, 256):
+                x = np.arange(k, min(k + 256, s + n))
+                if (first := ends[k - s]) == s + n:
+                    break
+                y = np.arange(first, s + n)
+                p, q = np.nonzero((y[None, :] >= ends[x - s][:, None]) & meet(size, at, x[:, None], y[None, :], least))
+                yield from pairs(node[x[p]], node[y[q]])
+
+    held, over = [np.zeros(0, np.int64)] * 4, None
+    for batch in batches:
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        if over is not None:
+            n = np.searchsorted(new[0], over, side="right")
+            if n:
+                yield out(True, *(x[:n] for x in new))
+            new = [x[n:] for x in new]
+            if not len(new[0]):
+                continue
+            over = None
+        rows = [np.r_[x, y] for x, y in zip(held, new, strict=True)]
+        key = rows[0]
+        if not len(key):
+            continue
+        last = np.searchsorted(key, key[-1])  # the last bucket may go on
+        if last:
+            yield from solve(*(x[:last] for x in rows))
+        held = [x[last:] for x in rows]
+        if spill and len(held[0]) > most:
+            yield out(True, *held)
+            over, held = held[0][0], [x[:0] for x in held]
+    if len(held[0]):
+        yield from solve(*held)
+
+
+MEETINGS = "over boolean, a long, b long, root long, place long"
+
+
+def sharing(d: DataFrame, found: DataFrame, words: int, least: float, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of ``d`` (doc_id, text) that can have a Jaccard similarity of ``least``, less those that ``found`` (node, root) joins: none is missed.
+
+    Of n shingles, in an order that all documents share, a document that is
+    similar to it has one among the first n - ceil(least * n) + 1, and the first
+    shingle that both have is among those of either. So these are its keys. Rare
+    shingles come first. A bucket with too many members is cut into pairs of
+    blocks, like those of fingerprints.
+    """
+    spark = d.sparkSession
+    common = spark.sparkContext.broadcast(common_shingles(d, words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            texts = text_bytes(b.column(1))
+            for i, j in runs(texts):
+                sets = [shingle_hashes(t, words) for t in texts[i:j]]
+                first = [rare_first(h, *common.value)[: len(h) - math.ceil(least * len(h) - 1e-6) + 1] for h in sets]
+                ends = np.cumsum([0, *map(len, first)], dtype=np.int32)
+                keyed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), keyed], ["doc_id", "size", "keys"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lens = np.diff(b.column(2).offsets.to_numpy())
+            node, root, size = (np.repeat(b.column(k).to_numpy(zero_copy_only=False), lens) for k in (0, 3, 1))
+            at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+            yield pa.RecordBatch.from_arrays([b.column(2).flatten(), pa.array(node), pa.array(root), pa.array(size << 32 | at)], ["key", "node", "root", "place"])
+
+    firsts = in_workers(d.select("doc_id", "text"), run, "doc_id long, size long, keys array<long>")
+    rooted = firsts.join(found, F.col("doc_id") == F.col("node"), "left").select("doc_id", "size", "keys", F.coalesce("root", "doc_id").alias("root"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 128 * d.count() // 1_000_000)
+    gathered = lambda x: x.repartition(parts, "key").sortWithinPartitions("key", "root")
+    keyed = gathered(in_workers(rooted, spread, "key long, node long, root long, place long"))
+    met = stage(in_workers(keyed, lambda it: meetings(it, least, block), MEETINGS), "similar-meetings")
+    pairs = met.where("not over").select("a", "b")
+    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "root", "place")
+    if not over.isEmpty():
+        sizes = over.groupBy("key").agg(F.ceil(F.count("*") / (block // 2)).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
+        sizes = stage(sizes.where("low < high").select("key", "blocks"), "similar-sizes")
+        dealt = over.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key")
+        again = gathered(dealt.select(pair, "node", "root", "place"))
+        pairs = pairs.union(in_workers(again, lambda it: meetings(it, least, block, spill=False), MEETINGS).select("a", "b"))
+    return pairs.distinct()
+
+
+def verified(d: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) of ``d`` (doc_id, text) whose texts have a similarity of ``least``: rows (u, v)."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = stage(d.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "similar-texts")
+    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [similarity(x, y, words) >= least for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    return in_workers(both.select("a", "b", "x", "y"), verify, "u long, v long")
+
+
 def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views: int = 4, radius: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, component_id) of documents that near duplicates join, component_id the least id of each group.
 
@@ -342,9 +527,10 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views
     SimHashes of the words: links of ``radius`` bits in any of several independent
     views, found through joint Golay keys. A document is a candidate of the least
     id and of the nearest fingerprint before it in each of its buckets, so a group
-    of many copies gives a few pairs a member. Every candidate pair is verified on
-    whole texts, so what is returned meets the limit; a pair is missed only where
-    no view brings it, or a chain of others, together. Rows that share an id stand
+    of many copies gives a few pairs a member. What these join is one group already
+    when the rest is looked for: ``sharing`` finds every pair of two groups that can
+    reach the limit. Every candidate pair is verified on whole texts. So no pair is
+    missed, up to collisions of 64-bit hashes. Rows that share an id stand
     together; rows with a null id are left out; other columns are not read.
     """
     tune(docs.sparkSession)
@@ -361,14 +547,9 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views
     nodes = stage(rows.groupBy(*fps).agg(F.min("doc_id").alias("node")), "similar-nodes")
     same = rows.join(nodes, fps).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     pairs = stage(linked(nodes, fps, radius, forest=False, joint=True).union(same).distinct(), "similar-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = stage(d.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "similar-texts")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [similarity(x, y, words) >= least for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
-    found = components(in_workers(both.select("a", "b", "x", "y"), verify, "u long, v long"), "similar-components")
+    joined = verified(d, pairs, words, least)
+    found = stage(components(joined, "similar-components"), "similar-found")
+    more = stage(verified(d, stage(sharing(d, found, words, least), "similar-rest"), words, least), "similar-more")
+    if not more.isEmpty():
+        found = components(more.union(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "similar-components")
     return found.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
