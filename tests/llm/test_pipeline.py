@@ -170,3 +170,13 @@ def test_near_stage_joins_appended_and_truncated_copies(spark):
         texts += [" ".join(extra), " ".join(extra[: n * 82 // 100])]
     got, expected = kept_near(spark, texts)
     assert got == expected and len(expected) < 130
+
+
+def test_near_stage_tries_every_partner(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for _ in range(8):  # one set of words, so equal views: the first in another order, the others near copies
+        w = [f"word{x}" for x in rng.permutation(300)]
+        texts += [" ".join(rng.permutation(w)), " ".join(w), " ".join([*w[4:], *w[:4]])]
+    got, expected = kept_near(spark, texts)
+    assert got == expected and len(expected) == 16
