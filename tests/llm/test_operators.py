@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -110,6 +111,16 @@ def test_quality_rejects_what_strays_from_its_language(spark):
     assert 0 <= got[5].char_distance < got[100].char_distance <= 1
 
 
+def test_quality_rejects_text_without_the_common_words_of_its_language(spark):
+    rng = np.random.default_rng(4)
+    said = {lang: lambda n, c=np.array(ws[:12]): " ".join(np.where(rng.random(n) < 0.25, rng.choice(c, n), rng.choice(WORDS, n))) for lang, ws in quality_rules.COMMON.items()}
+    clean = [(100 * k + i, say(int(rng.integers(60, 400))), lang) for k, (lang, say) in enumerate(said.items()) for i in range(60)]
+    junk = [(1000 + k, " ".join(rng.choice(WORDS, n)), lang) for k, (lang, n) in enumerate(itertools.product(said, (120, 2000)))]
+    junk += [(2000, said["fr"](400), "es"), (2001, said["es"](400), "fr"), (2002, said["de"](400), "en")]
+    got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")).collect()}
+    assert [d for d, *_ in clean if not got[d]] == [] and [d for d, *_ in junk if got[d]] == []
+
+
 def brute_components(fp, radius=4):
     u = np.unique(np.array(list(fp.values()), np.uint64))
     x, y = np.nonzero(np.bitwise_count(u[:, None] ^ u[None]) <= radius)

@@ -3,6 +3,11 @@
 DataFrame functions only. A document's character-class and common-word
 histograms are compared with the mean histograms of its language by
 Jensen-Shannon distance; short documents and thin references are not judged.
+
+In the whole common-word histogram nearly all mass lies on "other", so that its
+distance stays near 0.35 even without a single common word. So two more are
+judged: the share of common words, common or other, against the language's own
+spread, and the histogram of the common words alone.
 """
 
 from __future__ import annotations
@@ -36,6 +41,10 @@ COMMON = {
 #: Verdict: distances above these limits reject. A sample of n words strays from
 #: its reference by about 1 / sqrt(n), which ``NOISE`` allows for.
 CHAR_LIMIT, WORD_LIMIT, NOISE = 0.25, 0.35, 1.0
+#: A share of common words is low beyond so many half interquartile ranges below the median: three standard deviations of a normal.
+SPREAD = 4.45
+#: A sample of h common words strays from its reference, a histogram of about 20 words, by about 2 / sqrt(h).
+COMMON_NOISE = 2.0
 #: Guards: words a document needs, documents a reference needs.
 MIN_WORDS, MIN_REFERENCE = 50, 20
 
@@ -109,13 +118,18 @@ def histograms(base: DataFrame) -> DataFrame:
     }).drop("padded", "counts", "classes", "hits", "n_chars")
 
 
+def common_share(common: Column) -> Column:
+    """The share of common words: what the last bin, "other", leaves."""
+    return 1 - F.element_at(common, -1)
+
+
 def references(features: DataFrame) -> DataFrame:
-    """Mean histograms of the languages over all documents that pass the base rules: a row a language."""
+    """Mean histograms and quartiles of the share of common words of the languages over all documents that pass the base rules: a row a language."""
     sizes = {"chars": len(CLASSES) + 1, "common": len({w for ws in COMMON.values() for w in ws}) + 1}
     means = {h: F.array(*[F.avg(F.get(h, F.lit(i))) for i in range(n)]).alias(f"ref_{h}") for h, n in sizes.items()}
     return (
         features.where("lang is not null and not base_failed").groupBy(F.col("lang").alias("ref_lang"))
-        .agg(F.count("*").alias("ref_docs"), *means.values()).where(F.col("ref_docs") >= MIN_REFERENCE)
+        .agg(F.count("*").alias("ref_docs"), F.percentile_approx(common_share(F.col("common")), [0.25, 0.5, 0.75], 10000).alias("ref_shares"), *means.values()).where(F.col("ref_docs") >= MIN_REFERENCE)
     )
 
 
@@ -126,6 +140,20 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
+def lacks_common_words(word_limit: float, noise: float) -> Column:
+    """Whether a document has too few common words for its language, or others than it has; null or false without a reference."""
+    two = lambda x: F.array(x, 1 - x)
+    low, median, high = (F.get("ref_shares", F.lit(i)) for i in range(3))
+    spread = F.greatest(jensen_shannon(two(low), two(median)), jensen_shannon(two(high), two(median)))
+    share = common_share(F.col("common"))
+    allowed = SPREAD * spread + noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    few = (share < median) & (jensen_shannon(two(share), two(median)) > allowed)
+    alone = lambda h: F.transform(F.slice(h, F.lit(1), F.size(h) - 1), lambda x: x / common_share(F.col(h)))
+    room = word_limit + COMMON_NOISE * noise / F.sqrt(share * F.col("n_words"))
+    others = F.when((share > 0) & (common_share(F.col("ref_common")) > 0), jensen_shannon(alone("common"), alone("ref_common")) > room)
+    return few | F.coalesce(others, F.lit(False))
+
+
 def quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, noise: float = NOISE,
@@ -146,7 +174,7 @@ def quality(
         "word_distance": F.when(F.col("ref_docs").isNotNull(), jensen_shannon(F.col("common"), F.col("ref_common"))),
     })
     allowed = noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
-    strays = (F.col("char_distance") > char_limit + allowed / 2) | (F.col("word_distance") > word_limit + allowed)
+    strays = (F.col("char_distance") > char_limit + allowed / 2) | (F.col("word_distance") > word_limit + allowed) | lacks_common_words(word_limit, noise)
     return judged.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "char_distance", "word_distance",
