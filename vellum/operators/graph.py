@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.vision import hamming
-from vellum.scratch import stage
+from vellum.scratch import free, stage
 
 
 def digest_edges(rows: DataFrame, node: str, digest: str) -> DataFrame:
@@ -58,8 +58,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Alternating large-star and small-star rounds (Kiveris et al., 2014). Each
     round is two grouped minima, combined before they are shuffled, and joins with
     tables of those minima, whose large partitions Spark can split, so that a hub
-    is no single task. A round's edges are a table in the shared folder; two
-    numbers a round come to the driver. No edges: no rows. Loops and repeated edges do nothing.
+    is no single task. A round's edges are a table in the shared folder, and the
+    round before's are deleted; two numbers a round come to the driver. No edges: no rows. Loops and repeated edges do nothing.
     """
     e = stage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     seen = None
@@ -68,9 +68,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.where("u <> v").distinct(), name)
+        free(least, e)
         low = stage(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         e = stage(small.union(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        free(large, low)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break

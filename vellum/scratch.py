@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The shared folder of ``spark.checkpoint.dir``.
+
+    Where none is set, one of this machine serves a local session; a cluster's
+    executors would not see it, so there it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="vellum-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -25,4 +32,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def free(*tables: DataFrame | None) -> None:
+    """Delete the files of tables that ``stage`` gave and that nothing reads any more; others are left alone."""
+    for table in tables:
+        if path := getattr(table, "_scratch", None):
+            jvm = table.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+            table._scratch = None
