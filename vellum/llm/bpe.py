@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import in_workers, ragged, runs, tune
+from vellum.llm.common import in_workers, ragged, slices, tune
 from vellum.llm.tokens import BYTE_LEVEL, byte_characters, encoder, model_path
 
 MODEL = "byte_bpe_50k.json"
@@ -181,12 +181,11 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, own = encoder(path, "pairs"), model(path)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in runs(texts, 4 << 20):
-                ids, counts = enc.encode(texts[i:j])
+            for i, texts in slices(b.column(1), 4 << 20):
+                ids, counts = enc.encode(texts)
                 decoded = [x.decode("utf-8", "replace") for x in own.decode(ids, counts)]
                 ends = np.r_[0, np.cumsum(counts)].tolist()
-                cols: list[pa.Array] = [b.column(0)[i:j] if hasattr(b.column(0), "chunks") else b.column(0).slice(i, j - i), pa.array(counts)]
+                cols: list[pa.Array] = [b.column(0).slice(i, len(texts)), pa.array(counts)]
                 if digest:
                     cut = [ids[x:y].astype("<u4").tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
                     cols += [pa.array([hashlib.sha256(x).hexdigest() for x in cut], pa.string()),

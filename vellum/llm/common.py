@@ -11,15 +11,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.operators.graph import components
-from vellum.scratch import scratch_dir, stage
+from vellum.scratch import free, scratch_dir, stage
 
 #: ASCII white space of the word pattern ``[^\x20\x09-\x0D]+``.
 WS = b" \t\n\x0b\x0c\r"
-#: Rows handed to a Python worker at once; texts may be long, so batches are short.
-BATCH_ROWS = 1000
+#: Rows and bytes handed to a Python worker at once; texts may be long, so batches are bounded by both.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 #: Python code takes a batch apart in runs of about so many bytes of text.
 RUN_BYTES = 2 << 20
 
@@ -27,6 +28,7 @@ RUN_BYTES = 2 << 20
 def tune(spark: SparkSession) -> None:
     """Short Arrow batches: the memory of a Python worker follows the batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def trim() -> None:
@@ -56,6 +58,31 @@ def in_workers(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(task, schema)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` has not."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def told_apart(docs: DataFrame, id_col: str, column: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a long ``column`` that tells its rows apart, and a table to free when it is done with.
+
+    That is the id where it is never null and never repeats; else rows are
+    numbered, in a table, so that the numbers stay as they are.
+    """
+    named = docs.select(F.col(id_col).cast("long").alias("i"))
+    if named.groupBy("i").agg(F.count("*").alias("n")).where("i is null or n > 1").isEmpty():
+        return docs.withColumn(column, F.col(id_col).cast("long")), None
+    held = stage(docs.withColumn(column, F.monotonically_increasing_id()), "rows")
+    return held, held
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -77,6 +104,16 @@ def runs(texts: list, limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
         yield i, len(texts)
 
 
+def slices(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """``column`` in slices (first place, slice) of about ``limit`` bytes of text, one text at least; see ``runs``."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + limit)))
+        yield i, column.slice(i, j - i)
+        i = j
+
+
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... of every piece, end to end."""
     total = int(lens.sum())
@@ -117,5 +154,5 @@ def local_roots(nodes: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 __all__ = [
-    "BATCH_ROWS", "RUN_BYTES", "WS", "code_points", "components", "in_workers", "local_roots", "mix", "ragged", "read_documents", "runs", "scratch_dir", "stage", "text_bytes", "tune",
+    "BATCH_ROWS", "RUN_BYTES", "WS", "code_points", "components", "free", "in_workers", "local_roots", "mix", "ragged", "read_documents", "runs", "scratch_dir", "slices", "stage", "text_bytes", "told_apart", "tune", "unused",
 ]

@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import in_workers, runs, stage, tune
+from vellum.llm.common import in_workers, slices, stage, tune, unused
 from vellum.llm.tokens import encoder, model_path
 
 MODEL, END, CAPACITY = "word_bpe_49k.json", 1, 4096
+#: Parts in which the pieces of one length are ranked.
+SHARDS = 1024
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, end: int = END, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
@@ -38,14 +40,14 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for b in batches:
-            names, texts = b.column(0), b.column(1).to_pylist()
-            for i, j in runs(texts):
-                flat, counts = enc.encode(texts[i:j])
+            names = b.column(0)
+            for i, texts in slices(b.column(1)):
+                flat, counts = enc.encode(texts)
                 flat = np.insert(flat, np.cumsum(counts), end).astype("<u4")
                 counts = counts + 1
                 first = np.cumsum(counts) - counts
                 n = -(-counts // capacity)
-                doc = np.repeat(np.arange(i, j), n)
+                doc = np.repeat(np.arange(i, i + len(texts)), n)
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
                 start = piece * capacity
                 length = np.minimum(capacity, np.repeat(counts, n) - start)
@@ -122,25 +124,24 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: tuple[str, ...] = ("d
     Offsets in a sequence run from 0 without gaps. Pieces of equal length are
     ranked within shards of their key, and the shards' counts make the ranks
     whole, so a common length is no single task. Rows that repeat each get a
-    place. An empty table gives no rows. Columns named sequence_id, offset,
-    _shard or _rank are replaced.
+    place. An empty table gives no rows. Columns named sequence_id or offset are
+    replaced; others may have any name.
     """
     spark = pieces.sparkSession
-    pieces = pieces.drop("sequence_id", "offset", "_shard", "_rank")
-    sharded = pieces.withColumn("_shard", F.pmod(F.xxhash64(*key), F.lit(1024)).cast("int"))
-    counts = sharded.groupBy("length", "_shard").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1))
-    counts = stage(counts.select("length", "_shard", "n", F.coalesce(before, F.lit(0)).alias("_before")), "packing-counts")
+    pieces = pieces.drop("sequence_id", "offset")
+    shard, rank, of, named, before = unused(pieces, "shard", "rank", "of", "length_of", "before")
+    sharded = pieces.withColumn(shard, F.pmod(F.xxhash64(*key), F.lit(SHARDS)).cast("int"))
+    counts = sharded.groupBy("length", shard).agg(F.count("*").alias("n"))
+    sums = F.sum("n").over(Window.partitionBy("length").orderBy(shard).rowsBetween(Window.unboundedPreceding, -1))
+    counts = stage(counts.select("length", shard, "n", F.coalesce(sums, F.lit(0)).alias(before)), "packing-counts")
     histogram = {int(x): int(n) for x, n in counts.groupBy("length").agg(F.sum("n")).collect()}
     if any(not 0 < x <= capacity for x in histogram):
         raise ValueError("a piece is empty or longer than a sequence")
     table = spark.sparkContext.broadcast(places(plan(histogram, capacity)))
-    local = F.row_number().over(Window.partitionBy("length", "_shard").orderBy(*key))
-    offsets = counts.select(F.col("length").alias("_length"), F.col("_shard").alias("_of"), "_before")
-    ranked = sharded.withColumn("_rank", local.cast("long") - 1).join(
-        offsets, (F.col("length") == F.col("_length")) & (F.col("_shard") == F.col("_of"))
-    )
-    ranked = ranked.select(*pieces.columns, (F.col("_rank") + F.col("_before")).alias("_rank"))
+    local = F.row_number().over(Window.partitionBy("length", shard).orderBy(*key))
+    offsets = counts.select(F.col("length").alias(named), F.col(shard).alias(of), before)
+    ranked = sharded.withColumn(rank, local.cast("long") - 1).join(offsets, (F.col("length") == F.col(named)) & (F.col(shard) == F.col(of)))
+    ranked = ranked.select(*pieces.columns, (F.col(rank) + F.col(before)).alias(rank))
     at, names = pieces.columns.index("length"), [*pieces.columns, "sequence_id", "offset"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,5 +162,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: tuple[str, ...] = ("d
 
 
 def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
-    """Whole documents as pieces in sequences: (doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
+    """Whole documents as pieces in sequences: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
+
+    A null or empty text is one piece, of the end id; null ids and rows that
+    repeat are documents like others; other columns are not read; an empty table
+    gives no rows.
+    """
     return pack(stage(token_pieces(docs, id_col, text_col, name, END, capacity, ids), "packing-pieces"), capacity)

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
-from collections.abc import Callable, Hashable
+from collections.abc import Callable
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from vellum.llm.common import ragged
 
-#: Units a worker remembers; beyond that it starts anew, so its memory is bounded.
-CACHE = 690_000
+#: Units that a worker remembers; beyond that it keeps those that came again, so its memory is bounded.
+CACHE = 560_000
 #: The ByteLevel pre-tokenizer's pattern; a fixed value of the public format.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-ODD_SPACE = re.compile(r"[^\S \n]")
+#: White space but for the blank and the line end.
+ODD_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: A full stop or comma that ends a word: models cut before it.
-STOP = re.compile(r"[.,](?<=[^\W_].)(?=[ \n]|\Z)")
+STOP = r"([\pL\pN])([.,])( |$)"
+#: Marks of a unit that is such a stop, and of a text's first unit, which has no blank before it.
+STOPPED, FIRST = "\x01", "\x02"
 
 
 def model_path(name: str) -> str:
@@ -43,9 +49,10 @@ class Encoder:
     ``byte`` models (ByteLevel with its own pattern, no normalizer) always cut
     before a space or line end that follows something else and between a word and
     its full stop or comma, so texts are taken apart there; ``word`` models drop
-    white space, so texts are taken apart at ASCII white space too. Texts for which that is not certain (runs of white space,
-    special tokens) and all texts of other models are encoded whole. The result
-    is what the model gives for the whole text.
+    white space, so texts are taken apart at ASCII white space too. Texts for
+    which that is not certain (runs of white space, special tokens) and all texts
+    of other models are encoded whole. The result is what the model gives for the
+    whole text.
     """
 
     def __init__(self, path: str, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None) -> None:
@@ -59,111 +66,132 @@ class Encoder:
             first, parts = pre["pretokenizers"][0], (norm or {}).get("normalizers", [])
             if first["behavior"] == "Removed" and first["invert"] and r"[^\s" in first["pattern"].get("Regex", "") and {p["type"] for p in parts} <= {"NFC", "Replace", "Lowercase"}:
                 self.kind = "word"
-        if encode is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            model = Tokenizer.from_file(path)
-            model.no_truncation()
-            model.no_padding()
-
-            one, space, chars = model.model.tokenize, "\u0120", dict(enumerate(byte_characters()))
-
-            def spelled(t: str) -> str:
-                return t.encode().decode("latin-1").translate(chars)
-
-            line = model.token_to_id(chars[10])
-            byte, word = self.kind == "byte" and line is not None, self.kind == "word"
-
-            def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-                parts: list[list[int] | None] = [None] * len(texts)
-                other = []
-                for i, t in enumerate(texts):
-                    # A word of letters is one pre-token: the library's model takes it as it is. Letters up
-                    # to U+00FF are composed, and have one lower case.
-                    if byte:
-                        first, w = t[:1], t[1:]
-                        if w.isalpha() and first == " ":
-                            parts[i] = [x.id for x in one(space + (w if w.isascii() else spelled(w)))]
-                            continue
-                        if w.isalpha() and first == "\n":
-                            parts[i] = [line, *[x.id for x in one(w if w.isascii() else spelled(w))]]
-                            continue
-                    elif word and t.isalpha() and (t.isascii() or max(t) <= "\xff"):
-                        w = t.lower()
-                        parts[i] = [x.id for x in one(w if w.isascii() else spelled(w))]
-                        continue
-                    other.append(i)
-                for k in range(0, len(other), 10_000):
-                    some = other[k : k + 10_000]
-                    for i, e in zip(some, model.encode_batch_fast([texts[i] for i in some], add_special_tokens=False), strict=True):
-                        parts[i] = e.ids
-                n = np.fromiter(map(len, parts), np.int64, len(parts))
-                return np.fromiter(chain.from_iterable(parts), np.uint32, int(n.sum())), n
-
-        self.encode_whole = encode
+        odd = ["  ", r"\n\n", r" \n", r"\n ", r"[ \n]$", f"[{ODD_SPACE}{STOPPED}{FIRST}]", *(re.sub(r"(\W)", r"\\\1", x) for x in self.special)]
+        self.odd = "|".join(odd)
+        self.encode_whole = encode or self.by_library(path)
         self.forget()
 
+    def by_library(self, path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+        """Encode texts with the tokenizers library."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(path)
+        model.no_truncation()
+        model.no_padding()
+        one, space, chars = model.model.tokenize, "\u0120", dict(enumerate(byte_characters()))
+        line = model.token_to_id(chars[10])
+        byte, word = self.kind == "byte" and line is not None, self.kind == "word"
+
+        def spelled(t: str) -> str:
+            return t if t.isascii() else t.encode().decode("latin-1").translate(chars)
+
+        def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            parts: list[list[int] | None] = [None] * len(texts)
+            other = []
+            gc.disable()  # many small lists, none of them in a cycle
+            # A word of letters is one pre-token: the library's model takes it as it is. Letters up
+            # to U+00FF are composed, and have one lower case.
+            for i, t in enumerate(texts):
+                if byte and (w := t[1:]).isalpha() and t[0] in " \n":
+                    ids = [x.id for x in one(space + spelled(w) if t[0] == " " else spelled(w))]
+                    parts[i] = ids if t[0] == " " else [line, *ids]
+                elif word and t.isalpha() and (t.isascii() or max(t) <= "\xff"):
+                    parts[i] = [x.id for x in one(spelled(t.lower()))]
+                else:
+                    other.append(i)
+            for k in range(0, len(other), 10_000):
+                some = other[k : k + 10_000]
+                for i, e in zip(some, model.encode_batch_fast([texts[i] for i in some], add_special_tokens=False), strict=True):
+                    parts[i] = e.ids
+            gc.enable()
+            n = np.fromiter(map(len, parts), np.int64, len(parts))
+            return np.fromiter(chain.from_iterable(parts), np.uint32, int(n.sum())), n
+
+        return encode
+
     def forget(self) -> None:
-        self.index: dict[Hashable, int] = {}
-        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-
-    def units(self, text: str) -> list[Hashable]:
-        """The keys of a text's units; ``whole`` texts have one, which is not remembered for long."""
-        if not text:
-            return []
+        self.index: dict[str, int] = {}
+        self.pool, self.start, self.size, self.again = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def units(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The units of texts that can be taken apart, end to end, and how many each text has."""
         if self.kind == "word":
-            return STOP.sub(r" \g<0>", text).encode().split()  # type: ignore[return-value]
-        if self.kind == "byte" and not (
-            "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1] in " \n"
-            or ODD_SPACE.search(text) or any(s in text for s in self.special)
-        ):
-            spaced = text.replace("\n", " \n")
-            if " ." in text or " ," in text:
-                first, *rest = spaced.split(" ")
-                parts: list[Hashable] = [(" " + p,) if p in (".", ",") else p for p in rest]
-            else:
-                first, *parts = STOP.sub(r" \g<0>", spaced).split(" ")
-            return [(first,), *parts] if first else parts  # the first has no space before it
-        return [(text,)]
-
-    @staticmethod
-    def spelled(key: Hashable) -> str:
-        if isinstance(key, tuple):
-            return key[0]
-        if isinstance(key, bytes):
-            return key.decode()
-        return key if key[0] == "\n" or key in (".", ",") else " " + key  # type: ignore[index,operator,return-value]
-
-    def learn(self, keys: list[Hashable]) -> None:
-        ids, n = self.encode_whole([self.spelled(x) for x in keys])
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
-        at = len(self.index)
-        while at + len(keys) > len(self.start):
-            self.start, self.size = np.r_[self.start, np.zeros_like(self.start)], np.r_[self.size, np.zeros_like(self.size)]
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.size[at : at + len(keys)] = n
-        self.start[at : at + len(keys)] = self.used + np.cumsum(n) - n
-        self.index.update(zip(keys, range(at, at + len(keys)), strict=True))
-        self.used += len(ids)
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts end to end, and how many each has. Null counts as empty."""
-        if len(self.index) > CACHE or self.used > 16 * CACHE:
+            lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([\pL\pN])([.,])([ \n]|$)", r"\1 \2\3"))
+        else:
+            cut = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " \n"), STOP, rf"\1 {STOPPED}\2\3")
+            lists = pc.split_pattern(pc.binary_join_element_wise(FIRST, cut, ""), " ")
+        return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+
+    def spelled(self, unit: str) -> str:
+        if self.kind == "word":
+            return unit
+        return unit[1:] if unit[:1] in (STOPPED, FIRST) else unit if unit[:1] == "\n" else " " + unit
+
+    def places(self, distinct: list[str]) -> np.ndarray:
+        """Where each of several units is remembered; those that are new are encoded first."""
+        at = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        self.again[at[at >= 0]] = True
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if len(self.index) + len(new) > CACHE and len(self.index):
+                self.keep(self.again)
+                at = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+                new = np.flatnonzero(at < 0)
+            units = [distinct[i] for i in new.tolist()]
+            ids, n = self.encode_whole([self.spelled(x) for x in units])
+            first = len(self.index)
+            self.index.update(zip(units, range(first, first + len(units)), strict=True))
+            self.start = np.r_[self.start, len(self.pool) + np.cumsum(n) - n]
+            self.size, self.pool = np.r_[self.size, n], np.r_[self.pool, ids]
+            self.again = np.r_[self.again, np.zeros(len(n), bool)]
+            at[new] = first + np.arange(len(new))
+        return at
+
+    def keep(self, some: np.ndarray) -> None:
+        """Remember only ``some`` units, none if they are too many still."""
+        if 2 * some.sum() > CACHE:
             self.forget()
-        units = [self.units(t or "") for t in texts]
-        flat = list(chain.from_iterable(units))
-        which = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
-        if len(new := np.flatnonzero(which < 0)):
-            missing = [flat[i] for i in new.tolist()]
-            self.learn(list(dict.fromkeys(missing)))
-            which[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(missing))
-        size = self.size[which]
-        ids = self.pool[ragged(self.start[which], size)]
-        ends = np.r_[0, np.cumsum(size)][np.cumsum([len(us) for us in units])] if texts else np.zeros(0, np.int64)
-        return ids, np.diff(np.r_[0, ends])
+            return
+        self.index = {u: k for k, u in enumerate(u for u, on in zip(self.index, some.tolist(), strict=True) if on)}
+        self.pool = self.pool[ragged(self.start[some], self.size[some])]
+        self.size = self.size[some]
+        self.start, self.again = np.cumsum(self.size) - self.size, np.zeros(len(self.size), bool)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and how many each has. Null counts as empty."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        counts = np.zeros(len(texts), np.int64)
+        if self.kind == "whole":
+            whole = np.ones(len(texts), bool)
+        elif self.kind == "word":
+            whole = np.zeros(len(texts), bool)
+        else:
+            whole = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        kinds = []
+        for on, apart in ((~whole, True), (whole, False)):
+            where = np.flatnonzero(on)
+            if not len(where):
+                continue
+            some = texts if len(where) == len(texts) else texts.take(pa.array(where))
+            if apart:
+                flat, n = self.units(some)
+                coded = flat.dictionary_encode()
+                at = self.places(coded.dictionary.to_pylist())
+                known = pa.ListArray.from_arrays(np.r_[0, np.cumsum(self.size[at])].astype(np.int32), self.pool[ragged(self.start[at], self.size[at])])
+                met = known.take(coded.indices)
+                ids = met.flatten().to_numpy()
+                n = np.diff(met.offsets.to_numpy()[np.r_[0, np.cumsum(n)]]).astype(np.int64)
+            else:
+                ids, n = self.encode_whole(some.to_pylist())
+            counts[where] = n
+            kinds.append((where, ids, n))
+        if len(kinds) < 2:
+            return (kinds[0][1] if kinds else np.zeros(0, np.uint32)), counts
+        out, first = np.zeros(int(counts.sum()), np.uint32), np.cumsum(counts) - counts
+        for where, ids, n in kinds:
+            out[ragged(first[where], n)] = ids
+        return out, counts
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
