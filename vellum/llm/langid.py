@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import in_workers, ragged, runs, text_bytes, tune
+from vellum.llm.common import in_workers, ragged, runs, stage, text_bytes, tune
 
 #: Languages by family (ISO 639 codes); a language not listed is a family of its own.
 FAMILIES = {
@@ -29,9 +29,9 @@ FAMILIES = {
     "semitic": "ar he am mt".split(),
     "indic": "hi bn ur mr gu pa ne si".split(),
 }
-#: Hashed trigrams; labelled rows a language that training reads at most, and
-#: needs at least; languages at most, the most frequent.
-BUCKETS, PER_LANGUAGE, LEAST, MOST_LANGUAGES = 8192, 400, 10, 64
+#: Hashed trigrams; labelled rows that training reads at most, of a language and
+#: of all. Every language with a labelled row is learned: many share the whole.
+BUCKETS, PER_LANGUAGE, MOST_ROWS = 8192, 400, 8000
 UNKNOWN = "und"
 
 #: Letters fold to lower case, bytes beyond ASCII stay, all else is a gap.
@@ -57,12 +57,6 @@ def trigrams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return bucket[ok], count
 
 
-def frequencies(bucket: np.ndarray, count: np.ndarray) -> np.ndarray:
-    row = np.repeat(np.arange(len(count)), count)
-    x = np.bincount(row * BUCKETS + bucket, minlength=len(count) * BUCKETS).reshape(len(count), BUCKETS)
-    return (x / np.maximum(count, 1)[:, None]).astype(np.float32)
-
-
 def fit_machine(x: np.ndarray, y: np.ndarray, scale: np.ndarray, steps: int = 150, decay: float = 1e-3) -> tuple[np.ndarray, float, float]:
     """A linear machine by squared hinge loss, classes weighed equally: weights, bias, slope of its confidence.
 
@@ -143,25 +137,40 @@ class Model:
         return lang, family, score
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """Frequencies of a bounded sample of labelled ``docs`` (doc_id, text, lang): ``per_language`` rows each, by hash order."""
-    labelled = docs.where("lang is not null and text is not null")
-    known = labelled.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    langs = [r.lang for r in known.collect()]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    rows = labelled.where(F.col("lang").isin(langs)).select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language)
-    # At most MOST_LANGUAGES * per_language ids.
-    chosen = labelled.join(F.broadcast(rows.select("doc_id", "lang")), ["doc_id", "lang"], "left_semi")
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> list[tuple[str, bytes]]:
+    """Trigrams of a bounded sample of labelled ``docs`` (doc_id, text, lang), in hash order: ``per_language`` rows of each language, fewer where that makes more than ``most_rows``.
+
+    A threshold on the hash leaves about twice as many rows of a language before
+    they are put in order, so that a language with most rows is no large task.
+    """
+    labelled = docs.where("lang is not null and text is not null").withColumn("order", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    known = stage(labelled.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "language-sizes")
+    most = max(1, min(per_language, most_rows // max(known.count(), 1)))
+    part = F.pmod(F.col("order"), F.lit(1 << 30))
+    near = labelled.join(known, F.col("lang") == F.col("of")).where(part < F.lit(float((2 * most + 50) << 30)) / F.col("n"))
+    rows = near.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(part, "order", "doc_id"))).where(F.col("k") <= most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = text_bytes(b.column(1))
             for i, j in runs(texts):
-                x = frequencies(*trigrams(texts[i:j]))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([v.tobytes() for v in x], pa.binary())], ["lang", "x"])
+                bucket, count = trigrams(texts[i:j])
+                ends = np.cumsum(count)
+                cut = [np.bincount(bucket[e - n : e], minlength=BUCKETS) for e, n in zip(ends, count, strict=True)]
+                at = [np.flatnonzero(x) for x in cut]
+                held = [np.r_[k, x[k]].astype("<u4").tobytes() for k, x in zip(at, cut, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(held, pa.binary())], ["lang", "x"])
+
+    return sorted((r.lang, bytes(r.x)) for r in in_workers(rows.select("lang", "text"), run, "lang string, x binary").toLocalIterator())
+
 
-    got = [(r.lang, bytes(r.x)) for r in in_workers(chosen.select("lang", "text"), run, "lang string, x binary").toLocalIterator()]
-    return sorted(got)
+def shares(rows: list[tuple[str, bytes]]) -> np.ndarray:
+    """A row of trigram shares for each sampled text."""
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for i, (_, held) in enumerate(rows):
+        bucket, n = np.frombuffer(held, "<u4").reshape(2, -1)
+        x[i, bucket] = n / max(1, n.sum())
+    return x
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -170,9 +179,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     held_out rows (CRC-32 of the id as text, modulo 4, is 2) are never learned
     from, nor are rows with a null language, text or id. Only the text is an
     input of a prediction. A text that is null or has no letter is ``und`` with
-    score 0, as is every text where fewer than ``LEAST`` rows of any language are
-    labelled; with one language all others get that one. Repeated rows are
-    judged each; other columns are not read; an empty table gives no rows.
+    score 0, as is every text where no row is labelled; with one language all
+    others get that one. Every language with a labelled row is learned. Repeated
+    rows are judged each; other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
     tune(spark)
@@ -181,7 +190,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     rows = sample(d.where(~held & F.col("doc_id").isNotNull()), per_language)
     model = None
     if rows:
-        model = Model(np.stack([np.frombuffer(x, np.float32) for _, x in rows]), [v for v, _ in rows])
+        model = Model(shares(rows), [v for v, _ in rows])
     known = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
