@@ -1,9 +1,10 @@
 """Quality classification by co-training of two views.
 
 One classifier reads the text, the other only what is known about the page:
-source, language and length. In each round either names the unlabelled documents
-of which it is most confident, and they teach the other. Both are then calibrated
-on labelled rows that neither learned from, and combined to score all documents.
+source and language. In each round either names the unlabelled documents of which
+it is most confident; they teach the other and leave the pool. Both are then
+calibrated on labelled rows that neither learned from, and combined to score all
+documents.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import in_workers, stage, tune
+from vellum.llm.common import free, in_workers, stage, tune
 
 #: Labelled rows read at most (by hash order); the part kept for calibration; rounds;
 #: pseudo-labels a view gives a round at most; what counts as confident.
@@ -27,7 +28,7 @@ SOURCES, LANGS = 48, 16
 CLASSES = np.full(256, 7, np.int64)
 for _k, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n\t\r\x0b\x0c", b".,;:?'\"()-", b"!#*$%&|<>@^~=+_{}[]/\\`")):
     CLASSES[list(_chars)] = _k
-TEXT_FEATURES, META_FEATURES = 8 + 8 + 9, 4 + SOURCES + LANGS
+TEXT_FEATURES, META_FEATURES = 8 + 8 + 9, SOURCES + LANGS
 
 
 def text_view(text: str | None) -> np.ndarray:
@@ -47,13 +48,11 @@ def text_view(text: str | None) -> np.ndarray:
     ])
 
 
-def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    """Log length and its square, and hashed source and language; nulls are values of their own."""
+def meta_view(source: str | None, lang: str | None) -> np.ndarray:
+    """Hashed source and language; nulls are values of their own."""
     x = np.zeros(META_FEATURES)
-    size = np.log1p(max(n_chars or 0, 0))
-    x[:4] = size / 10, size * size / 100, n_chars is None, size < 5
-    x[4 + zlib.crc32(repr(source).encode()) % SOURCES] = 1
-    x[4 + SOURCES + zlib.crc32(repr(lang).encode()) % LANGS] = 1
+    x[zlib.crc32(repr(source).encode()) % SOURCES] = 1
+    x[SOURCES + zlib.crc32(repr(lang).encode()) % LANGS] = 1
     return x
 
 
@@ -83,7 +82,7 @@ class Logistic:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text_x, meta_x), arrays of floats, of ``docs`` (doc_id, text, source, lang, n_chars)."""
+    """Rows (doc_id, text_x, meta_x), arrays of floats, of ``docs`` (doc_id, text, source, lang)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -91,7 +90,7 @@ def features(docs: DataFrame) -> DataFrame:
             out = [np.array([text_view(t) for t in cols[1]], np.float32), np.array([meta_view(*m) for m in zip(*cols[2:], strict=True)], np.float32)]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(x), pa.list_(pa.float32())) for x in out)], ["doc_id", "text_x", "meta_x"])
 
-    return in_workers(docs.select("doc_id", "text", "source", "lang", "n_chars"), run, "doc_id long, text_x array<float>, meta_x array<float>")
+    return in_workers(docs.select("doc_id", "text", "source", "lang"), run, "doc_id long, text_x array<float>, meta_x array<float>")
 
 
 def arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,67 +111,87 @@ def scored(rows: DataFrame, score, names: list[str]) -> DataFrame:
     return in_workers(rows, run, "doc_id long, text_x array<float>, meta_x array<float>, " + ", ".join(f"{n} double" for n in names))
 
 
-def exchange(unlabelled: DataFrame, text: Logistic, meta: Logistic, positive: float, count: int = EXCHANGE) -> list[list]:
-    """For each view, the rows that it is most confident of, with its labels: a top-k each side, in the share of the labels."""
-    both = scored(unlabelled, lambda t, m: (text.chance(t), meta.chance(m)), ["text_p", "meta_p"])
-    out = []
+def exchange(unlabelled: DataFrame, text: Logistic, meta: Logistic, positive: float, count: int = EXCHANGE) -> tuple[list[list], DataFrame]:
+    """For each view, the rows that it is most confident of, with its labels: a top-k each side, in the share of the labels. And their ids (gone).
+
+    The unlabelled rows are scored once; narrow rows compete, and the views of
+    those chosen, at most two ``count`` of ids, are fetched after.
+    """
+    both = stage(scored(unlabelled, lambda t, m: (text.chance(t), meta.chance(m)), ["text_p", "meta_p"]).select("doc_id", "text_p", "meta_p"), "quality-chances")
+    best = None
     for view in ("text_p", "meta_p"):
-        taken = []
         for y, p, k in ((1.0, F.col(view), max(1, round(count * positive))), (0.0, 1 - F.col(view), max(1, round(count * (1 - positive))))):
-            # Narrow rows compete; the views of those chosen, at most k ids, are fetched after.
-            best = stage(both.where(p >= CONFIDENT).select("doc_id", p.alias("p")).orderBy(F.desc("p"), F.xxhash64("doc_id"), "doc_id").limit(k).select("doc_id"), "quality-best")
-            taken += unlabelled.join(F.broadcast(best), "doc_id", "left_semi").orderBy("doc_id").select("text_x", "meta_x", F.lit(y).alias("y")).collect()
-        out.append(taken)
-    return out
+            top = both.where(p >= CONFIDENT).select("doc_id", p.alias("p")).orderBy(F.desc("p"), F.xxhash64("doc_id"), "doc_id").limit(k)
+            top = top.select(F.col("doc_id").alias("gone"), F.lit(view).alias("view"), F.lit(y).alias("y"))
+            best = top if best is None else best.union(top)
+    best = stage(best.distinct(), "quality-best")
+    taken = unlabelled.join(F.broadcast(best), F.col("doc_id") == F.col("gone")).orderBy("doc_id", "view", "y").select("view", "text_x", "meta_x", "y").collect()
+    free(both)
+    return [[r for r in taken if r.view == view] for view in ("text_p", "meta_p")], best
+
+
+def parted(rows: list, share: float) -> tuple[list, list]:
+    """Rows to learn from and rows held out: of each class, in the order given, every so many are held out, the first never."""
+    every = max(2, round(1 / share))
+    learn, hold, met = [], [], Counter()
+    for r in rows:
+        (hold if met[r.y] % every == every - 1 else learn).append(r)
+        met[r.y] += 1
+    return learn, hold
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, rounds: int = ROUNDS, count: int = EXCHANGE) -> DataFrame:
     """One row a document: doc_id, score, text_score, meta_score, kept (score of one half or more).
 
-    ``docs`` has doc_id, text, source, lang, n_chars; ``labels`` has doc_id and
-    quality (0 or 1; the least counts where a document has several, nulls do not).
-    Training reads ``most_labelled`` labelled rows at most; the pseudo-labels of a
-    round are a top ``count`` over all unlabelled rows; every row is scored. Null
-    or empty texts and null metadata are values like others. With labels of one
-    class or none, all scores are that class (kept where there is none).
+    ``docs`` has doc_id, text, source, lang; ``labels`` has doc_id and quality (0
+    or 1; the least counts where a document has several, nulls do not). Training
+    reads ``most_labelled`` labelled rows at most; the pseudo-labels of a round
+    are a top ``count`` over all rows still unlabelled; every row is scored. Null
+    or empty texts and null metadata are values like others; a row with a null id
+    is scored and teaches nothing; rows that repeat an id are scored each. Where
+    a class has too few labels to hold any out, scores stay uncalibrated; with
+    labels of one class or none, all scores are that class (kept where there is
+    none). An empty table gives no rows.
     """
     tune(docs.sparkSession)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("text", "source", "lang")), F.col("n_chars").cast("long").alias("n_chars"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("text", "source", "lang")))
     rows = stage(features(d), "quality-views")
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("double").alias("y"))
     joined = stage(rows.join(known, "doc_id", "left"), "quality-labelled")
     labelled = joined.where("y is not null")
     # A sample by hash, of a size that is bounded whatever the number of labels.
     share = most_labelled / max(labelled.count(), 1)
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("doc_id").select("text_x", "meta_x", "y", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(1000)).alias("part"))
-    learn, hold = [], []
-    for r in chosen.collect():
-        (hold if r.part < 1000 * CALIBRATE else learn).append(r)
+    order = F.crc32(F.col("doc_id").cast("string"))
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).orderBy(order, "doc_id").select("text_x", "meta_x", "y").collect()
+    learn, hold = parted(chosen, CALIBRATE)
     t, m, y = arrays(learn)
     tc, mc, yc = arrays(hold)
-    seen = {*y.tolist(), *yc.tolist()}
-    if len(set(y.tolist())) < 2 or len(set(yc.tolist())) < 2:
-        flat = float(np.mean([*seen])) if len(seen) == 1 else 1.0 if not seen else float(np.mean(np.r_[y, yc]))
-        p = F.lit(flat)
+    if len(seen := set(y.tolist())) < 2:
+        p = F.lit(seen.pop() if seen else 1.0)
         return rows.select("doc_id", p.alias("score"), p.alias("text_score"), p.alias("meta_score"), (p >= 0.5).alias("kept"))
-    unlabelled = joined.where("y is null").select("doc_id", "text_x", "meta_x")
+    unlabelled = joined.where("y is null and doc_id is not null").select("doc_id", "text_x", "meta_x")
     text, meta = Logistic(t, y), Logistic(m, y)
     taught: list[list] = [[], []]  # by the other view: rows for text, rows for meta
     for _ in range(rounds):
-        by_text, by_meta = exchange(unlabelled, text, meta, float(y.mean()), count)
+        (by_text, by_meta), gone = exchange(unlabelled, text, meta, float(y.mean()), count)
+        unlabelled = unlabelled.join(F.broadcast(gone.select("gone")), F.col("doc_id") == F.col("gone"), "left_anti")
         taught[0] += by_meta
         taught[1] += by_text
         for k, x in ((0, t), (1, m)):
             extra = arrays(taught[k])
             model = Logistic(np.r_[x, extra[k]], np.r_[y, extra[2]])
             text, meta = (model, meta) if k == 0 else (text, model)
-    sure = [Logistic(v.logit(x)[:, None], yc) for v, x in ((text, tc), (meta, mc))]
-    own = np.c_[sure[0].logit(text.logit(tc)[:, None]), sure[1].logit(meta.logit(mc)[:, None])]
-    whole = Logistic(own, yc)
+    sure = whole = None
+    if len(set(yc.tolist())) == 2:
+        sure = [Logistic(v.logit(x)[:, None], yc) for v, x in ((text, tc), (meta, mc))]
+        whole = Logistic(np.c_[sure[0].logit(text.logit(tc)[:, None]), sure[1].logit(meta.logit(mc)[:, None])], yc)
 
     def score(t: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, ...]:
-        views = np.c_[sure[0].logit(text.logit(t)[:, None]), sure[1].logit(meta.logit(m)[:, None])]
-        return whole.chance(views), *(1 / (1 + np.exp(-views.T)))
+        views = np.c_[text.logit(t), meta.logit(m)]
+        if sure:
+            views = np.c_[sure[0].logit(views[:, :1]), sure[1].logit(views[:, 1:])]
+        both = whole.chance(views) if whole else 1 / (1 + np.exp(-views.mean(1)))
+        return both, *(1 / (1 + np.exp(-views.T)))
 
     names = ["score", "text_score", "meta_score"]
     return scored(rows, score, names).select("doc_id", *names, (F.col("score") >= 0.5).alias("kept"))
