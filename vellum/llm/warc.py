@@ -13,9 +13,11 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,15 @@ from vellum.llm.common import in_workers, tune
 VERSION = b"WARC/1.1\r\n"
 #: Names of record ids: a version-5 UUID over this space, so that a rerun makes the same ids.
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+#: Bytes that a file is unpacked by, of records that are handed on at once, and of a file that is written.
+PIECE, HELD, FILE_BYTES = 1 << 20, 8 << 20, 256 << 20
 #: The date of responses made of tables that have none.
 EPOCH = "1970-01-01T00:00:00Z"
 
+HEAD_END = re.compile(rb"\r?\n\r?\n")
+FOLDED_LINE = re.compile(r"\r?\n[ \t]+")
+CHUNK = re.compile(rb"(?:\r\n)?([0-9a-fA-F]+)[^\r\n]*\r\n")
+CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 BREAKS = re.compile(r"<\s*/?\s*(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|h[1-6]|section|article|header|footer|nav|aside|main|form|pre|blockquote|figure|figcaption)\b[^>]*>", re.I)
 TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
@@ -69,19 +77,76 @@ def serialize(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return VERSION + b"".join(lines) + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The records of a WARC file, plain or compressed record by record."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+def members(data: bytes | memoryview) -> Iterator[bytes]:
+    """The plain bytes of a file, piece by piece: as they are, or of one compressed member after another."""
+    view = memoryview(data)
+    if bytes(view[:2]) != b"\x1f\x8b":
+        yield from (bytes(view[i : i + PIECE]) for i in range(0, len(view), PIECE))
+        return
     at = 0
-    while at < len(data):
-        if data[at : at + 5] != b"WARC/":
-            raise ValueError(f"no WARC record at byte {at}")
-        end = data.index(b"\r\n\r\n", at)
-        headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in data[at:end].decode("utf-8", "replace").split("\r\n")[1:])
-        size = int(headers["Content-Length"])
-        yield headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+    while at < len(view):
+        if not view[at]:  # padding between members
+            at += 1
+            continue
+        unpack, start = zlib.decompressobj(31), at
+        while not unpack.eof and at < len(view):
+            some = view[at : at + PIECE]
+            out = unpack.decompress(some, PIECE)
+            while unpack.unconsumed_tail:
+                yield out
+                out = unpack.decompress(unpack.unconsumed_tail, PIECE)
+            at += len(some) - len(unpack.unused_data)
+            yield out
+        if not unpack.eof:
+            raise ValueError(f"the member at byte {start} is cut short")
+
+
+def parse(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The records of a WARC file, plain or compressed, one at a time.
+
+    Names of headers keep their spelling; white space around names and values
+    goes, lines that go on are joined, values of a repeated name are joined by
+    ", ". No more than a record and a piece of the file's plain bytes are held.
+    """
+    pieces, held, done = members(data), bytearray(), False
+
+    def fill(n: int) -> bool:
+        nonlocal done
+        while len(held) < n and not done:
+            piece = next(pieces, None)
+            done = piece is None
+            held.extend(piece or b"")
+        return len(held) >= n
+
+    while True:
+        while fill(1) and held[0] in b"\r\n":  # ends of records, however many
+            del held[: len(held) - len(held.lstrip(b"\r\n"))]
+        if not fill(1):
+            return
+        fill(5)
+        if held[:5].upper() != b"WARC/":
+            raise ValueError("no WARC record follows")
+        end = None
+        while (end := HEAD_END.search(held)) is None:
+            if not fill(len(held) + 1):
+                raise ValueError("a record's header is cut short")
+        lines = FOLDED_LINE.sub(" ", held[: end.start()].decode("utf-8", "replace")).splitlines()[1:]
+        headers: dict[str, str] = {}
+        for line in lines:
+            k, _, v = line.partition(":")
+            headers[k.strip()] = f"{headers[k.strip()]}, {v.strip()}" if k.strip() in headers else v.strip()
+        size = int(header(headers, "Content-Length") or 0)
+        if not fill(end.end() + size):
+            raise ValueError("a record's block is cut short")
+        yield headers, bytes(held[end.end() : end.end() + size])
+        del held[: end.end() + size]
+
+
+def header(headers: dict[str, str], name: str) -> str | None:
+    """A header by name, whatever its case."""
+    if name in headers:
+        return headers[name]
+    return next((v for k, v in headers.items() if k.lower() == name.lower()), None)
 
 
 def response(url: str, page: str, date: str = EPOCH, key: str = "") -> tuple[list[tuple[str, str]], bytes]:
@@ -96,36 +161,71 @@ def response(url: str, page: str, date: str = EPOCH, key: str = "") -> tuple[lis
 
 
 def payload(block: bytes) -> tuple[list[tuple[str, str]], bytes]:
-    """The HTTP headers and body of a response's block."""
-    head, gap, body = block.partition(b"\r\n\r\n")
-    if not gap or not head.startswith(b"HTTP/"):
+    """The HTTP headers and body of a response's block, the body as it was sent."""
+    end = HEAD_END.search(block)
+    if not end or not block.startswith(b"HTTP/"):
         return [], block
-    lines = head.decode("latin-1").split("\r\n")[1:]
-    return [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines)], body
+    lines = block[: end.start()].decode("latin-1").splitlines()[1:]
+    return [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines)], block[end.end() :]
+
+
+def unchunked(body: bytes) -> bytes:
+    """A body without its chunk sizes; what cannot be read so stays as it is."""
+    out, at = [], 0
+    while m := CHUNK.match(body, at):
+        size = int(m[1], 16)
+        if not size:
+            return b"".join(out)
+        out.append(body[m.end() : m.end() + size])
+        at = m.end() + size
+    return b"".join(out) if out and at >= len(body) else body
+
+
+def page_of(source: list[tuple[str, str]], body: bytes) -> str:
+    """The text of a body: transfer and content encodings undone, then its charset, as the header, a mark or the page says."""
+    known = {k.lower(): v.lower() for k, v in source}
+    if "chunked" in known.get("transfer-encoding", ""):
+        body = unchunked(body)
+    for name in reversed(known.get("content-encoding", "").split(",")):
+        if (bits := {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(name.strip())) is None:
+            continue
+        for b in bits:
+            try:
+                body = zlib.decompressobj(b).decompress(body)
+                break
+            except zlib.error:
+                continue
+    mark = next((c for m, c in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")) if body.startswith(m)), None)
+    said = CHARSET.search(known.get("content-type", "")) or CHARSET.search(body[:2048].decode("latin-1"))
+    for name in (mark, said and said[1]):
+        try:
+            if name:
+                return body.decode(name, "replace")
+        except (LookupError, ValueError):
+            continue
+    return body.decode("utf-8", "replace")
 
 
 def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[list[tuple[str, str]], bytes]]:
     """The metadata and the conversion record of one response."""
     source, body = payload(block)
-    page = body.decode("utf-8", "replace")
-    of = headers.get("WARC-Record-ID", "")
-    link = [("WARC-Refers-To", of), ("WARC-Refers-To-Target-URI", headers.get("WARC-Target-URI", "")), ("WARC-Refers-To-Date", headers.get("WARC-Date", ""))]
+    page = page_of(source, body)
+    said_by = lambda name: header(headers, name) or ""
+    of = said_by("WARC-Record-ID")
+    link = [("WARC-Refers-To", of), ("WARC-Refers-To-Target-URI", said_by("WARC-Target-URI")), ("WARC-Refers-To-Date", said_by("WARC-Date"))]
     fields = [(f"source-{k.lower()}", v) for k, v in source]
-    fields += [("source-block-digest", headers.get("WARC-Block-Digest") or digest(block)), ("source-payload-digest", headers.get("WARC-Payload-Digest") or digest(body))]
+    fields += [("source-block-digest", said_by("WARC-Block-Digest") or digest(block)), ("source-payload-digest", said_by("WARC-Payload-Digest") or digest(body))]
     said = "".join(f"{k}: {v}\r\n" for k, v in fields + page_fields(page)).encode()
     out = []
     for kind, content, data in (("metadata", "application/warc-fields", said), ("conversion", "text/plain; charset=utf-8", plain_text(page).encode())):
         out.append((
-            [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, of)), ("WARC-Target-URI", headers.get("WARC-Target-URI", "")),
-             ("WARC-Date", headers.get("WARC-Date", "")), *link, ("Content-Type", content), ("WARC-Block-Digest", digest(data)), ("WARC-Payload-Digest", digest(data))],
+            [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, of)), ("WARC-Target-URI", said_by("WARC-Target-URI")),
+             ("WARC-Date", said_by("WARC-Date")), *link, ("Content-Type", content), ("WARC-Block-Digest", digest(data)), ("WARC-Payload-Digest", digest(data))],
             data,
         ))
     return out
 
 
-RECORD = "record_id string, type string, target_uri string, date string, refers_to string, headers map<string,string>, block binary, record binary"
-
-
 def pages_to_responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Rows (page_id, headers, block): a response record for each page. A null url or page counts as empty."""
 
@@ -145,12 +245,15 @@ def derive(responses: DataFrame) -> DataFrame:
     """Rows of ``responses`` (headers, block, and any others) with their derivatives beside them.
 
     Adds metadata and conversion, structs of a record's headers, block and bytes
-    as written to a file. Responses are independent: nothing is shuffled, and a
-    lost task is simply run again, to the same record ids.
+    as written to a file; columns of those names are replaced. Only records of
+    WARC-Type response have derivatives: others give no row. A null block counts
+    as empty. Responses are independent: nothing is shuffled, and a lost task is
+    simply run again, to the same record ids; rows that repeat have equal ids.
     """
     kept = [c for c in responses.columns if c not in ("metadata", "conversion")]
     where = [kept.index("headers"), kept.index("block")]
     one = pa.struct([("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary()), ("record", pa.binary())])
+    is_response = F.exists(F.map_entries("headers"), lambda h: (F.lower(h["key"]) == "warc-type") & (F.lower(h["value"]) == "response"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -162,24 +265,73 @@ def derive(responses: DataFrame) -> DataFrame:
 
     fields = ", ".join(f"`{c}` {responses.schema[c].dataType.simpleString()}" for c in kept)
     kind = "struct<headers: map<string,string>, block: binary, record: binary>"
-    return in_workers(responses.select(*kept), run, f"{fields}, metadata {kind}, conversion {kind}")
+    return in_workers(responses.where(is_response).select(*kept), run, f"{fields}, metadata {kind}, conversion {kind}")
 
 
 def read_warc(files: DataFrame) -> DataFrame:
-    """Rows (path, headers, block) of the records in ``files``, rows (path, content) as the binaryFile source gives them."""
+    """Rows (path, headers, block) of the records in ``files``, rows (path, content) as the binaryFile source gives them.
+
+    A file is unpacked member by member and its records are handed on as they
+    come, so that a worker holds the file as it is stored and some megabytes of
+    records. A null or empty file has none; a file that is cut short or holds
+    anything else raises an error.
+    """
+    tune(files.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = list(parse(content or b""))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(found), pa.string()), pa.array([list(h.items()) for h, _ in found], pa.map_(pa.string(), pa.string())), pa.array([x for _, x in found], pa.binary())],
-                    ["path", "headers", "block"],
-                )
+            for path, content in zip(b.column(0), b.column(1), strict=True):
+                found: list[tuple[dict[str, str], bytes]] = []
+                size = 0
+                for record in parse(memoryview(content.as_buffer()) if content.is_valid else b""):
+                    found.append(record)
+                    size += len(record[1])
+                    if size >= HELD:
+                        yield batch(path.as_py(), found)
+                        found, size = [], 0
+                if found:
+                    yield batch(path.as_py(), found)
+
+    def batch(path: str | None, found: list[tuple[dict[str, str], bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([path] * len(found), pa.string()), pa.array([list(h.items()) for h, _ in found], pa.map_(pa.string(), pa.string())), pa.array([x for _, x in found], pa.binary())],
+            ["path", "headers", "block"],
+        )
 
     return in_workers(files.select("path", "content"), run, "path string, headers map<string,string>, block binary")
 
 
+def warc_files(derived: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Files of the derivatives of ``derived`` (see ``derive``): rows (path, content), each content a compressed WARC file of about ``file_bytes``.
+
+    A file starts with a warcinfo record; each response's metadata and conversion
+    records follow each other. The rows can be written to any table and read
+    again by ``read_warc``. Files are of one partition each; none come of no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, k, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal k, held, size
+            path = f"derivatives-{part:05d}-{k:05d}.warc.gz"
+            said = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id("warcinfo", path)), ("WARC-Date", EPOCH), ("WARC-Filename", path), ("Content-Type", "application/warc-fields")]
+            content = gzip.compress(serialize(said, b"format: WARC File Format 1.1\r\n"), 6, mtime=0) + b"".join(held)
+            k, held, size = k + 1, [], 0
+            return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([content], pa.binary())], ["path", "content"])
+
+        for b in batches:
+            for two in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held += [x or b"" for x in two]
+                size += sum(map(len, held[-2:]))
+                if size >= file_bytes:
+                    yield close()
+        if held:
+            yield close()
+
+    return in_workers(derived.select("metadata.record", F.col("conversion.record").alias("other")), run, "path string, content binary")
+
+
 def page_derivatives(pages: DataFrame) -> DataFrame:
     """One row a page: ids, links and digests of its response, metadata and conversion records, and the plain text's size.
 
