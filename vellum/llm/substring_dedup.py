@@ -6,11 +6,17 @@ share an anchor occurrence make a block: a stretch of the document from the firs
 of those windows to the end of the last. The index holds every block of every
 document by (anchor, content), with one count a content, however many copies.
 
-A document is factored left to right into its blocks. A block whose content is
-indexed twice or more matches a reference whole, and runs of such blocks make
-long factors. Where contents around a shared anchor differ - at the ends of a
-factor - the block's windows are checked one by one against the windows of the
-other contents of that anchor. Windows found elsewhere become duplicate spans.
+Each content of the index has two references, its first and its last occurrence.
+
+A document is parsed greedily from left to right. A block whose content is indexed
+twice or more starts a factor that copies from a reference other than itself, and
+the factor goes on for as long as the next block, or window, is found where the
+reference goes on too. Where contents around a shared anchor differ - at the ends
+of a factor - the block's windows are looked up one by one among the windows of
+the other contents of that anchor, which also have two references each. A factor
+has ``size`` words or more; what factors cover are the duplicate spans. As the
+window's rule asks for every window that occurs elsewhere, factors may overlap by
+up to ``size`` - 1 words, where a phrase of a plain parse would end.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import bloom
-from vellum.llm.common import in_workers, mix, runs, stage, text_bytes, tune
+from vellum.llm.common import free, in_workers, mix, runs, stage, text_bytes, tune, unused
 
 #: Words of a window; words of a gram.
 SIZE, GRAM = 35, 8
@@ -140,12 +146,13 @@ def duplicate_windows(docs: DataFrame, id_col: str, text_col: str, size: int = S
     shared = stage(anchors.where("times > 1").select(F.col("h").alias("shared_h"), (F.col("low") != F.col("high")).alias("varied")), "substring-anchors")
     met = stage(blocks.join(shared, F.col("h") == F.col("shared_h")).drop("shared_h"), "substring-shared")
 
+    place = F.struct("rid", "at")
     contents = met.groupBy("h", "g").agg(
-        F.count("*").alias("times"), F.first("varied").alias("varied"), F.min(F.struct("rid", "at", "n")).alias("one")
+        F.count("*").alias("times"), F.first("varied").alias("varied"), F.min(F.struct("rid", "at", "n")).alias("one"), F.max(place).alias("last")
     )
     contents = stage(contents, "substring-contents")
-    whole = contents.where("times > 1").select("h", "g", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("one.n")).alias("top"))
-    whole = whole.select("h", "g", (F.col("top") - 1).alias("mask"))
+    top = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("one.n")) - 1
+    whole = contents.where("times > 1").select("h", "g", top.alias("mask"), F.lit(-1).alias("k"), F.struct("one.rid", "one.at").alias("first"), "last")
 
     # Factor ends: one block of each content of a varied anchor, window by window.
     ask = contents.where("varied").select("h", "g", "one.*", F.least("times", F.lit(2)).cast("int").alias("weight"))
@@ -163,79 +170,122 @@ def duplicate_windows(docs: DataFrame, id_col: str, text_col: str, size: int = S
             k = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
             start = (words.first[doc] + at)[which] + k
             a, c = words.hash(start, size).view(np.int64), words.hash(start, size, C2).view(np.int64)
+            ids = b.column("rid").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (a, (c >> 32).astype(np.int32), h[which], g[which], k.astype(np.int32), weight[which])],
-                ["a", "c", "h", "g", "k", "weight"],
+                [pa.array(x) for x in (a, (c >> 32).astype(np.int32), h[which], g[which], k.astype(np.int32), weight[which], ids[doc][which], (at[which] + k).astype(np.int32))],
+                ["a", "c", "h", "g", "k", "weight", "rid", "at"],
             )
 
     # A row that repeats in the table would count its windows twice, so rows are made one.
     asked = maybe.join(ask, "rid").dropDuplicates(["rid"])
-    windows = stage(in_workers(asked, check, "a long, c int, h long, g long, k int, weight int"), "substring-windows")
-    twice = windows.groupBy("a", "c").agg(F.sum("weight").alias("times")).where("times > 1")
-    twice = stage(twice.select(F.col("a").alias("a2"), F.col("c").alias("c2")), "substring-repeated")
+    windows = stage(in_workers(asked, check, "a long, c int, h long, g long, k int, weight int, rid long, at int"), "substring-windows")
+    twice = windows.groupBy("a", "c").agg(F.sum("weight").alias("times"), F.min(place).alias("first"), F.max(place).alias("last")).where("times > 1")
+    twice = stage(twice.select(F.col("a").alias("a2"), F.col("c").alias("c2"), "first", "last"), "substring-repeated")
     part = windows.join(twice, (F.col("a") == F.col("a2")) & (F.col("c") == F.col("c2"))).select(
-        "h", "g", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k")).alias("mask")
+        "h", "g", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k")).alias("mask"), "k", "first", "last"
+    )
+    masks = whole.union(part).groupBy(F.col("h").alias("mask_h"), F.col("g").alias("mask_g")).agg(
+        F.bit_or("mask").alias("mask"), F.collect_list(F.struct("k", "first", "last")).alias("refs")
     )
-    masks = stage(whole.union(part).groupBy(F.col("h").alias("mask_h"), F.col("g").alias("mask_g")).agg(F.bit_or("mask").alias("mask")), "substring-masks")
+    masks = stage(masks, "substring-masks")
+    free(contents, ask, windows, twice)
     marked = met.join(masks, (F.col("h") == F.col("mask_h")) & (F.col("g") == F.col("mask_g")))
-    return stage(marked.groupBy("rid").agg(F.collect_set(F.struct("at", "mask")).alias("marks")), "substring-marks")
-
-
-def factors(size: int, n_words: int, marks: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Duplicate spans [start, end) in words: the union of the windows that ``marks`` name."""
-    spans: list[list[int]] = []
-    for at, mask in sorted(marks):
-        k = at
-        while mask:
-            skip = (mask & -mask).bit_length() - 1
-            mask >>= skip
-            run = (~mask & (mask + 1)).bit_length() - 1
-            mask >>= run
-            k += skip
-            if spans and k <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], k + run + size - 1)
-            else:
-                spans.append([k, k + run + size - 1])
-            k += run
-    return [(a, min(b, n_words)) for a, b in spans]
+    marks = stage(marked.groupBy("rid").agg(F.collect_set(F.struct("at", "mask", "refs")).alias("marks")), "substring-marks")
+    free(blocks, shared, met, masks)
+    return marks
+
+
+def matches(own: int, marks: list[dict]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Runs of duplicate windows from left to right: the first, how many, and references (row, window) of the first, none of them itself."""
+    for m in sorted(marks, key=lambda m: m["at"]):
+        at, mask = m["at"], m["mask"]
+        known = {r["k"]: r for r in m["refs"]}
+        if -1 in known:  # the whole block is indexed
+            runs_ = [(0, mask.bit_count(), known[-1])]
+        else:
+            runs_ = [(k, 1, known[k]) for k in sorted(known) if mask >> k & 1]
+        for k, n, r in runs_:
+            at_k = at + k
+            refs = [(x["rid"], x["at"]) for x in (r["first"], r["last"])]
+            other = [x for x in refs if x != (own, at_k)]
+            yield at_k, n, other or refs[:1]  # a repeated row is a reference to itself
+
+
+def factors(size: int, own: int, marks: list[dict]) -> list[tuple[int, int, int, int]]:
+    """The greedy parse of the row ``own``: factors (start, end, reference row, its start) in words.
+
+    A factor starts at the first duplicate window that the last one does not
+    reach, and goes on window by window while one of its references does.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    first = after = 0
+    open_: list[tuple[int, int]] = []  # references that still go on, with the window that would come next
+    for at, n, refs in matches(own, marks):
+        going = [x for x in open_ if x in refs] if at == after and open_ else []
+        if going:
+            row, ref = going[0]
+            out[-1] = (first, at + n + size - 1, row, ref - (at - first))
+        else:
+            going, first = refs, at
+            out.append((at, at + n + size - 1, *refs[0]))
+        after = at + n
+        open_ = [(row, ref + n) for row, ref in going]
+    return out
+
+
+def united(parse: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """What factors cover, as disjoint spans [start, end) in words."""
+    spans: list[tuple[int, int]] = []
+    for start, end, *_ in parse:
+        if spans and start <= spans[-1][1]:
+            spans[-1] = spans[-1][0], max(end, spans[-1][1])
+        else:
+            spans.append((start, end))
+    return spans
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, gram: int = GRAM, digest: bool = False
 ) -> DataFrame:
-    """The columns of ``docs`` with ``text_col`` cleaned, then n_words, n_removed and spans.
+    """The columns of ``docs`` with ``text_col`` cleaned, then n_words, n_removed, spans and factors.
 
     Each word covered by a window of ``size`` words that also starts anywhere
     else goes; the windows are judged on the input. A text that loses nothing is
     returned as it is; else the words left are joined by one space. ``spans``
-    holds the parts that went, as [start, end) in words. Null and empty texts
-    have no words and stay; a row that repeats another loses all its windows.
-    Windows are told apart by 96 bits of two hashes and their anchor. Columns of
-    the input named like the new ones are replaced; an empty table stays so. With
+    holds the parts that went, as [start, end) in words, and ``factors`` what they
+    were copied from: [start, end), the hash of the reference row (``rid``) and
+    the word where it starts there. Null and empty texts have no words and stay;
+    a row that repeats another loses all its windows. Windows are told apart by
+    96 bits of two hashes and their anchor. Columns of the input named like the
+    new ones are replaced, others may have any name; an empty table stays so. With
     ``digest``, kept_sha256 takes the place of the text: SHA-256 of the words
     left, joined by one space.
     """
     spark = docs.sparkSession
     tune(spark)
     marks = duplicate_windows(docs, id_col, text_col, size, gram)
-    added = {"n_words", "n_removed", "spans", "_text", "_rid", "_marks"}
+    added = {"n_words", "n_removed", "spans", "factors"}
     kept = [id_col] if digest else [c for c in docs.columns if c != text_col and c.lower() not in added]
-    rows = docs.select(*kept, F.col(text_col).cast("string").alias("_text"), rid(id_col, text_col).alias("_rid"))
-    maybe, clean = may_be_in(rows, marks, "_rid")
-    joined = maybe.join(marks.withColumnRenamed("marks", "_marks"), F.col("_rid") == F.col("rid"), "left")
+    names = [*kept, "kept_sha256" if digest else text_col, "n_words", "n_removed", "spans", "factors"]
+    text_, row_, marks_, rid_ = unused(docs, "text_of", "row_of", "marks_of", "marked_row")
+    rows = docs.select(*kept, F.col(text_col).cast("string").alias(text_), rid(id_col, text_col).alias(row_))
+    maybe, clean = may_be_in(rows, marks, row_)
+    joined = maybe.join(marks.select(F.col("rid").alias(rid_), F.col("marks").alias(marks_)), F.col(row_) == F.col(rid_), "left")
     none = F.array().cast(marks.schema["marks"].dataType)
-    names = [*kept, "kept_sha256" if digest else text_col, "n_words", "n_removed", "spans"]
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join(f"`{c}` {types[c]}" for c in kept)
-    schema += f", `{names[-4]}` string, n_words long, n_removed long, spans array<struct<start: long, end: long>>"
+    schema += f", `{names[-5]}` string, n_words long, n_removed long, spans array<struct<start: long, end: long>>"
+    schema += ", factors array<struct<start: long, end: long, rid: long, at: long>>"
+    whole = [pa.field(n, pa.int64()) for n in ("start", "end", "rid", "at")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out, n_words, n_removed, spans = [], [], [], []
-            given = b.column("_text").to_pylist()
-            for text, found in zip(given, b.column("_marks").to_pylist(), strict=True):
+            out, n_words, n_removed, spans, parses = [], [], [], [], []
+            given, own = b.column(len(kept)).to_pylist(), b.column(len(kept) + 1).to_pylist()
+            for text, row, found in zip(given, own, b.column(len(kept) + 2).to_pylist(), strict=True):
                 words = (text or "").encode().split()
-                gone = factors(size, len(words), [(m["at"], m["mask"]) for m in found]) if found else []
+                parse = factors(size, row, found) if found else []
+                gone = united(parse)
                 left = words
                 if gone:
                     left, end = [], 0
@@ -246,15 +296,16 @@ def remove_repeats(
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
                 spans.append([{"start": x, "end": y} for x, y in gone])
+                parses.append([dict(zip(("start", "end", "rid", "at"), f, strict=True)) for f in parse])
                 if digest:
                     out.append(hashlib.sha256(b" ".join(left)).hexdigest())
                 else:
                     out.append(b" ".join(left).decode() if gone else text)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in range(len(kept))), pa.array(out, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                 pa.array(spans, pa.list_(pa.struct(whole[:2]))), pa.array(parses, pa.list_(pa.struct(whole)))],
                 names,
             )
 
-    both = clean.select(*kept, "_text", none.alias("_marks")).union(joined.select(*kept, "_text", F.coalesce("_marks", none).alias("_marks")))
+    both = clean.select(*kept, text_, row_, none.alias(marks_)).union(joined.select(*kept, text_, row_, F.coalesce(marks_, none).alias(marks_)))
     return in_workers(both, cut, schema)
