@@ -207,7 +207,7 @@ def test_substring_dedup_digests(docs, rows):
 @pytest.mark.parametrize("size,gram", [(35, 8), (12, 4)])
 def test_substring_dedup_texts_and_spans(docs, rows, size, gram):
     out = substring_dedup.remove_repeats(docs, size=size, gram=gram)
-    assert out.columns == ["doc_id", "lang", "source", "n_chars", "marks", "text", "n_words", "n_removed", "spans"]
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "marks", "text", "n_words", "n_removed", "spans", "factors"]
     for r in out.collect():
         n, gone, left = EXPECTED.setdefault(size, repeats_expected(rows, size))[r.doc_id]
         assert (r.n_words, r.n_removed) == (n, gone)
@@ -218,6 +218,41 @@ def test_substring_dedup_texts_and_spans(docs, rows, size, gram):
 EXPECTED = {}
 
 
+def test_factors_copy_from_their_references_and_are_greedy(spark, docs, rows):
+    out = docs.select("doc_id", "text", substring_dedup.rid("doc_id", "text").alias("h"))
+    of = {r.h: (r.text or "").encode().split() for r in out.collect()}
+    own = {r.doc_id: r.h for r in out.collect()}
+    n = 0
+    for r in substring_dedup.remove_repeats(docs).collect():
+        w, after = (rows[r.doc_id] or "").encode().split(), -1
+        for f in r.factors:
+            size = f.end - f.start
+            assert size >= 35 and of[f.rid][f.at : f.at + size] == w[f.start : f.end] and (f.rid, f.at) != (own[r.doc_id], f.start)
+            assert f.start > after - 35  # a factor starts where the windows of the one before end
+            after = f.end
+            n += 1
+        assert substring_dedup.united([tuple(f) for f in r.factors]) == [tuple(s) for s in r.spans]
+    assert n > 10
+
+
+def test_a_factor_goes_on_while_its_reference_does():
+    ref = lambda rid, at: {"rid": rid, "at": at}
+    block = lambda at, n, first, last: {"at": at, "mask": (1 << n) - 1, "refs": [{"k": -1, "first": first, "last": last}]}
+    marks = [block(0, 5, ref(1, 0), ref(9, 40)), block(5, 3, ref(2, 7), ref(9, 45)), block(8, 2, ref(3, 0), ref(3, 50)), block(20, 1, ref(7, 20), ref(8, 3))]
+    assert substring_dedup.factors(35, 7, marks) == [(0, 42, 9, 40), (8, 44, 3, 0), (20, 55, 8, 3)]
+
+
+def test_clashing_names(spark):
+    text = " ".join(WORDS[:80])
+    names = "rid, text_of, row_of, marks_of, marked_row, h, g, at".split(", ")
+    d = spark.createDataFrame([(k, text, *[f"c{k}"] * len(names)) for k in range(3)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = substring_dedup.remove_repeats(d).collect()
+    assert [r.n_removed for r in got] == [80] * 3 and all(r.rid == f"c{r.doc_id}" for r in got)
+    pieces = spark.createDataFrame([(k, 0, 5 + k, "x", "y", "z", 1, 2) for k in range(5)], "doc_id long, piece int, length long, _length string, shard string, rank string, of int, before int")
+    packed = packing.pack(pieces, 10).collect()
+    assert len(packed) == 5 and all(r._length == "x" and r.shard == "y" and r.rank == "z" for r in packed)
+
+
 def test_repeated_rows_lose_their_words(spark):
     text = " ".join(WORDS[:40])
     d = spark.createDataFrame([(1, text), (1, text), (None, " ".join(WORDS[50:90])), (3, None)], "doc_id long, text string")
@@ -246,7 +281,7 @@ def test_token_files(docs, rows):
 def test_elias_fano_round_trip(n, top):
     values = np.sort(np.random.default_rng(n).integers(0, top, n)).astype(np.uint64)
     code, size = token_files.EliasFano.frombytes(memoryview(data := token_files.EliasFano.of(values).tobytes()))
-    assert size == len(data) and code.all().tolist() == values.tolist()
+    assert size == len(data) and [x for b in code.blocks() for x in b.tolist()] == values.tolist()
     assert [code.select(i) for i in range(0, n, max(1, n // 40))] == values[:: max(1, n // 40)].tolist()
     if n > 500:
         assert 8 * len(data) < n * (2.5 + max(0, np.log2(top / n))) + 600
@@ -257,7 +292,9 @@ def test_elias_fano_round_trip(n, top):
 def test_segments_read_single_documents():
     ids, counts = np.arange(70_000, dtype=np.uint32), np.array([0, 3, 69_997])
     s = token_files.Segment(token_files.Segment.pack([None, -4, 9], counts, ids))
-    assert s.document(1).tolist() == [0, 1, 2] and len(s.document(0)) == 0 and s.doc_ids.tolist() == [-4, 9] and s.nulls == 1
+    assert s.document(1).tolist() == [0, 1, 2] and len(s.document(0)) == 0 and [s.doc_id(i) for i in range(3)] == [None, -4, 9]
+    assert [(names, bounds.tolist()) for names, bounds in s.documents()] == [([None, -4, 9], [0, 0, 3, 70_000])]
+    assert s.bounds.sample.dtype.itemsize == 4 and len(s.bounds.sample) == 1
 
 
 def test_bpe_round_trip(docs, rows):
@@ -381,6 +418,152 @@ def test_warc_files_are_read_record_by_record(spark):
     assert len(got) == 6 and all(bytes(r.block) in {b for _, b in made} for r in got)
 
 
+def test_warc_headers_encodings_and_types(spark):
+    import gzip
+
+    page = "<html><body><p>Caf\u00e9 <b>ouvert</b></p></body></html>"
+    sent = gzip.compress(page.encode("latin-1"))
+    chunked = b"%x\r\n" % 10 + sent[:10] + b"\r\n" + b"%x;ext=1\r\n" % (len(sent) - 10) + sent[10:] + b"\r\n0\r\n\r\n"
+    block = b"HTTP/1.1 200 OK\r\ncontent-type:text/html; charset=ISO-8859-1\r\nContent-Encoding: gzip\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked
+    head = b"WARC/1.0\r\nwarc-type:response\r\nwarc-record-id:<urn:x>\r\nWARC-Target-URI: http://e/\r\n  long\r\nWARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\ncontent-length:%d\r\n\r\n" % len(block)
+    request = b"WARC/1.0\r\nWARC-Type: request\r\nContent-Length: 4\r\n\r\nGET \r\n\r\n"
+    data = request + head + block + b"\r\n\r\n" + request
+    files = spark.createDataFrame([("plain", bytearray(data)), ("whole", bytearray(gzip.compress(data))), ("parts", bytearray(gzip.compress(request) + gzip.compress(head + block + b"\r\n\r\n"))), ("none", bytearray(b""))], "path string, content binary")
+    records = warc.read_warc(files)
+    assert collections.Counter(r.path for r in records.collect()) == {"plain": 3, "whole": 3, "parts": 2}
+    got = warc.derive(records).collect()
+    assert sorted(r.path for r in got) == ["parts", "plain", "whole"]
+    for r in got:
+        assert bytes(r.conversion.block).decode() == "Caf\u00e9 ouvert" and dict(r.conversion.headers)["WARC-Refers-To"] == "<urn:x>"
+        assert dict(r.headers)["WARC-Concurrent-To"] == "<a>, <b>" and dict(r.headers)["WARC-Target-URI"] == "http://e/ long"
+    with pytest.raises(ValueError):
+        list(warc.parse(data[:-20]))
+    with pytest.raises(ValueError):
+        list(warc.parse(gzip.compress(data)[:-30]))
+
+
+def test_warc_files_round_trip(spark):
+    pages = spark.createDataFrame([(i, f"http://e/{i}", f"<p>page {i}</p>" * i) for i in range(40)], "page_id long, url string, html string").repartition(2)
+    derived = warc.derive(warc.pages_to_responses(pages))
+    files = warc.warc_files(derived, 4000)
+    assert files.count() > 4
+    expected = sorted(bytes(r[k].block) for r in derived.collect() for k in ("metadata", "conversion"))
+    back = warc.read_warc(files).collect()
+    assert sorted(bytes(r.block) for r in back if dict(r.headers)["WARC-Type"] != "warcinfo") == expected
+
+
+def test_page_derivatives_by_definition(spark):
+    import html
+    from html.parser import HTMLParser
+
+    d = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in warc.page_derivatives(d).collect()}
+    assert len(got) == d.count()
+    for r in d.collect():
+        body = (r.html or "").encode()
+        g = got[r.page_id]
+        assert g.payload_digest == warc.digest(body) and g.metadata_refers_to == g.conversion_refers_to == g.response_id and g.refers_to_uri == r.url
+
+        class Text(HTMLParser):
+            out, skip, on = "", 0, "<body" not in r.html.lower()
+
+            def handle_starttag(self, tag, attrs):
+                if tag in ("script", "style", "noscript", "template", "textarea", "title", "head"):
+                    self.skip += 1
+                self.on = self.on or tag == "body"
+
+            def handle_endtag(self, tag):
+                if tag in ("script", "style", "noscript", "template", "textarea", "title", "head"):
+                    self.skip = max(0, self.skip - 1)
+
+            def handle_data(self, data):
+                if self.on and not self.skip:
+                    self.out += data
+
+        p = Text()
+        p.feed(r.html or "")
+        p.close()
+        squeezed = lambda t: re.sub(r"\s+", "", html.unescape(t))
+        text = warc.plain_text(r.html or "")
+        assert squeezed(p.out) == squeezed(text) or abs(len(squeezed(p.out)) - len(squeezed(text))) <= 0.02 * len(text) + 20
+        assert g.text_bytes == len(text.encode()) and g.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_every_labelled_language_is_learned(spark):
+    rng = np.random.default_rng(12)
+    letters = [[chr(c) for c in rng.permutation(range(97, 123))[:7]] for _ in range(70)]
+    say = lambda k, n: " ".join("".join(rng.choice(letters[k], rng.integers(2, 7))) for _ in range(n))
+    rows = [(100 * k + i, say(k, 60), f"x{k}") for k in range(70) for i in range(3 if k == 69 else 12)]
+    rows += [(100 * k + i, t, lang) for k, t, lang in ((0, rows[0][1], "x0"),) for i in (0, 0)]  # repeated rows
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(d, per_language=10)
+    assert {r.lang_pred for r in got.collect()} == {f"x{k}" for k in range(70)} and got.count() == len(rows)
+    learned = langid.sample(d, per_language=10, most_rows=350)
+    assert collections.Counter(lang for lang, _ in learned) == {f"x{k}": min(5, 3 if k == 69 else 5) for k in range(70)}
+    x = langid.shares(learned)
+    assert np.allclose(x.sum(1), 1, atol=1e-4)
+
+
+def brute_trigrams(text):
+    """Trigram counts by definition: letters folded, all else a gap, gaps alone not counted."""
+    x = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in b"\n" + text.encode() + b"\n\n"]
+    out = collections.Counter()
+    for a, b, c in zip(x, x[1:], x[2:]):
+        if not (b == 32 and 32 in (a, c)):
+            out[(((a << 16 | b << 8 | c) * 0x9E3779B1) & 0xFFFFFFFF) >> 19] += 1
+    return out
+
+
+def test_language_scores_by_definition(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = langid.sample(d.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    model = langid.Model(langid.shares(rows), [v for v, _ in rows])
+    got = {r.doc_id: r for r in langid.identify(d).collect()}
+    sure = lambda m: 1 / (1 + np.exp(-np.clip(m, -50, 50)))
+    for r in d.collect():
+        grams = brute_trigrams(r.text or "")
+        n = max(1, sum(grams.values()))
+        margin = lambda machine: machine[2] * (sum(machine[0][k] * c for k, c in grams.items()) / n + machine[1])
+        p = [sure(margin(m)) for m in model.family_machines] or [1.0]
+        f = int(np.argmax(p))
+        members = model.members[f]
+        chance, votes = {a: 0.0 for a in members}, {a: 0.0 for a in members}
+        for a, b in itertools.combinations(members, 2):
+            m = margin(model.pairs[a, b])
+            votes[a if m >= 0 else b] += 1
+            chance[a] += sure(m)
+            chance[b] += sure(-m)
+        best = max(votes.values())
+        pred = model.langs.index(got[r.doc_id].lang_pred)
+        assert votes[pred] == best and got[r.doc_id].family == model.families[f]
+        score = p[f] / sum(p) * (chance[pred] / (len(members) - 1) if len(members) > 1 else 1)
+        assert abs(got[r.doc_id].score - score) < 1e-3
+
+
+def test_cotraining_with_few_labels(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    one = labels.where("quality = 0").limit(1).unionByName(labels.where("quality = 1").limit(20))
+    got = cotraining.quality_scores(d.union(d.limit(3)), one, count=10).collect()
+    assert len(got) == d.count() + 3 and len({r.score for r in got}) > 100
+
+
+def test_cotraining_rows_leave_the_pool(spark):
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 400)
+    t, m = rng.normal(y[:, None] * 2.0, 1, (400, cotraining.TEXT_FEATURES)), rng.normal(y[:, None] * 2.0, 1, (400, cotraining.META_FEATURES))
+    rows = spark.createDataFrame([(i, t[i].tolist(), m[i].tolist()) for i in range(400)], "doc_id long, text_x array<float>, meta_x array<float>")
+    text, meta = cotraining.Logistic(t, y), cotraining.Logistic(m, y)
+    taken, gone = cotraining.exchange(rows, text, meta, 0.5, 40)
+    f32 = lambda x: x.astype(np.float32).astype(float)
+    for k, p in enumerate((text.chance(f32(t)), meta.chance(f32(m)))):
+        for label, q in ((1.0, p), (0.0, 1 - p)):
+            best = sorted(q[q >= cotraining.CONFIDENT], reverse=True)[:20]
+            assert sum(r.y == label for r in taken[k]) == len(best)
+    ids = {r.gone for r in gone.collect()}
+    assert 0 < len(ids) <= 80
+
+
 def test_cotraining(spark, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -180,3 +180,42 @@ def test_near_stage_tries_every_partner(spark):
         texts += [" ".join(rng.permutation(w)), " ".join(w), " ".join([*w[4:], *w[:4]])]
     got, expected = kept_near(spark, texts)
     assert got == expected and len(expected) == 16
+
+
+def test_stages_decide_by_row_and_not_by_id(spark):
+    rng = np.random.default_rng(8)
+    common = quality_rules.COMMON["en"][:12]
+    say = lambda n: " ".join(rng.choice(common * 8 + [f"word{i}" for i in range(600)], n))
+    v, t, u = say(120), say(130), say(140)
+    steps = dict(corpus_pipeline.STAGES)
+    rows = [(7, v), (7, t), (1, t + " "), (None, u), (None, u), (3, u.replace(" ", "\n")), (9, "short"), (9, v + " more")]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in rows], SCHEMA)
+    docs = steps["quality_rules"](spark, docs, "").cache()
+    assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted((i or 0, x) for i, x in rows if x != "short")
+    docs = steps["exact_dedup"](spark, docs, "").cache()
+    assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted([(7, v), (1, t + " "), (3, u.replace(" ", "\n")), (9, v + " more")])
+    docs = steps["simhash"](spark, docs, "").cache()
+    assert sorted(r.doc_id for r in docs.collect()) == [1, 3, 7]
+    again = spark.createDataFrame([(None, u, "en", "s", 1), (None, u, "en", "s", 1), (None, v, "en", "s", 1)], SCHEMA)
+    for name in ("exact_dedup", "simhash"):
+        assert sorted(r.text for r in steps[name](spark, again, "").collect()) == sorted([u, v]), name
+
+
+def test_run_equals_the_chained_brute_force(spark, table, tmp_path):
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = rows_of(table)
+    for expected in (quality_expected, exact_expected, near_expected):
+        some = expected(rows)
+        rows = {d: r for d, r in rows.items() if d in some}
+    texts = repeats_expected(rows)
+    from tokenizers import Tokenizer
+
+    from vellum.llm import packing
+    from vellum.llm.tokens import model_path
+
+    model = Tokenizer.from_file(model_path(packing.MODEL))
+    sizes = {d: len(model.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in texts.items()}
+    got = collections.Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r.doc_id] += r.length
+    assert dict(got) == sizes

@@ -18,21 +18,23 @@ from pyspark.sql import functions as F
 from vellum.llm import bloom
 from vellum.llm.common import WS, code_points, in_workers, stage, text_bytes, tune
 
-def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_points, sha): code points of the text, SHA-256 of it without white space."""
+
+def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """Rows (doc_id, row, n_points, sha): code points of the text, SHA-256 of it without white space; row is null without ``row_col``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sha = [hashlib.sha256((t or b"").translate(None, WS)).digest() for t in text_bytes(b.column(1))]
-            points = code_points(b.column(1)).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), points, pa.array(sha, pa.binary())], ["doc_id", "n_points", "sha"])
+            sha = [hashlib.sha256((t or b"").translate(None, WS)).digest() for t in text_bytes(b.column(2))]
+            points = code_points(b.column(2)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), points, pa.array(sha, pa.binary())], ["doc_id", "row", "n_points", "sha"])
 
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return in_workers(d, run, "doc_id long, n_points long, sha binary")
+    row = F.col(row_col) if row_col else F.lit(None)
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
+    return in_workers(d, run, "doc_id long, row long, n_points long, sha binary")
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = bloom.MOST_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = bloom.MOST_BITS, row_col: str | None = None
 ) -> DataFrame:
     """One row a document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -40,37 +42,41 @@ def exact_dedup(
     ``[\\x20\\x09-\\x0D]``; a null text counts as empty. Of equal texts the row
     with the most code points stays, then the smallest id. Rows that repeat an
     id share its decision; a null id is the last choice to stay, and where all
-    of a group are null its rows stay. Other columns are not read. An empty
-    table gives no rows.
+    of a group are null its rows stay. With ``row_col``, a long that tells rows
+    apart, one row of each group stays, the smallest of those that are alike, and
+    the result has the column row too. Other columns are not read. An empty table
+    gives no rows.
     """
     spark = docs.sparkSession
     tune(spark)
-    rows = stage(hashed(docs, id_col, text_col), "exact-hashes")
+    rows = stage(hashed(docs, id_col, text_col, row_col), "exact-hashes")
     hashes = rows.select(F.xxhash64("sha").alias("h"))
     packed = spark.sparkContext.broadcast(bloom.build(hashes, bloom.bits_for(rows.count(), most_bits), times=2))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                hit = bloom.ask(packed.value, b.column(3).to_numpy(zero_copy_only=False).view(np.uint64))
-                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hit)], ["doc_id", "n_points", "sha", "again"])
+                hit = bloom.ask(packed.value, b.column(4).to_numpy(zero_copy_only=False).view(np.uint64))
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(hit)], ["doc_id", "row", "n_points", "sha", "again"])
 
-    asked = in_workers(rows.withColumn("h", F.xxhash64("sha")), ask, "doc_id long, n_points long, sha binary, again boolean")
+    asked = in_workers(rows.withColumn("h", F.xxhash64("sha")), ask, "doc_id long, row long, n_points long, sha binary, again boolean")
     again = asked.where("again")
     # A group is one row before the shuffle meets it, however many copies it has.
-    best = F.max(F.struct(F.col("n_points"), (-F.col("doc_id")).alias("low")))
+    best = F.max(F.struct(F.col("n_points"), (-F.col("doc_id")).alias("low"), (-F.col("row")).alias("low_row")))
     groups = again.groupBy("sha").agg(F.count("*").alias("group_size"), best.alias("best"))
-    groups = stage(
-        groups.where("group_size > 1").select(F.col("sha").alias("group_sha"), "group_size", (-F.col("best.low")).alias("keep_id")), "exact-groups"
+    groups = groups.where("group_size > 1").select(
+        F.col("sha").alias("group_sha"), "group_size", (-F.col("best.low")).alias("keep_id"), (-F.col("best.low_row")).alias("keep_row")
     )
+    groups = stage(groups, "exact-groups")
+    alone = F.col("group_size").isNull()
     met = again.join(groups, F.col("sha") == F.col("group_sha"), "left").select(
-        "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).alias("group_size"), "sha",
+        "doc_id", "row", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.when(alone, F.col("row")).otherwise(F.col("keep_row")).alias("keep_row"), F.coalesce("group_size", F.lit(1)).alias("group_size"), "sha",
     )
-    alone = asked.where("not again").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
-    return alone.unionByName(met).select(
-        "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
+    single = asked.where("not again").select("doc_id", "row", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.lit(1).cast("long").alias("group_size"), "sha")
+    return single.unionByName(met).select(
+        "doc_id", *(["row"] if row_col else []), "keep_id", F.col("group_size").cast("long").alias("group_size"),
+        (F.col("row") == F.col("keep_row") if row_col else F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 

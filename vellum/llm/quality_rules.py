@@ -58,16 +58,17 @@ def word_array(text: Column) -> Column:
 def with_base(docs: DataFrame) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, chars, hits.
 
-    ``docs`` has doc_id, text, lang. Each step is a projection, so that an array
+    ``docs`` has doc_id, text, lang, and others that are kept. Each step is a projection, so that an array
     is made once and read by the next. Windows are compared by 64-bit hashes
     within one document.
     """
     text = F.coalesce("text", F.lit(""))
     vocabulary = sorted({w for ws in COMMON.values() for w in ws})
-    d = docs.select("doc_id", "lang", text.alias("text"), word_array(F.col("text")).alias("words"))
+    more = [c for c in docs.columns if c not in ("doc_id", "text", "lang")]
+    d = docs.select("doc_id", "lang", *more, text.alias("text"), word_array(F.col("text")).alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(WS)) != "")
     d = d.select(
-        "doc_id", "lang",
+        "doc_id", "lang", *more,
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.char_length("text").cast("long").alias("n_chars"),
@@ -166,17 +167,30 @@ def quality(
     cover all documents that pass the base rules. Repeated rows are judged each;
     other columns are not read; an empty table gives no rows.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    d = docs.select(*_read(id_col, text_col, lang_col))
+    return judged(d, char_limit, word_limit, noise).select(
+        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"
+    )
+
+
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with their own columns: each row carries its verdict, whatever its id."""
+    d = docs.select(*_read(id_col, text_col, lang_col), F.struct(*docs.columns).alias("own"))
+    return judged(d).where("kept").select("own.*")
+
+
+def _read(id_col: str, text_col: str, lang_col: str) -> list[Column]:
+    return [F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")]
+
+
+def judged(d: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, noise: float = NOISE) -> DataFrame:
+    """``d`` (doc_id, text, lang, and others) without its text, with the base counts, both distances and kept."""
     features = stage(histograms(with_base(d)), "quality-features")
     ref = stage(references(features), "quality-references")
-    judged = features.join(ref, features.lang == ref.ref_lang, "left").withColumns({
+    met = features.join(ref, features.lang == ref.ref_lang, "left").withColumns({
         "char_distance": F.when(F.col("ref_docs").isNotNull(), jensen_shannon(F.col("chars"), F.col("ref_chars"))),
         "word_distance": F.when(F.col("ref_docs").isNotNull(), jensen_shannon(F.col("common"), F.col("ref_common"))),
     })
     allowed = noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     strays = (F.col("char_distance") > char_limit + allowed / 2) | (F.col("word_distance") > word_limit + allowed) | lacks_common_words(word_limit, noise)
-    return judged.select(
-        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "char_distance", "word_distance",
-        (~F.col("base_failed") & ~F.coalesce((F.col("n_words") >= MIN_WORDS) & strays, F.lit(False))).alias("kept"),
-    )
+    return met.withColumn("kept", ~F.col("base_failed") & ~F.coalesce((F.col("n_words") >= MIN_WORDS) & strays, F.lit(False)))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import components, in_workers, local_roots, mix, runs, stage, text_bytes, tune
+from vellum.llm.common import components, free, in_workers, local_roots, mix, runs, stage, text_bytes, tune
 
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the Golay code.
 GENERATOR = 0b101011100011
@@ -547,9 +547,14 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views
     nodes = stage(rows.groupBy(*fps).agg(F.min("doc_id").alias("node")), "similar-nodes")
     same = rows.join(nodes, fps).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     pairs = stage(linked(nodes, fps, radius, forest=False, joint=True).union(same).distinct(), "similar-pairs")
+    free(rows, nodes)
     joined = verified(d, pairs, words, least)
     found = stage(components(joined, "similar-components"), "similar-found")
-    more = stage(verified(d, stage(sharing(d, found, words, least), "similar-rest"), words, least), "similar-more")
+    rest = stage(sharing(d, found, words, least), "similar-rest")
+    more = stage(verified(d, rest, words, least), "similar-more")
+    free(pairs, rest)
     if not more.isEmpty():
-        found = components(more.union(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "similar-components")
+        joined = components(more.union(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "similar-components")
+        free(found, more)
+        found = joined
     return found.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
