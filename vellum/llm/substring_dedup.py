@@ -151,8 +151,8 @@ def duplicate_windows(docs: DataFrame, id_col: str, text_col: str, size: int = S
         F.count("*").alias("times"), F.first("varied").alias("varied"), F.min(F.struct("rid", "at", "n")).alias("one"), F.max(place).alias("last")
     )
     contents = stage(contents, "substring-contents")
-    top = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("one.n")) - 1
-    whole = contents.where("times > 1").select("h", "g", top.alias("mask"), F.lit(-1).alias("k"), F.struct("one.rid", "one.at").alias("first"), "last")
+    two = lambda first, last: (F.col(f"{first}.rid").alias("r1"), F.col(f"{first}.at").alias("a1"), F.col(f"{last}.rid").alias("r2"), F.col(f"{last}.at").alias("a2"))
+    whole = contents.where("times > 1").select(F.col("h").alias("whole_h"), F.col("g").alias("whole_g"), *two("one", "last"))
 
     # Factor ends: one block of each content of a varied anchor, window by window.
     ask = contents.where("varied").select("h", "g", "one.*", F.least("times", F.lit(2)).cast("int").alias("weight"))
@@ -180,63 +180,53 @@ def duplicate_windows(docs: DataFrame, id_col: str, text_col: str, size: int = S
     asked = maybe.join(ask, "rid").dropDuplicates(["rid"])
     windows = stage(in_workers(asked, check, "a long, c int, h long, g long, k int, weight int, rid long, at int"), "substring-windows")
     twice = windows.groupBy("a", "c").agg(F.sum("weight").alias("times"), F.min(place).alias("first"), F.max(place).alias("last")).where("times > 1")
-    twice = stage(twice.select(F.col("a").alias("a2"), F.col("c").alias("c2"), "first", "last"), "substring-repeated")
-    part = windows.join(twice, (F.col("a") == F.col("a2")) & (F.col("c") == F.col("c2"))).select(
-        "h", "g", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k")).alias("mask"), "k", "first", "last"
-    )
-    masks = whole.union(part).groupBy(F.col("h").alias("mask_h"), F.col("g").alias("mask_g")).agg(
-        F.bit_or("mask").alias("mask"), F.collect_list(F.struct("k", "first", "last")).alias("refs")
-    )
-    masks = stage(masks, "substring-masks")
-    free(contents, ask, windows, twice)
-    marked = met.join(masks, (F.col("h") == F.col("mask_h")) & (F.col("g") == F.col("mask_g")))
-    marks = stage(marked.groupBy("rid").agg(F.collect_set(F.struct("at", "mask", "refs")).alias("marks")), "substring-marks")
-    free(blocks, shared, met, masks)
+    twice = stage(twice.select(F.col("a").alias("a3"), F.col("c").alias("c3"), *two("first", "last")), "substring-repeated")
+    # A content that stands once has one block, known by its place; one that stands twice is a factor whole.
+    part = windows.where("weight = 1").join(twice, (F.col("a") == F.col("a3")) & (F.col("c") == F.col("c3")))
+    marked = met.join(whole, (F.col("h") == F.col("whole_h")) & (F.col("g") == F.col("whole_g")))
+    both = marked.select("rid", "at", "n", "r1", "a1", "r2", "a2").union(part.select("rid", "at", F.lit(1), "r1", "a1", "r2", "a2"))
+    marks = stage(both.groupBy("rid").agg(F.collect_set(F.struct("at", "n", "r1", "a1", "r2", "a2")).alias("marks")), "substring-marks")
+    free(blocks, shared, met, contents, ask, windows, twice)
     return marks
 
 
-def matches(own: int, marks: list[dict]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
-    """Runs of duplicate windows from left to right: the first, how many, and references (row, window) of the first, none of them itself."""
-    for m in sorted(marks, key=lambda m: m["at"]):
-        at, mask = m["at"], m["mask"]
-        known = {r["k"]: r for r in m["refs"]}
-        if -1 in known:  # the whole block is indexed
-            runs_ = [(0, mask.bit_count(), known[-1])]
-        else:
-            runs_ = [(k, 1, known[k]) for k in sorted(known) if mask >> k & 1]
-        for k, n, r in runs_:
-            at_k = at + k
-            refs = [(x["rid"], x["at"]) for x in (r["first"], r["last"])]
-            other = [x for x in refs if x != (own, at_k)]
-            yield at_k, n, other or refs[:1]  # a repeated row is a reference to itself
-
-
-def factors(size: int, own: int, marks: list[dict]) -> list[tuple[int, int, int, int]]:
-    """The greedy parse of the row ``own``: factors (start, end, reference row, its start) in words.
+def factors(size: int, own: np.ndarray, row: np.ndarray, marks: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The greedy parses of rows with hashes ``own``: arrays (row, start, end, reference row, its start) of their factors, in words.
 
-    A factor starts at the first duplicate window that the last one does not
-    reach, and goes on window by window while one of its references does.
+    ``marks`` (at, n, r1, a1, r2, a2) of the rows with places ``row`` are runs of n
+    duplicate windows and two references of the first. A factor starts at the
+    first window that the last one does not reach, and goes on, run by run, while
+    one of its references does. A run that stands at a reference itself has only
+    the other, unless the row repeats in the table.
     """
-    out: list[tuple[int, int, int, int]] = []
-    first = after = 0
-    open_: list[tuple[int, int]] = []  # references that still go on, with the window that would come next
-    for at, n, refs in matches(own, marks):
-        going = [x for x in open_ if x in refs] if at == after and open_ else []
-        if going:
-            row, ref = going[0]
-            out[-1] = (first, at + n + size - 1, row, ref - (at - first))
-        else:
-            going, first = refs, at
-            out.append((at, at + n + size - 1, *refs[0]))
-        after = at + n
-        open_ = [(row, ref + n) for row, ref in going]
-    return out
-
-
-def united(parse: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    order = np.lexsort((marks[0], row))
+    row, at, n, r1, a1, r2, a2 = (x[order] for x in (row, *marks))
+    me = own[row]
+    self1, self2 = (r1 == me) & (a1 == at), (r2 == me) & (a2 == at)
+    allowed = np.where(self1 & ~self2, 2, np.where(self2, 1, 3))  # bit 0: the first reference, bit 1: the last
+    go = np.zeros(len(at), np.int64)  # bits 0 and 1: what goes on to this run's first reference, of the run before's; bits 2 and 3: to its last
+    if len(at):
+        after = np.r_[False, (row[1:] == row[:-1]) & (at[1:] == at[:-1] + n[:-1])]
+        for bit, (r, a, p, q) in enumerate(((r1, a1, r1, a1), (r1, a1, r2, a2), (r2, a2, r1, a1), (r2, a2, r2, a2))):
+            go[1:] |= ((r[1:] == p[:-1]) & (a[1:] == q[:-1] + n[:-1])).astype(np.int64) << bit
+        go[~after] = 0
+    state, begins, now = [], [], 0
+    for ok, g in zip(allowed.tolist(), go.tolist(), strict=True):
+        going = ((1 if g & now else 0) | (2 if g >> 2 & now else 0)) & ok if g else 0
+        begins.append(not going)
+        now = going or ok
+        state.append(now)
+    first = np.flatnonzero(begins)
+    last = np.r_[first[1:], len(at)][: len(first)] - 1
+    one = (np.array(state, np.int64)[last] & 1) > 0 if len(first) else np.zeros(0, bool)
+    ref, ref_at = np.where(one, r1[last], r2[last]), np.where(one, a1[last], a2[last])
+    return row[first], at[first], at[last] + n[last] + size - 1, ref, ref_at - (at[last] - at[first])
+
+
+def united(parse: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What factors cover, as disjoint spans [start, end) in words."""
     spans: list[tuple[int, int]] = []
-    for start, end, *_ in parse:
+    for start, end in parse:
         if spans and start <= spans[-1][1]:
             spans[-1] = spans[-1][0], max(end, spans[-1][1])
         else:
@@ -280,12 +270,17 @@ def remove_repeats(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out, n_words, n_removed, spans, parses = [], [], [], [], []
-            given, own = b.column(len(kept)).to_pylist(), b.column(len(kept) + 1).to_pylist()
-            for text, row, found in zip(given, own, b.column(len(kept) + 2).to_pylist(), strict=True):
-                words = (text or "").encode().split()
-                parse = factors(size, row, found) if found else []
-                gone = united(parse)
+            out, n_words, n_removed, spans = [], [], [], []
+            held = b.column(len(kept) + 2)
+            flat = held.flatten()
+            row = np.repeat(np.arange(b.num_rows), held.value_lengths().to_numpy())
+            marks = [flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6)]
+            row, *parse = factors(size, b.column(len(kept) + 1).to_numpy(zero_copy_only=False), row, marks)
+            ends = np.searchsorted(row, np.arange(b.num_rows + 1))
+            pairs = list(zip(parse[0].tolist(), parse[1].tolist(), strict=True))
+            for k, text in enumerate(text_bytes(b.column(len(kept)))):
+                words = (text or b"").split()
+                gone = united(pairs[ends[k] : ends[k + 1]])
                 left = words
                 if gone:
                     left, end = [], 0
@@ -296,16 +291,14 @@ def remove_repeats(
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
                 spans.append([{"start": x, "end": y} for x, y in gone])
-                parses.append([dict(zip(("start", "end", "rid", "at"), f, strict=True)) for f in parse])
                 if digest:
                     out.append(hashlib.sha256(b" ".join(left)).hexdigest())
                 else:
-                    out.append(b" ".join(left).decode() if gone else text)
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(len(kept))), pa.array(out, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct(whole[:2]))), pa.array(parses, pa.list_(pa.struct(whole)))],
-                names,
-            )
+                    out.append(b" ".join(left) if gone else text)
+            copied = pa.ListArray.from_arrays(ends.astype(np.int32), pa.StructArray.from_arrays([pa.array(x) for x in parse], fields=whole))
+            texts = pa.array(out, pa.string()) if digest else pa.array(out, pa.binary()).cast(pa.string())
+            cols = [texts, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.struct(whole[:2]))), copied]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), *cols], names)
 
     both = clean.select(*kept, text_, row_, none.alias(marks_)).union(joined.select(*kept, text_, row_, F.coalesce(marks_, none).alias(marks_)))
     return in_workers(both, cut, schema)
