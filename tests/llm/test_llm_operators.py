@@ -231,15 +231,14 @@ def test_factors_copy_from_their_references_and_are_greedy(spark, docs, rows):
             assert f.start > after - 35  # a factor starts where the windows of the one before end
             after = f.end
             n += 1
-        assert substring_dedup.united([tuple(f) for f in r.factors]) == [tuple(s) for s in r.spans]
+        assert substring_dedup.united([(f.start, f.end) for f in r.factors]) == [tuple(s) for s in r.spans]
     assert n > 10
 
 
 def test_a_factor_goes_on_while_its_reference_does():
-    ref = lambda rid, at: {"rid": rid, "at": at}
-    block = lambda at, n, first, last: {"at": at, "mask": (1 << n) - 1, "refs": [{"k": -1, "first": first, "last": last}]}
-    marks = [block(0, 5, ref(1, 0), ref(9, 40)), block(5, 3, ref(2, 7), ref(9, 45)), block(8, 2, ref(3, 0), ref(3, 50)), block(20, 1, ref(7, 20), ref(8, 3))]
-    assert substring_dedup.factors(35, 7, marks) == [(0, 42, 9, 40), (8, 44, 3, 0), (20, 55, 8, 3)]
+    marks = np.array([(0, 5, 1, 0, 9, 40), (5, 3, 2, 7, 9, 45), (8, 2, 3, 0, 3, 50), (20, 1, 7, 20, 8, 3), (0, 2, 7, 0, 7, 0)]).T
+    found = substring_dedup.factors(35, np.array([7, 7]), np.array([0, 0, 0, 0, 1]), list(marks))
+    assert list(zip(*(x.tolist() for x in found), strict=True)) == [(0, 0, 42, 9, 40), (0, 8, 44, 3, 0), (0, 20, 55, 8, 3), (1, 0, 36, 7, 0)]
 
 
 def test_clashing_names(spark):

@@ -219,3 +219,31 @@ def test_run_equals_the_chained_brute_force(spark, table, tmp_path):
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[r.doc_id] += r.length
     assert dict(got) == sizes
+
+
+def test_similar_documents_share_as_many_keys_as_is_said():
+    from vellum.llm import simhash
+
+    rng = np.random.default_rng(3)
+    for _ in range(4000):
+        both = rng.permutation(1000)
+        union = int(rng.integers(1, 400))
+        shared = int(rng.integers(int(np.ceil(0.8 * union)), union + 1))
+        cut = int(rng.integers(0, union - shared + 1))
+        a, b = np.sort(np.r_[both[:shared], both[shared : shared + cut]]), np.sort(np.r_[both[:shared], both[shared + cut : union]])
+        m, n = np.array(len(a)), np.array(len(b))
+        if shared / union < 0.8 or not min(m, n):
+            continue
+        keys = {*a[: simhash.prefix(m, 0.8)]} & {*b[: simhash.prefix(n, 0.8)]}
+        assert len(keys) >= simhash.shared_keys(m, n, 0.8) >= max(1, max(m, n) // simhash.EXTRA)
+
+
+def test_passages_alone_make_no_pairs(spark):
+    from vellum.llm import simhash
+
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"shared{x}" for x in range(70))
+    texts = [" ".join(f"word{x}" for x in rng.integers(0, 10**6, 300)) + " " + passage for _ in range(80)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    none = spark.createDataFrame([], "node long, root long")
+    assert simhash.sharing(d, none, 5, 0.8).count() == 0

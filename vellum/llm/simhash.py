@@ -40,6 +40,8 @@ BLOCK = 4096
 MOST_KEYS = 72
 #: Documents that show which shingles are common, and shingles that are told to every worker (12 MB).
 SAMPLE, MOST_COMMON = 20_000, 1 << 20
+#: One in so many shingles is a key beside those that a prefix needs, so that similar documents share many.
+EXTRA = 10
 
 
 def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
@@ -377,55 +379,102 @@ def common_shingles(d: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], counts[order]
 
 
-def meet(size: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
-    """Whether documents i and j, which share a shingle at their places ``at``, can be similar if it is the first they share."""
-    rest = np.minimum(size[i] - at[i], size[j] - at[j])
-    return rest >= least / (1 + least) * (size[i] + size[j]) - 1e-6
+def prefix(n: np.ndarray, least: float) -> np.ndarray:
+    """How many of a document's n shingles, in the shared order, are its keys; see ``sharing``."""
+    return np.minimum(n, n - np.ceil(least * n - 1e-6).astype(np.int64) + 1 + n // EXTRA)
+
+
+def shared_keys(m: np.ndarray, n: np.ndarray, least: float) -> np.ndarray:
+    """How many keys documents of m and n shingles share at least, if they are similar."""
+    overlap = np.ceil(least / (1 + least) * (m + n) - 1e-6).astype(np.int64)
+    return np.maximum(1, overlap - np.maximum(m - prefix(m, least), n - prefix(n, least)))
+
+
+MET = "key long, node long, root long, size long"
+
+
+def mixed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, node, root, size) sorted by key and root those in buckets of two roots or more; also runs of one root longer than ``most``."""
+    names = ["key", "node", "root", "size"]
+    held, open_ = [np.zeros(0, np.int64)] * 4, False  # the last bucket, and whether its rows go on at once
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        if open_:
+            n = len(new[0]) if len(held[0]) == 0 and new[0][-1] == last_key else int(np.searchsorted(new[0], last_key, side="right"))
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(x[:n]) for x in new], names)
+            new = [x[n:] for x in new]
+            if not len(new[0]):
+                continue
+            open_ = False
+        rows = [np.r_[x, y] for x, y in zip(held, new, strict=True)]
+        starts = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])
+        sizes = np.diff(np.r_[starts, len(rows[0])])
+        two = rows[2][starts] != rows[2][starts + sizes - 1]
+        last_key = rows[0][-1]
+        open_ = bool(two[-1]) or sizes[-1] > most
+        two[-1] = open_
+        on = np.repeat(two, sizes)
+        if on.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in rows], names)
+        held = [x[:0] if open_ else x[starts[-1] :] for x in rows]
 
 
 def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill: bool = True) -> Iterator[pa.RecordBatch]:
-    """Over rows (key, node, root, place) sorted by key and root: rows (over, a, b, root, place), pairs (a, b) of a bucket with two roots that can be similar.
+    """Over rows (key, node, root, size) sorted by key and root: rows (over, a, b, root, size), pairs (a, b) of a bucket with two roots and near sizes.
 
-    A bucket of more than ``most`` members is passed on as rows (True, key, node,
-    root, place), if ``spill``. All pairs of the others are looked at, but for those
-    of one root.
+    Of a pair, ``root`` says how many keys it met in and ``size`` how many it has
+    to share. A bucket of more than ``most`` members is passed on as rows (True,
+    key, node, root, size), if ``spill``. All pairs of the others are looked at,
+    but for those of one root.
     """
 
     def out(over: bool, *columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), over)), *map(pa.array, columns)], ["over", "a", "b", "root", "place"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), over)), *map(pa.array, columns)], ["over", "a", "b", "root", "size"])
 
-    def pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
-        if len(a):
-            a, b = np.unique(np.stack([a, b]), axis=1)
-            yield out(False, a, b, np.zeros(len(a), np.int64), np.zeros(len(a), np.int64))
+    def pairs(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, node, _, size = rows
+        on = node[i] != node[j]
+        i, j = i[on], j[on]
+        if not len(i):
+            return
+        a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        order = np.lexsort((b, a))
+        a, b, i, j = a[order], b[order], i[order], j[order]
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        yield out(False, a[new], b[new], np.diff(np.r_[new, len(a)]), shared_keys(size[i[new]], size[j[new]], least))
+
+    def near(size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]) - 1e-6
 
-    def solve(key: np.ndarray, node: np.ndarray, root: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-        size, at = place >> 32, place & 0xFFFFFFFF
+    def solve(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, _, root, size = rows
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[starts, len(key)])
-        mixed = root[starts] != root[starts + sizes - 1]  # sorted: one root where the ends agree
-        i = np.flatnonzero(np.repeat(mixed & (sizes <= 64), sizes))
+        several = root[starts] != root[starts + sizes - 1]  # sorted: one root where the ends agree
+        i = np.flatnonzero(np.repeat(several & (sizes <= 64), sizes))
         u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lag in range(1, 64):
             i = i[i + lag < len(key)]
             i = i[key[i] == key[i + lag]]
             if not len(i):
                 break
-            near = i[root[i] != root[i + lag]]
-            near = near[meet(size, at, near, near + lag, least)]
-            u.append(near)
-            v.append(near + lag)
-        yield from pairs(node[np.concatenate(u)], node[np.concatenate(v)])
-        for s, n in zip(starts[mixed & (sizes > 64)], sizes[mixed & (sizes > 64)], strict=True):
+            some = i[root[i] != root[i + lag]]
+            some = some[near(size, some, some + lag)]
+            u.append(some)
+            v.append(some + lag)
+        yield from pairs(rows, np.concatenate(u), np.concatenate(v))
+        for s, n in zip(starts[several & (sizes > 64)], sizes[several & (sizes > 64)], strict=True):
             ends = s + np.searchsorted(root[s : s + n], root[s : s + n], side="right")
             for k in range(s, s + n, 256):
                 x = np.arange(k, min(k + 256, s + n))
                 if (first := ends[k - s]) == s + n:
                     break
                 y = np.arange(first, s + n)
-                p, q = np.nonzero((y[None, :] >= ends[x - s][:, None]) & meet(size, at, x[:, None], y[None, :], least))
-                yield from pairs(node[x[p]], node[y[q]])
+                p, q = np.nonzero((y[None, :] >= ends[x - s][:, None]) & near(size, x[:, None], y[None, :]))
+                yield from pairs(rows, x[p], y[q])
 
     held, over = [np.zeros(0, np.int64)] * 4, None
     for batch in batches:
@@ -444,26 +493,30 @@ def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill:
             continue
         last = np.searchsorted(key, key[-1])  # the last bucket may go on
         if last:
-            yield from solve(*(x[:last] for x in rows))
+            yield from solve([x[:last] for x in rows])
         held = [x[last:] for x in rows]
         if spill and len(held[0]) > most:
             yield out(True, *held)
             over, held = held[0][0], [x[:0] for x in held]
     if len(held[0]):
-        yield from solve(*held)
+        yield from solve(held)
 
 
-MEETINGS = "over boolean, a long, b long, root long, place long"
+MEETINGS = "over boolean, a long, b long, root long, size long"
 
 
 def sharing(d: DataFrame, found: DataFrame, words: int, least: float, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b) of ``d`` (doc_id, text) that can have a Jaccard similarity of ``least``, less those that ``found`` (node, root) joins: none is missed.
 
-    Of n shingles, in an order that all documents share, a document that is
-    similar to it has one among the first n - ceil(least * n) + 1, and the first
-    shingle that both have is among those of either. So these are its keys. Rare
-    shingles come first. A bucket with too many members is cut into pairs of
-    blocks, like those of fingerprints.
+    A document's keys are the first n - ceil(least * n) + 1 of its n shingles, and
+    a tenth of n more, in an order that all documents share, rare ones first. Let
+    the keys of one of two similar documents end first in that order: what the two
+    share up to there are keys of both, and what they share beyond is among its
+    other shingles. So they have ``shared_keys`` of their sizes in common, a tenth
+    of the larger size at least. That drops first the documents that have fewer
+    keys in common with all others together, as those do which only share a
+    passage, and then the pairs that met in fewer. A bucket with too many members
+    is cut into pairs of blocks, like those of fingerprints.
     """
     spark = d.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(d, words))
@@ -474,35 +527,39 @@ def sharing(d: DataFrame, found: DataFrame, words: int, least: float, block: int
             texts = text_bytes(b.column(1))
             for i, j in runs(texts):
                 sets = [shingle_hashes(t, words) for t in texts[i:j]]
-                first = [rare_first(h, *common.value)[: len(h) - math.ceil(least * len(h) - 1e-6) + 1] for h in sets]
+                sizes = np.array([len(h) for h in sets], np.int64)
+                first = [rare_first(h, *common.value)[:n] for h, n in zip(sets, prefix(sizes, least), strict=True)]
                 ends = np.cumsum([0, *map(len, first)], dtype=np.int32)
                 keyed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), keyed], ["doc_id", "size", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array(sizes), keyed], ["doc_id", "size", "keys"])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lens = np.diff(b.column(2).offsets.to_numpy())
             node, root, size = (np.repeat(b.column(k).to_numpy(zero_copy_only=False), lens) for k in (0, 3, 1))
-            at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-            yield pa.RecordBatch.from_arrays([b.column(2).flatten(), pa.array(node), pa.array(root), pa.array(size << 32 | at)], ["key", "node", "root", "place"])
+            yield pa.RecordBatch.from_arrays([b.column(2).flatten(), pa.array(node), pa.array(root), pa.array(size)], ["key", "node", "root", "size"])
 
     firsts = in_workers(d.select("doc_id", "text"), run, "doc_id long, size long, keys array<long>")
     rooted = firsts.join(found, F.col("doc_id") == F.col("node"), "left").select("doc_id", "size", "keys", F.coalesce("root", "doc_id").alias("root"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 128 * d.count() // 1_000_000)
     gathered = lambda x: x.repartition(parts, "key").sortWithinPartitions("key", "root")
-    keyed = gathered(in_workers(rooted, spread, "key long, node long, root long, place long"))
-    met = stage(in_workers(keyed, lambda it: meetings(it, least, block), MEETINGS), "similar-meetings")
-    pairs = met.where("not over").select("a", "b")
-    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "root", "place")
+    keyed = gathered(in_workers(rooted, spread, MET))
+    several = stage(in_workers(keyed, lambda it: mixed(it, block), MET), "similar-shared")
+    enough = several.groupBy(F.col("node").alias("enough")).agg(F.count("*").alias("n"), F.max("size").alias("of"))
+    enough = stage(enough.where(F.col("n") >= F.greatest(F.lit(1), F.floor(F.col("of") / EXTRA))).select("enough"), "similar-enough")
+    left = several.join(enough, F.col("node") == F.col("enough")).select("key", "node", "root", "size")
+    met = stage(in_workers(gathered(left), lambda it: meetings(it, least, block), MEETINGS), "similar-meetings")
+    pairs = met.where("not over").select("a", "b", "root", "size")
+    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "root", "size")
     if not over.isEmpty():
         sizes = over.groupBy("key").agg(F.ceil(F.count("*") / (block // 2)).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
         sizes = stage(sizes.where("low < high").select("key", "blocks"), "similar-sizes")
         dealt = over.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key")
-        again = gathered(dealt.select(pair, "node", "root", "place"))
-        pairs = pairs.union(in_workers(again, lambda it: meetings(it, least, block, spill=False), MEETINGS).select("a", "b"))
-    return pairs.distinct()
+        again = gathered(dealt.select(pair, "node", "root", "size"))  # two of one block meet in several buckets: counted too often, never too seldom
+        pairs = pairs.union(in_workers(again, lambda it: meetings(it, least, block, spill=False), MEETINGS).select("a", "b", "root", "size"))
+    return pairs.groupBy("a", "b").agg(F.sum("root").alias("n"), F.max("size").alias("needed")).where("n >= needed").select("a", "b")
 
 
 def verified(d: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
