@@ -26,7 +26,10 @@ def _without(docs: DataFrame, row: str, gone: DataFrame, name: str) -> DataFrame
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the quality rules. Each row is judged by its own text and language; a null text fails; no rows give none."""
-    return quality_rules.kept_documents(docs)
+    (row,) = unused(docs, "row")
+    numbered, _ = told_apart(docs, "doc_id", row)
+    judged = quality_rules.quality(numbered, id_col=row)
+    return _without(numbered, row, judged.where("not kept").select(F.col("doc_id").alias("row")), "pipeline-quality").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
