@@ -234,8 +234,11 @@ def test_similar_documents_share_as_many_keys_as_is_said():
         m, n = np.array(len(a)), np.array(len(b))
         if shared / union < 0.8 or not min(m, n):
             continue
-        keys = {*a[: simhash.prefix(m, 0.8)]} & {*b[: simhash.prefix(n, 0.8)]}
-        assert len(keys) >= simhash.shared_keys(m, n, 0.8) >= max(1, max(m, n) // simhash.EXTRA)
+        common = np.intersect1d(a[: simhash.prefix(m, 0.8)], b[: simhash.prefix(n, 0.8)])
+        i, j = (np.array([np.searchsorted(x, k) for k in common]) for x in (a, b))
+        size, at, k = np.r_[np.full(len(i), m), np.full(len(j), n)], np.r_[i, j], np.arange(len(i))
+        assert simhash.early(size, at, k, k + len(i), 0.8)[0]
+        assert len(common) >= simhash.shared_keys(m, n, 0.8) >= max(1, max(m, n) // simhash.EXTRA)
 
 
 def test_passages_alone_make_no_pairs(spark):
@@ -247,3 +250,28 @@ def test_passages_alone_make_no_pairs(spark):
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     none = spark.createDataFrame([], "node long, root long")
     assert simhash.sharing(d, none, 5, 0.8).count() == 0
+
+
+def test_marks_lose_no_pair_that_shares_enough():
+    import pyarrow as pa
+
+    from vellum.llm import simhash
+
+    rng = np.random.default_rng(9)
+    size = 200
+    sets = [rng.permutation(400)[:size] for _ in range(30)]
+    sets += [np.r_[s[: size - 15], rng.permutation(np.arange(400, 800))[:15]] for s in sets]  # similar to one each
+    prefix = int(simhash.prefix(np.array(size), 0.8))
+    keys = [np.sort(s)[:prefix] for s in sets]
+    spots = np.random.default_rng(1).integers(0, 512, 800)
+    rows = []
+    for node, k in enumerate(keys):
+        marks = np.zeros(8, np.uint64)
+        for spot in spots[k].tolist():
+            marks[spot // 64] |= np.uint64(1) << np.uint64(spot % 64)
+        rows += [(int(key), node, node, size << 32 | at, len(k), *marks.view(np.int64).tolist()) for at, key in enumerate(k.tolist())]
+    rows.sort()
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], [f"c{i}" for i in range(13)])
+    got = {(a, b) for out in simhash.meetings(iter([batch]), 0.8, 4096) for a, b in zip(out.column(1).to_pylist(), out.column(2).to_pylist(), strict=True)}
+    similar = {(i, j) for i, j in itertools.combinations(range(60), 2) if len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]})}
+    assert len(similar) >= 30 and similar <= got and len(got) < 400

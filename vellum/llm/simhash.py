@@ -384,18 +384,29 @@ def prefix(n: np.ndarray, least: float) -> np.ndarray:
     return np.minimum(n, n - np.ceil(least * n - 1e-6).astype(np.int64) + 1 + n // EXTRA)
 
 
+def beyond(m: np.ndarray, n: np.ndarray, least: float) -> np.ndarray:
+    """The shingles that similar documents of m and n shingles share, at least."""
+    return np.ceil(least / (1 + least) * (m + n) - 1e-6).astype(np.int64)
+
+
 def shared_keys(m: np.ndarray, n: np.ndarray, least: float) -> np.ndarray:
-    """How many keys documents of m and n shingles share at least, if they are similar."""
-    overlap = np.ceil(least / (1 + least) * (m + n) - 1e-6).astype(np.int64)
-    return np.maximum(1, overlap - np.maximum(m - prefix(m, least), n - prefix(n, least)))
+    """How many keys similar documents of m and n shingles share, at least; see ``sharing``."""
+    return np.maximum(1, beyond(m, n, least) - np.maximum(m - prefix(m, least), n - prefix(n, least)))
+
 
+def early(size: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """Whether a key that documents i and j have at their places ``at`` can be the first that they share, if they are similar."""
+    m, n = size[i], size[j]
+    over = beyond(m, n, least)
+    return (np.minimum(m, n) >= least * np.maximum(m, n) - 1e-6) & (at[i] <= m - over) & (at[j] <= n - over)
 
-MET = "key long, node long, root long, size long"
+
+MET = "key long, node long, root long, place long"  # place: size << 32 | number of the key
 
 
 def mixed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Of rows (key, node, root, size) sorted by key and root those in buckets of two roots or more; also runs of one root longer than ``most``."""
-    names = ["key", "node", "root", "size"]
+    """Of rows (key, node, root, place) sorted by key and root those in buckets of two roots or more; also runs of one root longer than ``most``."""
+    names = ["key", "node", "root", "place"]
     held, open_ = [np.zeros(0, np.int64)] * 4, False  # the last bucket, and whether its rows go on at once
     for batch in batches:
         if not batch.num_rows:
@@ -422,35 +433,59 @@ def mixed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
         held = [x[:0] if open_ else x[starts[-1] :] for x in rows]
 
 
+def stars(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Over rows (key, node, root, place) sorted by key and root: rows (node, other), the first member of each root with that of the bucket's first root and of the root before."""
+    held = [np.zeros(0, np.int64)] * 4  # of the last bucket the first member of its first and of its last root
+    for batch in batches:
+        rows = [np.r_[x, batch.column(i).to_numpy(zero_copy_only=False)] for i, x in enumerate(held)]
+        key, node, root, place = rows
+        if not len(key):
+            continue
+        reps = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (root[1:] != root[:-1])])
+        begins = np.r_[True, key[reps][1:] != key[reps][:-1]]
+        first = reps[np.maximum.accumulate(np.where(begins, np.arange(len(reps)), 0))]
+        later = np.flatnonzero(~begins)
+        i, j = np.r_[reps[later], reps[later]], np.r_[first[later], reps[later - 1]]
+        on = (node[i] != node[j]) & early(place >> 32, place & 0xFFFFFFFF, i, j, least)
+        yield pa.RecordBatch.from_arrays([pa.array(node[i[on]]), pa.array(node[j[on]])], ["node", "other"])
+        held = [x[np.unique([first[-1], reps[-1]])] for x in rows]
+
+
 def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill: bool = True) -> Iterator[pa.RecordBatch]:
-    """Over rows (key, node, root, size) sorted by key and root: rows (over, a, b, root, size), pairs (a, b) of a bucket with two roots and near sizes.
+    """Over rows (key, node, root, place) sorted by key and root: rows (over, a, b, root, place), pairs (a, b) of two roots for which the key is ``early``.
 
-    Of a pair, ``root`` says how many keys it met in and ``size`` how many it has
-    to share. A bucket of more than ``most`` members is passed on as rows (True,
-    key, node, root, size), if ``spill``. All pairs of the others are looked at,
+    Rows may also have how many keys the node has and marks of them, by which pairs
+    that share too few are known; see ``met_pairs``. A bucket of more than ``most`` members is passed on as rows (True, key,
+    node, root, place), if ``spill``. All pairs of the others are looked at,
     but for those of one root.
     """
 
     def out(over: bool, *columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), over)), *map(pa.array, columns)], ["over", "a", "b", "root", "size"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), over)), *map(pa.array, columns)], ["over", "a", "b", "root", "place"])
 
     def pairs(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
-        _, node, _, size = rows
+        for k in range(0, len(i), 1 << 16):
+            yield from some_pairs(rows, i[k : k + (1 << 16)], j[k : k + (1 << 16)])
+
+    def some_pairs(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, place = rows[1], rows[3]
         on = node[i] != node[j]
+        if len(rows) > 4:  # marks of all keys: a mark that only one has is a key at least that only it has
+            x, y = (np.stack([c[k].view(np.uint64) for c in rows[5:]], 1) for k in (i, j))
+            needed = shared_keys(place[i] >> 32, place[j] >> 32, least)
+            on &= (rows[4][i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64) >= needed) & (rows[4][j] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64) >= needed)
         i, j = i[on], j[on]
         if not len(i):
             return
         a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
         order = np.lexsort((b, a))
-        a, b, i, j = a[order], b[order], i[order], j[order]
+        a, b = a[order], b[order]
         new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        yield out(False, a[new], b[new], np.diff(np.r_[new, len(a)]), shared_keys(size[i[new]], size[j[new]], least))
-
-    def near(size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]) - 1e-6
+        yield out(False, a[new], b[new], np.zeros(len(new), np.int64), np.zeros(len(new), np.int64))
 
     def solve(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, _, root, size = rows
+        key, _, root, place, *_ = rows
+        size, at = place >> 32, place & 0xFFFFFFFF
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[starts, len(key)])
         several = root[starts] != root[starts + sizes - 1]  # sorted: one root where the ends agree
@@ -462,7 +497,7 @@ def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill:
             if not len(i):
                 break
             some = i[root[i] != root[i + lag]]
-            some = some[near(size, some, some + lag)]
+            some = some[early(size, at, some, some + lag, least)]
             u.append(some)
             v.append(some + lag)
         yield from pairs(rows, np.concatenate(u), np.concatenate(v))
@@ -473,21 +508,21 @@ def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill:
                 if (first := ends[k - s]) == s + n:
                     break
                 y = np.arange(first, s + n)
-                p, q = np.nonzero((y[None, :] >= ends[x - s][:, None]) & near(size, x[:, None], y[None, :]))
+                p, q = np.nonzero((y[None, :] >= ends[x - s][:, None]) & early(size, at, x[:, None], y[None, :], least))
                 yield from pairs(rows, x[p], y[q])
 
-    held, over = [np.zeros(0, np.int64)] * 4, None
+    held, over = None, None
     for batch in batches:
-        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if over is not None:
             n = np.searchsorted(new[0], over, side="right")
             if n:
-                yield out(True, *(x[:n] for x in new))
+                yield out(True, *(x[:n] for x in new[:4]))
             new = [x[n:] for x in new]
             if not len(new[0]):
                 continue
             over = None
-        rows = [np.r_[x, y] for x, y in zip(held, new, strict=True)]
+        rows = new if held is None else [np.r_[x, y] for x, y in zip(held, new, strict=True)]
         key = rows[0]
         if not len(key):
             continue
@@ -496,28 +531,23 @@ def meetings(batches: Iterator[pa.RecordBatch], least: float, most: int, spill:
             yield from solve([x[:last] for x in rows])
         held = [x[last:] for x in rows]
         if spill and len(held[0]) > most:
-            yield out(True, *held)
+            yield out(True, *held[:4])
             over, held = held[0][0], [x[:0] for x in held]
-    if len(held[0]):
+    if held is not None and len(held[0]):
         yield from solve(held)
 
 
-MEETINGS = "over boolean, a long, b long, root long, size long"
+MEETINGS = "over boolean, a long, b long, root long, place long"
 
 
-def sharing(d: DataFrame, found: DataFrame, words: int, least: float, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of ``d`` (doc_id, text) that can have a Jaccard similarity of ``least``, less those that ``found`` (node, root) joins: none is missed.
+def by_key(rows: DataFrame) -> DataFrame:
+    """Rows (key, node, root, place) with those of a key together, in order of root and node."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism), "key").sortWithinPartitions("key", "root", "node")
 
-    A document's keys are the first n - ceil(least * n) + 1 of its n shingles, and
-    a tenth of n more, in an order that all documents share, rare ones first. Let
-    the keys of one of two similar documents end first in that order: what the two
-    share up to there are keys of both, and what they share beyond is among its
-    other shingles. So they have ``shared_keys`` of their sizes in common, a tenth
-    of the larger size at least. That drops first the documents that have fewer
-    keys in common with all others together, as those do which only share a
-    passage, and then the pairs that met in fewer. A bucket with too many members
-    is cut into pairs of blocks, like those of fingerprints.
-    """
+
+def shared(d: DataFrame, found: DataFrame, words: int, least: float, block: int = BLOCK) -> DataFrame:
+    """Rows (key, node, root, place), a table: the keys that documents of two roots of ``found`` (node, root) have. See ``sharing``."""
     spark = d.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(d, words))
 
@@ -537,33 +567,84 @@ def sharing(d: DataFrame, found: DataFrame, words: int, least: float, block: int
         for b in batches:
             lens = np.diff(b.column(2).offsets.to_numpy())
             node, root, size = (np.repeat(b.column(k).to_numpy(zero_copy_only=False), lens) for k in (0, 3, 1))
-            yield pa.RecordBatch.from_arrays([b.column(2).flatten(), pa.array(node), pa.array(root), pa.array(size)], ["key", "node", "root", "size"])
+            at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+            yield pa.RecordBatch.from_arrays([b.column(2).flatten(), pa.array(node), pa.array(root), pa.array(size << 32 | at)], ["key", "node", "root", "place"])
 
     firsts = in_workers(d.select("doc_id", "text"), run, "doc_id long, size long, keys array<long>")
     rooted = firsts.join(found, F.col("doc_id") == F.col("node"), "left").select("doc_id", "size", "keys", F.coalesce("root", "doc_id").alias("root"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 128 * d.count() // 1_000_000)
-    gathered = lambda x: x.repartition(parts, "key").sortWithinPartitions("key", "root")
-    keyed = gathered(in_workers(rooted, spread, MET))
-    several = stage(in_workers(keyed, lambda it: mixed(it, block), MET), "similar-shared")
-    enough = several.groupBy(F.col("node").alias("enough")).agg(F.count("*").alias("n"), F.max("size").alias("of"))
+    wide = 200 * d.count() // 1_500_000
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wide)
+    keyed = in_workers(rooted, spread, MET).repartition(parts, "key").sortWithinPartitions("key", "root")
+    return stage(in_workers(keyed, lambda it: mixed(it, block), MET), "similar-shared")
+
+
+def narrowed(several: DataFrame) -> DataFrame:
+    """Of ``shared`` rows those of documents that have enough keys in common with others, a table; ``several`` is freed."""
+    enough = several.groupBy(F.col("node").alias("enough")).agg(F.count("*").alias("n"), F.shiftright(F.max("place"), 32).alias("of"))
     enough = stage(enough.where(F.col("n") >= F.greatest(F.lit(1), F.floor(F.col("of") / EXTRA))).select("enough"), "similar-enough")
-    left = several.join(enough, F.col("node") == F.col("enough")).select("key", "node", "root", "size")
-    met = stage(in_workers(gathered(left), lambda it: meetings(it, least, block), MEETINGS), "similar-meetings")
-    pairs = met.where("not over").select("a", "b", "root", "size")
-    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "root", "size")
+    left = stage(several.join(enough, F.col("node") == F.col("enough")).select("key", "node", "root", "place"), "similar-left")
+    free(several, enough)
+    return left
+
+
+def likely(left: DataFrame, least: float) -> DataFrame:
+    """A pair (a, b) a document at most: it with the one that it meets most often among the first members of its keys' roots."""
+    votes = in_workers(by_key(left), lambda it: stars(it, least), "node long, other long").groupBy("node", "other").agg(F.count("*").alias("n"))
+    return votes.groupBy(F.col("node").alias("a")).agg(F.max_by("other", F.struct("n", "other")).alias("b")).select("a", "b")
+
+
+def again(left: DataFrame, found: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``left`` under the roots of ``found`` (node, root), without the keys that one root has alone; ``left`` is freed."""
+    now = left.join(found.select(F.col("node").alias("of"), F.col("root").alias("now")), F.col("node") == F.col("of"), "left")
+    several = stage(in_workers(by_key(now.select("key", "node", F.coalesce("now", "root").alias("root"), "place")), lambda it: mixed(it, block), MET), "similar-shared")
+    free(left)
+    return narrowed(several)
+
+
+def met_pairs(left: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of documents of two roots that share as many keys as similar ones do."""
+    # Each document's keys as marks among 512 bits: they bound from above how many keys two documents share.
+    spot = F.pmod(F.xxhash64("key"), F.lit(512)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), spot % 64)
+    marks = left.groupBy(F.col("node").alias("of")).agg(
+        F.count("*").alias("keys"), *(F.coalesce(F.bit_or(F.when(F.floor(spot / 64) == k, bit)), F.lit(0).cast("long")).alias(f"mark{k}") for k in range(8))
+    )
+    marked = left.join(stage(marks, "similar-marks"), F.col("node") == F.col("of")).drop("of")
+    met = stage(in_workers(by_key(marked), lambda it: meetings(it, least, block), MEETINGS), "similar-meetings")
+    pairs = met.where("not over").select("a", "b")
+    over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "root", "place")
     if not over.isEmpty():
         sizes = over.groupBy("key").agg(F.ceil(F.count("*") / (block // 2)).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
         sizes = stage(sizes.where("low < high").select("key", "blocks"), "similar-sizes")
         dealt = over.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key")
-        again = gathered(dealt.select(pair, "node", "root", "size"))  # two of one block meet in several buckets: counted too often, never too seldom
-        pairs = pairs.union(in_workers(again, lambda it: meetings(it, least, block, spill=False), MEETINGS).select("a", "b", "root", "size"))
-    return pairs.groupBy("a", "b").agg(F.sum("root").alias("n"), F.max("size").alias("needed")).where("n >= needed").select("a", "b")
+        parted = by_key(dealt.select(pair, "node", "root", "place"))
+        pairs = pairs.union(in_workers(parted, lambda it: meetings(it, least, block, spill=False), MEETINGS).select("a", "b"))
+    return pairs.distinct()
+
+
+def sharing(d: DataFrame, found: DataFrame, words: int, least: float, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of ``d`` (doc_id, text) that can have a Jaccard similarity of ``least``, less those that ``found`` (node, root) joins: none is missed.
+
+    A document's keys are the first n - ceil(least * n) + 1 of its n shingles, and
+    a tenth of n more, in an order that all documents share, rare ones first. Of m
+    shingles a similar document lacks m - ``beyond`` at most, so the first shingle
+    that both have is among the first m - ``beyond`` + 1 of either, and they meet
+    there. Let the keys of one of the two end first in that order: what they share
+    up to there are keys of both, and what they share beyond is among its other
+    shingles. So they share ``shared_keys`` keys, about a tenth of the larger size
+    at least. That drops first the documents that have fewer keys in common with
+    all others together, as those do which only share a passage, and then pairs
+    whose marks show that they have fewer in common. A bucket with too many
+    members is cut into pairs of blocks, like those of fingerprints.
+    """
+    return met_pairs(narrowed(shared(d, found, words, least, block)), least, block)
 
 
 def verified(d: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b) of ``d`` (doc_id, text) whose texts have a similarity of ``least``: rows (u, v)."""
+    pairs = stage(pairs, "similar-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = stage(d.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "similar-texts")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
@@ -603,15 +684,24 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views
     # Documents alike in all views are one node; each is also a candidate of the node's least id.
     nodes = stage(rows.groupBy(*fps).agg(F.min("doc_id").alias("node")), "similar-nodes")
     same = rows.join(nodes, fps).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    pairs = stage(linked(nodes, fps, radius, forest=False, joint=True).union(same).distinct(), "similar-pairs")
+    joined = verified(d, linked(nodes, fps, radius, forest=False, joint=True).union(same).distinct(), words, least)
     free(rows, nodes)
-    joined = verified(d, pairs, words, least)
     found = stage(components(joined, "similar-components"), "similar-found")
-    rest = stage(sharing(d, found, words, least), "similar-rest")
-    more = stage(verified(d, rest, words, least), "similar-more")
-    free(pairs, rest)
-    if not more.isEmpty():
-        joined = components(more.union(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "similar-components")
-        free(found, more)
-        found = joined
+    # Documents of one group that the SimHashes left apart join it by one likely partner each, before all that still meet are compared.
+    left = narrowed(shared(d, found, words, least))
+    found = merged(found, verified(d, likely(left, least), words, least))
+    left = again(left, found)
+    found = merged(found, verified(d, met_pairs(left, least), words, least))
     return found.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root), a table, of ``found`` with ``links`` (u, v) more; ``found`` is freed."""
+    links = stage(links, "similar-more")
+    if links.isEmpty():
+        free(links)
+        return found
+    joined = components(links.union(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "similar-components")
+    joined = stage(joined, "similar-found")
+    free(found, links)
+    return joined
