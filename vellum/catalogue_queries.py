@@ -603,9 +603,9 @@ def _(t):
 # Scalar functions
 
 
-@query("f1_slugs", """SELECT doc_id, coalesce(nullif(substr(trim(regexp_replace(lower(substr(text, 1, 200)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 120), ''), 'untitled') AS slug FROM documents""")
+@query("f1_slugs", """SELECT doc_id, coalesce(nullif(substr(trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-'), 1, 120), ''), 'untitled') AS slug FROM documents""")
 def _(t):
-    return t("documents").select("doc_id", X.slugify(F.substring("text", 1, 200)).alias("slug"))
+    return t("documents").select("doc_id", X.slugify(F.col("text")).alias("slug"))
 
 
 @query("f2_plain_text")
@@ -633,9 +633,9 @@ def _(t):
     return t("pages").select("page_id", X.url_basename(F.col("url")).alias("base"), X.url_parameter(F.col("url"), "page").alias("page"))
 
 
-@query("f14_escaped", """SELECT doc_id, replace(replace(replace(replace(substr(text, 1, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped FROM documents""")
+@query("f14_escaped", """SELECT doc_id, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped FROM documents""")
 def _(t):
-    return t("documents").select("doc_id", X.html_escape(F.substring("text", 1, 300)).alias("escaped"))
+    return t("documents").select("doc_id", X.html_escape(F.col("text")).alias("escaped"))
 
 
 @query("f15_captions", """SELECT p_partkey, '<b>' || p_name || '</b><span>' || array_to_string(list_filter([nullif(((p_size % 4) * 500)::VARCHAR, '0'), p_brand, CASE WHEN p_size > 1 THEN p_size || ' files' END], lambda x: x IS NOT NULL), ' · ') || '</span>' AS caption FROM part""")
