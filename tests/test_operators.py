@@ -343,3 +343,21 @@ def test_traversal_meets_cycles_once(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("b", "d")], "u string, v string")
     got = {r.node: r.depth for r in graph.reachable(edges, spark.createDataFrame([("a",)], "node string")).collect()}
     assert got == {"a": 0, "b": 1, "c": 2, "d": 2} and math.isfinite(len(got))
+
+
+@pytest.mark.parametrize("least", [96.0, 99.0])
+def test_texts_of_a_sufficient_ratio_share_a_meeting_key(spark, least):
+    rng = random.Random(int(least))
+    pairs = []
+    for _ in range(1500):
+        a = "".join(rng.choice("abc d1") for _ in range(rng.choice((1, 2, 9, 26, 60, 99, 101, 118, 121, 130))))
+        b = list(a)
+        for _ in range(rng.randrange(7)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice(("", "a", "d"))
+        pairs.append((a, "".join(b)))
+    d = spark.createDataFrame(pairs, "a string, b string")
+    d = d.select("a", "b", F.arrays_overlap(link.meeting_keys(F.col("a"), least, False), link.meeting_keys(F.col("b"), least, True)).alias("met"))
+    close = [r for r in d.withColumns({"la": link.letters(F.col("a")), "lb": link.letters(F.col("b"))}).withColumn("near", link._within("a", "b", "la", "lb", least)).collect() if r.a and r.b and fuzzy.ratio(r.a, r.b) >= least]
+    assert len(close) > 200 and any(r.a != r.b for r in close)
+    assert all(r.met and r.near for r in close)

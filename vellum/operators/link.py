@@ -1,8 +1,8 @@
 """Fuzzy linkage of items to works, suggestions and lookups.
 
 Candidates come from equi-joins on what a sufficient score implies, so that no
-item is compared with every work: equal or adjacent years, and lengths near enough
-for the score. Scores are then exact, so the joins lose no match.
+item is compared with every work: equal years and lengths near enough for the
+score, or a piece of text that both have. Scores are then exact, so the joins lose no match.
 """
 
 from __future__ import annotations
@@ -27,51 +27,132 @@ def length_bucket(n: Column, least: float) -> Column:
     return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / step).cast("int")
 
 
+def sorted_words(text: Column) -> Column:
+    """The words of a text in order, joined by one space: what the token-sort ratio compares."""
+    return F.array_join(F.array_sort(F.filter(F.split(text, r"\s+"), lambda x: x != "")), " ")
+
+
 def letters(text: Column) -> Column:
-    """The letters of a text as a set of 64 bits. A bit that only one of two texts has is a letter to insert or delete."""
-    return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
+    """Three sets of 64 bits: the letters that a text has once, twice and three times at least.
+
+    A bit that only one of two texts has is a letter to insert or delete.
+    """
+    none = F.lit(0).cast("long")
+    start = F.struct(none.alias("a"), none.alias("b"), none.alias("c"))
+
+    def add(m: Column, ch: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(ch) % 39)  # parts small letters and digits
+        return F.struct(
+            m["a"].bitwiseOR(bit).alias("a"), m["b"].bitwiseOR(m["a"].bitwiseAND(bit)).alias("b"), m["c"].bitwiseOR(m["b"].bitwiseAND(bit)).alias("c")
+        )
+
+    return F.aggregate(F.split(text, ""), start, add)
 
 
 def _near(bucket: Column) -> Column:
     return F.explode(F.array(bucket - 1, bucket, bucket + 1))
 
 
+def _within(a: str, b: str, la: str, lb: str, least: float) -> Column:
+    """A necessary condition for a score of ``least``: lengths and letters leave few enough insertions and deletions."""
+    odd = sum((F.bit_count(F.col(f"{la}.{x}").bitwiseXOR(F.col(f"{lb}.{x}"))) for x in "abc"), F.lit(0))
+    apart = F.greatest(F.abs(F.length(a) - F.length(b)), odd)
+    return 100 * apart <= (100 - least) * (F.length(a) + F.length(b)) + 1e-6
+
+
+#: Texts up to LONG letters meet at pieces, those over LONG - 20 at length buckets; a pair has one of the two in common.
+LONG = 120
+
+
+def meeting_keys(text: Column, least: float, cut: bool) -> Column:
+    """Keys, one of which two texts share if their ratio is ``least`` (95 or more).
+
+    A ratio leaves at most k insertions and deletions for two lengths. The one text
+    is cut into k + 1 pieces, of which one is whole in the other text, moved by as
+    many places as the insertions and deletions on both its sides allow. ``cut``
+    gives the pieces, otherwise every stretch that can be one. A key holds the two
+    lengths, the piece's number and its hash. There are about k cubed of them, so
+    long texts get buckets of lengths instead.
+    """
+    n = F.length(text)
+    slack = (100.0 - least) / 100.0
+    edits = lambda m: F.floor(slack * (n + m) + 1e-6).cast("int")
+    reach = F.ceil(2 * slack * n / (1 - slack)).cast("int") + 1
+    lengths = F.filter(F.sequence(F.greatest(F.lit(1), n - reach), n + reach), lambda m: F.abs(n - m) <= edits(m))
+
+    def pieces(m: Column) -> Column:
+        k = edits(m)
+        size = n if cut else m  # the length of the text that is cut
+        own, gap = (m, F.lit(0)) if cut else (n, n - m)
+
+        def stretches(i: Column) -> Column:
+            start = F.floor(i * size / (k + 1)).cast("int")
+            width = F.floor((i + 1) * size / (k + 1)).cast("int") - start
+            key = lambda at: F.xxhash64(own, size, i, F.substring(text, at + 1, width))
+            if cut:
+                return F.array(key(start))
+            moved = F.sequence(F.ceil((gap - k) / 2).cast("int"), F.floor((gap + k) / 2).cast("int"))
+            places = F.filter(F.transform(moved, lambda s: start + s), lambda at: (at >= 0) & (at + width <= n))
+            return F.transform(places, key)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), k), stretches))
+
+    none = F.array().cast("array<bigint>")
+    short = F.when(n.between(1, LONG), F.flatten(F.transform(lengths, pieces))).otherwise(none)
+    bucket = length_bucket(n, least)
+    buckets = F.array(bucket) if cut else F.array(bucket - 1, bucket, bucket + 1)
+    long = F.when(n > LONG - 20, F.transform(buckets, lambda x: F.xxhash64(F.lit("long"), x))).otherwise(none)
+    return F.array_distinct(F.concat(short, long))
+
+
 def candidates(items: DataFrame, works: DataFrame) -> DataFrame:
     """Rows (item_id, work_id, work_ord, work_year, item_year, score) that meet their limits.
 
     ``items``: item_id, norm, year; ``works``: work_id, norm, year, ord. Generic
     titles match by equal title and year only. Scores depend on the two texts, so
-    each pair of distinct texts is scored once.
+    each pair of distinct texts is scored once. Texts of one year meet by length;
+    those of adjacent years or without one need a score that leaves few changes
+    and meet at pieces that both have.
     """
     i = items.select("item_id", F.col("norm").alias("it"), F.nullif("year", F.lit(0)).alias("item_year")).where("it is not null")
     w = works.select("work_id", F.col("norm").alias("wt"), F.nullif("year", F.lit(0)).alias("work_year"), F.col("ord").alias("work_ord")).where("wt is not null")
     exact = i.join(w, (F.col("it") == F.col("wt")) & (F.col("item_year") == F.col("work_year"))).where(is_generic(F.col("it")))
     exact = exact.withColumn("score", F.lit(100.0))
-    texts_i = i.where(~is_generic(F.col("it")) & (F.col("it") != "")).select("it", "item_year").distinct().withColumn("il", letters(F.col("it")))
-    texts_w = w.where(~is_generic(F.col("wt")) & (F.col("wt") != "")).select("wt", "work_year").distinct().withColumn("wl", letters(F.col("wt")))
-
-    dated_i = texts_i.where("item_year is not null").withColumn("bucket", length_bucket(F.length("it"), SAME_YEAR))
-    dated_w = texts_w.where("work_year is not null").withColumn("at", F.explode(F.array(*(F.col("work_year") + d for d in (-1, 0, 1)))))
-    dated_w = dated_w.withColumn("wb", _near(length_bucket(F.length("wt"), SAME_YEAR)))
-    dated = dated_i.join(dated_w, (F.col("item_year") == F.col("at")) & (F.col("bucket") == F.col("wb"))).select("it", "wt", "item_year", "work_year", "il", "wl")
 
-    open_i = texts_i.withColumn("bucket", length_bucket(F.length("it"), UNDATED))
-    open_w = texts_w.withColumn("wb", _near(length_bucket(F.length("wt"), UNDATED)))
+    def texts(d: DataFrame, t: str, year: str, p: str) -> tuple[DataFrame, DataFrame]:
+        """Distinct texts with their years, and distinct texts with whether one has no year."""
+        d = d.where(~is_generic(F.col(t)) & (F.col(t) != "")).select(t, year).distinct().withColumn(f"{p}s", sorted_words(F.col(t)))
+        whole = d.groupBy(t, f"{p}s").agg(F.bool_or(F.col(year).isNull()).alias(f"{p}open"))
+        bits = lambda x: x.withColumn(f"{p}l", letters(F.col(f"{p}s")))
+        return bits(d.where(F.col(year).isNotNull())), bits(whole)
+
+    dated_i, open_i = texts(i, "it", "item_year", "i")
+    dated_w, open_w = texts(w, "wt", "work_year", "w")
+    years = ["it", "wt", "item_year", "work_year"]
+    near = lambda least: _within("is", "ws", "il", "wl", least)
+
+    by_length = dated_w.withColumn("wb", _near(length_bucket(F.length("ws"), SAME_YEAR)))
+    same = dated_i.withColumn("bucket", length_bucket(F.length("is"), SAME_YEAR)).join(by_length, (F.col("item_year") == F.col("work_year")) & (F.col("bucket") == F.col("wb")) & near(SAME_YEAR)).select(years)
+
+    cut = lambda d, least: d.withColumn("wk", F.explode(meeting_keys(F.col("ws"), least, True)))
+    seek = lambda d, least: d.withColumn("ik", F.explode(meeting_keys(F.col("is"), least, False)))
+    beside = cut(dated_w, NEXT_YEAR).withColumn("at", F.explode(F.array(F.col("work_year") - 1, F.col("work_year") + 1)))
+    beside = seek(dated_i, NEXT_YEAR).join(beside, (F.col("item_year") == F.col("at")) & (F.col("ik") == F.col("wk")) & near(NEXT_YEAR)).select(years)
+    undated = seek(open_i, UNDATED).join(cut(open_w, UNDATED), (F.col("ik") == F.col("wk")) & (F.col("iopen") | F.col("wopen")) & near(UNDATED)).select("it", "wt")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        return pairs.select("it", "wt").distinct().withColumn("score", fuzzy.title_score_udf("it", "wt"))
+
+    pairs = same.union(beside).distinct()
+    limit = F.when(F.col("item_year") == F.col("work_year"), SAME_YEAR).otherwise(NEXT_YEAR)
+    good = pairs.join(scored(pairs), ["it", "wt"]).where(F.col("score") >= limit).withColumnsRenamed({"it": "_it", "wt": "_wt", "item_year": "_iy", "work_year": "_wy"})
+    out = ["item_id", "work_id", "work_ord", "work_year", "item_year", "score"]
+    back = i.join(good, (F.col("it") == F.col("_it")) & (F.col("item_year") == F.col("_iy")))
+    linked = back.join(w, (F.col("_wt") == F.col("wt")) & (F.col("_wy") == F.col("work_year"))).select(out)
+    free = scored(undated).where(F.col("score") >= UNDATED).withColumnsRenamed({"it": "_it", "wt": "_wt"})
     missing = F.col("item_year").isNull() | F.col("work_year").isNull()
-    undated = open_i.join(open_w, (F.col("bucket") == F.col("wb")) & missing).select("it", "wt", "item_year", "work_year", "il", "wl")
-    # A score leaves so many letters to insert or delete, which lengths and letters bound from below.
-    total = F.length("it") + F.length("wt")
-    apart = F.greatest(F.abs(F.length("it") - F.length("wt")), F.bit_count(F.col("il").bitwiseXOR(F.col("wl"))))
-    within = lambda d, least: d.where(100 * apart <= (100 - least) * total + 1e-6)
-    pairs = within(dated, SAME_YEAR).union(within(undated, UNDATED)).drop("il", "wl").distinct()
-    scored = pairs.select("it", "wt").distinct().withColumn("score", fuzzy.title_score_udf("it", "wt"))
-    gap = F.abs(F.col("item_year") - F.col("work_year"))
-    limit = F.when(gap.isNull(), UNDATED).when(gap == 0, SAME_YEAR).otherwise(NEXT_YEAR)
-    good = pairs.join(scored.where(F.col("score") >= SAME_YEAR), ["it", "wt"]).where(F.col("score") >= limit)
-    good = good.withColumnsRenamed({"it": "_it", "wt": "_wt", "item_year": "_iy", "work_year": "_wy"})
-    back = i.join(good, (F.col("it") == F.col("_it")) & F.col("item_year").eqNullSafe(F.col("_iy"))).select("item_id", "item_year", "_wt", "_wy", "score")
-    linked = back.join(w, (F.col("_wt") == F.col("wt")) & F.col("_wy").eqNullSafe(F.col("work_year"))).select("item_id", "work_id", "work_ord", "work_year", "item_year", "score")
-    return linked.unionByName(exact.select("item_id", "work_id", "work_ord", "work_year", "item_year", "score"))
+    loose = i.join(free, F.col("it") == F.col("_it")).join(w, (F.col("_wt") == F.col("wt")) & missing).select(out)
+    return linked.unionByName(loose).unionByName(exact.select(out))
 
 
 def link(items: DataFrame, works: DataFrame) -> DataFrame:
