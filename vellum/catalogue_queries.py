@@ -42,10 +42,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable], Query]:
 
 
 def queries() -> dict[str, Query]:
+    import vellum.function_queries  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    import vellum.function_queries  # noqa: F401
+
     return dict(_SQL)
 
 

@@ -137,3 +137,8 @@ def style_priors(title: Column, medium: Column) -> Column:
     painted = m.rlike(r"(?iU)\boil\b|canvas|acrylic|tempera|watercolou?r")
     is_drawing = ~painted & (m.rlike(drawn) | t.rlike(drawn))
     return F.array(F.when(is_drawing, 4.0).otherwise(0.0), F.when(t.rlike(abstract) | m.rlike(abstract), 4.0).otherwise(0.0), F.lit(0.0))
+
+
+def rounded(x: Column, places: int = 4) -> Column:
+    """Rounded half to even, as the source data's figures are."""
+    return F.bround(x, places)
