@@ -361,3 +361,42 @@ def test_texts_of_a_sufficient_ratio_share_a_meeting_key(spark, least):
     close = [r for r in d.withColumns({"la": link.letters(F.col("a")), "lb": link.letters(F.col("b"))}).withColumn("near", link._within("a", "b", "la", "lb", least)).collect() if r.a and r.b and fuzzy.ratio(r.a, r.b) >= least]
     assert len(close) > 200 and any(r.a != r.b for r in close)
     assert all(r.met and r.near for r in close)
+
+
+def test_plain_text_and_normed_titles_of_whole_tables_by_brute_force(spark):
+    import html
+    import re
+    import unicodedata
+
+    from vellum import catalogue_queries
+
+    sf = "/root/testdata/sf0.001"
+    source = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for r in catalogue_queries.queries()["f2_plain_text"](spark, sf).collect():
+        shown = re.sub(r"(?is)<!--.*?-->|<!doctype[^>]*>", "<x>", re.sub(r"(?is)<(script|style)\b.*?</\1>", "<x>", source[r.page_id]))
+        assert r.text == " ".join(p for p in (html.unescape(p).strip() for p in re.split(r"<[^>]+>", shown)) if p)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r.norm for r in catalogue_queries.queries()["f3_normed_titles"](spark, sf).collect()}
+    assert got.keys() == texts.keys()
+    for k, v in texts.items():
+        plain = unicodedata.normalize("NFKD", v or "").lower().replace("'", "")
+        words = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in plain).split()
+        assert got[k] == " ".join(w for w in words if w not in X.STOP_WORDS)
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_silhouette_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(features, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    x, c = np.vstack([rng.normal(size=(14, 3)), np.zeros((8, 3))]), [i % 3 for i in range(21)] + [7]
+    m = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    of = np.array(c)
+    each = []
+    for i in range(len(c)):
+        own = (of == of[i]).sum()
+        a = m[i, of == of[i]].sum() / (own - 1) if own > 1 else None
+        b = min(m[i, of == k].mean() for k in set(c) - {c[i]})
+        each.append(0.0 if a is None else (b - a) / max(a, b))
+    d = spark.createDataFrame([(i, v.tolist(), k) for i, (v, k) in enumerate(zip(x, c, strict=True))], "id int, v array<double>, cluster int")
+    assert features.silhouette(d, "v").first()[0] == pytest.approx(np.mean(each))
+    assert features.silhouette(d.limit(0), "v").first()[0] is None

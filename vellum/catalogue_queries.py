@@ -223,12 +223,13 @@ def _(t):
     return rules.works(d).select("ord", F.col("_t").alias("cleaned"), "reason")
 
 
-@query("p7_plausible_titles", r"""SELECT doc_id, length(t) BETWEEN 3 AND 140 AND NOT (spaces > 14 AND (contains(t, ',') OR t LIKE '%.')) AND NOT regexp_matches(t, '\b(was|were|born|died|lived|moved|became)\b', 'i') AS plausible
-FROM (SELECT doc_id, t, length(t) - length(replace(t, ' ', '')) AS spaces FROM (
-  SELECT doc_id, rtrim(trim(regexp_replace(trim(regexp_extract(text, '^[^\n]*')), '\s+', ' ', 'g'), ' .,-;:"'''), '~') AS t FROM documents))""")
+@query("p7_plausible_titles", r"""SELECT doc_id, pos, length(t) BETWEEN 3 AND 140 AND NOT (spaces > 14 AND (contains(t, ',') OR t LIKE '%.')) AND NOT regexp_matches(t, '(^|[^\pL\pN_])(was|were|born|died|lived|moved|became)($|[^\pL\pN_])', 'i') AND NOT regexp_matches(t, 'll\.?\s*d\.?', 'i') AS plausible
+FROM (SELECT doc_id, pos, t, length(t) - length(replace(t, ' ', '')) AS spaces FROM (
+  SELECT doc_id, pos, rtrim(trim(regexp_replace(trim(line), '\s+', ' ', 'g'), ' .,-;:"'''), '~') AS t FROM (
+    SELECT doc_id, unnest(l) AS line, unnest(range(len(l)))::INT AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))))""")
 def _(t):
-    d = t("documents").select("doc_id", F.regexp_extract("text", r"^[^\n]*", 0).alias("line"))
-    return d.select("doc_id", rules.plausible_title(F.col("line")).alias("plausible"))
+    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return lines.select("doc_id", "pos", rules.plausible_title(F.col("line")).alias("plausible"))
 
 
 @query("p14_confidence", """SELECT p_partkey, CASE WHEN h LIKE '%ebay%' THEN 'low' WHEN p_name <> '' AND y <> 0 AND n THEN 'high' WHEN p_name <> '' AND (y <> 0 OR n) THEN 'medium' ELSE 'low' END AS confidence
@@ -618,7 +619,7 @@ def _(t):
 
 @query("f3_normed_titles")
 def _(t):
-    return t("documents").select("doc_id", X.norm(F.regexp_extract("text", r"^[^\n]*", 0)).alias("norm"))
+    return t("documents").select("doc_id", X.norm(F.col("text")).alias("norm"))
 
 
 @query("f6_title_keys", r"""SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(p_name || ', ' || p_brand), '[^\w\s]', '', 'g'), '\s+', ' ', 'g')) AS title_key FROM part""")
@@ -671,11 +672,13 @@ def _(t):
     return t("events").select("event_id", Y.stamp(F.col("ts")).alias("stamp"))
 
 
-@query("z1_token_sort_scores")
+@query("z1_token_sort_scores", "SELECT p_partkey, 200.0 * n / (2 * n + 2 + p_partkey % 30) AS score FROM (SELECT p_partkey, length(p_name)::DOUBLE AS n FROM part)")
 def _(t):
-    names = t("part").select("p_name").distinct()
-    a = names.select(F.col("p_name").alias("a"))
-    return a.join(names.select(F.col("p_name").alias("b")), F.lit(True)).select("a", "b", fuzzy.token_sort_udf("a", "b").alias("score"))
+    # Names with their words sorted, against the words in another order and one more of letters that no name has, which stands last in order.
+    name = F.array_join(F.array_sort(F.split("p_name", " ")), " ")
+    turned = F.array_join(F.reverse(F.split("p_name", " ")), "  ")
+    more = F.concat(F.repeat(F.lit("~"), (1 + F.col("p_partkey") % 30).cast("int")), F.lit(" "), turned)
+    return t("part").select("p_partkey", fuzzy.token_sort_udf(name, more).alias("score"))
 
 
 @query("m4_difference_hashes", """SELECT vec_id, array_to_string(list_transform(range(1, 57), lambda i: CASE WHEN embedding[i + (i - 1) // 7] > embedding[i + (i - 1) // 7 + 1] THEN '1' ELSE '0' END), '') AS bits FROM embeddings""".replace("range(1, 57)", "range(1, 50)"))

@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import vision
+from vellum.scratch import stage
+
+#: Rows of a block whose distances to another block are one task's work.
+BLOCK = 2048
 
 
 def standardized(rows: DataFrame, vector: str, size: int) -> DataFrame:
@@ -22,7 +26,7 @@ def standardized(rows: DataFrame, vector: str, size: int) -> DataFrame:
 
 def kmeans(rows: DataFrame, vector: str, k: int, restarts: int = 10, seed: int = 0) -> DataFrame:
     """Rows with cluster 0 .. k - 1: the best of several seeded runs, clusters in order of size, then centre."""
-    d = rows.withColumn("_f", array_to_vector(vector)).cache()
+    d = stage(rows.withColumn("_f", array_to_vector(vector)), "kmeans")  # read by every restart
     best = min((KMeans(k=k, seed=seed + i, featuresCol="_f", predictionCol="_p").fit(d) for i in range(restarts)), key=lambda m: m.summary.trainingCost)
     sizes = best.summary.clusterSizes
     order = sorted(range(len(sizes)), key=lambda c: (-sizes[c], best.clusterCenters()[c].tolist()))
@@ -31,27 +35,30 @@ def kmeans(rows: DataFrame, vector: str, k: int, restarts: int = 10, seed: int =
 
 
 def silhouette(rows: DataFrame, vector: str, cluster: str = "cluster", key: str = "id") -> DataFrame:
-    """Mean silhouette by Euclidean distance, one row.
+    """Mean silhouette by Euclidean distance, one row; null without rows.
 
-    Exact: every row is a stated query against all rows, met in blocks of
-    vectors, so what crosses the network is blocks, not pairs.
+    Exact: every row is a stated query against all rows. Rows are dealt to blocks
+    of about ``BLOCK``, whatever they hold, and each pair of blocks is one group, so
+    a task holds two blocks and their distances, and their number grows with the rows.
     """
-    from vellum.scratch import stage
-
-    blocks = stage(
-        rows.select(vector, cluster).withColumn("_b", F.pmod(F.xxhash64(F.col(vector)), F.lit(64)).cast("int")).groupBy("_b").agg(F.collect_list(vector).alias("v"), F.collect_list(cluster).alias("c")), "silhouette"
-    )
-
-    def distances(it):
-        for p in it:
-            for v, c, w, d in p[["v", "c", "w", "d"]].itertuples(index=False):
-                x, y, of = np.stack(v).astype(float), np.stack(w).astype(float), np.asarray(d)
-                m = np.sqrt(np.maximum(0, ((x[:, None] - y[None]) ** 2).sum(-1)))
-                for k in np.unique(of):
-                    yield pd.DataFrame({"row": [f"{p._b.iloc[0]}-{i}" for i in range(len(x))], "own": np.asarray(c), "other": int(k), "total": m[:, of == k].sum(1), "n": int((of == k).sum())})
-
-    met = blocks.join(blocks.select(F.col("v").alias("w"), F.col("c").alias("d")), F.lit(True)).repartition("_b")
-    parts = met.groupBy("_b").applyInPandas(lambda p: pd.concat(distances([p])), "row string, own int, other int, total double, n long")
+    d = stage(rows.select(F.col(vector).alias("v"), F.col(cluster).cast("int").alias("c")).withColumn("row", F.monotonically_increasing_id()), "silhouette")
+    n = max(1, -(-d.count() // BLOCK))
+    d = d.withColumn("b", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def distances(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"row": [], "own": [], "other": [], "total": [], "n": []})]
+        if len(one) and len(two):
+            x, y = np.stack(one["v"]).astype(float), np.stack(two["v"]).astype(float)
+            m = np.sqrt(np.maximum(0, (x * x).sum(1)[:, None] + (y * y).sum(1) - 2 * x @ y.T))
+            m[one["row"].to_numpy()[:, None] == two["row"].to_numpy()] = 0
+            of = two["c"].to_numpy()
+            out += [pd.DataFrame({"row": one["row"], "own": one["c"], "other": k, "total": m[:, of == k].sum(1), "n": (of == k).sum()}) for k in np.unique(of)]
+        return pd.concat(out).astype({"row": "int64", "own": "int32", "other": "int32", "total": "float64", "n": "int64"})
+
+    left = d.withColumn("o", other).groupBy("b", "o")
+    right = d.withColumnRenamed("b", "o").withColumn("b", other).groupBy("b", "o")
+    parts = left.cogroup(right).applyInPandas(distances, "row long, own int, other int, total double, n long")
     sums = parts.groupBy("row", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own = F.col("own") == F.col("other")
     each = sums.groupBy("row").agg(F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"))
