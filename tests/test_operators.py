@@ -400,3 +400,24 @@ def test_silhouette_in_blocks(spark, monkeypatch, block):
     d = spark.createDataFrame([(i, v.tolist(), k) for i, (v, k) in enumerate(zip(x, c, strict=True))], "id int, v array<double>, cluster int")
     assert features.silhouette(d, "v").first()[0] == pytest.approx(np.mean(each))
     assert features.silhouette(d.limit(0), "v").first()[0] is None
+
+
+@pytest.mark.parametrize("joint", [1, 2, 3])
+def test_hashes_within_the_radius_share_a_joint_key(spark, joint):
+    rng = random.Random(joint)
+    rows = []
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        b = a ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(6)))
+        rows.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
+    d = spark.createDataFrame(rows, "a long, b long")
+    assert d.where(~F.arrays_overlap(graph.bands(F.col("a"), 5, joint=joint), graph.bands(F.col("b"), 5, joint=joint))).count() == 0
+
+
+def test_bubbles_stay_within_a_width(spark):
+    tiles = spark.createDataFrame([("g", i, float(i % 3 * 200), 40.0 * (i // 3), 30.0, 20.0) for i in range(9)], "group string, id int, cx double, cy double, w double, h double")
+    wide = layout.bubbles(tiles, rounds=10).toPandas()
+    close = layout.bubbles(tiles, rounds=10, within=300.0).toPandas()
+    assert (wide.x + wide.w).max() > 400 and (close.x + close.w).max() <= 300 + 8
+    one = layout.bubbles(tiles.where("id = 0"), within=10.0).toPandas()
+    assert (one.x[0], one.y[0]) == (8, 8)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +18,26 @@ def digest_edges(rows: DataFrame, node: str, digest: str) -> DataFrame:
     return held.join(first, "d").where("u <> v").select("u", "v")
 
 
-def bands(h: Column, radius: int, bits: int = 64) -> Column:
-    """radius + 1 bands (number, bits) of a hash: two hashes within ``radius`` agree on one at least."""
-    n = radius + 1
-    out, at = [], 0
+def bands(h: Column, radius: int, bits: int = 64, joint: int | None = None) -> Column:
+    """Keys (band, value) of a hash, one of which two hashes within ``radius`` share.
+
+    Of radius + ``joint`` bands two such hashes agree on ``joint`` at least, so a
+    key is a choice of so many bands: more keys a hash, each of more bits. By
+    default two bands make a key for radii up to 8, where keys stay few.
+    """
+    joint = joint or (2 if radius <= 8 else 1)
+    n = radius + joint
+    parts, at = [], 0
     for k in range(n):
         width = bits // n + (k < bits % n)
-        value = F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << width) - 1)) if width < 63 else h
-        out.append(F.struct(F.lit(k).alias("band"), value.alias("value")))
+        parts.append((width, F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << width) - 1)) if width < 63 else h))
         at += width
+    out = []
+    for k, chosen in enumerate(combinations(parts, joint)):
+        value = chosen[0][1]
+        for width, part in chosen[1:]:
+            value = F.shiftleft(value, width).bitwiseOR(part)
+        out.append(F.struct(F.lit(k).alias("band"), value.alias("value")))
     return F.array(*out)
 
 

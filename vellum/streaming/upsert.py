@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vellum.operators.records import last_per_key, upsert
 
 
-def _read(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+def _versions(spark: SparkSession, table: str) -> dict[int, str]:
+    """Epoch to folder of a table's complete versions, by one listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path(table)):
+        return {}
+    names = [s.getPath().getName() for s in files.listStatus(path(table))]
+    return {int(n[6:]): f"{table}/{n}" for n in names if n.startswith("epoch=") and files.exists(path(f"{table}/{n}/_SUCCESS"))}
 
 
 def upsert_batch(batch: DataFrame, epoch: int, table: str, key: str, order: str, policy: str) -> None:
-    """Merge a micro-batch into the newest version of ``table``; versions are folders named by epoch, so a rerun writes the same one."""
+    """Merge a micro-batch into the newest version of ``table``; versions are folders named by epoch, so a rerun writes the same one.
+
+    The version that was merged stays until the next is written, older ones are deleted.
+    """
     spark = batch.sparkSession
     new = last_per_key(batch, key, order)
-    old = None
-    for e in range(epoch - 1, -1, -1):
-        old = _read(spark, f"{table}/epoch={e}")
-        if old is not None:
-            break
-    merged = new if old is None else upsert(old, new, key, policy, [c for c in new.columns if c != key]).select(*new.columns)
+    versions = _versions(spark, table)
+    base = max((e for e in versions if e < epoch), default=None)
+    merged = new if base is None else upsert(spark.read.parquet(versions[base]), new, key, policy, [c for c in new.columns if c != key]).select(*new.columns)
     merged.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for e in versions:
+        if base is not None and e < base:
+            path(versions[e]).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(versions[e]), True)
 
 
 def stream_upsert(rows: DataFrame, table: str, checkpoint: str, key: str = "key", order: str = "_ord", policy: str = "replace") -> StreamingQuery:
