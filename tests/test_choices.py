@@ -63,3 +63,16 @@ def test_short_stored_bodies_are_fetched_again(spark):
     stored = spark.createDataFrame([("a", "x" * 600), ("b", "short"), ("c", None)], "url string, html string")
     fetched = spark.createDataFrame([("a", "new"), ("b", "fresh"), ("c", None), ("d", "d")], "url string, html string")
     assert sorted((r.url, r.html[:5] if r.html else None, r.cached) for r in pages.cached(fetched, stored).collect()) == [("a", "xxxxx", True), ("b", "fresh", False), ("c", None, False), ("d", "d", False)]
+
+
+def test_rules_of_sites(spark):
+    urls = spark.createDataFrame([("http://a/x/y",), ("http://a/x/z",), ("http://a",), ("http://b/x",), ("nonsense",), (None,), ("http://a/x/y",)], "url string")
+    robots = spark.createDataFrame([("A", "/x", False), ("a", "/x/y", True), ("a", "/x/y", False), ("a", "", False)], "host string, path string, allow boolean")
+    got = sorted(((r.url or "", r.allowed) for r in pages.allowed(urls, robots).collect()))
+    assert got == [("", False), ("http://a", True), ("http://a/x/y", True), ("http://a/x/y", True), ("http://a/x/z", False), ("http://b/x", True), ("nonsense", False)]
+
+
+def test_tokens_are_followed_once(spark):
+    d = spark.createDataFrame([(1, None, "a"), (2, "a", "b"), (3, "b", "a"), (4, "c", None)], "k int, given string, following string")
+    assert sorted(r.k for r in pages.continued(d).collect()) == [1, 2, 3]
+    assert pages.continued(d.where("k = 4")).count() == 0

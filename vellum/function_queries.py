@@ -568,3 +568,50 @@ def _(t):
 def _(t):
     order = F.struct(rules.preferred(F.col("p_type"), ["PROMO", "SMALL"]).alias("r"), "p_partkey")
     return t("part").groupBy("p_name").agg(F.min_by("p_partkey", order).alias("p_partkey"))
+
+
+@query("s21_search_results", """SELECT 'one' AS engine, p_brand AS query, p_name AS title, 'http://i/' || p_partkey AS image_url, NULL::VARCHAR AS page_url, p_size AS width, NULL::INT AS height
+FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part) WHERE n <= 5 UNION ALL SELECT 'two', s_suppkey::VARCHAR, s_name, NULL, 'http://p/' || s_suppkey, NULL, NULL FROM supplier""")
+def _(t):
+    one = t("part").withColumn("i", F.concat(F.lit("http://i/"), F.col("p_partkey").cast("string")))
+    two = t("supplier").withColumn("p", F.concat(F.lit("http://p/"), F.col("s_suppkey").cast("string")))
+    a = pages.search_results(one, "one", {"query": "p_brand", "title": "p_name", "image_url": "i", "width": "p_size"}, 5, "p_partkey")
+    return records.union_records(a, pages.search_results(two, "two", {"query": "s_suppkey", "title": "s_name", "page_url": "p"}))
+
+
+@query("s23_images_of_links", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'http://own' WHEN 1 THEN 'http://i/' || p_partkey || '.png' END AS image_url FROM part")
+def _(t):
+    key = F.col("p_partkey").cast("string")
+    found = t("part").select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, "http://own").otherwise("").alias("image_url"), F.concat(F.lit("http://S/"), key).alias("page_url"))
+    stored = t("part").where("p_partkey % 3 < 2").select(F.concat(F.lit("http://s/"), key, F.lit("/")).alias("url"), F.concat(F.lit('<img src="/logo.png"><img src="http://i/'), key, F.lit('.png">')).alias("html"))
+    return pages.linked_images(found, stored).select("p_partkey", "image_url")
+
+
+@query("s37_repaired_paths", "SELECT p_partkey, 'museum/' || p_partkey || '.jpg' AS path FROM part")
+def _(t):
+    key = F.concat(F.col("p_partkey").cast("string"), F.lit(".jpg"))
+    path = varied("p_partkey", key, F.concat(F.lit("museum/"), key), F.concat(F.lit("./"), key), F.concat(F.lit("/museum/"), key))
+    return t("part").select("p_partkey", pages.repaired_path(path, "museum").alias("path"))
+
+
+@query("s17_continued_responses", "SELECT n_nationkey FROM nation WHERE n_nationkey < 20")
+def _(t):
+    token = lambda n: F.concat(F.lit("t"), n.cast("string"))
+    k = F.col("n_nationkey")
+    stored = t("nation").select("n_nationkey", F.when(k > 0, token(k)).alias("given"), F.when(k == 19, "").otherwise(token(k + 1)).alias("following"))
+    return pages.continued(stored).select("n_nationkey")
+
+
+@query("s41_plain_listing", "SELECT p_name AS title, p_partkey % 60 + 1905 AS year, count(*) AS n FROM part GROUP BY ALL")
+def _(t):
+    listed = t("part").select(F.to_json(F.struct(F.col("p_name").alias("title"), (F.col("p_partkey") % 60 + 1905).alias("year"))).alias("line"))
+    return listed.select(F.from_json("line", "title string, year long").alias("r")).groupBy("r.title", "r.year").agg(F.count("*").alias("n"))
+
+
+@query("p25_allowed_addresses", """SELECT page_id, host NOT LIKE '%.com' OR starts_with(path, '/en/1') OR NOT starts_with(path, '/en') AS allowed
+FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]+([^#]*)', 1) AS path FROM pages)""")
+def _(t):
+    p = t("pages").select("page_id", "url")
+    hosts = p.select(X.host_of(F.col("url")).alias("host")).distinct().where("host like '%.com'")
+    rule = F.explode(F.array(*(F.struct(F.lit(a).alias("path"), F.lit(b).alias("allow")) for a, b in (("/en", False), ("/en/1", True), ("/", True), ("", False)))))
+    return pages.allowed(p, hosts.select(F.upper("host").alias("host"), rule.alias("r")).select("host", "r.*")).select("page_id", "allowed")

@@ -5,7 +5,7 @@ Pages are tables of address and mark-up, however they were fetched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import text as X
@@ -133,3 +133,59 @@ def complete_listing(listed: DataFrame, key: str, page: str = "page", order: str
     inside = listed.join(F.broadcast(end), F.col(page) < F.col("_end")).drop("_end")
     best = F.min_by(F.struct("*"), F.struct(page, order))
     return inside.groupBy(F.col(key).alias("_k")).agg(best.alias("_r")).select("_r.*")
+
+
+#: What every search gives for a find. Fixed values.
+CANDIDATE = ("engine", "query", "title", "image_url", "page_url", "width", "height")
+
+
+def search_results(rows: DataFrame, engine: str, names: dict[str, str], most: int | None = None, order: str | None = None) -> DataFrame:
+    """The results of a search in the common columns; ``names`` maps those to the search's own, others are null.
+
+    ``most`` is the number of results that a query asks of the search, by ``order``.
+    """
+    if most is not None:
+        if order is None:
+            raise ValueError("a number of results needs an order")
+        rank = F.row_number().over(Window.partitionBy(names["query"]).orderBy(order))
+        rows = rows.withColumn("_rank", rank).where(F.col("_rank") <= most)
+    kind = lambda c: "int" if c in ("width", "height") else "string"
+    value = lambda c: F.lit(engine) if c == "engine" else F.col(names[c]).cast(kind(c)) if c in names else F.lit(None).cast(kind(c))
+    return rows.select(*(value(c).alias(c) for c in CANDIDATE))
+
+
+def linked_images(found: DataFrame, pages: DataFrame, url: str = "page_url", html: str = "html") -> DataFrame:
+    """Finds without an image get that of the page they link to, if it is stored; others stay as they are."""
+    stored = pages.select(normal_url(F.col("url")).alias("_u"), page_image(F.col(html)).alias("_i")).groupBy("_u").agg(F.min("_i").alias("_i"))
+    d = found.join(stored, normal_url(F.col(url)) == F.col("_u"), "left")
+    return d.withColumn("image_url", F.coalesce(F.nullif("image_url", F.lit("")), "_i")).drop("_u", "_i")
+
+
+def repaired_path(path: Column, prefix: str) -> Column:
+    """A stored path with the folder of its collection before it, once."""
+    bare = F.regexp_replace(path, r"^[./]+", "")
+    return F.when(bare.startswith(prefix.rstrip("/") + "/"), bare).otherwise(F.concat(F.lit(prefix.rstrip("/") + "/"), bare))
+
+
+def continued(responses: DataFrame, given: str = "given", following: str = "following") -> DataFrame:
+    """The stored responses of one paged request, from the one without a token on, each token followed once."""
+    from vellum.operators.graph import reachable
+
+    start = F.coalesce(F.col(given), F.lit(""))
+    edges = responses.where(F.col(following).isNotNull() & (F.col(following) != "")).select(start.alias("u"), F.col(following).alias("v")).distinct()
+    first = responses.where(start == "").select(start.alias("node")).distinct()
+    return responses.join(reachable(edges, first, 10_000).select(F.col("node").alias("_t")), start == F.col("_t"), "left_semi")
+
+
+def allowed(urls: DataFrame, robots: DataFrame, url: str = "url") -> DataFrame:
+    """``urls`` with allowed, by rows (host, path, allow) of the sites' rules: the longest path that the address begins with counts, allowance before refusal.
+
+    An address of a site without a rule that fits is allowed, one without a host is not.
+    """
+    path = F.coalesce(F.nullif(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1), F.lit("")), F.lit("/"))
+    asked = urls.select(url).distinct().select(F.col(url).alias("_u"), X.host_of(F.col(url)).alias("_h"), path.alias("_p"))
+    rules = robots.where("path <> ''").select(F.lower("host").alias("_rh"), F.col("path").alias("_rp"), "allow").distinct()
+    told = asked.join(rules, (F.col("_h") == F.col("_rh")) & F.col("_p").startswith(F.col("_rp")), "left")
+    verdict = F.coalesce(F.max_by("allow", F.when(F.col("_rp").isNotNull(), F.struct(F.length("_rp"), F.col("allow").cast("int")))), F.lit(True))
+    each = told.groupBy("_u").agg((verdict & F.max(F.col("_h").isNotNull())).alias("allowed"))
+    return urls.join(each, F.col(url) == F.col("_u"), "left").select(urls["*"], F.coalesce("allowed", F.lit(False)).alias("allowed"))
