@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, count
 
 import numpy as np
@@ -15,11 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import in_workers, ragged, slices, tune
-from vellum.llm.tokens import BYTE_LEVEL, byte_characters, encoder, model_path
+from vellum.llm.tokens import BYTE_LEVEL, Words, byte_characters, encoder, model_path
 
 MODEL = "byte_bpe_50k.json"
 
 
+def library_letters() -> Callable[[str], bool]:
+    """Whether the library takes a character for a letter or digit: it then stays with a letter or a digit that follows."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    cut = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    return lambda c: len(cut(f"{c}a")) == 1 or len(cut(f"{c}1")) == 1
+
+
 class PairIndex:
     """A byte-level model as arrays: pair to rank, rank to merged id, id to bytes."""
 
@@ -45,7 +53,7 @@ class PairIndex:
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.pattern = regex.compile(BYTE_LEVEL)
+        self.cutter = Words(BYTE_LEVEL, library_letters())
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair, or -1."""
@@ -117,14 +125,14 @@ class PairIndex:
     def words(self, text: str) -> list[str | int]:
         """Pre-tokens; special tokens as ids."""
         if not (self.split and self.split.search(text)):
-            return self.pattern.findall(text)
+            return self.cutter.words(text)
         out: list[str | int] = []
         at = 0
         for m in self.split.finditer(text):
-            out += self.pattern.findall(text[at : m.start()])
+            out += self.cutter.words(text[at : m.start()])
             out.append(self.special[m[0]])
             at = m.end()
-        return out + self.pattern.findall(text[at:])
+        return out + self.cutter.words(text[at:])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and how many each has: one index over the distinct words of all."""

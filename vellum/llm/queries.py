@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import bpe, cotraining, exact_dedup, langid, packing, quality_rules, simhash, substring_dedup, token_files, warc
+from vellum.llm import bpe, cotraining, exact_dedup, langid, packing, prefix_bpe, prefix_trie, quality_rules, simhash, substring_dedup, token_files, warc, whitening
 from vellum.llm.common import read_documents, tune
 
 
@@ -54,6 +54,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read_documents(spark, sf_dir), digest=True)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), share=True)
+
+
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.encode_decode(read_documents(spark, sf_dir), digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -66,6 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_bpe": op10_bpe,
+        "op11_whitening": op11_whitening,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_prefix_bpe": op13_prefix_bpe,
     }
 
 

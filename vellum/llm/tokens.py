@@ -6,12 +6,15 @@ import gc
 import json
 import os
 import re
-from collections.abc import Callable
+import sys
+import unicodedata
+from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 from vellum.llm.common import ragged
 
@@ -43,6 +46,38 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+def odd_texts(special: list[str]) -> str:
+    """Pattern of texts that a byte model may not cut at every blank and line end, or that hold a special token."""
+    return "|".join(["  ", r"\n\n", r" \n", r"\n ", r"[ \n]$", f"[{ODD_SPACE}{STOPPED}{FIRST}]", *(re.sub(r"(\W)", r"\\\1", x) for x in special)])
+
+
+class Words:
+    """Cuts texts into words by a pattern, with the letters and digits of the library that ``knows`` them.
+
+    The ``regex`` module may follow a later edition of Unicode than a tokenizer
+    does. Characters that are letters or digits to the module only are looked at
+    as signs: for the pattern a private character stands for each.
+    """
+
+    def __init__(self, pattern: str, knows: Callable[[str], bool]) -> None:
+        self.pattern = regex.compile(pattern)
+        every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+        doubtful = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c)[0] not in "LN"]
+        self.signs = {ord(c): "\ue000" for c in doubtful if not knows(c)}
+        self.young = frozenset(map(chr, self.signs))
+
+    def cut(self, text: str, at: int = 0) -> Iterator[tuple[int, str]]:
+        """The words from place ``at`` on, and where they start."""
+        seen = text if text.isascii() or self.young.isdisjoint(text) else text.translate(self.signs)
+        for m in self.pattern.finditer(seen, at):
+            yield m.start(), text[m.start() : m.end()]
+
+    def words(self, text: str) -> list[str]:
+        if text.isascii() or self.young.isdisjoint(text):
+            return self.pattern.findall(text)
+        return [w for _, w in self.cut(text)]
+
+
 class Encoder:
     """Ids of many texts at once.
 
@@ -66,8 +101,7 @@ class Encoder:
             first, parts = pre["pretokenizers"][0], (norm or {}).get("normalizers", [])
             if first["behavior"] == "Removed" and first["invert"] and r"[^\s" in first["pattern"].get("Regex", "") and {p["type"] for p in parts} <= {"NFC", "Replace", "Lowercase"}:
                 self.kind = "word"
-        odd = ["  ", r"\n\n", r" \n", r"\n ", r"[ \n]$", f"[{ODD_SPACE}{STOPPED}{FIRST}]", *(re.sub(r"(\W)", r"\\\1", x) for x in self.special)]
-        self.odd = "|".join(odd)
+        self.odd = odd_texts(self.special)
         self.encode_whole = encode or self.by_library(path)
         self.forget()
 
@@ -198,7 +232,11 @@ _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 def encoder(path: str, engine: str = "library") -> Encoder:
-    """One encoder a worker and model; ``engine`` is ``library`` or ``pairs`` (this package's own merges)."""
+    """One encoder a worker and model; ``engine`` is ``library``, ``pairs`` or ``prefixes`` (this package's own merges, its table of prefixes)."""
+    if (path, engine) not in _ENCODERS and engine == "prefixes":
+        from vellum.llm.prefix_bpe import RankEncoder
+
+        _ENCODERS[path, engine] = RankEncoder(path)
     if (path, engine) not in _ENCODERS:
         encode = None
         if engine == "pairs":
