@@ -83,6 +83,21 @@ def test_exact_dedup_with_null_and_repeated_ids(spark):
     assert got == [(-1, 5, 4, False), (-1, 5, 4, False), (5, 5, 4, True), (5, 5, 4, True), (7, 7, 1, True)]
 
 
+def test_exact_dedup_at_the_ends_of_longs(spark):
+    low, high = -(2**63), 2**63 - 1
+    d = spark.createDataFrame([(low, "a"), (high, "a"), (low, "b"), (0, "b"), (high, "c"), (None, "c")], "doc_id long, text string")
+    got = sorted((r.doc_id if r.doc_id is not None else 5, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(d).collect())
+    assert got == sorted([(low, low, 2, True), (high, low, 2, False), (low, low, 2, True), (0, low, 2, False), (high, high, 2, True), (5, high, 2, False)])
+    with_rows = spark.createDataFrame([(*r, n) for r, n in zip(d.collect(), [low, high, 5, low + 1, 0, -1], strict=True)], "doc_id long, text string, n long")
+    assert sum(r.kept for r in exact_dedup.exact_dedup(with_rows, row_col="n").collect()) == 3
+
+
+def test_exact_dedup_with_many_filters(docs, rows):
+    """A filter for each of several ranges of hashes gives the same as one."""
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.exact_dedup(docs, most_bits=128).collect()}
+    assert got == exact_expected(rows)
+
+
 def test_quality_counts(docs, rows):
     got = {r.doc_id: r for r in quality_rules.quality(docs).collect()}
     assert len(got) == len(rows)
@@ -121,6 +136,20 @@ def test_quality_rejects_text_without_the_common_words_of_its_language(spark):
     assert [d for d, *_ in clean if not got[d]] == [] and [d for d, *_ in junk if got[d]] == []
 
 
+def test_quality_of_a_language_with_few_documents(spark):
+    """What is allowed falls with the number of documents, with no number at which judging begins."""
+    rng = np.random.default_rng(6)
+    say = lambda: " ".join(rng.choice(["le", "chat", *WORDS[:200]], 80))
+    junk = " ".join(w + "%%%&&&{}[]==" for w in rng.choice(WORDS, 80))
+    kept = []
+    for n in (0, 1, 3, 10, 40, 200):
+        rows = [(i, say(), "xx") for i in range(n)] + [(1000, junk, "xx")]
+        got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+        kept.append(got[1000])
+        assert all(got[i] for i in range(n))
+    assert kept == sorted(kept, reverse=True) and kept[0] and not kept[-1]
+
+
 def brute_components(fp, radius=4):
     u = np.unique(np.array(list(fp.values()), np.uint64))
     x, y = np.nonzero(np.bitwise_count(u[:, None] ^ u[None]) <= radius)
@@ -345,6 +374,20 @@ def test_packing(docs, rows):
     assert len(held) <= 1.1 * sum(r.length for r in got) / capacity + 1
 
 
+@pytest.mark.parametrize("name", [packing.MODEL, bpe.MODEL])
+def test_every_character_before_a_stop(name):
+    """Units are cut before stops; no code point makes that differ from the library."""
+    from vellum.llm.tokens import encoder
+
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}. {c}, b" for c in chars[k : k + 64]) for k in range(0, len(chars), 64)]
+    plain = library()[name]
+    for k in range(0, len(texts), 2000):
+        ids, n = encoder(model_path(name)).encode(texts[k : k + 2000])
+        for text, got, want in zip(texts[k : k + 2000], np.split(ids, np.cumsum(n)[:-1]), plain.encode_batch(texts[k : k + 2000], add_special_tokens=False), strict=True):
+            assert got.tolist() == want.ids, text
+
+
 def test_packing_plans_are_fullest():
     rng = np.random.default_rng(2)
     for _ in range(30):
@@ -547,20 +590,123 @@ def test_cotraining_with_few_labels(spark):
     assert len(got) == d.count() + 3 and len({r.score for r in got}) > 100
 
 
+def view_rows(y, seed):
+    """Rows of random views that lean to one side by class."""
+    rng = np.random.default_rng(seed)
+    t = rng.normal(y[:, None] * 0.5, 1, (len(y), cotraining.TEXT_FEATURES)).astype("<f2")
+    place = np.where(rng.random(len(y)) < 0.9, y, 1 - y)
+    return [(i, bytearray(t[i].tobytes()), int(place[i]), int(cotraining.SOURCES + rng.integers(0, 3))) for i in range(len(y))]
+
+
 def test_cotraining_rows_leave_the_pool(spark):
-    rng = np.random.default_rng(1)
-    y = rng.integers(0, 2, 400)
-    t, m = rng.normal(y[:, None] * 2.0, 1, (400, cotraining.TEXT_FEATURES)), rng.normal(y[:, None] * 2.0, 1, (400, cotraining.META_FEATURES))
-    rows = spark.createDataFrame([(i, t[i].tolist(), m[i].tolist()) for i in range(400)], "doc_id long, text_x array<float>, meta_x array<float>")
+    y = np.random.default_rng(1).integers(0, 2, 400)
+    made = view_rows(y, 1)
+    rows = spark.createDataFrame(made, "doc_id long, text_x binary, source int, lang int")
+    t, m = cotraining.views([bytes(r[1]) for r in made], *(np.array([r[k] for r in made]) for k in (2, 3)))
     text, meta = cotraining.Logistic(t, y), cotraining.Logistic(m, y)
     taken, gone = cotraining.exchange(rows, text, meta, 0.5, 40)
-    f32 = lambda x: x.astype(np.float32).astype(float)
-    for k, p in enumerate((text.chance(f32(t)), meta.chance(f32(m)))):
+    for k, p in enumerate((text.chance(t), meta.chance(m))):
         for label, q in ((1.0, p), (0.0, 1 - p)):
-            best = sorted(q[q >= cotraining.CONFIDENT], reverse=True)[:20]
-            assert sum(r.y == label for r in taken[k]) == len(best)
-    ids = {r.gone for r in gone.collect()}
-    assert 0 < len(ids) <= 80
+            assert sum(r.y == label for r in taken[k]) == min(20, (q >= cotraining.CONFIDENT).sum())
+    assert 0 < len({r.gone for r in gone.collect()}) <= 80
+
+
+def test_cotraining_brings_one_row_an_id_to_the_driver(spark):
+    y = np.random.default_rng(2).integers(0, 2, 300)
+    made = view_rows(y, 2)
+    t, m = cotraining.views([bytes(r[1]) for r in made], *(np.array([r[k] for r in made]) for k in (2, 3)))
+    text, meta = cotraining.Logistic(t, y), cotraining.Logistic(m, y)
+    sure = made[int(np.argmax(text.chance(t)))]
+    rows = spark.createDataFrame(made + [sure] * 3000, "doc_id long, text_x binary, source int, lang int")
+    taken, _ = cotraining.exchange(rows, text, meta, 0.5, 10)
+    assert sum(r.y == 1.0 for r in taken[0]) >= 1 and len(taken[0]) <= 10 and len(taken[1]) <= 10
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, quality int").union(spark.createDataFrame([(i, i % 2) for i in range(100, 300)], "doc_id long, quality int"))
+    docs = spark.createDataFrame([(7, "same", "s", "en")] * 2000 + [(i, f"text {i % 2} {i}", "s", "en") for i in range(400)], "doc_id long, text string, source string, lang string")
+    assert cotraining.quality_scores(docs, labels, most_labelled=50, count=10).count() == 2400
+
+
+def ridge(x, y):
+    """Ridge logistic regression of standardised columns by many small Newton steps with a line search: (weights, mean, scale)."""
+    mean, scale = x.mean(0), x.std(0)
+    scale = np.where(scale == 0, 1, scale)
+    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    keep = np.r_[np.ones(x.shape[1]), 1e-6]
+    loss = lambda w: np.logaddexp(0, z @ w).sum() - y @ (z @ w) + (keep * w * w).sum() / 2
+    w = np.zeros(z.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-(z @ w)))
+        grad = z.T @ (p - y) + keep * w
+        step = np.linalg.lstsq(z.T @ (z * (p * (1 - p))[:, None]) + np.diag(keep), grad, rcond=None)[0]
+        size = 1.0
+        while loss(w - size * step) > loss(w) and size > 1e-9:
+            size /= 2
+        w = w - size * step
+        if np.abs(step).max() < 1e-9:
+            break
+    return lambda v: np.hstack([(v - mean) / scale, np.ones((len(v), 1))]) @ w
+
+
+def cotraining_expected(docs, labels, rounds, count):
+    """Co-training over all rows in one place: {doc_id: score}."""
+    known = {}
+    for d, q in labels:
+        known[d] = min(q, known.get(d, q))
+    text = {r.doc_id: cotraining.text_view(r.text).astype("<f2").astype(float) for r in docs}
+    meta = {}
+    for r in docs:
+        meta[r.doc_id] = np.zeros(cotraining.META_FEATURES)
+        meta[r.doc_id][list(cotraining.meta_places(r.source, r.lang))] = 1
+    order = sorted((d for d in text if d in known), key=lambda d: (zlib.crc32(str(d).encode()), d))
+    met, learn, hold = collections.Counter(), [], []
+    for d in order:
+        met[known[d]] += 1
+        (hold if met[known[d]] % 4 == 0 else learn).append((d, float(known[d])))
+    pool = {d for d in text if d not in known}
+    taught = {"text": list(learn), "meta": list(learn)}
+    view = {"text": text, "meta": meta}
+    fit = lambda name: ridge(np.array([view[name][d] for d, _ in taught[name]]), np.array([y for _, y in taught[name]]))
+    models = {name: fit(name) for name in view}
+    positive = np.mean([y for _, y in learn])
+    tie = {}
+    for _ in range(rounds):
+        ids = sorted(pool)
+        gone = set()
+        for name, other in (("text", "meta"), ("meta", "text")):
+            p = 1 / (1 + np.exp(-np.clip(models[name](np.array([view[name][d] for d in ids])), -30, 30)))
+            for y, q, k in ((1.0, p, max(1, round(count * positive))), (0.0, 1 - p, max(1, round(count * (1 - positive))))):
+                best = [d for q_, d in sorted(((-q_, d) for q_, d in zip(q, ids) if q_ >= cotraining.CONFIDENT))]
+                tie[name, y] = len(best) > k
+                taught[other] += [(d, y) for d in best[:k]]
+                gone |= set(best[:k])
+        pool -= gone
+        models = {name: fit(name) for name in view}
+    yc = np.array([y for _, y in hold])
+    sure = {}
+    for name in view:
+        x = models[name](np.array([view[name][d] for d, _ in hold]))[:, None]
+        sure[name] = ridge(np.clip(x, -30, 30), yc)
+    both = lambda ds: np.column_stack([np.clip(sure[n](np.clip(models[n](np.array([view[n][d] for d in ds])), -30, 30)[:, None]), -30, 30) for n in ("text", "meta")])
+    whole = ridge(both([d for d, _ in hold]), yc)
+    ids = sorted(text)
+    return dict(zip(ids, 1 / (1 + np.exp(-whole(both(ids)))), strict=True))
+
+
+def test_cotraining_equals_a_computation_in_one_place(spark):
+    rng = np.random.default_rng(5)
+    good, bad = [f"good{i}" for i in range(30)], [f"bad{i}" for i in range(30)]
+    docs = []
+    for i in range(240):
+        y = i % 2
+        w = rng.choice(good if y else bad, 20).tolist() + rng.choice(good + bad, 15).tolist()
+        docs.append((i, " ".join(w), f"s{i % 40}" if rng.random() < 0.8 else f"s{(i + 1) % 40}", "en"))
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").repartition(3)
+    labels = [(i, i % 2) for i in range(0, 240, 3)] + [(i, (i + 1) % 2) for i in range(0, 20, 3) if i % 2]
+    got = {r.doc_id: r.score for r in cotraining.quality_scores(d, spark.createDataFrame(labels, "doc_id long, quality int"), count=1000).collect()}
+    expected = cotraining_expected(d.collect(), labels, cotraining.ROUNDS, 1000)
+    assert got.keys() == expected.keys()
+    assert max(abs(got[i] - expected[i]) for i in got) < 1e-3
+    unlabelled = [i for i in got if i % 3]
+    assert np.mean([(got[i] >= 0.5) == (i % 2 == 1) for i in unlabelled]) > 0.8
 
 
 def test_cotraining(spark, empty):

@@ -70,7 +70,7 @@ def quality_expected(rows):
     for d, r in rows.items():
         if r.lang is not None and not failed[d]:
             by[r.lang].append(d)
-    refs = {lang: [np.mean([features[d][k] for d in ds], axis=0) for k in (1, 2)] for lang, ds in by.items() if len(ds) >= quality_rules.MIN_REFERENCE}
+    refs = {lang: [np.mean([features[d][k] for d in ds], axis=0) for k in (1, 2)] for lang, ds in by.items()}
     out = set()
     for d, r in rows.items():
         n, chars, common = features[d]
@@ -78,7 +78,8 @@ def quality_expected(rows):
             continue
         if r.lang in refs and n >= quality_rules.MIN_WORDS:
             room = 1 / math.sqrt(n)
-            if distance(chars, refs[r.lang][0]) > quality_rules.CHAR_LIMIT + room / 2 or distance(common, refs[r.lang][1]) > quality_rules.WORD_LIMIT + room:
+            thin = 1 / len(by[r.lang])
+            if distance(chars, refs[r.lang][0]) > quality_rules.CHAR_LIMIT + room / 2 + thin or distance(common, refs[r.lang][1]) > quality_rules.WORD_LIMIT + room + thin:
                 continue
         out.add(d)
     return out

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import in_workers, ragged, slices, tune
-from vellum.llm.tokens import Encoder, Words, encoder, model_path, odd_texts
+from vellum.llm.tokens import STOP, Encoder, Words, encoder, model_path, odd_texts
 
 MODEL = "byte_bpe_multi_50k.tiktoken"
 #: Words of up to so many bytes are done together, step by step; longer ones each by itself.
@@ -350,7 +350,7 @@ class RankEncoder(Encoder):
     """Texts by units, each encoded once, with tables of prefixes."""
 
     def __init__(self, path: str) -> None:
-        self.special, self.kind, self.odd = [], "byte", odd_texts([])
+        self.special, self.kind, self.odd, self.stop = [], "byte", odd_texts([]), STOP
         self.encode_whole = model(path).encode
         self.forget()
 

@@ -33,16 +33,19 @@ def ordered_turns(conversations: DataFrame, conv_col: str = "conv_id", turn_col:
         F.unhex(F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text))).alias("digest"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"),
     )
+    narrow = stage(narrow, "trie-narrow")  # ranges are found by a look at all rows: at these, not at the texts
     order = ["conv_id", "turn", "digest"]
     sorted_rows = narrow.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
-    ranged = stage(sorted_rows.select("conv_id", "digest", "words", "at"), "trie-ranged").withColumn("part", F.shiftright("at", 33))
+    ranged = stage(sorted_rows.select("conv_id", "digest", "words", "at"), "trie-ranged")
+    free(narrow)
+    table, ranged = ranged, ranged.withColumn("part", F.shiftright("at", 33))
     parts = ranged.groupBy("conv_id", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row a range
     parts = parts.withColumn("before", F.coalesce(before, F.lit(0)))
     turns = ranged.join(parts.select("conv_id", "part", "first", "before"), ["conv_id", "part"])
     held = stage(turns.select("conv_id", (F.col("at") - F.col("first") + F.col("before") + 1).alias("place"), "digest", "words"), "trie-turns")
     convs = stage(parts.groupBy("conv_id").agg(F.sum("n").alias("n")), "trie-convs")
-    free(ranged)
+    free(table)
     return held, convs
 
 

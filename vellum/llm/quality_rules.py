@@ -2,7 +2,8 @@
 
 DataFrame functions only. A document's character-class and common-word
 histograms are compared with the mean histograms of its language by
-Jensen-Shannon distance; short documents and thin references are not judged.
+Jensen-Shannon distance; short documents are not judged, and the fewer documents
+a reference has, the further from it a document may lie.
 
 In the whole common-word histogram nearly all mass lies on "other", so that its
 distance stays near 0.35 even without a single common word. So two more are
@@ -45,8 +46,11 @@ CHAR_LIMIT, WORD_LIMIT, NOISE = 0.25, 0.35, 1.0
 SPREAD = 4.45
 #: A sample of h common words strays from its reference, a histogram of about 20 words, by about 2 / sqrt(h).
 COMMON_NOISE = 2.0
-#: Guards: words a document needs, documents a reference needs.
-MIN_WORDS, MIN_REFERENCE = 50, 20
+#: Guard: words a document needs.
+MIN_WORDS = 50
+#: One of r documents weighs 1 / r in a reference, so that much of a distance is allowed for: all of it where there is one
+#: document only (no distance exceeds 1), and steadily less as documents come.
+REFERENCE_NOISE = 1.0
 
 
 def word_array(text: Column) -> Column:
@@ -129,7 +133,7 @@ def references(features: DataFrame) -> DataFrame:
     means = {h: F.array(*[F.avg(F.get(h, F.lit(i))) for i in range(n)]).alias(f"ref_{h}") for h, n in sizes.items()}
     return (
         features.where("lang is not null and not base_failed").groupBy(F.col("lang").alias("ref_lang"))
-        .agg(F.count("*").alias("ref_docs"), F.percentile_approx(common_share(F.col("common")), [0.25, 0.5, 0.75], 10000).alias("ref_shares"), *means.values()).where(F.col("ref_docs") >= MIN_REFERENCE)
+        .agg(F.count("*").alias("ref_docs"), F.percentile_approx(common_share(F.col("common")), [0.25, 0.5, 0.75], 10000).alias("ref_shares"), *means.values())
     )
 
 
@@ -140,16 +144,21 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
+def reference_room() -> Column:
+    """What a reference of so many documents is allowed to be off by."""
+    return REFERENCE_NOISE / F.col("ref_docs")
+
+
 def lacks_common_words(word_limit: float, noise: float) -> Column:
     """Whether a document has too few common words for its language, or others than it has; null or false without a reference."""
     two = lambda x: F.array(x, 1 - x)
     low, median, high = (F.get("ref_shares", F.lit(i)) for i in range(3))
     spread = F.greatest(jensen_shannon(two(low), two(median)), jensen_shannon(two(high), two(median)))
     share = common_share(F.col("common"))
-    allowed = SPREAD * spread + noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    allowed = SPREAD * spread + noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1))) + reference_room()
     few = (share < median) & (jensen_shannon(two(share), two(median)) > allowed)
     alone = lambda h: F.transform(F.slice(h, F.lit(1), F.size(h) - 1), lambda x: x / common_share(F.col(h)))
-    room = word_limit + COMMON_NOISE * noise / F.sqrt(share * F.col("n_words"))
+    room = word_limit + COMMON_NOISE * noise / F.sqrt(share * F.col("n_words")) + reference_room()
     others = F.when((share > 0) & (common_share(F.col("ref_common")) > 0), jensen_shannon(alone("common"), alone("ref_common")) > room)
     return few | F.coalesce(others, F.lit(False))
 
@@ -160,10 +169,10 @@ def quality(
 ) -> DataFrame:
     """One row a document: the base counts, both distances, and whether it is kept.
 
-    Null text counts as empty: no words, base_failed. A null language, or one
-    with fewer than ``MIN_REFERENCE`` documents, has no reference; its documents
-    have null distances and are kept if they pass the base rules. The references
-    cover all documents that pass the base rules. Repeated rows are judged each;
+    Null text counts as empty: no words, base_failed; texts may be of any length. A
+    null language, or one of which no document passes the base rules, has no
+    reference; its documents have null distances and are kept if they pass the base
+    rules. The references cover all documents that pass the base rules. Repeated rows are judged each;
     other columns are not read; an empty table gives no rows.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -174,7 +183,8 @@ def quality(
         "word_distance": F.when(F.col("ref_docs").isNotNull(), jensen_shannon(F.col("common"), F.col("ref_common"))),
     })
     allowed = noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
-    strays = (F.col("char_distance") > char_limit + allowed / 2) | (F.col("word_distance") > word_limit + allowed) | lacks_common_words(word_limit, noise)
+    room = reference_room()
+    strays = (F.col("char_distance") > char_limit + allowed / 2 + room) | (F.col("word_distance") > word_limit + allowed + room) | lacks_common_words(word_limit, noise)
     return judged.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "char_distance", "word_distance",

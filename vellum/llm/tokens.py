@@ -51,6 +51,20 @@ def odd_texts(special: list[str]) -> str:
     return "|".join(["  ", r"\n\n", r" \n", r"\n ", r"[ \n]$", f"[{ODD_SPACE}{STOPPED}{FIRST}]", *(re.sub(r"(\W)", r"\\\1", x) for x in special)])
 
 
+def word_stop(path: str) -> str:
+    """Pattern of a stop after a letter or digit that the model's normalizer leaves one at its end.
+
+    Some letters end in a mark once they are composed and in lower case; the model
+    then takes mark and stop together.
+    """
+    from tokenizers import Tokenizer
+
+    normal = Tokenizer.from_file(path).normalizer.normalize_str
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "LN"]
+    marked = "".join(c for c in letters if (n := normal(c)) != c and not (n and unicodedata.category(n[-1])[0] in "LN"))
+    return rf"([^\PL{marked}]|[^\PN{marked}])([.,])([ \n]|$)"
+
+
 class Words:
     """Cuts texts into words by a pattern, with the letters and digits of the library that ``knows`` them.
 
@@ -84,7 +98,8 @@ class Encoder:
     ``byte`` models (ByteLevel with its own pattern, no normalizer) always cut
     before a space or line end that follows something else and between a word and
     its full stop or comma, so texts are taken apart there; ``word`` models drop
-    white space, so texts are taken apart at ASCII white space too. Texts for
+    white space, so texts are taken apart at ASCII white space too, and before the
+    stop of a word whose last letter is still a letter once it is normalized. Texts for
     which that is not certain (runs of white space, special tokens) and all texts
     of other models are encoded whole. The result is what the model gives for the
     whole text.
@@ -102,6 +117,7 @@ class Encoder:
             if first["behavior"] == "Removed" and first["invert"] and r"[^\s" in first["pattern"].get("Regex", "") and {p["type"] for p in parts} <= {"NFC", "Replace", "Lowercase"}:
                 self.kind = "word"
         self.odd = odd_texts(self.special)
+        self.stop = word_stop(path) if self.kind == "word" else STOP
         self.encode_whole = encode or self.by_library(path)
         self.forget()
 
@@ -151,9 +167,9 @@ class Encoder:
     def units(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The units of texts that can be taken apart, end to end, and how many each text has."""
         if self.kind == "word":
-            lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([\pL\pN])([.,])([ \n]|$)", r"\1 \2\3"))
+            lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, self.stop, r"\1 \2\3"))
         else:
-            cut = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " \n"), STOP, rf"\1 {STOPPED}\2\3")
+            cut = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " \n"), self.stop, rf"\1 {STOPPED}\2\3")
             lists = pc.split_pattern(pc.binary_join_element_wise(FIRST, cut, ""), " ")
         return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
 
