@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vellum.functions import fuzzy, vision
 from vellum.functions import text as X
 from vellum.functions import years as Y
-from vellum.operators import browse, catalogue, features, graph, layout, link, merge, records, rules
+from vellum.operators import browse, catalogue, features, graph, layout, link, merge, records, retrieve, rules
 from vellum.scratch import scratch_dir
 from vellum.sources import readers, sinks
 from vellum.streaming import upsert as streaming
@@ -319,6 +319,45 @@ def _(t):
     return link.lookup(asked, works)
 
 
+def asked_parts(t) -> DataFrame:
+    """Every part whose key is divisible by 20, as someone might ask for it: brand first, a letter short, words turned round."""
+    n = F.col("p_partkey") / 20
+    words = F.split("p_name", " ")
+    text = F.when(n % 3 == 0, F.concat_ws(" ", F.lower(F.translate("p_brand", "#", " ")), "p_name")).when(n % 3 == 1, F.concat_ws(" ", F.element_at(words, -1), F.substring(F.element_at(words, 1), 2, 40), F.lower("p_type"))).otherwise(F.concat_ws(" ", "p_name", "p_name", F.lower("p_brand")))
+    return t("part").where(F.col("p_partkey") % 20 == 0).select(F.col("p_partkey").alias("query_id"), text.alias("text"), (1900 + F.col("p_partkey") % 80).cast("int").alias("year"))
+
+
+def best_parts(t, scorer: str, cutoff: float, limit: int) -> DataFrame:
+    works = parts_as_works(t).select(F.col("title").alias("choice"), "ord")
+    return retrieve.best_options(asked_parts(t), works, scorer, cutoff, limit).select("query_id", "choice", "choice_ord", F.round("score", 6).alias("score"), "rank")
+
+
+@query("z2_best_token_sets")
+def _(t):
+    return best_parts(t, "token_set", 60.0, 3)
+
+
+@query("z3_best_weighted")
+def _(t):
+    return best_parts(t, "weighted", 55.0, 20)
+
+
+@query("z4_best_ratios")
+def _(t):
+    return best_parts(t, "ratio", 0.0, 5)
+
+
+@query("z4_best_token_sorts")
+def _(t):
+    return best_parts(t, "token_sort", 70.0, 5)
+
+
+@query("j6_lookup_of_parts")
+def _(t):
+    works = parts_as_works(t).select(F.col("ord").alias("work_id"), "title", "year", F.array(F.col("medium")).alias("alt_titles"), "ord")
+    return link.lookup(asked_parts(t), works)
+
+
 @query("j7_fold_undated", f"""WITH {WORKS}, m AS (SELECT title AS norm, year, collection, ord, sources FROM works WHERE ord < 2000000),
 t AS (SELECT norm, count(*) AS n, min(ord) AS twin FROM m WHERE year IS NOT NULL GROUP BY norm),
 f AS (SELECT m.*, t.twin FROM m LEFT JOIN t USING (norm) WHERE year IS NULL AND collection IS NULL AND n = 1)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import fuzzy
 from vellum.functions.text import is_generic
+from vellum.operators.retrieve import best_options
 
 #: Least scores: same year, adjacent year, a year missing. Fixed values.
 SAME_YEAR, NEXT_YEAR, UNDATED = 88.0, 99.0, 96.0
@@ -183,13 +184,9 @@ def choices(works: DataFrame) -> DataFrame:
 def extract(queries: DataFrame, options: DataFrame, scorer: str = "weighted", cutoff: float = 0.0, limit: int = 1) -> DataFrame:
     """For each query (query_id, text) the ``limit`` best options (choice, ord) of at least ``cutoff``: best score first, then option order.
 
-    The stated queries are scored against all options, which are few beside them
-    in the usual case and are sent out only if Spark finds them small.
+    Equal to a comparison with every option; see ``retrieve``.
     """
-    pairs = queries.join(options.select("choice", F.col("ord").alias("choice_ord")), F.lit(True))
-    scored = pairs.withColumn("score", fuzzy.UDFS[scorer]("text", "choice")).where(F.col("score") >= cutoff)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "choice_ord")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    return best_options(queries, options, scorer, cutoff, limit)
 
 
 def suggestions(merged: DataFrame, works: DataFrame, cutoff: float = 90.0) -> DataFrame:
