@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.catalogue_queries import RECORDS, WORKS, events_as_records, parts_as_works, query
@@ -18,7 +18,8 @@ from vellum.functions import years as Y
 from vellum.functions.profile import Profile
 from vellum.operators import browse, choice, graph, merge, records, rules
 from vellum.scratch import scratch_dir
-from vellum.sources import pages, readers, sinks
+from vellum.sources import pages, readers, sinks, stores
+from vellum.streaming import done_log
 
 #: A maker, for rules that need one.
 MAKER = Profile(given=("Ann", "Anna"), middle=("Mary",), family="Bolt", others=(r"\bann bolt junior\b", r"\bbea bolt\b"), first_year=1904, last_year=1970, birth_year=1885)
@@ -615,3 +616,102 @@ def _(t):
     hosts = p.select(X.host_of(F.col("url")).alias("host")).distinct().where("host like '%.com'")
     rule = F.explode(F.array(*(F.struct(F.lit(a).alias("path"), F.lit(b).alias("allow")) for a, b in (("/en", False), ("/en/1", True), ("/", True), ("", False)))))
     return pages.allowed(p, hosts.select(F.upper("host").alias("host"), rule.alias("r")).select("host", "r.*")).select("page_id", "allowed")
+
+
+# Stored listings, checked blobs and resumable state
+
+BRAND_PAGES = "(SELECT p_brand AS listing, ((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 10 + 1)::INT AS page, ((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) % 10)::INT AS pos, p_partkey, p_name FROM part)"
+
+
+def brand_pages(t) -> DataFrame:
+    """The parts of each brand, ten a page."""
+    n = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1
+    return t("part").select("p_brand", "p_partkey", "p_name", (F.floor(n / 10) + 1).cast("int").alias("page"))
+
+
+def in_scratch(t, table: str, name: str) -> str:
+    return f"{scratch_dir(t(table).sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("s16_listing_source", f"SELECT listing, page, pos, p_partkey, p_name FROM {BRAND_PAGES}")
+def _(t):
+    items, path = brand_pages(t), in_scratch(t, "part", "listing")
+    stores.store_listing(items, path, "p_brand", "page", "p_partkey", F.struct("p_partkey", "p_name"))
+    found = stores.read_listings(items.sparkSession, path)
+    return found.select("listing", "page", "pos", F.from_json("item", "p_partkey long, p_name string").alias("i")).select("listing", "page", "pos", "i.*")
+
+
+@query("s16_one_listing", f"SELECT page, pos, p_partkey FROM {BRAND_PAGES} WHERE listing IN ('Brand#1', 'Brand#12')")
+def _(t):
+    items, path = brand_pages(t), in_scratch(t, "part", "listing")
+    stores.store_listing(items, path, "p_brand", "page", "p_partkey", F.struct("p_partkey", "p_name"))
+    found = stores.read_listings(items.sparkSession, path).where(F.col("listing").isin("Brand#1", "Brand#12"))
+    return found.select("page", "pos", F.from_json("item", "p_partkey long")["p_partkey"].alias("p_partkey"))
+
+
+@query("s17_listing_stream", f"SELECT listing, page, pos, p_partkey FROM {BRAND_PAGES}")
+def _(t):
+    """Two pages of each listing are stored and read, then the rest: the second run goes on from the offsets of the first."""
+    items, path = brand_pages(t), in_scratch(t, "part", "listing")
+    for pages in (F.col("page") <= 2, F.col("page") > 2):
+        stores.store_listing(items, path, "p_brand", "page", "p_partkey", F.struct("p_partkey"), pages)
+        stream = stores.stream_listings(items.sparkSession, path)
+        stream.writeStream.format("parquet").option("path", f"{path}-read").option("checkpointLocation", f"{path}-log").trigger(availableNow=True).start().awaitTermination()
+    return items.sparkSession.read.parquet(f"{path}-read").select("listing", "page", "pos", F.from_json("item", "p_partkey long")["p_partkey"].alias("p_partkey"))
+
+
+def customer_blobs(t) -> DataFrame:
+    """A blob a customer: PNG and JPEG signatures before the name of the segment or customer, plain text, or nothing."""
+    k = F.col("c_custkey") % 5
+    start = F.when(k == 0, F.unhex(F.lit("89504E470D0A1A0A"))).when(k == 1, F.unhex(F.lit("FFD8FF"))).when(k == 2, F.lit("").cast("binary")).when(k == 3, F.lit("GIF89a").cast("binary"))
+    name = F.when(k == 1, F.col("c_mktsegment")).otherwise(F.col("c_name")).cast("binary")
+    return t("customer").select("c_custkey", F.concat(start, name).alias("content"))
+
+
+def stored_customers(t) -> str:
+    path = in_scratch(t, "customer", "blobs")
+    stores.write_blobs(customer_blobs(t), path, F.col("content"), F.col("c_custkey"))
+    stores.write_blobs(customer_blobs(t).where("content is not null and c_custkey % 5 <> 2"), path, F.col("content"), F.col("c_custkey"))  # again: nothing is new
+    return path
+
+
+@query("k10_checked_blobs", r"""SELECT substr(sha256(content), 1, 16) || ending AS name, sha256(content) AS sha256, octet_length(content) AS bytes FROM (
+  SELECT DISTINCT CASE c_custkey % 5 WHEN 0 THEN '\x89PNG\x0D\x0A\x1A\x0A'::BLOB || c_name::BLOB WHEN 1 THEN '\xFF\xD8\xFF'::BLOB || c_mktsegment::BLOB ELSE 'GIF89a'::BLOB || c_name::BLOB END AS content,
+         CASE c_custkey % 5 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' ELSE '.gif' END AS ending
+  FROM customer WHERE c_custkey % 5 IN (0, 1, 3))""")
+def _(t):
+    found = stores.blob_files(t("customer").sparkSession, stored_customers(t))
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+
+
+@query("k10_rejected_blobs", "SELECT c_custkey::VARCHAR AS key, CASE WHEN c_custkey % 5 = 2 THEN 'not of a wanted kind' ELSE 'no content' END AS reason, CASE WHEN c_custkey % 5 = 2 THEN octet_length(c_name::BLOB) ELSE 0 END AS bytes FROM customer WHERE c_custkey % 5 IN (2, 4)")
+def _(t):
+    return stores.rejected(t("customer").sparkSession, stored_customers(t))
+
+
+CLOSED = """c AS (SELECT user_id, min(event_id) AS closed FROM events WHERE event_type = 'purchase' GROUP BY user_id),
+k AS (SELECT user_id, event_type, ord, row_number() OVER (PARTITION BY user_id ORDER BY ord) AS n
+      FROM (SELECT user_id, event_type, min(event_id) AS ord FROM events GROUP BY ALL) LEFT JOIN c USING (user_id) WHERE closed IS NULL OR ord <= closed)"""
+
+
+def logged_events(t) -> tuple[str, str]:
+    """A log over ``events`` in two runs: the second finds the state of the first in the checkpoint."""
+    events, path = t("events"), in_scratch(t, "events", "done-log")
+    spark = events.sparkSession
+    half = events.agg(F.floor((F.min("event_id") + F.max("event_id")) / 2)).first()[0] or 0
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        events.where(part).write.mode("append").parquet(f"{path}/in")
+        told = done_log.done_log(spark.readStream.schema(events.schema).parquet(f"{path}/in"), "user_id", "event_type", "event_id", ["purchase"])
+        done_log.run_log(told, f"{path}/told", f"{path}/log").awaitTermination()
+    return f"{path}/told", f"{path}/log"
+
+
+@query("t3_done_log", f"""WITH {CLOSED} SELECT user_id::VARCHAR AS key, 'item' AS kind, event_type AS item, ord, n AS n_items FROM k
+UNION ALL SELECT user_id::VARCHAR, 'done', NULL, closed, (SELECT count(*) FROM k WHERE k.user_id = c.user_id) FROM c""")
+def _(t):
+    return t("events").sparkSession.read.parquet(logged_events(t)[0]).select("key", "kind", "item", "ord", "n_items")
+
+
+@query("t8_saved_state", f"WITH {CLOSED} SELECT user_id::VARCHAR AS key, count(*) AS n_items, coalesce(any_value(closed), -1) AS closed FROM k LEFT JOIN c USING (user_id) GROUP BY user_id")
+def _(t):
+    return done_log.saved_state(t("events").sparkSession, logged_events(t)[1])
