@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import in_workers, tune
+from vellum.sources.markup import plain_text
 
 VERSION = b"WARC/1.1\r\n"
 #: Names of record ids: a version-5 UUID over this space, so that a rerun makes the same ids.
@@ -33,13 +34,9 @@ EPOCH = "1970-01-01T00:00:00Z"
 
 HEAD_END = re.compile(rb"\r?\n\r?\n")
 FOLDED_LINE = re.compile(r"\r?\n[ \t]+")
+LENGTH = re.compile(r"[0-9]{1,18}")
 CHUNK = re.compile(rb"(?:\r\n)?([0-9a-fA-F]+)[^\r\n]*\r\n")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
-SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-BREAKS = re.compile(r"<\s*/?\s*(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|h[1-6]|section|article|header|footer|nav|aside|main|form|pre|blockquote|figure|figcaption)\b[^>]*>", re.I)
-TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
-BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
-LINES = re.compile(r" ?\n[ \n]*")
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -53,14 +50,6 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(SPACE, ' '.join(parts))}>"
 
 
-def plain_text(page: str) -> str:
-    """The visible text of an HTML page, a line for each block."""
-    head = re.search(r"<body\b", page, re.I)
-    text = SKIPPED.sub(" ", page[head.start() :] if head else page)
-    text = TAG.sub("", BREAKS.sub("\n", text.replace("\n", " ")))
-    return LINES.sub("\n", BLANKS.sub(" ", html.unescape(text))).strip()
-
-
 def page_fields(page: str) -> list[tuple[str, str]]:
     """What a page says of itself: title, language, and its links in order."""
     out = []
@@ -77,11 +66,25 @@ def serialize(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return VERSION + b"".join(lines) + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
 
 
-def members(data: bytes | memoryview) -> Iterator[bytes]:
-    """The plain bytes of a file, piece by piece: as they are, or of one compressed member after another."""
+#: Parts of a file that could not be read: where they begin, and why.
+Problems = list[tuple[int, str]]
+
+
+def failed(problems: Problems | None, at: int, reason: str) -> None:
+    """Note a problem, or raise it where none are kept."""
+    if problems is None:
+        raise ValueError(f"{reason}, at byte {at}")
+    problems.append((at, reason))
+
+
+def members(data: bytes | memoryview, problems: Problems | None = None) -> Iterator[tuple[int, bytes | None]]:
+    """The plain bytes of a file, piece by piece, each with its place or that of its compressed member.
+
+    After a member that cannot be unpacked comes no bytes (None), then the next one that begins.
+    """
     view = memoryview(data)
     if bytes(view[:2]) != b"\x1f\x8b":
-        yield from (bytes(view[i : i + PIECE]) for i in range(0, len(view), PIECE))
+        yield from ((i, bytes(view[i : i + PIECE])) for i in range(0, len(view), PIECE))
         return
     at = 0
     while at < len(view):
@@ -89,57 +92,115 @@ def members(data: bytes | memoryview) -> Iterator[bytes]:
             at += 1
             continue
         unpack, start = zlib.decompressobj(31), at
-        while not unpack.eof and at < len(view):
-            some = view[at : at + PIECE]
-            out = unpack.decompress(some, PIECE)
-            while unpack.unconsumed_tail:
-                yield out
-                out = unpack.decompress(unpack.unconsumed_tail, PIECE)
-            at += len(some) - len(unpack.unused_data)
-            yield out
-        if not unpack.eof:
-            raise ValueError(f"the member at byte {start} is cut short")
-
-
-def parse(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
+        try:
+            while not unpack.eof and at < len(view):
+                some = view[at : at + PIECE]
+                out = unpack.decompress(some, PIECE)
+                while unpack.unconsumed_tail:
+                    yield start, out
+                    out = unpack.decompress(unpack.unconsumed_tail, PIECE)
+                at += len(some) - len(unpack.unused_data)
+                yield start, out
+            reason = None if unpack.eof else "a compressed member is cut short"
+        except zlib.error:
+            reason = "a compressed member is damaged"
+        if reason:
+            failed(problems, start, reason)
+            yield start, None
+            at = start + 1
+            while at < len(view):  # the next place that looks like a member
+                found = bytes(view[at : at + PIECE + 2]).find(b"\x1f\x8b\x08")
+                if found >= 0:
+                    at += found
+                    break
+                at += PIECE
+
+
+def parse(data: bytes | memoryview, problems: Problems | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of a WARC file, plain or compressed, one at a time.
 
     Names of headers keep their spelling; white space around names and values
     goes, lines that go on are joined, values of a repeated name are joined by
     ", ". No more than a record and a piece of the file's plain bytes are held.
+    What is no record raises ValueError; with a list for ``problems`` it is noted
+    there, and reading goes on at the next record or member that begins.
     """
-    pieces, held, done = members(data), bytearray(), False
+    pieces, held = members(data, problems), bytearray()
+    taken = came = 0  # plain bytes that went, and that came
+    stopped = ended = False  # at a damaged member, or at the end of the file
+    places: list[tuple[int, int]] = []  # of plain bytes, in the file
+    packed = bytes(memoryview(data)[:2]) == b"\x1f\x8b"
 
     def fill(n: int) -> bool:
-        nonlocal done
-        while len(held) < n and not done:
-            piece = next(pieces, None)
-            done = piece is None
-            held.extend(piece or b"")
+        """Whether ``held`` has n bytes; none come from beyond a damaged member."""
+        nonlocal stopped, ended, came
+        while len(held) < n and not stopped:
+            if (got := next(pieces, None)) is None:
+                stopped = ended = True
+            elif got[1] is None:
+                stopped = True
+            elif got[1]:
+                places.append((came, got[0]))
+                came += len(got[1])
+                held.extend(got[1])
         return len(held) >= n
 
+    def drop(n: int) -> None:
+        nonlocal taken
+        del held[:n]
+        taken += n
+
+    def place() -> int:
+        """Where in the file the first byte held lies."""
+        while len(places) > 1 and places[1][0] <= taken:
+            places.pop(0)
+        if not places:
+            return 0
+        return places[0][1] if packed else places[0][1] + taken - places[0][0]
+
+    def next_record() -> bool:
+        """Go to where the next record seems to begin."""
+        while True:
+            at = held.find(b"WARC/1.", 1)
+            if at > 0:
+                drop(at)
+                return True
+            drop(max(0, len(held) - 8))
+            if not fill(len(held) + 1):
+                return False
+
     while True:
         while fill(1) and held[0] in b"\r\n":  # ends of records, however many
-            del held[: len(held) - len(held.lstrip(b"\r\n"))]
+            drop(len(held) - len(held.lstrip(b"\r\n")))
         if not fill(1):
-            return
+            if ended:
+                return
+            stopped = False  # go on beyond the damaged member
+            continue
         fill(5)
-        if held[:5].upper() != b"WARC/":
-            raise ValueError("no WARC record follows")
-        end = None
-        while (end := HEAD_END.search(held)) is None:
+        reason, end = None if held[:5].upper() == b"WARC/" else "no WARC record follows", None
+        while not reason and (end := HEAD_END.search(held)) is None:
             if not fill(len(held) + 1):
-                raise ValueError("a record's header is cut short")
-        lines = FOLDED_LINE.sub(" ", held[: end.start()].decode("utf-8", "replace")).splitlines()[1:]
-        headers: dict[str, str] = {}
-        for line in lines:
-            k, _, v = line.partition(":")
-            headers[k.strip()] = f"{headers[k.strip()]}, {v.strip()}" if k.strip() in headers else v.strip()
-        size = int(header(headers, "Content-Length") or 0)
-        if not fill(end.end() + size):
-            raise ValueError("a record's block is cut short")
-        yield headers, bytes(held[end.end() : end.end() + size])
-        del held[: end.end() + size]
+                reason = "a record's header is cut short"
+        if not reason:
+            lines = FOLDED_LINE.sub(" ", held[: end.start()].decode("utf-8", "replace")).splitlines()[1:]
+            headers: dict[str, str] = {}
+            for line in lines:
+                k, _, v = line.partition(":")
+                headers[k.strip()] = f"{headers[k.strip()]}, {v.strip()}" if k.strip() in headers else v.strip()
+            said = header(headers, "Content-Length") or "0"
+            if not LENGTH.fullmatch(said):
+                reason = "a record's length is no number"
+            elif not fill(end.end() + int(said)):
+                reason = "a record's block is cut short"
+        if reason:
+            if not stopped or ended:  # else it is the damaged member, which is noted
+                failed(problems, place(), reason)
+            if not next_record():
+                drop(len(held))
+            continue
+        yield headers, bytes(held[end.end() : end.end() + int(said)])
+        drop(end.end() + int(said))
 
 
 def header(headers: dict[str, str], name: str) -> str | None:
@@ -268,13 +329,14 @@ def derive(responses: DataFrame) -> DataFrame:
     return in_workers(responses.where(is_response).select(*kept), run, f"{fields}, metadata {kind}, conversion {kind}")
 
 
-def read_warc(files: DataFrame) -> DataFrame:
-    """Rows (path, headers, block) of the records in ``files``, rows (path, content) as the binaryFile source gives them.
+def scan_warc(files: DataFrame) -> DataFrame:
+    """Rows (path, headers, block, offset, reason) of ``files`` (path, content), as the binaryFile source gives them.
 
-    A file is unpacked member by member and its records are handed on as they
-    come, so that a worker holds the file as it is stored and some megabytes of
-    records. A null or empty file has none; a file that is cut short or holds
-    anything else raises an error.
+    A record has headers and block. What could not be read has the place where it
+    begins and the reason; the rest of its file is read all the same, so that one
+    damaged file is no end of a job. A file is unpacked member by member and its
+    records are handed on as they come: a worker holds the file as it is stored and
+    some megabytes of records. A null or empty file has none.
     """
     tune(files.sparkSession)
 
@@ -282,23 +344,36 @@ def read_warc(files: DataFrame) -> DataFrame:
         for b in batches:
             for path, content in zip(b.column(0), b.column(1), strict=True):
                 found: list[tuple[dict[str, str], bytes]] = []
+                problems: Problems = []
                 size = 0
-                for record in parse(memoryview(content.as_buffer()) if content.is_valid else b""):
+                for record in parse(memoryview(content.as_buffer()) if content.is_valid else b"", problems):
                     found.append(record)
                     size += len(record[1])
                     if size >= HELD:
-                        yield batch(path.as_py(), found)
+                        yield batch(path.as_py(), found, [])
                         found, size = [], 0
-                if found:
-                    yield batch(path.as_py(), found)
+                if found or problems:
+                    yield batch(path.as_py(), found, problems)
 
-    def batch(path: str | None, found: list[tuple[dict[str, str], bytes]]) -> pa.RecordBatch:
+    def batch(path: str | None, found: list[tuple[dict[str, str], bytes]], problems: Problems) -> pa.RecordBatch:
+        n, m = len(found), len(problems)
         return pa.RecordBatch.from_arrays(
-            [pa.array([path] * len(found), pa.string()), pa.array([list(h.items()) for h, _ in found], pa.map_(pa.string(), pa.string())), pa.array([x for _, x in found], pa.binary())],
-            ["path", "headers", "block"],
+            [pa.array([path] * (n + m), pa.string()), pa.array([*(list(h.items()) for h, _ in found), *[None] * m], pa.map_(pa.string(), pa.string())), pa.array([*(x for _, x in found), *[None] * m], pa.binary()),
+             pa.array([*[None] * n, *(at for at, _ in problems)], pa.int64()), pa.array([*[None] * n, *(reason for _, reason in problems)], pa.string())],
+            ["path", "headers", "block", "offset", "reason"],
         )
 
-    return in_workers(files.select("path", "content"), run, "path string, headers map<string,string>, block binary")
+    return in_workers(files.select("path", "content"), run, "path string, headers map<string,string>, block binary, offset long, reason string")
+
+
+def read_warc(files: DataFrame) -> DataFrame:
+    """Rows (path, headers, block) of all records in ``files`` that can be read; see ``scan_warc``."""
+    return scan_warc(files).where("reason is null").select("path", "headers", "block")
+
+
+def unread(files: DataFrame) -> DataFrame:
+    """Rows (path, offset, reason) of the parts of ``files`` that cannot be read; see ``scan_warc``."""
+    return scan_warc(files).where("reason is not null").select("path", "offset", "reason")
 
 
 def warc_files(derived: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
