@@ -17,8 +17,8 @@ from vellum.functions import text as X
 from vellum.functions import years as Y
 from vellum.functions.profile import Profile
 from vellum.operators import browse, choice, graph, merge, records, rules
-from vellum.scratch import scratch_dir
-from vellum.sources import pages, readers, sinks, stores
+from vellum.scratch import scratch_dir, stage
+from vellum.sources import markup, pages, readers, sinks, stores
 from vellum.streaming import done_log
 
 #: A maker, for rules that need one.
@@ -715,3 +715,25 @@ def _(t):
 @query("t8_saved_state", f"WITH {CLOSED} SELECT user_id::VARCHAR AS key, count(*) AS n_items, coalesce(any_value(closed), -1) AS closed FROM k LEFT JOIN c USING (user_id) GROUP BY user_id")
 def _(t):
     return done_log.saved_state(t("events").sparkSession, logged_events(t)[1])
+
+
+# Elements of pages
+
+
+@query("s30_nav_links", """SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="([^"]*)"', 1)) AS href FROM pages""")
+def _(t):
+    found = markup.nodes(t("pages"))
+    return markup.selected(found, "nav > ul li a[href]").select("page_id", F.element_at("attrs", "href").alias("href"))
+
+
+@query("s30_page_fields")
+def _(t):
+    """What the extractor of one site asks of its pages, as selectors."""
+    found = stage(markup.nodes(t("pages")), "elements")
+    return markup.extracted(found, {"title": "article h1", "lang": "html@lang", "charset": "meta[charset]@charset", "bold": "article > p b, article > p strong", "links[]": "article a[href], nav a[href]@href"})
+
+
+@query("s30_elements_by_tag")
+def _(t):
+    found = markup.nodes(t("pages")).where("node > 0")
+    return found.groupBy("tag").agg(F.count("*").alias("n"), F.max("depth").cast("long").alias("deepest"), F.sum((F.col("last") - F.col("node")).cast("long")).alias("inside"))

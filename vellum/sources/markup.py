@@ -190,7 +190,7 @@ def steps(selector: str) -> list[tuple[str, Column]]:
             raise ValueError(f"no selector: {simple}")
         held = F.col("tag") == m[1].lower() if m[1] and m[1] != "*" else F.col("node") > 0
         for name, kind, attr, how, value in PART.findall(m[2]):
-            a = F.get(F.map_values(F.map_filter("attrs", lambda k, _, n=("id" if name else "class" if kind else attr).lower(): k == n)), F.lit(0))
+            a = F.try_element_at(F.col("attrs"), F.lit("id" if name else "class" if kind else attr.lower()))
             words = F.concat(F.lit(" "), F.regexp_replace(a, r"\s+", " "), F.lit(" "))
             if name:
                 held &= a == name
@@ -250,7 +250,7 @@ def extracted(found: DataFrame, fields: dict[str, str], key: str = "page_id") ->
     for name, rule in fields.items():
         selector, _, attr = rule.partition("@")
         chosen = selected(found, selector, key)
-        told = with_text(chosen, found, key).withColumn("_v", F.col("text")) if not attr else chosen.withColumn("_v", F.element_at("attrs", attr.lower()))
+        told = with_text(chosen, found, key).withColumn("_v", F.col("text")) if not attr else chosen.withColumn("_v", F.try_element_at(F.col("attrs"), F.lit(attr.lower())))
         told = told.select(F.col(key).alias("_k"), "node", "_v").where(F.col("_v").isNotNull())
         if name.endswith("[]"):
             name = name[:-2]
