@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from vellum.sources import stores
+from vellum.sources import pacing, stores
 from vellum.streaming import done_log
 
 PNG = b"\x89PNG\r\n\x1a\n"
@@ -154,3 +154,19 @@ def test_quiet_keys_are_told_and_forgotten(spark, tmp_path):
     *_, got = logged(spark, tmp_path, batches, "key string, item string, ord long, ts timestamp", time="ts", idle="1 hour")
     kinds = [(k, kind) for k, kind, *_ in got]
     assert kinds.count(("a", "item")) == 2 and ("a", "idle") in kinds and ("b", "idle") in kinds and ("c", "item") in kinds
+
+
+@pytest.mark.parametrize("block", [1, 7, 10_000])
+def test_requests_are_paced_as_one_after_the_other(spark, block):
+    import random
+
+    rng = random.Random(block)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), None if rng.random() < 0.05 else rng.randint(-50, 300)) for i in range(400)]
+    last, expected = {}, {}
+    for i, host, asked in sorted(rows, key=lambda r: (r[2] is None, r[2] or 0, r[0])):
+        expected[i] = None if host is None or asked is None else max(asked, last.get(host, -(10**9)) + 3)
+        if expected[i] is not None:
+            last[host] = expected[i]
+    d = spark.createDataFrame(rows, "id long, host string, asked long")
+    got = {r.id: r.starts for r in pacing.paced(d, "host", "asked", "id", 3, block).collect()}
+    assert got == expected

@@ -18,7 +18,7 @@ from vellum.functions import years as Y
 from vellum.functions.profile import Profile
 from vellum.operators import browse, choice, graph, merge, records, rules
 from vellum.scratch import scratch_dir, stage
-from vellum.sources import markup, pages, readers, sinks, stores
+from vellum.sources import markup, pacing, pages, readers, sinks, stores
 from vellum.streaming import done_log
 
 #: A maker, for rules that need one.
@@ -737,3 +737,11 @@ def _(t):
 def _(t):
     found = markup.nodes(t("pages")).where("node > 0")
     return found.groupBy("tag").agg(F.count("*").alias("n"), F.max("depth").cast("long").alias("deepest"), F.sum((F.col("last") - F.col("node")).cast("long")).alias("inside"))
+
+
+@query("p25_paced_requests", """WITH n AS (SELECT event_id, event_type, epoch_us(ts) AS asked, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events)
+SELECT event_id, max(asked - k * 1800000000) OVER (PARTITION BY event_type ORDER BY asked, event_id) + k * 1800000000 AS starts FROM n""")
+def _(t):
+    """Each type of event as a host that takes a request every half hour; blocks of a day."""
+    asked = t("events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("asked"))
+    return pacing.paced(asked, "event_type", "asked", "event_id", 1_800_000_000, 86_400_000_000).select("event_id", "starts")
