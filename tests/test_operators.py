@@ -421,3 +421,33 @@ def test_bubbles_stay_within_a_width(spark):
     assert (wide.x + wide.w).max() > 400 and (close.x + close.w).max() <= 300 + 8
     one = layout.bubbles(tiles.where("id = 0"), within=10.0).toPandas()
     assert (one.x[0], one.y[0]) == (8, 8)
+
+
+def test_index_fold_of_many_families(spark):
+    """Buckets by a look at each earlier one, over titles that start one another and share other titles."""
+    rng = np.random.default_rng(5)
+    stems = ["".join(rng.choice(list("abc"), rng.integers(1, 5))) for _ in range(150)]
+    rows = []
+    for i in range(2500):
+        title = stems[rng.integers(150)] * int(rng.integers(1, 4)) + ("" if rng.random() < 0.6 else " " + "xyzxyzxyzx"[: rng.integers(1, 10)])
+        alt = [stems[rng.integers(150)] + " other"] if rng.random() < 0.05 else None
+        rows.append((f"{title}{rng.integers(40)}", alt, None if rng.random() < 0.3 else int(rng.integers(1915, 1925)), i))
+    d = spark.createDataFrame(rows, "title string, alt_keys array<string>, year int, ord int")
+    none = F.lit(None).cast("string")
+    d = d.withColumns({"title_key": F.col("title"), "alt_titles": F.col("alt_keys"), "year_range": none, "sources": F.array(F.col("ord").cast("string")), "confidence": F.lit("low"), "notes": none, **dict.fromkeys(("medium", "dimensions", "collection", "inventory_no", "wikidata_id"), none)})
+    held = []  # own key, all keys, year, members
+    for key, alt, year, i in rows:
+        fits = [b for b in held if key in b[1] or (abs(len(b[0]) - len(key)) <= 8 and (b[0].startswith(key) or key.startswith(b[0])))]
+        near = [b for b in fits if year is not None and b[2] is not None and abs(b[2] - year) <= 1]
+        undated = [b for b in fits if b[2] is None]
+        if not fits:
+            at = [key, set(), None, []]
+            held.append(at)
+        else:
+            at = fits[0] if year is None else min(near, key=lambda b: abs(b[2] - year)) if near else undated[0] if undated else fits[0]
+        at[1] |= {key, *(alt or [])}
+        at[2] = year if at[2] is None else at[2]
+        at[3].append(str(i))
+    got = {tuple(r.sources): r.year for r in catalogue.fold_index(d).collect()}
+    assert len(held) > 100 and max(len(b[3]) for b in held) > 5
+    assert got == {tuple(b[3]): b[2] for b in held}

@@ -747,10 +747,19 @@ def _(t):
     return features.standardized(d, "v", 4).select("vec_id", F.round(F.get("v", F.lit(0)), 5).alias("x0"))
 
 
+@query("ml2_choice_of_k")
+def _(t):
+    """(k, cost, silhouette, chosen) of 4 to 8 clusters of the standardized vectors, ten starts each."""
+    d = t("embeddings")
+    width = d.select(F.max(F.size("embedding"))).first()[0] or 1
+    chosen, found = features.choose_k(features.standardized(d.select("embedding"), "embedding", width), "embedding")
+    return d.sparkSession.createDataFrame([(k, c, s, k == chosen) for k, (c, s) in found.items()], "k int, cost double, silhouette double, chosen boolean")
+
+
 @query("ml3_kmeans")
 def _(t):
     d = t("embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return features.kmeans(d, "v", 6, restarts=2).select("id", "cluster")
+    return features.kmeans(d, "v", 6, restarts=20).select("id", "cluster")
 
 
 @query("ml4_silhouette", """WITH d AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS s, count(*) AS n FROM embeddings a, embeddings b GROUP BY ALL),

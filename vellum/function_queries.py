@@ -18,7 +18,7 @@ from vellum.functions import years as Y
 from vellum.functions.profile import Profile
 from vellum.operators import browse, choice, graph, merge, records, rules
 from vellum.scratch import scratch_dir, stage
-from vellum.sources import markup, pacing, pages, readers, sinks, stores
+from vellum.sources import markup, pacing, pages, probes, readers, sinks, stores
 from vellum.streaming import done_log
 
 #: A maker, for rules that need one.
@@ -745,3 +745,57 @@ def _(t):
     """Each type of event as a host that takes a request every half hour; blocks of a day."""
     asked = t("events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("asked"))
     return pacing.paced(asked, "event_type", "asked", "event_id", 1_800_000_000, 86_400_000_000).select("event_id", "starts")
+
+
+# Answers of several APIs
+
+
+PROBES = [
+    probes.Probe("view", total="$.info.total"),
+    probes.Probe("error", total="$.totalResults"),
+    probes.Probe("click", items="$.data", fields={"id": "$.id", "title": "$.title", "artist": "$.artist.name"}, keep=lambda c: F.lower(c("artist")).contains("bolt")),
+    probes.Probe("purchase", items="$.response.rows", fields={"id": "$.objectID", "title": ("$.label", "$.names[0]"), "image": "$.images[0].url"}),
+    probes.Probe("signup", total="$.total"),
+]
+
+
+def answers(t) -> DataFrame:
+    """(name, status, asked, body): each event as an answer of its type's API, of k matches; each page as one of a source that gives no JSON."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    json = lambda **c: F.to_json(F.struct(*(x.alias(n) for n, x in c.items())))
+    each = lambda f: F.transform(F.array_repeat(F.col("event_id"), k), f)
+    click = each(lambda e, i: F.struct((e * 10 + i).alias("id"), F.concat(F.lit("t"), i.cast("string")).alias("title"), F.struct(F.when((F.col("user_id") + i) % 3 == 0, "Ann BOLT").otherwise("Bea Holt").alias("name")).alias("artist")))
+    bought = each(lambda e, i: F.struct(
+        F.concat_ws("-", F.lit("o"), e.cast("string"), i.cast("string")).alias("objectID"), F.when(i % 2 == 0, " ").otherwise("label").alias("label"), F.array(F.concat(F.lit("name "), i.cast("string"))).alias("names"),
+        F.when(i % 3 > 0, F.array(F.struct(F.concat(F.lit("http://h/"), F.col("user_id").cast("string")).alias("url")))).alias("images"),
+    ))
+    kind = F.col("event_type")
+    body = (
+        F.when(kind == "view", json(info=json_struct(total=k))).when(kind == "error", F.when(k == 3, '{"totalResults": 3').otherwise(json(totalResults=k)))
+        .when(kind == "click", json(data=click)).when(kind == "purchase", json(response=json_struct(rows=bought))).otherwise("key required")
+    )
+    events = t("events").select(kind.alias("name"), F.when(kind == "signup", 401 + k % 2 * 2).otherwise(200).alias("status"), F.col("event_id").alias("asked"), body.alias("body"))
+    return events.unionByName(t("pages").select(F.lit("page").alias("name"), F.lit(200).alias("status"), F.col("page_id").alias("asked"), F.col("html").alias("body")))
+
+
+def json_struct(**columns: Column) -> Column:
+    return F.struct(*(c.alias(n) for n, c in columns.items()))
+
+
+ASKED = "e AS (SELECT event_type AS name, event_id, user_id, (props::JSON->>'k')::INT AS k FROM events)"
+
+
+@query("s29_probe_report", f"""WITH {ASKED}, n AS (SELECT name, k, CASE name WHEN 'click' THEN (SELECT count(*) FROM range(k) r(i) WHERE (user_id + i) % 3 = 0) ELSE k END AS n FROM e)
+SELECT name, count(*) AS probed, CASE WHEN name = 'signup' THEN count(*) ELSE 0 END AS refused, CASE WHEN name = 'error' THEN count(*) FILTER (k = 3) ELSE 0 END AS unread,
+  CASE WHEN name <> 'signup' THEN sum(n) FILTER (name <> 'error' OR k <> 3) END::BIGINT AS works, works > 0 AS holds,
+  CASE WHEN name = 'signup' THEN 'status ' || string_agg(DISTINCT 401 + k % 2 * 2, ', ' ORDER BY 401 + k % 2 * 2) END AS detail FROM n GROUP BY name
+UNION ALL SELECT 'page', count(*), 0, count(*), NULL, NULL, NULL FROM pages""")
+def _(t):
+    return probes.report(answers(t), PROBES)
+
+
+@query("s29_probe_items", f"""WITH {ASKED}, i AS (SELECT *, unnest(range(k)) AS place FROM e WHERE name IN ('click', 'purchase'))
+SELECT name, 200 AS status, event_id AS asked, place::INT AS place, (event_id * 10 + place)::VARCHAR AS id, 't' || place AS title, 'Ann BOLT' AS artist, NULL AS image FROM i WHERE name = 'click' AND (user_id + place) % 3 = 0
+UNION ALL SELECT name, 200, event_id, place::INT, 'o-' || event_id || '-' || place, CASE WHEN place % 2 = 0 THEN 'name ' || place ELSE 'label' END, NULL, CASE WHEN place % 3 > 0 THEN 'http://h/' || user_id END FROM i WHERE name = 'purchase'""")
+def _(t):
+    return probes.items(answers(t), PROBES)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import vision
-from vellum.scratch import stage
+from vellum.scratch import free, stage
 
 #: Rows of a block whose distances to another block are one task's work.
 BLOCK = 2048
+#: The same, where a task goes through its distances in strips.
+WIDE = 16384
 
 
 def standardized(rows: DataFrame, vector: str, size: int) -> DataFrame:
@@ -24,14 +26,154 @@ def standardized(rows: DataFrame, vector: str, size: int) -> DataFrame:
     return rows.join(F.broadcast(stats), F.lit(True)).withColumn(vector, scaled).drop("_m", "_s")  # stats: one row
 
 
+class Fit(NamedTuple):
+    """A fitted model: cost is the sum of squared distances to the nearest centre, sizes the rows of each centre."""
+
+    k: int
+    restart: int
+    cost: float
+    centres: np.ndarray
+    sizes: np.ndarray
+
+
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of x to all rows of y."""
+    return np.maximum(0, (x * x).sum(1)[:, None] + (y * y).sum(1) - 2 * x @ y.T)
+
+
+def _uniform(hashes: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers in (0, 1] that depend on a row's hash and the salt alone, so that a task run again draws the same."""
+    z = hashes.astype("int64").view("uint64") + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0**-53 + 2.0**-54
+
+
+def distinct_vectors(rows: DataFrame, vector: str) -> DataFrame:
+    """(v, n, h): each distinct vector, its number of rows and a hash; null vectors and those with null or non-finite entries have no place."""
+    v = F.col(vector).cast("array<double>")
+    return stage(rows.where(F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))).groupBy(v.alias("v")).agg(F.count("*").alias("n")).withColumn("h", F.xxhash64("v")), "vectors")
+
+
+def starts(points: DataFrame, k: int, restarts: int, seed: int = 0) -> list[np.ndarray]:
+    """The k-means++ starts of all restarts, drawn together: one scan gives each of them its next centre.
+
+    A vector is drawn with a chance in proportion to its rows and its squared distance
+    to the centres so far: the least exponential variate of that rate wins. There are fewer
+    starts where there are fewer distinct vectors.
+    """
+    found: list[list[list[float]]] = [[] for _ in range(restarts)]
+    for step in range(k):
+        held = [np.array(f) for f in found]
+
+        def draws(batches, held=held, step=step):
+            for p in batches:
+                if not len(p):
+                    continue
+                x, n, h = np.stack(p["v"]).astype(float), p["n"].to_numpy(float), p["h"].to_numpy()
+                for r, centres in enumerate(held):
+                    if len(centres) < step:
+                        continue
+                    rate = n * (_squares(x, centres).min(1) if step else 1.0)
+                    rate[(x[:, None] == centres).all(2).any(1) if step else []] = 0
+                    at = np.where(rate > 0, -np.log(_uniform(h, (seed + r) * 4096 + step)) / np.where(rate > 0, rate, 1), np.inf)
+                    if np.isfinite(best := at.min()):
+                        yield pd.DataFrame({"r": [r], "at": [best], "v": [x[at.argmin()]]})
+
+        best = points.mapInPandas(draws, "r int, at double, v array<double>").groupBy("r").agg(F.min_by("v", F.struct("at", "v")).alias("v"))
+        for r, v in best.collect():  # one vector a restart
+            found[r].append(v)
+    return [np.array(f) for f in found]
+
+
+def fit_all(points: DataFrame, ks, restarts: int = 10, seed: int = 0, rounds: int = 300, tol: float = 1e-6) -> list[Fit]:
+    """Models of every k and restart, fitted together: a round is one scan of ``points`` (as of ``distinct_vectors``) and one grouped sum.
+
+    The models of one restart start from the same k-means++ sequence. A model leaves the
+    rounds when its cost falls by no more than ``tol`` of itself; a centre without rows stays
+    where it is. What the driver holds and sends is the centres: k x restarts x width numbers.
+    Without a point there is no model.
+    """
+    first = starts(points, max(ks), restarts, seed)
+    open_ = {(k, r): (first[r][:k], np.inf) for k in ks for r in range(restarts) if len(first[r])}
+    done = []
+    for turn in range(rounds):
+        if not open_:
+            break
+        spans, at = {}, 0
+        for m, (c, _) in open_.items():
+            spans[m] = (at, at + len(c))
+            at += len(c)
+        centres = np.concatenate([c for c, _ in open_.values()])
+
+        def sums(batches, centres=centres, spans=tuple(spans.values())):
+            total, n, cost = np.zeros(centres.shape), np.zeros(len(centres)), np.zeros(len(centres))
+            for p in batches:
+                if not len(p):
+                    continue
+                x, w = np.stack(p["v"]).astype(float), p["n"].to_numpy(float)
+                far = _squares(x, centres)
+                for lo, hi in spans:
+                    near = far[:, lo:hi].argmin(1)
+                    n[lo:hi] += np.bincount(near, w, hi - lo)
+                    cost[lo:hi] += np.bincount(near, w * far[np.arange(len(x)), near + lo], hi - lo)
+                    total[lo:hi] += (w[:, None] * (near[:, None] == np.arange(hi - lo))).T @ x
+            held = np.flatnonzero(n)
+            yield pd.DataFrame({"c": held, "n": n[held], "cost": cost[held], "s": list(total[held])})
+
+        parts = points.mapInPandas(sums, "c int, n double, cost double, s array<double>")
+        each = parts.groupBy("c").agg(F.sum("n"), F.sum("cost"), F.array(*(F.sum(F.get("s", F.lit(i))) for i in range(centres.shape[1]))))
+        n, cost, moved = np.zeros(at), np.zeros(at), centres.copy()
+        for c, rows, paid, s in each.collect():  # one row a centre
+            n[c], cost[c], moved[c] = rows, paid, np.array(s) / rows
+        following = {}
+        for m, (lo, hi) in spans.items():
+            (old, before), paid = open_[m], float(cost[lo:hi].sum())
+            if before - paid <= tol * paid or turn == rounds - 1:
+                done.append(Fit(*m, paid, old, n[lo:hi]))
+            else:
+                following[m] = (moved[lo:hi], paid)
+        open_ = following
+    return sorted(done, key=lambda f: (f.k, f.restart))
+
+
+def cheapest(fits: list[Fit]) -> dict[int, Fit]:
+    """The model of least cost for each k, its clusters in order of size, then centre."""
+    best: dict[int, Fit] = {}
+    for f in fits:
+        if f.k not in best or f.cost < best[f.k].cost:
+            best[f.k] = f
+    out = {}
+    for k, f in best.items():
+        order = sorted(range(len(f.sizes)), key=lambda c: (-f.sizes[c], f.centres[c].tolist()))
+        out[k] = f._replace(centres=f.centres[order], sizes=f.sizes[order])
+    return out
+
+
+def nearest(vector: Column, fits: list[Fit]) -> Column:
+    """The number of the nearest centre in each model; null for what ``distinct_vectors`` leaves out."""
+    held = [f.centres for f in fits]
+    whole = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+
+    @F.pandas_udf("array<int>")
+    def near(v: pd.Series) -> pd.Series:
+        out: list = [None] * len(v)
+        known = np.flatnonzero(v.notna())
+        if len(known):
+            x = np.stack(v.iloc[known]).astype(float)
+            for i, labels in zip(known, np.stack([_squares(x, c).argmin(1) for c in held], 1).astype("int32"), strict=True):
+                out[i] = labels
+        return pd.Series(out, dtype=object)
+
+    return near(F.when(whole, vector))
+
+
 def kmeans(rows: DataFrame, vector: str, k: int, restarts: int = 10, seed: int = 0) -> DataFrame:
-    """Rows with cluster 0 .. k - 1: the best of several seeded runs, clusters in order of size, then centre."""
-    d = stage(rows.withColumn("_f", array_to_vector(vector)), "kmeans")  # read by every restart
-    best = min((KMeans(k=k, seed=seed + i, featuresCol="_f", predictionCol="_p").fit(d) for i in range(restarts)), key=lambda m: m.summary.trainingCost)
-    sizes = best.summary.clusterSizes
-    order = sorted(range(len(sizes)), key=lambda c: (-sizes[c], best.clusterCenters()[c].tolist()))
-    again = F.array(*(F.lit(order.index(c)) for c in range(len(sizes))))
-    return best.transform(d).withColumn("cluster", F.get(again, F.col("_p"))).drop("_f", "_p")
+    """Rows with cluster 0 .. k - 1: the best of several seeded starts, clusters in order of size, then centre; null for a vector without a place."""
+    points = distinct_vectors(rows, vector)
+    best = cheapest(fit_all(points, [k], restarts, seed))
+    free(points)
+    return rows.withColumn("cluster", F.get(nearest(F.col(vector), [best[k]]), F.lit(0)) if best else F.lit(None).cast("int"))
 
 
 def silhouette(rows: DataFrame, vector: str, cluster: str = "cluster", key: str = "id") -> DataFrame:
@@ -65,10 +207,64 @@ def silhouette(rows: DataFrame, vector: str, cluster: str = "cluster", key: str
     return each.agg(F.avg(F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))).alias("silhouette"))
 
 
-def choose_k(rows: DataFrame, vector: str, ks: range = range(4, 9), restarts: int = 3) -> tuple[int, dict[int, float]]:
-    """The number of clusters with the greatest silhouette; of equals the smallest."""
-    found = {k: silhouette(kmeans(rows, vector, k, restarts), vector).first()[0] for k in ks}
-    return max(found, key=lambda k: (found[k], -k)), found
+def silhouettes(points: DataFrame, fits: list[Fit]) -> list[float]:
+    """Mean Euclidean silhouettes of several models' clusters over ``points`` (v, n), all from one pass over the pairs of blocks.
+
+    Exact: a point of n rows counts n times, so copies are met once. A pair of blocks is one
+    task, which holds two blocks and a strip of their distances; sums of distances to
+    each cluster of each model are what is shuffled. A model of one cluster has no silhouette: 0.
+    """
+    d = stage(points.select("v", "n", nearest(F.col("v"), fits).alias("c"), F.monotonically_increasing_id().alias("row")), "silhouettes")
+    blocks = max(1, -(-d.count() // WIDE))
+    d = d.withColumn("b", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    ends = np.cumsum([0, *(len(f.centres) for f in fits)])
+
+    def totals(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        if not (len(one) and len(two)):
+            return pd.DataFrame({"row": [], "t": []})
+        x, y = np.stack(one["v"]).astype(float), np.stack(two["v"]).astype(float)
+        member = np.zeros((len(y), ends[-1]))
+        member[np.arange(len(y))[:, None], np.stack(two["c"]) + ends[:-1]] = two["n"].to_numpy(float)[:, None]
+        rows, others = one["row"].to_numpy(), two["row"].to_numpy()
+        strips = []
+        for i in range(0, len(x), 512):
+            m = np.sqrt(_squares(x[i : i + 512], y))
+            m[rows[i : i + 512, None] == others] = 0
+            strips.append(m @ member)
+        return pd.DataFrame({"row": rows, "t": list(np.concatenate(strips))})
+
+    left = d.withColumn("o", other).select("b", "o", "row", "v").groupBy("b", "o")
+    right = d.withColumnRenamed("b", "o").withColumn("b", other).groupBy("b", "o")
+    parts = left.cogroup(right).applyInPandas(totals, "row long, t array<double>")
+    sums = parts.groupBy("row").agg(F.array(*(F.sum(F.get("t", F.lit(i))) for i in range(int(ends[-1])))).alias("t"))
+    each = sums.join(d.select("row", "n", "c"), "row")
+    means = []
+    for j, f in enumerate(fits):
+        mine = F.get("c", F.lit(j))
+        of = F.slice("t", int(ends[j]) + 1, len(f.centres))
+        sizes = F.array(*(F.lit(float(n)) for n in f.sizes))
+        far = F.zip_with(of, sizes, lambda t, n: F.when(n > 0, t / n))
+        a = F.when(F.get(sizes, mine) > 1, F.get(of, mine) / (F.get(sizes, mine) - 1))
+        b = F.array_min(F.transform(far, lambda x, i: F.when(i != mine, x)))
+        value = F.when(a.isNull() | b.isNull() | (F.greatest(a, b) == 0), 0.0).otherwise((b - a) / F.greatest(a, b))
+        means.append((F.sum(value * F.col("n")) / F.sum("n")).alias(f"s{j}"))
+    found = [x or 0.0 for x in each.agg(*means).first()]
+    free(d)
+    return found
+
+
+def choose_k(rows: DataFrame, vector: str, ks: range = range(4, 9), restarts: int = 10, seed: int = 0) -> tuple[int, dict[int, tuple[float, float]]]:
+    """The number of clusters with the greatest silhouette, of equals the smallest, and each k's (cost, silhouette).
+
+    All models are fitted together, and the silhouettes of each k's best one are taken together.
+    Without any vector the choice is the first k, and nothing is known of any.
+    """
+    points = distinct_vectors(rows, vector)
+    best = cheapest(fit_all(points, list(ks), restarts, seed))
+    found = dict(zip(best, silhouettes(points, list(best.values())), strict=True)) if best else {}
+    free(points)
+    return max(found, key=lambda k: (found[k], -k), default=min(ks)), {k: (best[k].cost, found[k]) for k in found}
 
 
 def cluster_table(rows: DataFrame) -> DataFrame:
