@@ -198,7 +198,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST
     joined = stage(rows.join(known, "doc_id", "left"), "quality-labelled")
     labelled = joined.where("y is not null")
     # A sample by hash, of a size that is bounded whatever the number of labels and the rows of one id.
-    share = most_labelled / max(labelled.count(), 1)
+    share = min(1.0, most_labelled / max(labelled.count(), 1))
     order = [F.crc32(F.col("doc_id").cast("string")), F.col("doc_id"), F.col("text_x"), F.col("source"), F.col("lang")]
     chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) < int(share * (1 << 52))).orderBy(*order).limit(2 * most_labelled).select("text_x", "source", "lang", "y").collect()
     learn, hold = parted(chosen, CALIBRATE)
