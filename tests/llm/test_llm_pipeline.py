@@ -6,10 +6,11 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from vellum.llm import quality_rules
+from vellum.llm import quality_rules, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -276,3 +277,23 @@ def test_marks_lose_no_pair_that_shares_enough():
     got = {(a, b) for out in simhash.meetings(iter([batch]), 0.8, 4096) for a, b in zip(out.column(1).to_pylist(), out.column(2).to_pylist(), strict=True)}
     similar = {(i, j) for i, j in itertools.combinations(range(60), 2) if len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]})}
     assert len(similar) >= 30 and similar <= got and len(got) < 400
+
+
+def test_links_grow_with_the_members_of_a_bucket():
+    """Suggested links of a bucket of near copies: one a member at most, whether it is small or large."""
+    rng = np.random.default_rng(5)
+    for n in (40, 600):
+        fp = (np.int64(1) << rng.integers(0, 60, n)) ^ (np.int64(1) << rng.integers(0, 60, n))
+        rows = [pa.array(x) for x in (np.zeros(n, np.int64), np.arange(n), fp)]
+        batch = pa.RecordBatch.from_arrays(rows, ["key", "node", "fp"])
+        links = pa.Table.from_batches(simhash.link(iter([batch]), 8, 4096, forest=False))
+        assert links.column("b").to_pylist() == list(range(1, n)) and set(links.column("a").to_pylist()) == {0}
+
+
+def test_blocks_of_a_large_bucket_suggest_one_link_a_member(spark):
+    n = 2000
+    fps = (np.int64(1) << np.arange(n, dtype=np.int64) % 3) + (np.int64(1) << 62) * (np.arange(n) % 2)
+    nodes = spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps.tolist())], "node long, fp long")
+    links = simhash.linked(nodes, ["fp"], 8, block=64, forest=False, joint=True)
+    keyed = len(simhash.keys(fps.view(np.uint64), True)[0])
+    assert links.select("b").distinct().count() == n - 1 and links.count() <= keyed

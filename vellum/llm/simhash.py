@@ -133,7 +133,7 @@ def bucket_links(f: np.ndarray, radius: int, forest: bool) -> tuple[np.ndarray,
     """Links within ``radius`` among the fingerprints ``f`` of one bucket, as places (earlier, later).
 
     As a ``forest`` they join what all links join. Otherwise each member gets its
-    links to the first and to the nearest of those before it.
+    link to the first of those before it: in a large group of near copies one link a member.
     """
     u, v, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     for i in range(0, len(f), 512):
@@ -143,8 +143,7 @@ def bucket_links(f: np.ndarray, radius: int, forest: bool) -> tuple[np.ndarray,
             y, x = np.nonzero(apart <= radius)
         else:
             y = np.flatnonzero((apart <= radius).any(1))
-            x = np.r_[(apart[y] <= radius).argmax(1), apart[y].argmin(1)]
-            y = np.r_[y, y]
+            x = (apart[y] <= radius).argmax(1)
         u.append(x)
         v.append(y + i)
         held += len(x)
@@ -170,7 +169,7 @@ def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, forest: bool
     A bucket of more than ``most`` members is passed on as rows (True, key, node,
     fp), if ``spill``; so no more than ``most`` members and a batch are ever held.
     Links are as in ``bucket_links``: a forest that joins what all links join, or
-    each member's links to the first and to the nearest of those before it.
+    each member's link to the first of those before it.
     """
 
     def out(over: bool, a: np.ndarray, b: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
@@ -181,23 +180,19 @@ def link(batches: Iterator[pa.RecordBatch], radius: int, most: int, forest: bool
         sizes = np.diff(np.r_[starts, len(key)])
         f = fp.view(np.uint64)
         i = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= 64), sizes))
-        u, v, gaps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lag in range(1, 64):
             i = i[i + lag < len(key)]
             i = i[key[i] == key[i + lag]]
             if not len(i):
                 break
-            apart = np.bitwise_count(f[i] ^ f[i + lag])
-            near = i[apart <= radius]
+            near = i[np.bitwise_count(f[i] ^ f[i + lag]) <= radius]
             u.append(near)
             v.append(near + lag)
-            gaps.append(apart[apart <= radius])
         if not forest:
-            x, y, gap = np.concatenate(u), np.concatenate(v), np.concatenate(gaps)
-            chosen = []
-            for order in (np.lexsort((x, y)), np.lexsort((x, gap, y))):
-                chosen.append(order[np.r_[True, np.diff(y[order]) > 0]] if len(order) else order)
-            pick = np.unique(np.concatenate(chosen))
+            x, y = np.concatenate(u), np.concatenate(v)
+            order = np.lexsort((x, y))
+            pick = order[np.r_[True, np.diff(y[order]) > 0]] if len(order) else order
             u, v = [x[pick]], [y[pick]]
         for s, n in zip(starts[sizes > 64], sizes[sizes > 64], strict=True):
             x, y = bucket_links(f[s : s + n], radius, forest)
@@ -274,10 +269,16 @@ def linked(nodes: DataFrame, fps: list[str], radius: int = RADIUS, block: int =
     edges = met.where("not over").select("a", "b")
     over = met.where("over").select(F.col("a").alias("key"), F.col("b").alias("node"), "fp")
     if not over.isEmpty():
-        # Each pair of a bucket's blocks is a bucket of its own: all pairs are compared, by many tasks.
-        sizes = stage(over.groupBy("key").agg(F.ceil(F.count("*") / (block // 2)).cast("int").alias("blocks")), "simhash-sizes")
+        sizes = over.groupBy("key").agg(F.ceil(F.count("*") / (block // 2)).cast("int").alias("blocks"), F.min(F.struct("node", "fp")).alias("low"))
+        sizes = stage(sizes, "simhash-sizes")
         dealt = over.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        if forest:
+            # Each pair of a bucket's blocks is a bucket of its own: all pairs are compared, by many tasks.
+            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        else:
+            # Links are suggestions: each block is a bucket of its own, with the first member of the whole bucket.
+            first = sizes.select("key", F.col("low.node").alias("node"), F.col("low.fp").alias("fp"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("mine"))
+            dealt = dealt.select("key", "node", "fp", "mine").union(first).withColumn("other", F.col("mine"))
         pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key")
         again = gathered(dealt.select(pair, "node", "fp"))
         edges = edges.union(in_workers(again, lambda it: link(it, radius, block, forest, spill=False), LINKS).select("a", "b"))
@@ -664,8 +665,7 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, views
     Few changed words change many shingles but few words, so candidates come from
     SimHashes of the words: links of ``radius`` bits in any of several independent
     views, found through joint Golay keys. A document is a candidate of the least
-    id and of the nearest fingerprint before it in each of its buckets, so a group
-    of many copies gives a few pairs a member. What these join is one group already
+    id within the radius in each of its buckets, so a group of many copies gives a few pairs a member. What these join is one group already
     when the rest is looked for: ``sharing`` finds every pair of two groups that can
     reach the limit. Every candidate pair is verified on whole texts. So no pair is
     missed, up to collisions of 64-bit hashes. Rows that share an id stand
