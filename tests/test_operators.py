@@ -451,3 +451,35 @@ def test_index_fold_of_many_families(spark):
     got = {tuple(r.sources): r.year for r in catalogue.fold_index(d).collect()}
     assert len(held) > 100 and max(len(b[3]) for b in held) > 5
     assert got == {tuple(b[3]): b[2] for b in held}
+
+
+def plain_separate(c, size, focus=None):
+    """Each pair in turn, one by one; the number of pairs looked at."""
+    for i in range(len(c)):
+        for j in range(i + 1, len(c)):
+            over = (size[i] + size[j]) / 2 + layout.GAP - np.abs(c[j] - c[i])
+            if over.min() > 0:
+                axis = int(over[1] <= over[0])
+                away = np.copysign(over[axis], c[j, axis] - c[i, axis] + 0.0)
+                mine, its = (0.5, 0.5) if focus not in (i, j) else (layout.STILL, 1 - layout.STILL) if i == focus else (1 - layout.STILL, layout.STILL)
+                c[i, axis] -= away * mine
+                c[j, axis] += away * its
+
+
+@pytest.mark.parametrize("focus", [None, 3])
+def test_boxes_are_pushed_as_pair_by_pair(focus):
+    rng = np.random.default_rng(2)
+    for n, span in ((0, 1), (1, 1), (40, 60), (70, 900)):
+        c, size = np.floor(rng.random((n, 2)) * span), 10 + 40 * rng.random((n, 2))
+        plain = c.copy()
+        for _ in range(4):
+            plain_separate(plain, size, focus)
+            layout.separate(c, size, focus)
+        assert (c == plain).all()
+
+
+def test_groups_of_boxes_are_dealt_to_tasks(spark):
+    """Small rows that make much work: not gathered in a few tasks."""
+    tiles = spark.range(200).select((F.col("id") % 50).alias("group"), "id", *(F.lit(v).alias(k) for k, v in (("cx", 1.0), ("cy", 2.0), ("w", 3.0), ("h", 4.0))))
+    tasks = layout.bubbles(tiles, rounds=1).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 2

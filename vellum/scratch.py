@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -37,6 +37,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def dealt(df: DataFrame, *by: Column | str) -> DataFrame:
+    """``df`` dealt by ``by`` over as many partitions as shuffles have, however few bytes they hold.
+
+    Where narrow rows make much work, adaptive execution would gather them in few tasks.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *by)
+
+
 def free(*tables: DataFrame | None) -> None:
     """Delete the files of tables that ``stage`` gave and that nothing reads any more; others are left alone."""
     for table in tables:
