@@ -483,3 +483,32 @@ def test_groups_of_boxes_are_dealt_to_tasks(spark):
     tiles = spark.range(200).select((F.col("id") % 50).alias("group"), "id", *(F.lit(v).alias(k) for k, v in (("cx", 1.0), ("cy", 2.0), ("w", 3.0), ("h", 4.0))))
     tasks = layout.bubbles(tiles, rounds=1).select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 2
+
+
+def test_overlaps_are_told_once_and_never_gathered(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k % 2, k, *(float(v) for v in (*(rng.random(2) * 300 - 150), *np.floor(rng.random(2) * 90)))) for k in range(120)]
+    d = spark.createDataFrame(rows, "group int, id int, x double, y double, w double, h double")
+    got = layout.overlaps(d, 32.0)
+    brute = [(p[0], p[1], q[1]) for p in rows for q in rows if p[0] == q[0] and p[1] < q[1] and p[2] < q[2] + q[4] and q[2] < p[2] + p[4] and p[3] < q[3] + q[5] and q[3] < p[3] + p[5]]
+    assert sorted(map(tuple, got.collect())) == sorted(brute)
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()  # pairs are many more than boxes
+
+
+@pytest.mark.parametrize("block", [16384, 40])
+def test_forest_of_hashes_joins_what_all_pairs_join(spark, monkeypatch, block):
+    monkeypatch.setattr(graph, "HASHES", block)
+    rng = np.random.default_rng(6)
+    base = rng.integers(-(2**63), 2**63, 60)
+    hashes = [*base.tolist(), *(int(h) ^ sum(1 << int(b) for b in rng.integers(0, 62, 17)) for h in base for _ in range(2)), int(base[0]), int(base[3]), None]
+    d = spark.createDataFrame([(k, h) for k, h in enumerate(hashes)], "id int, h long").withColumn("sha", F.lit(None).cast("string"))
+    root = list(range(len(hashes)))
+    for _ in root:
+        for a, b in itertools.combinations(range(len(hashes) - 1), 2):
+            if root[a] != root[b] and ((hashes[a] ^ hashes[b]) & (2**64 - 1)).bit_count() <= 15:
+                root[a] = root[b] = min(root[a], root[b])
+        if root == (root := [root[r] for r in root]):
+            break
+    forest = graph.hash_forest(d, "id", "h", 15)
+    assert forest.count() < len(hashes) * (1 if block > 1000 else 10)
+    assert {r.id: r.component for r in graph.duplicate_groups(d, "id", "sha", "h", 15).collect()} == dict(enumerate(root))

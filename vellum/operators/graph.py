@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.vision import hamming
-from vellum.scratch import free, stage
+from vellum.scratch import dealt, free, stage
 
 
 def digest_edges(rows: DataFrame, node: str, digest: str) -> DataFrame:
@@ -65,6 +67,64 @@ def hash_edges(rows: DataFrame, node: str, digest: str, radius: int = 5, residua
     return pairs if same is None else pairs.union(same)
 
 
+#: Hashes of a block; a pair of blocks is one task's work, gone through in tiles.
+HASHES = 16384
+
+
+def hash_forest(rows: DataFrame, node: str, digest: str, radius: int = 5) -> DataFrame:
+    """Edges (u, v) that join what all pairs of 64-bit hashes within ``radius`` join; a null hash has none.
+
+    For radii whose bands are so short that each of them holds a large part of all rows.
+    Distinct hashes are dealt to blocks of about ``HASHES`` and each pair of blocks is
+    compared on all bits, which is quadratic in distinct hashes. A task holds two
+    blocks and a tile of their distances and gives no more edges than the hashes that it joins.
+    """
+    held = rows.where(F.col(digest).isNotNull()).select(F.col(digest).cast("long").alias("h"), F.col(node).alias("n"))
+    groups = stage(held.groupBy("h").agg(F.min("n").alias("n")), "hashes")
+    same = held.alias("a").join(groups.alias("b"), F.col("a.h") == F.col("b.h")).where("a.n <> b.n").select(F.col("b.n").alias("u"), F.col("a.n").alias("v"))
+    blocks = max(1, -(-groups.count() // HASHES))
+    d = groups.select("h", F.pmod(F.xxhash64("h"), F.lit(blocks)).cast("int").alias("b"))
+    of = d.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pair = of.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"), (F.col("b") > F.col("o")).alias("second"), "h")
+
+    def joined(p: pd.DataFrame) -> pd.DataFrame:
+        h, second = p["h"].to_numpy().view(np.uint64), p["second"].to_numpy()
+        apart = bool(second.any())
+        one, two = (np.flatnonzero(~second), np.flatnonzero(second)) if apart else (np.arange(len(h)),) * 2
+        root, u, v, found = np.arange(len(h)), [], [], 0
+        for i in range(0, len(one), 256):
+            for j in range(0 if apart else i, len(two), 4096):
+                x, y = np.nonzero(np.bitwise_count(h[one[i : i + 256], None] ^ h[None, two[j : j + 4096]]) <= radius)
+                u.append(one[i + x])
+                v.append(two[j + y])
+                found += len(x)
+                if found > 1 << 20:  # pairs never pile up: a forest says the same
+                    root = _rooted(root, np.concatenate(u), np.concatenate(v))
+                    u, v, found = [], [], 0
+        root = _rooted(root, np.concatenate(u or [root[:0]]), np.concatenate(v or [root[:0]]))
+        on = root != np.arange(len(h))
+        return pd.DataFrame({"u": p["h"].to_numpy()[root[on]], "v": p["h"].to_numpy()[on]})
+
+    forest = dealt(pair, "p", "q").groupBy("p", "q").applyInPandas(joined, "u long, v long").distinct()
+    ends = [groups.select(F.col("h").alias(f"h{k}"), F.col("n").alias(f"n{k}")) for k in (0, 1)]
+    edges = forest.join(ends[0], F.col("u") == F.col("h0")).join(ends[1], F.col("v") == F.col("h1")).select(F.least("n0", "n1").alias("u"), F.greatest("n0", "n1").alias("v"))
+    return edges.union(same)
+
+
+def _rooted(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``root``, the least place that each place is joined to, with edges (u, v) more."""
+    root = root.copy()
+    while len(u):
+        a, b = root[u], root[v]
+        if not (open_ := a != b).any():
+            break
+        u, v, a, b = u[open_], v[open_], a[open_], b[open_]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while ((up := root[root]) != root).any():
+            root = up
+    return root
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (u, v): rows (node, root), root the least node.
 
@@ -95,7 +155,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 def duplicate_groups(rows: DataFrame, node: str, digest: str, hashed: str, radius: int = 5, residual: Column | None = None) -> DataFrame:
     """``rows`` with component: the least node that equal digests and near hashes lead to."""
-    edges = digest_edges(rows, node, digest).union(hash_edges(rows, node, hashed, radius, residual))
+    near = hash_forest(rows, node, hashed, radius) if residual is None and radius > 8 else hash_edges(rows, node, hashed, radius, residual)
+    edges = digest_edges(rows, node, digest).union(near)
     found = components(edges, "duplicates").withColumnsRenamed({"node": "_node", "root": "_root"})
     return rows.join(found, F.col(node) == F.col("_node"), "left").withColumn("component", F.coalesce("_root", node)).drop("_node", "_root")
 
