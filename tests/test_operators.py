@@ -512,3 +512,20 @@ def test_forest_of_hashes_joins_what_all_pairs_join(spark, monkeypatch, block):
     forest = graph.hash_forest(d, "id", "h", 15)
     assert forest.count() < len(hashes) * (1 if block > 1000 else 10)
     assert {r.id: r.component for r in graph.duplicate_groups(d, "id", "sha", "h", 15).collect()} == dict(enumerate(root))
+
+
+def test_copies_of_a_vector_are_one_point_of_the_silhouette(spark):
+    """Shuffled blocks grow with distinct points and not with their rows; a cluster of equal rows has distance 0."""
+    d = spark.createDataFrame([(i, [float(i % 4), 1.0], i % 2) for i in range(400)], "id int, v array<double>, cluster int")
+    sizes = []
+    held = features.stage
+    features.stage = lambda t, name: sizes.append(held(t, name)) or sizes[-1]
+    try:
+        got = features.silhouette(d, "v").first()[0]
+    finally:
+        features.stage = held
+    assert sizes[0].count() == 4
+    x, c = np.arange(400) % 4, np.arange(400) % 2
+    m = np.abs(x[:, None] - x)
+    a, b = (m * (c[:, None] == c)).sum(1) / 199, (m * (c[:, None] != c)).sum(1) / 200
+    assert got == pytest.approx(((b - a) / np.maximum(a, b)).mean())

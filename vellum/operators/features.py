@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import vision
-from vellum.scratch import free, stage
+from vellum.scratch import dealt, free, stage
 
-#: Rows of a block whose distances to another block are one task's work.
+#: Rows of a block, at least, whose distances to another block are one task's work.
 BLOCK = 2048
-#: The same, where a task goes through its distances in strips.
-WIDE = 16384
+#: The same where there are many rows, and the rows of a strip of distances that a task holds.
+WIDE, STRIP = 16384, 128
 
 
 def standardized(rows: DataFrame, vector: str, size: int) -> DataFrame:
@@ -179,76 +179,93 @@ def kmeans(rows: DataFrame, vector: str, k: int, restarts: int = 10, seed: int =
 def silhouette(rows: DataFrame, vector: str, cluster: str = "cluster", key: str = "id") -> DataFrame:
     """Mean silhouette by Euclidean distance, one row; null without rows.
 
-    Exact: every row is a stated query against all rows. Rows are dealt to blocks
-    of about ``BLOCK``, whatever they hold, and each pair of blocks is one group, so
-    a task holds two blocks and their distances, and their number grows with the rows.
+    Exact: every row is a stated query against all rows. Equal vectors of a cluster are one
+    point of so many rows; see ``_totals``.
     """
-    d = stage(rows.select(F.col(vector).alias("v"), F.col(cluster).cast("int").alias("c")).withColumn("row", F.monotonically_increasing_id()), "silhouette")
-    n = max(1, -(-d.count() // BLOCK))
-    d = d.withColumn("b", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def distances(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"row": [], "own": [], "other": [], "total": [], "n": []})]
-        if len(one) and len(two):
-            x, y = np.stack(one["v"]).astype(float), np.stack(two["v"]).astype(float)
-            m = np.sqrt(np.maximum(0, (x * x).sum(1)[:, None] + (y * y).sum(1) - 2 * x @ y.T))
-            m[one["row"].to_numpy()[:, None] == two["row"].to_numpy()] = 0
-            of = two["c"].to_numpy()
-            out += [pd.DataFrame({"row": one["row"], "own": one["c"], "other": k, "total": m[:, of == k].sum(1), "n": (of == k).sum()}) for k in np.unique(of)]
-        return pd.concat(out).astype({"row": "int64", "own": "int32", "other": "int32", "total": "float64", "n": "int64"})
-
-    left = d.withColumn("o", other).groupBy("b", "o")
-    right = d.withColumnRenamed("b", "o").withColumn("b", other).groupBy("b", "o")
-    parts = left.cogroup(right).applyInPandas(distances, "row long, own int, other int, total double, n long")
-    sums = parts.groupBy("row", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    own = F.col("own") == F.col("other")
-    each = sums.groupBy("row").agg(F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"))
-    return each.agg(F.avg(F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))).alias("silhouette"))
+    d = rows.select(F.col(vector).alias("v"), F.col(cluster).cast("int").alias("c")).groupBy("v", "c").agg(F.count("*").alias("n"))
+    d = stage(d.withColumn("row", F.monotonically_increasing_id()), "silhouette")
+    sizes = d.groupBy("c").agg(F.sum("n").alias("n")).orderBy("c").collect()  # one row a cluster
+    place = F.create_map(*(x for i, r in enumerate(sizes) for x in (F.lit(r.c), F.lit(i)))) if sizes else F.create_map().cast("map<int,int>")
+    placed = d.select("row", "v", "n", F.array(F.element_at(place, F.col("c")).cast("int")).alias("c"))
+    each = placed.join(_totals(placed, [len(sizes)]), "row")
+    return each.agg(_mean(0, 0, [float(r.n) for r in sizes]).alias("silhouette"))
+
+
+def _totals(d: DataFrame, widths: list[int]) -> DataFrame:
+    """(row, t): the sums of distances of each point of ``d`` (row, v, n, c) to each cluster of each model, c holding a cluster a model.
+
+    Points are dealt to blocks whose side grows with the number of points, from ``BLOCK`` to ``WIDE``,
+    and then in number; a pair of blocks is one task, whose distances serve both of them. A task
+    holds two blocks and a strip of their distances; vectors go as packed doubles.
+    """
+    count = d.count()
+    blocks = max(1, -(-count // max(BLOCK, min(WIDE, count // 8))))
+    ends = np.cumsum([0, *widths])
+    packed = pack(F.col("v")).alias("v")
+    own = d.select("row", "n", "c", packed, F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"))
+    met = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pair = met.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"), (F.col("b") > F.col("o")).alias("second"), "row", "n", "c", "v")
+
+    def sums(p: pd.DataFrame) -> pd.DataFrame:
+        x = np.frombuffer(b"".join(p["v"]), np.float64).reshape(len(p), -1)
+        member = np.zeros((len(x), ends[-1]))
+        member[np.arange(len(x))[:, None], np.stack(p["c"]) + ends[:-1]] = p["n"].to_numpy(float)[:, None]
+        rows, second, total = p["row"].to_numpy(), p["second"].to_numpy(), np.zeros((len(x), ends[-1]))
+        del p
+        apart = bool(second.any())
+        one, two = (np.flatnonzero(~second), np.flatnonzero(second)) if apart else (np.arange(len(x)),) * 2
+        y, of, norm = x[two], member[two], (x[two] * x[two]).sum(1)
+        for i in range(0, len(one), STRIP):
+            some = one[i : i + STRIP]
+            m = x[some] @ y.T
+            m *= -2
+            m += (x[some] * x[some]).sum(1)[:, None]
+            m += norm
+            np.maximum(m, 0, out=m)
+            np.sqrt(m, out=m)
+            if not apart:
+                m[np.arange(len(some)), np.arange(i, i + len(some))] = 0
+            total[some] += m @ of
+            if apart:
+                total[two] += m.T @ member[some]
+        return pd.DataFrame({"row": rows, "t": list(total)})
+
+    parts = dealt(pair, "p", "q").groupBy("p", "q").applyInPandas(sums, "row long, t array<double>")
+    return parts.groupBy("row").agg(F.array(*(F.sum(F.get("t", F.lit(i))) for i in range(int(ends[-1])))).alias("t"))
+
+
+def pack(v: Column) -> Column:
+    """A vector as the bytes of its doubles."""
+
+    @F.pandas_udf("binary")
+    def packed(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: np.asarray(x, np.float64).tobytes())
+
+    return packed(v)
+
+
+def _mean(model: int, start: int, sizes: list[float]) -> Column:
+    """The mean silhouette of one model's clusters over points (n, c, t), each of n rows; null without points."""
+    mine = F.get("c", F.lit(model))
+    of = F.slice("t", start + 1, max(1, len(sizes)))
+    held = F.array(*(F.lit(n) for n in sizes)).cast("array<double>")
+    far = F.zip_with(of, held, lambda t, n: F.when(n > 0, t / n))
+    a = F.when(F.get(held, mine) > 1, F.get(of, mine) / (F.get(held, mine) - 1))
+    b = F.array_min(F.transform(far, lambda x, i: F.when(i != mine, x)))
+    value = F.when(a.isNull() | b.isNull() | (F.greatest(a, b) == 0), 0.0).otherwise((b - a) / F.greatest(a, b))
+    return F.sum(value * F.col("n")) / F.sum("n")
 
 
 def silhouettes(points: DataFrame, fits: list[Fit]) -> list[float]:
     """Mean Euclidean silhouettes of several models' clusters over ``points`` (v, n), all from one pass over the pairs of blocks.
 
-    Exact: a point of n rows counts n times, so copies are met once. A pair of blocks is one
-    task, which holds two blocks and a strip of their distances; sums of distances to
+    Exact: a point of n rows counts n times, so copies are met once. Sums of distances to
     each cluster of each model are what is shuffled. A model of one cluster has no silhouette: 0.
     """
     d = stage(points.select("v", "n", nearest(F.col("v"), fits).alias("c"), F.monotonically_increasing_id().alias("row")), "silhouettes")
-    blocks = max(1, -(-d.count() // WIDE))
-    d = d.withColumn("b", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    each = d.select("row", "n", "c").join(_totals(d, [len(f.centres) for f in fits]), "row")
     ends = np.cumsum([0, *(len(f.centres) for f in fits)])
-
-    def totals(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        if not (len(one) and len(two)):
-            return pd.DataFrame({"row": [], "t": []})
-        x, y = np.stack(one["v"]).astype(float), np.stack(two["v"]).astype(float)
-        member = np.zeros((len(y), ends[-1]))
-        member[np.arange(len(y))[:, None], np.stack(two["c"]) + ends[:-1]] = two["n"].to_numpy(float)[:, None]
-        rows, others = one["row"].to_numpy(), two["row"].to_numpy()
-        strips = []
-        for i in range(0, len(x), 512):
-            m = np.sqrt(_squares(x[i : i + 512], y))
-            m[rows[i : i + 512, None] == others] = 0
-            strips.append(m @ member)
-        return pd.DataFrame({"row": rows, "t": list(np.concatenate(strips))})
-
-    left = d.withColumn("o", other).select("b", "o", "row", "v").groupBy("b", "o")
-    right = d.withColumnRenamed("b", "o").withColumn("b", other).groupBy("b", "o")
-    parts = left.cogroup(right).applyInPandas(totals, "row long, t array<double>")
-    sums = parts.groupBy("row").agg(F.array(*(F.sum(F.get("t", F.lit(i))) for i in range(int(ends[-1])))).alias("t"))
-    each = sums.join(d.select("row", "n", "c"), "row")
-    means = []
-    for j, f in enumerate(fits):
-        mine = F.get("c", F.lit(j))
-        of = F.slice("t", int(ends[j]) + 1, len(f.centres))
-        sizes = F.array(*(F.lit(float(n)) for n in f.sizes))
-        far = F.zip_with(of, sizes, lambda t, n: F.when(n > 0, t / n))
-        a = F.when(F.get(sizes, mine) > 1, F.get(of, mine) / (F.get(sizes, mine) - 1))
-        b = F.array_min(F.transform(far, lambda x, i: F.when(i != mine, x)))
-        value = F.when(a.isNull() | b.isNull() | (F.greatest(a, b) == 0), 0.0).otherwise((b - a) / F.greatest(a, b))
-        means.append((F.sum(value * F.col("n")) / F.sum("n")).alias(f"s{j}"))
+    means = [_mean(j, int(ends[j]), [float(n) for n in f.sizes]).alias(f"s{j}") for j, f in enumerate(fits)]
     found = [x or 0.0 for x in each.agg(*means).first()]
     free(d)
     return found
