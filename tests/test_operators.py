@@ -529,3 +529,26 @@ def test_copies_of_a_vector_are_one_point_of_the_silhouette(spark):
     m = np.abs(x[:, None] - x)
     a, b = (m * (c[:, None] == c)).sum(1) / 199, (m * (c[:, None] != c)).sum(1) / 200
     assert got == pytest.approx(((b - a) / np.maximum(a, b)).mean())
+
+
+def test_copies_of_items_and_works_are_linked_once(spark, monkeypatch):
+    """Rows of one text and year are one row before they meet, and texts meet before their years do."""
+    titles = [f"{a} {b} harbour {n}" for a in ("red", "blue") for b in ("winter", "summer") for n in range(4)]
+    works = [(f"w{k}", titles[k % 16], 1900 + k // 16 % 30 * 2, k) for k in range(960)]
+    items = [(k, titles[k % 16], 1900 + k // 16 % 30 * 2) for k in range(1440)] + [(2000, None, 1900), (2001, "nothing like it", 1901), (2002, titles[3], 0)]
+    seen = {}
+    held = link.stage
+    monkeypatch.setattr(link, "stage", lambda t, name: seen.setdefault(name, held(t, name)))
+    got = {r.item_id: (r.work_id, r.score) for r in link.link(spark.createDataFrame(items, "item_id int, norm string, year int"), spark.createDataFrame(works, "work_id string, norm string, year int, ord int")).collect()}
+    assert got == {k: (f"w{k % 480}", 100.0) for k in range(1440)} | {k: (None, 0.0) for k in (2000, 2001, 2002)}
+    assert seen["link-works"].count() == 480 and seen["link-items"].count() == 482
+    assert seen["link-alike"].count() <= 16 * 16
+
+
+def test_queries_hand_short_batches_to_python(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10000)
+    from vellum import catalogue_queries
+
+    catalogue_queries.queries()["f3_normed_titles"](spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")) <= 8 << 20

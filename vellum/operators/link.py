@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from vellum.functions import fuzzy
 from vellum.functions.text import is_generic
 from vellum.operators.retrieve import best_options
+from vellum.scratch import stage
 
 #: Least scores: same year, adjacent year, a year missing. Fixed values.
 SAME_YEAR, NEXT_YEAR, UNDATED = 88.0, 99.0, 96.0
@@ -132,8 +133,15 @@ def candidates(items: DataFrame, works: DataFrame) -> DataFrame:
     years = ["it", "wt", "item_year", "work_year"]
     near = lambda least: _within("is", "ws", "il", "wl", least)
 
-    by_length = dated_w.withColumn("wb", _near(length_bucket(F.length("ws"), SAME_YEAR)))
-    same = dated_i.withColumn("bucket", length_bucket(F.length("is"), SAME_YEAR)).join(by_length, (F.col("item_year") == F.col("work_year")) & (F.col("bucket") == F.col("wb")) & near(SAME_YEAR)).select(years)
+    # Equal texts recur in many years at some sizes: then each pair of texts is looked at once, before years are.
+    n_i, n_w = (d.groupBy(F.col(y).alias("y")).agg(F.count("*").alias(n)) for d, y, n in ((dated_i, "item_year", "ni"), (dated_w, "work_year", "nw")))
+    by_year = n_i.join(n_w, "y").agg(F.sum(F.col("ni").cast("double") * F.col("nw"))).first()[0] or 0
+    texts_i, texts_w = (d.select(t, f"{p}s", f"{p}l").distinct() for d, t, p in ((dated_i, "it", "i"), (dated_w, "wt", "w")))
+    once = texts_i.count() * texts_w.count() < by_year
+    same_i, same_w = (texts_i, texts_w) if once else (dated_i, dated_w)
+    by_length = same_w.withColumn("wb", _near(length_bucket(F.length("ws"), SAME_YEAR)))
+    lengths = (F.col("bucket") == F.col("wb")) & near(SAME_YEAR)
+    same = same_i.withColumn("bucket", length_bucket(F.length("is"), SAME_YEAR)).join(by_length, lengths if once else (F.col("item_year") == F.col("work_year")) & lengths)
 
     cut = lambda d, least: d.withColumn("wk", F.explode(meeting_keys(F.col("ws"), least, True)))
     seek = lambda d, least: d.withColumn("ik", F.explode(meeting_keys(F.col("is"), least, False)))
@@ -144,9 +152,16 @@ def candidates(items: DataFrame, works: DataFrame) -> DataFrame:
     def scored(pairs: DataFrame) -> DataFrame:
         return pairs.select("it", "wt").distinct().withColumn("score", fuzzy.title_score_udf("it", "wt"))
 
-    pairs = same.union(beside).distinct()
-    limit = F.when(F.col("item_year") == F.col("work_year"), SAME_YEAR).otherwise(NEXT_YEAR)
-    good = pairs.join(scored(pairs), ["it", "wt"]).where(F.col("score") >= limit).withColumnsRenamed({"it": "_it", "wt": "_wt", "item_year": "_iy", "work_year": "_wy"})
+    def limited(pairs: DataFrame, least: float) -> DataFrame:
+        pairs = stage(pairs.select(years).distinct(), "link-pairs")
+        return pairs.join(scored(pairs), ["it", "wt"]).where(F.col("score") >= least).select(*years, "score")
+
+    if once:
+        alike = stage(scored(same).where(F.col("score") >= SAME_YEAR), "link-alike")
+        equal = alike.join(dated_i.select("it", "item_year"), "it").join(dated_w.select(F.col("wt").alias("_w"), "work_year"), (F.col("wt") == F.col("_w")) & (F.col("item_year") == F.col("work_year"))).select(*years, "score")
+    else:
+        equal = limited(same, SAME_YEAR)
+    good = equal.union(limited(beside, NEXT_YEAR)).withColumnsRenamed({"it": "_it", "wt": "_wt", "item_year": "_iy", "work_year": "_wy"})
     out = ["item_id", "work_id", "work_ord", "work_year", "item_year", "score"]
     back = i.join(good, (F.col("it") == F.col("_it")) & (F.col("item_year") == F.col("_iy")))
     linked = back.join(w, (F.col("_wt") == F.col("wt")) & (F.col("_wy") == F.col("work_year"))).select(out)
@@ -163,7 +178,12 @@ def link(items: DataFrame, works: DataFrame) -> DataFrame:
     within ``NEAR`` of the best have more than one year (none counts as one) is
     left open.
     """
-    c = candidates(items, works)
+    # What an item gets depends on its text and year alone, and of works of one text and year only the first can win.
+    year = F.nullif("year", F.lit(0))
+    asked = items.withColumn("_k", F.concat(F.coalesce(year.cast("string"), F.lit("")), F.lit("\n"), F.col("norm")))
+    kinds = stage(asked.where("_k is not null").groupBy(F.col("_k").alias("item_id")).agg(F.first("norm").alias("norm"), F.first(year).alias("year")), "link-items")
+    firsts = works.where("norm is not null").groupBy("norm", year.alias("year")).agg(F.min_by("work_id", "ord").alias("work_id"), F.min("ord").alias("ord"))
+    c = candidates(kinds, stage(firsts, "link-works"))
     top = c.groupBy("item_id").agg(F.max("score").alias("top"))
     near = c.join(top, "item_id").where(F.col("score") >= F.col("top") - NEAR)
     best = near.groupBy("item_id").agg(
@@ -171,8 +191,8 @@ def link(items: DataFrame, works: DataFrame) -> DataFrame:
         F.size(F.collect_set(F.coalesce("work_year", F.lit(-1)))).alias("years"), F.max("item_year").alias("item_year"),
     )
     sure = ~(F.col("item_year").isNull() & (F.col("years") > 1))
-    found = best.where(sure).select("item_id", "work_id", F.col("top").alias("score"))
-    return items.select("item_id").join(found, "item_id", "left").select("item_id", "work_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+    found = stage(best.where(sure).select(F.col("item_id").alias("_of"), "work_id", F.col("top").alias("score")), "link-found")
+    return asked.select("item_id", "_k").join(found, F.col("_k") == F.col("_of"), "left").select("item_id", "work_id", F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def choices(works: DataFrame) -> DataFrame:
