@@ -17,7 +17,7 @@ from vellum.functions import fuzzy, vision
 from vellum.functions import text as X
 from vellum.functions import years as Y
 from vellum.operators import browse, catalogue, features, graph, layout, link, merge, records, retrieve, rules
-from vellum.scratch import scratch_dir
+from vellum.scratch import scratch_dir, tune
 from vellum.sources import readers, sinks
 from vellum.streaming import upsert as streaming
 
@@ -31,6 +31,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable], Query]:
 
     def add(f: Callable) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
             return f(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         _QUERIES[name] = run

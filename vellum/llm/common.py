@@ -15,22 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.operators.graph import components
-from vellum.scratch import free, scratch_dir, stage
+from vellum.scratch import BATCH_BYTES, BATCH_ROWS, free, scratch_dir, stage, tune
 
 #: ASCII white space of the word pattern ``[^\x20\x09-\x0D]+``.
 WS = b" \t\n\x0b\x0c\r"
-#: Rows and bytes handed to a Python worker at once; texts may be long, so batches are bounded by both.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 #: Python code takes a batch apart in runs of about so many bytes of text.
 RUN_BYTES = 2 << 20
 
 
-def tune(spark: SparkSession) -> None:
-    """Short Arrow batches: the memory of a Python worker follows the batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-
-
 def trim() -> None:
     """Give memory that is free back to the system: a worker may sit idle beside others."""
     gc.collect()
@@ -154,5 +146,5 @@ def local_roots(nodes: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 __all__ = [
-    "BATCH_ROWS", "RUN_BYTES", "WS", "code_points", "components", "free", "in_workers", "local_roots", "mix", "ragged", "read_documents", "runs", "scratch_dir", "slices", "stage", "text_bytes", "told_apart", "tune", "unused",
+    "BATCH_BYTES", "BATCH_ROWS", "RUN_BYTES", "WS", "code_points", "components", "free", "in_workers", "local_roots", "mix", "ragged", "read_documents", "runs", "scratch_dir", "slices", "stage", "text_bytes", "told_apart", "tune", "unused",
 ]
