@@ -4,6 +4,7 @@ import hashlib
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,18 @@ def test_requests_are_paced_as_one_after_the_other(spark, block):
     d = spark.createDataFrame(rows, "id long, host string, asked long")
     got = {r.id: r.starts for r in pacing.paced(d, "host", "asked", "id", 3, block).collect()}
     assert got == expected
+
+
+def test_state_is_asked_for_what_it_can_hold_only():
+    """Calls of a new key that ends in its first batch: about is looked for and set, its map is left alone."""
+    calls = []
+
+    class State:
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name)
+
+    log = done_log.DoneLog(frozenset(["end"]), None, None)
+    log.about, log.items = State(), State()
+    out = pd.concat(log.handleInputRows(("k",), iter([pd.DataFrame({"item": ["a", "b", "end", "c"], "ord": [1, 2, 3, 4]})]), None))
+    assert out["n_items"].tolist() == [1, 2, 3, 3] and out["kind"].tolist() == ["item"] * 3 + ["done"]
+    assert calls == ["exists", "update"]

@@ -52,15 +52,17 @@ class DoneLog(StatefulProcessor):
             return
         ends = [o for item, o in first.items() if item in self.closing]
         end = min(ends, default=None)
-        told = []
+        told, met = [], n  # each call to the state is a message to the JVM: none for a new key's map, none for a map that is dropped at once
         for item, o in sorted(first.items(), key=lambda x: x[1]):
-            if (end is None or o <= end) and not self.items.containsKey((item,)):
-                self.items.updateValue((item,), (o,))
+            if (end is None or o <= end) and not (met and self.items.containsKey((item,))):
+                if end is None:
+                    self.items.updateValue((item,), (o,))
                 n += 1
                 told.append((key[0], "item", item, o, n))
         if end is not None:
             told.append((key[0], "done", None, end, n))
-            self.items.clear()
+            if met:
+                self.items.clear()
         self.about.update((n, -1 if end is None else end))
         if told:
             yield pd.DataFrame(told, columns=["key", "kind", "item", "ord", "n_items"])
