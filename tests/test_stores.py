@@ -5,6 +5,7 @@ import json
 import os
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,46 @@ def test_state_is_asked_for_what_it_can_hold_only():
     out = pd.concat(log.handleInputRows(("k",), iter([pd.DataFrame({"item": ["a", "b", "end", "c"], "ord": [1, 2, 3, 4]})]), None))
     assert out["n_items"].tolist() == [1, 2, 3, 3] and out["kind"].tolist() == ["item"] * 3 + ["done"]
     assert calls == ["exists", "update"]
+
+
+def write_part(path, rows, **options):
+    """One task's write of rows (key, name, content), as Spark calls it."""
+    schema = pa.schema([("key", pa.string()), ("name", pa.string()), ("content", pa.binary())])
+    return stores.BlobWriter({"path": str(path)} | options).write(iter([pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)]))
+
+
+def test_a_stored_blob_is_not_written_again(spark, tmp_path):
+    path = tmp_path / "blobs"
+    rows = [(f"k{i}", bytearray(PNG + b"%d" % (i % 30))) for i in range(90)] + [("null", None)]
+    store(spark, rows, path)
+    inodes = {n: os.stat(path / n).st_ino for n in blobs(path)}
+    torn = min(inodes)
+    (path / torn).write_bytes(b"torn")
+    store(spark, rows, path)
+    assert {n: os.stat(path / n).st_ino for n in inodes if n != torn} == {n: i for n, i in inodes.items() if n != torn}
+    assert blobs(path)[torn].startswith(PNG) and len(inodes) == 30
+    # a given name is no digest: the last write counts
+    assert write_part(path, [("a", "x/y.png", PNG)]).written == 1 and write_part(path, [("a", "x/y.png", PNG + b"2")]).known == 1
+    assert blobs(path)["x/y.png"] == PNG + b"2"
+
+
+def test_one_partition_is_written_by_all_tasks(spark, tmp_path):
+    """A table that is one small file, with null contents and null keys, and few distinct contents among many rows."""
+    path = tmp_path / "blobs"
+    rows = spark.range(4000).coalesce(1).select("id", F.when(F.col("id") % 4 < 2, F.concat(F.unhex(F.lit("89504E470D0A1A0A")), (F.col("id") % 4 * F.col("id")).cast("string").cast("binary"))).alias("c"))
+    stores.write_blobs(rows, str(path), F.col("c"), F.col("id"))
+    assert len(blobs(path)) == 1001 and stores.rejected(spark, str(path)).count() == 2000
+    lists = [c for n, c in kept(path).items() if n.startswith("_names")]
+    assert len(lists) >= 4 and all(lists)
+    turned_away = [c.count(b"\n") for n, c in kept(path).items() if n.startswith("_rejected")]
+    assert len(turned_away) >= 4 and max(turned_away) < 1000
+
+
+def test_a_write_that_fails_in_its_task_leaves_nothing(tmp_path):
+    def batches():
+        yield pa.RecordBatch.from_pydict({"key": ["a", "b"], "name": pa.array([None, None], pa.string()), "content": [PNG, b"plain"]})
+        raise ValueError("no more")
+
+    with pytest.raises(ValueError, match="no more"):
+        stores.BlobWriter({"path": str(tmp_path)}).write(batches())
+    assert kept(tmp_path) == {}

@@ -14,11 +14,14 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
+import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
+
+from vellum.scratch import dealt, tune
 
 #: First bytes of the kinds of files that are told by them; fixed values of the public formats.
 MAGIC = {"png": b"\x89PNG\r\n\x1a\n", "gif": b"GIF8", "jpg": b"\xff\xd8\xff", "pdf": b"%PDF-"}
@@ -56,8 +59,12 @@ class Written(WriterCommitMessage):
     rejected: int
 
 
-class BlobWriter(DataSourceWriter):
-    """Tasks write to folders of their own and move what is complete; a file is named by its content, so that a repeated task changes nothing."""
+class BlobWriter(DataSourceArrowWriter):
+    """Tasks write to folders of their own and move what is complete; a file is named by its content, so that a repeated task changes nothing.
+
+    A content that is stored is not written again. Each task leaves a list of the
+    names that it wrote or found.
+    """
 
     def __init__(self, options: dict) -> None:
         self.path, self.least = options["path"], int(options.get("least_bytes", 1))
@@ -72,48 +79,62 @@ class BlobWriter(DataSourceWriter):
         kind = kind_of(content)
         return (kind, None) if kind in self.kinds else (None, "not of a wanted kind")
 
-    def write(self, iterator: Iterator[Row]) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         task = f"{self.job}-{uuid.uuid4().hex}"
         files, root = opened(self.path)
         own = f"{root}/_staging/{task}"
         files.create_dir(own, recursive=True)
-        names: dict[str, str] = {}
-        rejected = []
+        names: dict[str, str | None] = {}  # where the task's own file is; None: it was stored before
+        rejected = 0
         try:
-            for row in iterator:
-                content = None if row["content"] is None else bytes(row["content"])
-                kind, reason = self.reason(content)
-                if reason:
-                    rejected.append({"key": row["key"], "reason": reason, "bytes": len(content or b"")})
-                    continue
-                name = row["name"] or f"{hashlib.sha256(content).hexdigest()[:16]}.{kind}"
-                if name not in names:
+            with files.open_output_stream(f"{own}/rejected") as turned_away:
+                for key, name, content in (row for batch in iterator for row in zip(*(batch.column(c) for c in ("key", "name", "content")), strict=True)):
+                    content = content.as_py()
+                    kind, reason = self.reason(content)
+                    if reason:
+                        rejected += 1
+                        turned_away.write((json.dumps({"key": key.as_py(), "reason": reason, "bytes": len(content or b"")}) + "\n").encode())
+                        continue
+                    given = name.as_py()
+                    name = given or f"{hashlib.sha256(content).hexdigest()[:16]}.{kind}"
+                    if name in names:
+                        continue
+                    if not given and self._stored(files, f"{root}/{name}", len(content)):
+                        names[name] = None
+                        continue
                     names[name] = f"{own}/{len(names)}"
                     with files.open_output_stream(names[name]) as out:
                         out.write(content)
-            if rejected:
-                self._text(files, f"{own}/rejected", "".join(json.dumps(r) + "\n" for r in rejected))
+            self._text(files, f"{own}/names", "".join(json.dumps({"name": n}) + "\n" for n in names))
             known = 0
             for name, at in names.items():
                 target = f"{root}/{name}"
+                if at is None:
+                    known += 1
+                    continue
                 if "/" in name:
                     files.create_dir(target.rpartition("/")[0], recursive=True)
                 if files.get_file_info(target).type == fs.FileType.File:
                     known += 1
                 files.move(at, target)
-            if rejected:
-                files.create_dir(f"{root}/_rejected", recursive=True)
-                files.move(f"{own}/rejected", f"{root}/_rejected/{task}.jsonl")
+            for part, told in (("names", True), ("rejected", rejected)):
+                if told:
+                    files.create_dir(f"{root}/_{part}", recursive=True)
+                    files.move(f"{own}/{part}", f"{root}/_{part}/{task}.jsonl")
         finally:
             files.delete_dir(own)  # what a failed task wrote goes with it
-        return Written(task, len(names) - known, known, len(rejected))
+        return Written(task, len(names) - known, known, rejected)
+
+    def _stored(self, files: fs.FileSystem, path: str, size: int) -> bool:
+        info = files.get_file_info(path)
+        return info.type == fs.FileType.File and info.size == size
 
     def _text(self, files: fs.FileSystem, path: str, text: str) -> None:
         with files.open_output_stream(path) as out:
             out.write(text.encode())
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        """One line of counts for the write; rejected rows of attempts that did not count go."""
+        """One line of counts for the write; names and rejected rows of attempts that did not count go."""
         files, root = opened(self.path)
         done = [m for m in messages if m is not None]
         self._clean(files, root, {m.task for m in done})
@@ -127,7 +148,7 @@ class BlobWriter(DataSourceWriter):
         self._clean(files, root, set())
 
     def _clean(self, files: fs.FileSystem, root: str, kept: set[str]) -> None:
-        for part in ("_staging", "_rejected"):
+        for part in ("_staging", "_names", "_rejected"):
             for info in files.get_file_info(fs.FileSelector(f"{root}/{part}", allow_not_found=True)):
                 name = info.base_name.removesuffix(".jsonl")
                 if name.startswith(self.job) and name not in kept:
@@ -151,11 +172,13 @@ def write_blobs(rows: DataFrame, path: str, content: Column, key: Column, name:
 
     Rows that are null, smaller than ``least_bytes`` or of another kind come to
     ``rejected``. Writing the same rows again, or again after a failure, changes no
-    file.
+    file. Rows are dealt over all tasks: a small table that is one file makes as
+    many blobs as it has rows.
     """
     rows.sparkSession.dataSource.register(BlobSink)
+    tune(rows.sparkSession)
     told = rows.select(key.cast("string").alias("key"), (F.lit(None) if name is None else name).cast("string").alias("name"), content.cast("binary").alias("content"))
-    told.write.format("vellum_blobs").mode("append").option("path", path).option("kinds", ",".join(kinds)).option("least_bytes", least_bytes).save()
+    dealt(told, "key", "content").write.format("vellum_blobs").mode("append").option("path", path).option("kinds", ",".join(kinds)).option("least_bytes", least_bytes).save()
 
 
 def rejected(spark: SparkSession, path: str) -> DataFrame:
