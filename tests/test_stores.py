@@ -222,6 +222,28 @@ def test_one_partition_is_written_by_all_tasks(spark, tmp_path):
     assert len(turned_away) >= 4 and max(turned_away) < 1000
 
 
+def test_blobs_are_read_by_their_lists(spark, tmp_path):
+    path = tmp_path / "a store"
+    rows = [(f"k{i}", bytearray(PNG + b"%d" % i)) for i in range(300)] + [("text", bytearray(b"plain"))]
+    columns = ["path", "modificationTime", "length", "content"]
+    store(spark, rows[:200], path)
+    store(spark, rows, path)
+    stores.write_blobs(spark.createDataFrame([("k", "d/e.png", bytearray(PNG))], "key string, name string, content binary"), str(path), F.col("content"), F.col("key"), F.col("name"))
+    by_spark = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(path)).where("path not like '%/_names/%' and path not like '%/_rejected/%' and path not like '%/_commits/%'")
+    got = stores.blob_files(spark, str(path))
+    assert got.columns == columns and got.schema.simpleString() == by_spark.schema.simpleString()
+    told = lambda d: sorted((r.path, r.length, bytes(r.content)) for r in d.collect())
+    assert told(got) == told(by_spark) and got.count() == 301
+    assert got.rdd.getNumPartitions() == 4
+    gone = min(blobs(path))
+    os.remove(path / gone)
+    assert stores.blob_files(spark, str(path)).count() == 300
+    # a write of an earlier version left no list: Spark lists the folder
+    (path / "_commits" / "old.json").write_text("{}")
+    (path / "by-hand.png").write_bytes(PNG)
+    assert "by-hand.png" in {r.path.rpartition("/")[2] for r in stores.blob_files(spark, str(path)).select("path").collect()}
+
+
 def test_a_write_that_fails_in_its_task_leaves_nothing(tmp_path):
     def batches():
         yield pa.RecordBatch.from_pydict({"key": ["a", "b"], "name": pa.array([None, None], pa.string()), "content": [PNG, b"plain"]})

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
-from vellum.scratch import dealt, tune
+from vellum.scratch import BATCH_BYTES, BATCH_ROWS, dealt, tune
 
 #: First bytes of the kinds of files that are told by them; fixed values of the public formats.
 MAGIC = {"png": b"\x89PNG\r\n\x1a\n", "gif": b"GIF8", "jpg": b"\xff\xd8\xff", "pdf": b"%PDF-"}
@@ -186,9 +186,54 @@ def rejected(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("key string, reason string, bytes long").option("recursiveFileLookup", "true").json(f"{path}/_rejected")
 
 
+def blob_names(spark: SparkSession, path: str) -> DataFrame:
+    """The names of the blobs of a store (name), from the lists that its tasks left, dealt over all tasks."""
+    lists = spark.read.schema("name string").option("recursiveFileLookup", "true").json(f"{path}/_names")
+    return dealt(lists, "name").dropDuplicates(["name"])
+
+
+def _all_listed(path: str) -> bool:
+    """Whether every committed write left lists of names; those of earlier versions did not."""
+    files, root = opened(path)
+    held = lambda part: [i.base_name for i in files.get_file_info(fs.FileSelector(f"{root}/{part}", allow_not_found=True))]
+    jobs = {n.removesuffix(".json") for n in held("_commits")}
+    return bool(jobs) and jobs <= {n.partition("-")[0] for n in held("_names")}
+
+
 def blob_files(spark: SparkSession, path: str) -> DataFrame:
-    """The blobs of a store as Spark's binary files."""
-    return spark.read.format("binaryFile").load(path)
+    """The blobs of a store, with the columns of Spark's binary files.
+
+    The tasks read by the lists of names of the writes, so that the driver neither
+    lists the blobs nor plans a task for every few of them; a blob that has been
+    deleted since is left out. A store with a write that left no lists, or that
+    ``write_blobs`` did not write, is listed by Spark.
+    """
+    if not _all_listed(path):
+        return spark.read.format("binaryFile").load(path)
+    tune(spark)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    shown = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    kinds = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64()), ("content", pa.binary())])
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each blob, in batches bounded by rows and bytes."""
+        files, root = opened(path)
+        out, size = [], 0
+        for name in (n for b in batches for n in b.column(0).to_pylist()):
+            info = files.get_file_info(f"{root}/{name}")
+            if info.type != fs.FileType.File:
+                continue
+            with files.open_input_stream(info.path, compression=None) as held:
+                content = held.read()
+            out.append({"path": f"{shown}/{name}", "modificationTime": info.mtime, "length": len(content), "content": content})
+            size += len(content)
+            if size >= BATCH_BYTES or len(out) >= BATCH_ROWS:
+                yield pa.RecordBatch.from_pylist(out, kinds)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, kinds)
+
+    return blob_names(spark, path).mapInArrow(contents, "path string, modificationTime timestamp, length long, content binary")
 
 
 # Listings that go on by token
