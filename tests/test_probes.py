@@ -54,3 +54,24 @@ def test_whole_tables_equal_a_plain_reader(spark):
     q = catalogue_queries.queries()
     assert {r["name"]: r.works for r in q["s29_probe_report"](spark, SF).collect() if r.works is not None} == works
     assert q["s29_probe_items"](spark, SF).count() == records
+
+
+def test_each_body_is_read_once_and_only_where_a_list_is_asked_for(spark, capsys):
+    body = F.format_string('{"data": [{"id": %d, "t": " "}, {"id": "", "t": "x"}], "rows": [{"n": %d}]}', "id", "id")
+    d = spark.range(6).select(F.when(F.col("id") < 2, "a").when(F.col("id") < 4, "b").otherwise("c").alias("name"), F.lit(200).alias("status"), F.col("id").alias("asked"), body.alias("body"))
+    asked = [probes.Probe("a", items="$.data", fields={"id": "$.id", "t": ("$.t", "$.id")}, keep=lambda c: c("t").isNotNull()), probes.Probe("b", items="$.rows", fields={"id": "$.n"}), probes.Probe("c", total="$.n", fields={"more": ()})]
+    got = probes.items(d, asked)
+    got.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("parseJson") == 1
+    assert plan.count("$.t,") <= 3  # twice in the condition, once for what it holds for
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 200, 0, 0, "0", "0", None), ("a", 200, 0, 1, None, "x", None), ("a", 200, 1, 0, "1", "1", None), ("a", 200, 1, 1, None, "x", None), ("b", 200, 2, 0, "2", None, None), ("b", 200, 3, 0, "3", None, None)]
+    assert probes.items(d, [asked[2]]).count() == 0
+
+
+def test_events_of_one_file_are_answered_by_all_tasks(spark):
+    from vellum import function_queries
+
+    read = function_queries.answers(lambda n: spark.read.parquet(f"{SF}/{n}.parquet")).where("name <> 'page'")
+    counts = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) >= 4 and max(r["count"] for r in counts) < 5000

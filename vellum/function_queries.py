@@ -17,7 +17,7 @@ from vellum.functions import text as X
 from vellum.functions import years as Y
 from vellum.functions.profile import Profile
 from vellum.operators import browse, choice, graph, merge, records, rules
-from vellum.scratch import scratch_dir, stage
+from vellum.scratch import dealt, scratch_dir, stage
 from vellum.sources import markup, pacing, pages, probes, readers, sinks, stores
 from vellum.streaming import done_log
 
@@ -760,7 +760,10 @@ PROBES = [
 
 
 def answers(t) -> DataFrame:
-    """(name, status, asked, body): each event as an answer of its type's API, of k matches; each page as one of a source that gives no JSON."""
+    """(name, status, asked, body): each event as an answer of its type's API, of k matches; each page as one of a source that gives no JSON.
+
+    Events are dealt over all tasks while they are narrow: a body is some hundred times as long as its row.
+    """
     k = F.get_json_object("props", "$.k").cast("int")
     json = lambda **c: F.to_json(F.struct(*(x.alias(n) for n, x in c.items())))
     each = lambda f: F.transform(F.array_repeat(F.col("event_id"), k), f)
@@ -774,7 +777,8 @@ def answers(t) -> DataFrame:
         F.when(kind == "view", json(info=json_struct(total=k))).when(kind == "error", F.when(k == 3, '{"totalResults": 3').otherwise(json(totalResults=k)))
         .when(kind == "click", json(data=click)).when(kind == "purchase", json(response=json_struct(rows=bought))).otherwise("key required")
     )
-    events = t("events").select(kind.alias("name"), F.when(kind == "signup", 401 + k % 2 * 2).otherwise(200).alias("status"), F.col("event_id").alias("asked"), body.alias("body"))
+    rows = dealt(t("events").select("event_id", "user_id", "event_type", "props"), "event_id")
+    events = rows.select(kind.alias("name"), F.when(kind == "signup", 401 + k % 2 * 2).otherwise(200).alias("status"), F.col("event_id").alias("asked"), body.alias("body"))
     return events.unionByName(t("pages").select(F.lit("page").alias("name"), F.lit(200).alias("status"), F.col("page_id").alias("asked"), F.col("html").alias("body")))
 
 

@@ -46,10 +46,22 @@ def _of(probes: list[Probe], value: Callable[[Probe], Column | None], kind: str)
     return F.lit(None).cast(kind) if out is None else out
 
 
-def _said(item: Column, paths: str | tuple[str, ...]) -> Column:
-    """The first value along ``paths`` that is not empty, as text: objects and lists as JSON."""
-    found = [F.try_variant_get(item, p, "string") for p in ((paths,) if isinstance(paths, str) else paths)]
-    return F.coalesce(*(F.nullif(F.trim(x), F.lit("")) for x in found))
+def _paths(probe: Probe, name: str) -> tuple[str, ...]:
+    """The paths of a field, none where the source has no such field."""
+    paths = probe.fields.get(name, ())
+    return (paths,) if isinstance(paths, str) else paths
+
+
+def _said(each: DataFrame, probes: list[Probe], names: list[str]) -> DataFrame:
+    """``each`` with the first value along the paths of each field that is not empty, as text: objects and lists as JSON.
+
+    What lies at a path is a column first: asked for emptiness in the same step it would be looked for twice.
+    """
+    most = {n: max(len(_paths(p, n)) for p in probes) for n in names}
+    at = lambda p, n, j: F.trim(F.try_variant_get("_i", _paths(p, n)[j], "string")) if j < len(_paths(p, n)) else None
+    found = each.withColumns({f"_{n}_{j}": _of(probes, lambda p, n=n, j=j: at(p, n, j), "string") for n in names for j in range(most[n])})
+    said = {n: F.coalesce(*(F.nullif(f"_{n}_{j}", F.lit("")) for j in range(most[n]))) if most[n] else F.lit(None).cast("string") for n in names}
+    return found.select(*(F.col(c) for c in each.columns if c != "_i"), *(c.alias(n) for n, c in said.items()))
 
 
 def items(answers: DataFrame, probes: list[Probe]) -> DataFrame:
@@ -58,9 +70,11 @@ def items(answers: DataFrame, probes: list[Probe]) -> DataFrame:
     An answer that is not readable or has no list where one is expected gives no record.
     """
     names = list(dict.fromkeys(n for p in probes for n in p.fields))
-    held = read(answers).withColumn("_l", _of(probes, lambda p: F.try_variant_get("value", p.items, "array<variant>") if p.items else None, "array<variant>"))
-    each = held.select(*(c for c in answers.columns if c != "body"), F.posexplode("_l").alias("place", "_i"))
-    said = each.withColumns({n: _of(probes, lambda p, n=n: _said(F.col("_i"), p.fields[n]) if n in p.fields else None, "string") for n in names}).drop("_i")
+    listed = answers.where(F.col("name").isin([p.name for p in probes if p.items]))
+    held = read(listed).withColumn("_l", _of(probes, lambda p: F.try_variant_get("value", p.items, "array<variant>") if p.items else None, "array<variant>"))
+    each = held.select(*(c for c in answers.columns if c != "body"), F.posexplode_outer("_l").alias("place", "_i"))
+    each = each.where(F.col("place").isNotNull())  # from posexplode a filter on the size of the list would follow, that reads each body once more
+    said = _said(each, probes, names)
     kept = _of(probes, lambda p: p.keep(F.col) if p.keep else F.lit(True), "boolean")
     return said.where(kept)
 
